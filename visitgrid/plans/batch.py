@@ -26,6 +26,7 @@ class Extraction:
     records: DataFrame
     fields: DataFrame
     table_rows: DataFrame
+    sheet_errors: DataFrame
     tables: dict[str, DataFrame]
     sheet_audit: DataFrame
 
@@ -38,7 +39,7 @@ class Extraction:
         return self.records.where(F.col("kind") != "named_result")
 
 
-def sheet_audit(books: DataFrame, rules: MappingRules, recs: DataFrame, fields: DataFrame, rows: DataFrame) -> DataFrame:
+def sheet_audit(books: DataFrame, rules: MappingRules, recs: DataFrame, rows: DataFrame, broken: DataFrame) -> DataFrame:
     """Per (workbook, configured sheet): counts, errors, warnings, skipped flag."""
     configured = F.array(*[
         F.struct(
@@ -63,6 +64,7 @@ def sheet_audit(books: DataFrame, rules: MappingRules, recs: DataFrame, fields:
     out = grid
     for part in (by_sheet, lacking, filled):
         out = out.join(part, ["workbook_id", "sheet_id"], "left")
+    out = out.join(broken.withColumnRenamed("error", "_broken"), ["workbook_id", "sheet"], "left")
     none = F.array().cast("array<string>")
     absent = F.array(F.concat(F.lit("configured sheet missing: "), F.col("sheet")))
     gone = F.col("extract") & ~F.col("present")
@@ -70,7 +72,9 @@ def sheet_audit(books: DataFrame, rules: MappingRules, recs: DataFrame, fields:
         "workbook_id", "seq", "sheet_id", "sheet", "present",
         *[F.coalesce(F.col(c), F.lit(0)).alias(c)
           for c in ("fields_extracted", "tables_extracted", "scalar_records", "named_results")],
-        F.when(gone & F.col("required"), absent).otherwise(F.coalesce("_lacking", none)).alias("errors"),
+        F.when(gone & F.col("required"), absent).otherwise(
+            F.concat(F.coalesce("_lacking", none), F.array_compact(F.array("_broken")))
+        ).alias("errors"),
         F.when(gone & ~F.col("required"), absent).otherwise(none).alias("warnings"),
         (~F.col("extract")).alias("skipped"),
     )
@@ -105,7 +109,8 @@ def extract(spark: SparkSession, files: DataFrame, rules: MappingRules, cap: int
     rows = tables.union_by_name(lists) if lists else spark.createDataFrame(
         [], "workbook_id string, row int, sheet_id string, table_key string")
     fields = records.field_names(recs)
-    return Extraction(books, grid, recs, fields, rows, found, sheet_audit(books, rules, recs, fields, rows))
+    broken = wb.sheet_errors(scan)
+    return Extraction(books, grid, recs, fields, rows, broken, found, sheet_audit(books, rules, recs, rows, broken))
 
 
 def batch_visits(result: Extraction) -> DataFrame:

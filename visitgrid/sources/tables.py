@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -87,12 +88,14 @@ class TableStore:
             self.put(name, merged_reference(incoming, None, key))
 
     def names(self) -> list[str]:
-        """Table names, from the success marks that every write leaves."""
-        marks = (
-            self.spark.read.format("binaryFile").option("pathGlobFilter", "_SUCCESS")
-            .load(f"{self.root}/*/_SUCCESS").select("path").collect()
+        """Table names, from the listing of the data files (contents are not read)."""
+        files = (
+            self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+            .option("recursiveFileLookup", "true").load(self.root).select("path")
         )
-        return sorted({m["path"].rsplit("/", 2)[-2] for m in marks})
+        below = F.element_at(F.split("path", re.escape(self.root.split("://")[-1].lstrip("/") + "/")), -1)
+        found = files.select(F.split(below, "/")[0].alias("name")).distinct().collect()
+        return sorted(r["name"] for r in found)
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.get(name) for name in self.names()}

@@ -12,13 +12,16 @@ import io
 import posixpath
 import re
 import zipfile
+import zlib
 from collections.abc import Iterable, Iterator
 from datetime import datetime, time, timedelta
 from xml.etree import ElementTree
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from ..functions.text import base_name, sheet_list_hash
 
@@ -29,6 +32,7 @@ CELL_COLUMNS = ("workbook_id", "sheet", "row", "col", "ctype", "raw")
 FORMATS = ("xlsx", "xlsm", "xls")
 _BATCH_ROWS = 50_000
 _SPACE = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+_ROW, _CELL, _VALUE, _INLINE = (_SPACE + tag for tag in ("row", "c", "v", "is"))
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 
 # Number formats that show a date or a time.
@@ -127,47 +131,45 @@ def _column(ref: str) -> int:
     return number
 
 
-def _cell_value(node, strings: list[str], styles: dict[int, str], base_1904: bool) -> tuple[str, str] | None:
-    kind = node.get("t", "n")
-    if kind == "inlineStr":
-        inline = node.find(f"{_SPACE}is")
-        return None if inline is None else ("text", _texts(inline))
-    value = node.find(f"{_SPACE}v")
-    text = None if value is None else value.text
-    if text is None or text == "":
+def _cell_value(cell, strings: list[str], styles: dict[int, str], base_1904: bool) -> tuple[str, str] | None:
+    kind, text = cell.get("t", "n"), None
+    for child in cell:
+        if child.tag == _VALUE:
+            text = child.text
+        elif child.tag == _INLINE and kind == "inlineStr":
+            return "text", _texts(child)
+    if not text:
         return None
+    if kind == "n":
+        real = "." in text or "e" in text or "E" in text
+        number = float(text) if real else int(text)
+        style = styles.get(int(cell.get("s", 0))) if styles else None
+        if style:
+            try:
+                return _serial_value(number, base_1904, style == "duration")
+            except (OverflowError, ValueError):
+                return "text", "#VALUE!"
+        return ("float" if real else "int"), str(number)
     if kind == "s":
         return "text", strings[int(text)]
     if kind == "b":
         return "bool", str(bool(int(text)))
     if kind == "d":
         return "date", text.rstrip("Z").replace("T", " ")
-    if kind != "n":
-        return "text", text  # formula text and error codes
-    real = any(mark in text for mark in ".eE")
-    number = float(text) if real else int(text)
-    style = styles.get(int(node.get("s", 0)))
-    if style:
-        try:
-            return _serial_value(number, base_1904, style == "duration")
-        except (OverflowError, ValueError):
-            return "text", "#VALUE!"
-    return ("float" if real else "int"), str(number)
+    return "text", text  # formula text and error codes
 
 
 def _sheet_cells(part, strings, styles, base_1904) -> Iterator[tuple[int, int, str, str]]:
     """Filled cells of one sheet part, parsed as a stream."""
     row = 0
-    for event, node in ElementTree.iterparse(part, events=("start", "end")):
-        kind = _local(node.tag)
-        if event == "start":
-            if kind == "row":
-                row = int(node.get("r", row + 1))
-            continue
-        if kind != "row":
+    for _, node in ElementTree.iterparse(part):
+        if node.tag != _ROW:
             continue
+        row = int(node.get("r", row + 1))
         col = 0
-        for cell in node.iterfind(f"{_SPACE}c"):
+        for cell in node:
+            if cell.tag != _CELL:
+                continue
             col = _column(cell.get("r", "")) or col + 1
             value = _cell_value(cell, strings, styles, base_1904)
             if value is not None:
@@ -188,76 +190,75 @@ def _sheet_parts(book: zipfile.ZipFile) -> tuple[list[tuple[str, str]], ElementT
     return sheets, root
 
 
-def parse_workbook(content: bytes, wanted: set[str] | None = None) -> Iterator[dict]:
-    """Rows of kind ``sheet``, ``name`` and ``cell`` of one workbook.
+def parse_workbook(content: bytes, wanted: set[str] | None = None) -> Iterator[tuple]:
+    """Rows (kind, sheet, row, col, ctype, raw, name) of one workbook.
 
-    Sheets that no rule asks for are listed but their XML is not read.
+    Sheets that no rule asks for are listed but their XML is not read.  A sheet whose
+    XML breaks off gives the cells before the break and a ``sheet_error`` row.
     """
     with zipfile.ZipFile(io.BytesIO(content)) as book:
         sheets, root = _sheet_parts(book)
         flags = root.find(f"{_SPACE}workbookPr")
         base_1904 = flags is not None and flags.get("date1904") in ("1", "true")
+        strings, styles = _shared_strings(book), _date_styles(book)
         for position, (name, _) in enumerate(sheets, start=1):
-            yield {"kind": "sheet", "sheet": name, "row": position}
+            yield "sheet", name, position, None, None, None, None
         for defined in root.iter(f"{_SPACE}definedName"):
             target, _, address = (defined.text or "").rpartition("!")
             spot = re.fullmatch(r"\$?([A-Za-z]+)\$?(\d+)", address)
             if target and spot and defined.get("localSheetId") is None:
-                yield {"kind": "name", "name": defined.get("name"), "sheet": target.strip("'").replace("''", "'"),
-                       "row": int(spot.group(2)), "col": _column(spot.group(1))}
-        strings, styles = _shared_strings(book), _date_styles(book)
+                sheet = target.strip("'").replace("''", "'")
+                yield "name", sheet, int(spot.group(2)), _column(spot.group(1)), None, None, defined.get("name")
         for name, part_name in sheets:
-            if wanted is not None and name not in wanted or part_name not in book.namelist():
+            if wanted is not None and name not in wanted:
                 continue
-            with book.open(part_name) as part:
-                for row, col, ctype, raw in _sheet_cells(part, strings, styles, base_1904):
-                    yield {"kind": "cell", "sheet": name, "row": row, "col": col, "ctype": ctype, "raw": raw}
-
-
-_FIELDS = ("kind", "workbook_id", "sheet", "row", "col", "ctype", "raw", "name")
-
-
-def _frame(rows: list[dict]) -> pd.DataFrame:
-    frame = pd.DataFrame(rows, columns=_FIELDS, dtype=object)
-    for number in ("row", "col"):
-        frame[number] = frame[number].astype("Int32")
-    return frame
+            try:
+                with book.open(part_name) as part:
+                    for row, col, ctype, raw in _sheet_cells(part, strings, styles, base_1904):
+                        yield "cell", name, row, col, ctype, raw, None
+            except (ElementTree.ParseError, zipfile.BadZipFile, zlib.error, KeyError, ValueError, IndexError) as exc:
+                yield "sheet_error", name, None, None, None, f"{type(exc).__name__}: {exc}", None
 
 
 def scan_workbooks(files: DataFrame, sheets: Iterable[str] | None = None) -> DataFrame:
-    """(source_path, content) -> rows of kind ``sheet``, ``name``, ``cell`` or ``error``.
+    """(source_path, content) -> rows of kind ``sheet``, ``name``, ``cell``,
+    ``sheet_error`` or ``error``.
 
-    ``workbook_id`` is the path.  Rows leave in batches, so memory holds one file and
-    one batch; a file that is no workbook gives one ``error`` row.
+    ``workbook_id`` is the path.  Rows leave in Arrow batches of bounded size, so
+    memory holds the files of one input batch and one output batch.  A file that is no
+    workbook gives one ``error`` row and nothing else.
     """
     wanted = None if sheets is None else set(sheets)
+    arrow = to_arrow_schema(StructType.fromDDL(SCAN_SCHEMA))
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), arrow)], schema=arrow)
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pending: list[dict] = []
-        for batch in batches:
-            for path, content in zip(batch["source_path"], batch["content"]):
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pending: list[tuple] = []
+        for found in batches:
+            for path, content in zip(found.column("source_path"), found.column("content")):
+                book = path.as_py()
                 try:
-                    for item in parse_workbook(content, wanted):
-                        pending.append({"workbook_id": path, **item})
+                    for kind, *rest in parse_workbook(content.as_py(), wanted):
+                        pending.append((kind, book, *rest))
                         if len(pending) >= _BATCH_ROWS:
-                            yield _frame(pending)
+                            yield batch(pending)
                             pending = []
-                except Exception as exc:  # isolate the file: any broken part is its own error row
-                    pending.append({"kind": "error", "workbook_id": path, "raw": f"{type(exc).__name__}: {exc}"})
+                except Exception as exc:  # isolate the file: it becomes its own error row
+                    pending.append(("error", book, None, None, None, None, f"{type(exc).__name__}: {exc}", None))
         if pending:
-            yield _frame(pending)
+            yield batch(pending)
 
-    return files.select("source_path", "content").mapInPandas(scan, SCAN_SCHEMA)
+    return files.select("source_path", "content").mapInArrow(scan, SCAN_SCHEMA)
 
 
-def failed_workbooks(scan: DataFrame) -> DataFrame:
-    return scan.where(F.col("kind") == "error").groupBy("workbook_id").agg(F.first("raw").alias("error"))
+def cells(scan: DataFrame) -> DataFrame:
+    return scan.where(F.col("kind") == "cell").select(*CELL_COLUMNS)
 
 
-def cells(scan: DataFrame) -> DataFrame:
-    """Cells of the workbooks that were read to their end."""
-    bad = failed_workbooks(scan).select("workbook_id")
-    return scan.where(F.col("kind") == "cell").join(bad, "workbook_id", "left_anti").select(*CELL_COLUMNS)
+def sheet_errors(scan: DataFrame) -> DataFrame:
+    return scan.where(F.col("kind") == "sheet_error").select("workbook_id", "sheet", F.col("raw").alias("error"))
 
 
 def defined_names(scan: DataFrame) -> DataFrame:
