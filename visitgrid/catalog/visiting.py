@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import checks
 from ..functions.identity import visit_year
-from ..operators import numbering, stats, visits
+from ..operators import numbering, stats, tables, visits
+from ..plans.mapping import read_mapping
 from . import query
-from .inputs import table
+from .inputs import LINES_SQL, line_cells, mapping, table
 
 
 def order_visits(spark, sf_dir):
@@ -237,3 +239,21 @@ WITH {VISITS_SQL} SELECT system_id, count(*) AS visits FROM visits GROUP BY 1
 def visit_stats_by_system(spark, sf_dir):
     """Visits per system, most first."""
     return stats.rows_by(order_visits(spark, sf_dir), "system_id")
+
+
+@query("measurements_by_hospital", f"""
+WITH {VISITS_SQL}, {LINES_SQL}
+SELECT hospital_id, count(*) AS n_rows, count(DISTINCT qaid) AS visits, CAST(sum(CAST(trunc(a) AS BIGINT)) AS BIGINT) AS quantity,
+       count(*) FILTER (b BETWEEN 0 AND 50000) AS price_in_limits, count(d) AS flagged
+FROM li JOIN visits USING (workbook_id) WHERE r <= 5 GROUP BY 1
+""")
+def measurements_by_hospital(spark, sf_dir):
+    """Cells to a typed table, traced to its visit, checked and counted per site."""
+    rules = read_mapping(mapping("LI", {"data_start_row": 1, "end_row": 5, "db_table": "lines/all", "columns": {
+        "quantity": {"col": "A", "dtype": "int"}, "price": {"col": "B", "dtype": "float"}, "flag": {"col": "D"}}}))
+    records = tables.table_records(line_cells(spark, sf_dir), rules.tables)
+    rows = tables.typed_table(records, rules.tables[0])
+    seen = order_visits(spark, sf_dir).select("workbook_id", "qaid", "hospital_id")
+    return rows.join(seen, "workbook_id").groupBy("hospital_id").agg(
+        F.count("*").alias("n_rows"), F.count_distinct("qaid").alias("visits"), F.sum("quantity").alias("quantity"),
+        F.count_if(checks.in_range(F.col("price"), 0, 50000)).alias("price_in_limits"), F.count("flag").alias("flagged"))
