@@ -101,15 +101,17 @@ _NUMBER_REWRITES = (  # to year-month-day; what one has rewritten the others lea
     (rf"^(\d{{4}})-(1[3-9]|2\d|3[01])-(0?[1-9]|1[0-2]){_END}", "$1-$3-$2"),
     (r"(\d)t(\d)", "$1 $2"),
 )
+_PLAIN_ISO = r"^\d{4}-(?:0\d|1[0-2])-\d{2}$"  # the common spelling skips all rewriting
 _DATE_SHAPE = r"^\d{4}(?:-\d{1,2}(?:-\d{1,2}(?: .*)?)?)?$"
 
 
 def parse_date_text(raw: Column) -> Column:
     """Day-first date text -> timestamp without zone, null when it is not a date.
 
-    A date whose month number is too large is read month-first.  The steps are one
-    chain, so the input appears once in the expression.
+    A date whose month number is too large is read month-first.  The rewrites are one
+    chain, so the input is not repeated in the expression.
     """
+    plain = raw.rlike(_PLAIN_ISO)
     text = F.lower(strip(raw))
     for pattern, order in _WORD_REWRITES:
         text = F.regexp_replace(text, pattern, order)
@@ -117,7 +119,8 @@ def parse_date_text(raw: Column) -> Column:
         text = F.replace(text, F.lit(f"-{name}-"), F.lit(f"-{number}-"))
     for pattern, order in _NUMBER_REWRITES:
         text = F.regexp_replace(text, pattern, order)
-    return F.regexp_extract(text, _DATE_SHAPE, 0).try_cast("timestamp_ntz")
+    usual = F.when(plain, raw).otherwise(F.regexp_extract(text, _DATE_SHAPE, 0))
+    return usual.try_cast("timestamp_ntz")
 
 
 def iso_stamp(ts: Column) -> Column:

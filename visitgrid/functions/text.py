@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Unicode white space plus the ASCII separators that count as blank in text cells.
-_EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# All characters that count as white space at the edge of a cell text.
+EDGE_SPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 
 def strip(c: Column) -> Column:
     """Remove every kind of leading and trailing white space, not only spaces."""
-    return F.regexp_replace(c, _EDGE_SPACE, "")
+    return F.btrim(c, F.lit(EDGE_SPACE))
 
 
 def norm(c: Column) -> Column:

@@ -197,7 +197,7 @@ def scalar_records(
     if {r["how"] for r in rules} & {"name"}:  # only a name can be found in two ways
         hits = hits.groupBy("workbook_id", "seq").agg(F.min_by("cell", "rank").alias("cell"))
     found = hits.groupBy("workbook_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("seq", "cell"))).alias("found")
+        F.map_from_entries(F.collect_set(F.struct("seq", "cell"))).alias("found")
     )
     spec = rule_frame(
         spark,

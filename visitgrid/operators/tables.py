@@ -101,6 +101,7 @@ def table_records(
     def tables_with(test) -> list[int]:
         return [t["table_id"] for t in tables if test(t)]
 
+    windows: dict[str, Column] = {}  # evaluated together: one window operator
     if "stop" in roles:
         labels = {}
         for t in tables:
@@ -109,9 +110,8 @@ def table_records(
         at_label = F.lit(False)
         for label, ids in labels.items():
             at_label = at_label | (F.col("table_id").isin(ids) & F.coalesce(F.col("_stop") == label, F.lit(False)))
-        records = records.withColumn("_seen", F.count("_stop").over(running)).withColumn(
-            "_ended", F.max(at_label).over(running)
-        )
+        windows["_seen"] = F.count("_stop").over(running)
+        windows["_ended"] = F.max(at_label).over(running)
         starts = {}
         for t in tables:
             if t["stop"] == "blank":
@@ -126,7 +126,9 @@ def table_records(
     for slot, ids in carried_slots.items():
         name = f"s{slot}"
         spread = F.max(F.when(F.col("table_id").isin(ids), F.col(name))).over(everything)
-        records = records.withColumn(name, F.when(F.col("table_id").isin(ids), spread).otherwise(F.col(name)))
+        windows[name] = F.when(F.col("table_id").isin(ids), spread).otherwise(F.col(name))
+    if windows:
+        records = records.withColumns(windows)
     if carried:
         bounds: dict[tuple[int, int], list[int]] = {}
         for t in tables:

@@ -18,6 +18,9 @@ def build_session(app_name: str = "visitgrid", master: str | None = None, **sett
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # Methods above 8000 bytes are never compiled by the JVM: typing many columns at
+        # once is faster as several smaller methods.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     if master:
