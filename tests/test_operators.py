@@ -32,6 +32,22 @@ def test_numbering_equals_brute_force(spark, seed):
     assert overall == {r[2]: i for i, r in enumerate(sorted(rows, key=lambda r: r[1:]), start=1)}
 
 
+@pytest.mark.parametrize("key", [("k",), ()])
+def test_numbering_of_copies_and_ties(spark, key):
+    rng = random.Random(3)
+    rows = [("hot", 5, "same") if rng.random() < 0.4 else (rng.choice(["hot", "a", None]), rng.choice([5, 6]), str(i)) for i in range(800)]
+    frame = spark.createDataFrame(rows, "k string, v int, t string").repartition(4)
+    got = [tuple(r) for r in numbering.number_rows(frame, ["v"], key, "n", slices=16).collect()]
+    assert sorted(map(repr, (g[:3] for g in got))) == sorted(map(repr, rows))
+    groups = {}
+    for k, v, _, n in got:
+        groups.setdefault(k if key else 0, []).append((n, v))
+    for found in groups.values():
+        found.sort()
+        assert [n for n, _ in found] == list(range(1, len(found) + 1))
+        assert [v for _, v in found] == sorted(v for _, v in found)
+
+
 def test_numbering_spreads_a_hot_key(spark):
     frame = spark.range(20000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
     plan = numbering.number_rows(frame, ["id"], ["k"], "n", slices=16)

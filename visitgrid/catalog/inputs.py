@@ -4,7 +4,8 @@
   Lines of one (order, number) are combined by an aggregate, so a row exists once
   and a sheet has at most as many rows as there are line numbers.
   A quantity, B price, C discount, D return flag (blank for N), E status, F ship day.
-``event_cells``: one workbook per 200 event ids, sheet ``EV``, rows 1..200.
+``event_cells``: one workbook per 200 event ids, sheet ``EV``, rows 1..200; copies of
+  an event are one row.
   A type, B value (blank for errors), C user, D day.
 """
 
@@ -70,7 +71,7 @@ def event_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("EV").alias("sheet"),
         (F.pmod("event_id", F.lit(EVENTS_PER_BOOK)) + 1).cast("int").alias("row"),
         "event_type", "value", "user_id", F.col("ts").cast("date").alias("day"),
-    )
+    ).distinct()
     return _long(rows, [
         (1, "text", F.col("event_type")),
         (2, "float", F.when(F.col("event_type") != "error", F.col("value").cast("string"))),
@@ -80,7 +81,7 @@ def event_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 EVENTS_SQL = """ev AS (
-  SELECT CAST(event_id // 200 AS VARCHAR) AS workbook_id, CAST(event_id % 200 + 1 AS INTEGER) AS r,
+  SELECT DISTINCT CAST(event_id // 200 AS VARCHAR) AS workbook_id, CAST(event_id % 200 + 1 AS INTEGER) AS r,
          event_type AS a, CASE WHEN event_type <> 'error' THEN value END AS b, user_id AS c,
          strftime(ts, '%Y-%m-%d') AS d
   FROM events)"""

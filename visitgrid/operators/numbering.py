@@ -5,22 +5,53 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .frames import rule_frame
 
 _SAMPLES_PER_SLICE = 20
+_COPIES_PER_CHUNK = 100_000
+_NESTED = (T.ArrayType, T.MapType, T.StructType, T.BinaryType, T.VariantType)
 
 
-def _slice_number(key: Column, bounds: list[Column], first: int = 0) -> Column:
-    """Balanced decision tree over sorted bounds: log2(n) comparisons per row."""
-    if not bounds:
+def _slice_number(key: Column, edges: list[tuple[Column, bool]], first: int = 0) -> Column:
+    """Balanced decision tree over sorted edges: log2(n) comparisons per row.
+
+    An edge lies before its bound, or after it where the flag is set.
+    """
+    if not edges:
         return F.lit(first)
-    middle = len(bounds) // 2
-    return F.when(key < bounds[middle], _slice_number(key, bounds[:middle], first)).otherwise(
-        _slice_number(key, bounds[middle + 1 :], first + middle + 1)
+    middle = len(edges) // 2
+    bound, after = edges[middle]
+    left = key <= bound if after else key < bound
+    return F.when(left, _slice_number(key, edges[:middle], first)).otherwise(
+        _slice_number(key, edges[middle + 1 :], first + middle + 1)
+    )
+
+
+def _sample(df: DataFrame, keys: Sequence[str], slices: int) -> list[tuple]:
+    """Sorted sample of a fixed number of key tuples."""
+    rows = df.select(*keys).orderBy(F.rand(7)).limit(slices * _SAMPLES_PER_SLICE).sort(*keys).collect()
+    return [tuple(row) for row in rows]
+
+
+def _frequent(sample: list[tuple]) -> list[tuple]:
+    """Tuples that would fill more than two slices on their own."""
+    return [key for key, n in Counter(sample).items() if n > 2 * _SAMPLES_PER_SLICE]
+
+
+def _copies(spark: SparkSession, rows: list[dict], schema: str, out: str) -> DataFrame:
+    """Numbered copies of equal rows, made in chunks that are spread over tasks."""
+    first = rule_frame(spark, rows, f"{schema}, _start bigint, _count bigint")
+    end = F.col("_start") + F.col("_count") - 1
+    chunks = first.withColumn("_end", end).withColumn(
+        "_from", F.explode(F.sequence("_start", "_end", F.lit(_COPIES_PER_CHUNK).cast("bigint")))
     )
+    to = F.least(F.col("_from") + _COPIES_PER_CHUNK - 1, F.col("_end"))
+    return chunks.repartition("_from").withColumn(out, F.explode(F.sequence("_from", to))).drop(
+        "_start", "_count", "_end", "_from")
 
 
 def number_rows(
@@ -32,60 +63,76 @@ def number_rows(
 ) -> DataFrame:
     """Add ``out`` = 1, 2, 3 ... in ascending order of ``order_by`` within each key.
 
-    Rows are cut into value ranges of (key, order): a sample gives the bounds, so a
+    Rows are cut into value ranges of (key, order): a sample gives the edges, so a
     key that holds a third of all rows is spread over many ranges while a small key
-    stays in one.  Each range is numbered on its own; a key that crosses a bound
+    stays in one.  Each range is numbered on its own; a key that crosses an edge
     gets the number of its rows in earlier ranges added.  Only keys found among the
-    bounds can cross one, so that offset table has at most two rows per range.
-    The result does not depend on the sample.
+    edges can cross one, so that offset table has a bounded number of rows.
+
+    Where many rows tie, the other columns extend the order.  Rows that are equal in
+    all columns are counted, not sorted, and written out again in chunks.  The
+    result does not depend on the sample.
     """
     spark = df.sparkSession
-    keys = [*partition_by, *order_by]
-    sampled = (
-        df.select(*keys).orderBy(F.rand(7)).limit(slices * _SAMPLES_PER_SLICE).sort(*keys).collect()
-    )
-    step = max(1, len(sampled) // slices)
-    bounds = list(dict.fromkeys(tuple(row) for row in sampled[step::step]))
     types = {f.name: f.dataType for f in df.schema}
-
-    def bound(row: tuple) -> Column:
-        return F.struct(*[F.lit(v).cast(types[k]).alias(k) for k, v in zip(keys, row)])
-
-    sliced = df.withColumn("_slice", _slice_number(F.struct(*keys), [bound(r) for r in bounds]))
-    inner = Window.partitionBy("_slice", *partition_by).orderBy(*order_by)
-    numbered = sliced.withColumn(out, F.row_number().over(inner).cast("bigint"))
+    keys = [*partition_by, *order_by]
+    rest = [c for c in df.columns if c not in keys]
+    sample = _sample(df, keys, slices)
+    frequent = _frequent(sample)
+    if frequent and rest and not any(isinstance(types[c], _NESTED) for c in rest):
+        keys, rest = [*keys, *rest], []
+        sample = _sample(df, keys, slices)
+        frequent = _frequent(sample)
+    copies = set() if rest else set(frequent)
+
+    step = max(1, len(sample) // slices)
+    wanted = {*sample[step::step], *copies}
+    bounds = [key for key in dict.fromkeys(sample) if key in wanted]  # in sample order
     if not bounds:
-        return numbered.drop("_slice")
-
+        window = Window.partitionBy(*partition_by).orderBy(*keys)
+        return df.withColumn(out, F.row_number().over(window).cast("bigint"))
+
+    edges, copy_slice = [], {}
+    for key in bounds:
+        literal = F.struct(*[F.lit(v).cast(types[k]).alias(k) for k, v in zip(keys, key)])
+        edges.append((literal, False))
+        if key in copies:
+            copy_slice[len(edges)] = key  # the range between the two edges of this row
+            edges.append((literal, True))
+    sliced = df.withColumn("_slice", _slice_number(F.struct(*keys), edges))
+
+    schema = "".join(f", `{k}` {types[k].simpleString()}" for k in partition_by)
     crossing = sliced
     if partition_by:
-        edge_keys = {row[: len(partition_by)] for row in bounds}
-        schema = ", ".join(f"`{k}` {types[k].simpleString()}" for k in partition_by)
-        edges = rule_frame(spark, [dict(zip(partition_by, row)) for row in edge_keys], schema)
+        edge_keys = dict.fromkeys(key[: len(partition_by)] for key in bounds)
+        table = rule_frame(spark, [dict(zip(partition_by, key)) for key in edge_keys], schema[2:])
         same = [F.col(f"d.{k}").eqNullSafe(F.col(f"e.{k}")) for k in partition_by]
-        crossing = sliced.alias("d").join(edges.alias("e"), same, "left_semi")
-    counts = crossing.groupBy("_slice", *partition_by).count().collect()
-    offsets, before = [], Counter()
-    for row in sorted(counts, key=lambda r: r["_slice"]):
+        crossing = sliced.alias("d").join(table.alias("e"), same, "left_semi")
+    before, offsets, made = Counter(), [], []
+    for row in sorted(crossing.groupBy("_slice", *partition_by).count().collect(), key=lambda r: r["_slice"]):
         key = tuple(row[k] for k in partition_by)
-        if before[key]:
+        if row["_slice"] in copy_slice:
+            values = dict(zip(keys, copy_slice[row["_slice"]]))
+            made.append({**values, "_start": before[key] + 1, "_count": row["count"]})
+        elif before[key]:
             offsets.append({"_slice": row["_slice"], "_before": before[key], **dict(zip(partition_by, key))})
         before[key] += row["count"]
-    if not offsets:
-        return numbered.drop("_slice")
 
-    schema = "_slice int, _before bigint" + "".join(f", `{k}` {types[k].simpleString()}" for k in partition_by)
-    table = rule_frame(spark, offsets, schema)
-    on = [F.col("n._slice") == F.col("o._slice")]
-    on += [F.col(f"n.{k}").eqNullSafe(F.col(f"o.{k}")) for k in partition_by]
-    return (
-        numbered.alias("n")
-        .join(table.alias("o"), on, "left")
-        .select(
-            *[F.col(f"n.{c}") for c in df.columns],
-            (F.col(f"n.{out}") + F.coalesce("o._before", F.lit(0))).alias(out),
-        )
-    )
+    single = sliced.where(~F.col("_slice").isin(list(copy_slice))) if copy_slice else sliced
+    inner = Window.partitionBy("_slice", *partition_by).orderBy(*keys[len(partition_by):])
+    numbered = single.withColumn(out, F.row_number().over(inner).cast("bigint"))
+    if offsets:
+        table = rule_frame(spark, offsets, f"_slice int, _before bigint{schema}")
+        on = [F.col("n._slice") == F.col("o._slice")]
+        on += [F.col(f"n.{k}").eqNullSafe(F.col(f"o.{k}")) for k in partition_by]
+        total = F.col(f"n.{out}") + F.coalesce("o._before", F.lit(0))
+        numbered = numbered.alias("n").join(table.alias("o"), on, "left").select(
+            *[F.col(f"n.{c}") for c in df.columns], total.alias(out))
+    numbered = numbered.select(*df.columns, out)
+    if made:
+        columns = ", ".join(f"`{k}` {types[k].simpleString()}" for k in keys)
+        numbered = numbered.unionByName(_copies(spark, made, columns, out))
+    return numbered
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
