@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from visitgrid.catalog.xlsx import make_workbook
 from visitgrid.operators.scalars import scalar_records
-from visitgrid.plans import batch
+from visitgrid.plans import batch, export
 from visitgrid.plans.mapping import read_mapping
+from visitgrid.session import materialize
 from visitgrid.sources import workbooks as wb
+from visitgrid.sources.tables import TableStore, read_archive, read_audit, read_reference_tables, read_text_table
 from visitgrid.streaming.folder import follow_folder
 
 MAPPING = {"workbook": {"version": "6"}, "sheets": {
@@ -129,6 +131,48 @@ def test_batch_job(spark, folder, tmp_path):
     assert os.path.isdir(f"{out}/text/Extracted_Tables/noise_row.txt")
 
 
+def test_full_export(spark, folder, tmp_path):
+    rules = read_mapping(MAPPING)
+    found = batch.extract(spark, wb.workbook_files(spark, folder, ("xlsm",), skip_locks=True), rules)
+    link = spark.createDataFrame([("1504", 7, 8, 1)], "Qampr string, Hospital_ID long, System_ID long, n int")
+    systems = spark.createDataFrame([("8", 80, 1)], "ID string, System_Info_ID long, n int")
+    visits = materialize(batch.full_visits(found, rules, link, systems, "n"), "visits")
+    log = batch.run_audit(found, batch.batch_visits(found), rules)
+    parquet, text, archive = (str(tmp_path / n) for n in ("parquet", "text", "archive"))
+    export.export_parquet(found, visits, parquet)
+    paths = export.export_text(found, visits, text)
+    export.export_archive(found, visits, log, archive)
+    export.export_audit(log, TableStore(spark, str(tmp_path / "store")), parquet, text)
+
+    stored = spark.read.parquet(f"{parquet}/visits")
+    assert sorted((r["year"], r["hospital"], r["system"]) for r in stored.select(
+        *[F.col(c).cast("string") for c in ("year", "hospital", "system")]).collect()) == [
+        ("2024", "7", "8"), ("2024", "unknown", "unknown")]
+    assert spark.read.parquet(f"{parquet}/tables/noise__row").where("qaid is not null").count() == 4
+    assert spark.read.parquet(f"{parquet}/noise_noise__row").count() == 4  # the routed copy
+    assert spark.read.parquet(f"{parquet}/noise_fields").columns == ["workbook_id", "noise.mean", "qaid"]
+    assert spark.read.parquet(f"{parquet}/extraction_audit").groupBy("event_type").count().count() == 2
+    assert sorted(os.path.relpath(p, text) for p in paths) == [
+        "Extracted_Tables/meta__visit.txt", "Extracted_Tables/noise__row.txt", "Metadata/Extracted_Fields.txt",
+        "Metadata/Extraction_Metadata.txt", "Metadata/Named_Results.txt", "Metadata/QAVisit.txt", "Metadata/Scalar_Records.txt"]
+    single = read_text_table(spark, f"{text}/Extracted_Tables/meta__visit.txt").where("Source_File like 'QC300%'").first()
+    assert (single["date_test"], single["pass_fail"], single["Qampr"]) == ("2024-04-03", "true", "1504")
+    back = read_archive(spark, f"{archive}/result/noise__row", "row int, n bigint, hu double").collect()
+    assert sorted((r["row"], r["n"], r["hu"]) for r in back) == [(2, 1, 1.5), (2, 1, 1.5), (3, 2, 2.25), (3, 2, 2.25)]
+    assert spark.read.json(f"{archive}/audit").where("qaid is null").count() == 0
+    assert read_audit(TableStore(spark, str(tmp_path / "store"))).count() == log.count()
+
+
+def test_reference_folder(spark, tmp_path):
+    (tmp_path / "System.txt").write_text('ID,System_Info_ID,open_date\n1,10,01/02/2020\n2,,\n')
+    (tmp_path / "Linktable.txt").write_text('Qampr,note\n"0150","say ""x"", ok"\n')
+    (tmp_path / "other.csv").write_text("a\n1\n")
+    found = read_reference_tables(spark, str(tmp_path))
+    assert sorted(found) == ["Linktable", "System"]
+    assert dict(found["System"].dtypes) == {"ID": "double", "System_Info_ID": "double", "open_date": "timestamp_ntz"}
+    assert tuple(found["Linktable"].first()) == (150.0, 'say "x", ok')
+
+
 def test_defined_name(spark, folder):
     scan = wb.scan_workbooks(wb.workbook_files(spark, folder, ("xlsx",)))
     rules = read_mapping({"sheets": {"Data": {"fields": {"kv": {"name": "kvname", "dtype": "float"}, "none": {"name": "zzz"}}}}})
