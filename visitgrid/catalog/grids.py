@@ -8,6 +8,7 @@ from ..operators import tables
 from ..operators.scalars import missing_required, scalar_records
 from ..operators.visits import structure_check
 from ..plans.mapping import read_mapping
+from ..session import materialize
 from . import query
 from .inputs import EVENTS_SQL, LINES_SQL, books_of, event_cells, line_cells, mapping, table
 
@@ -73,18 +74,19 @@ def grid_label_offset(spark, sf_dir):
 
 @query("grid_defined_names", f"""
 WITH {EVENTS_SQL}, hit AS (
-  SELECT workbook_id, min(r) AS r FROM ev WHERE r <= 100 AND contains(a, 'view') GROUP BY 1),
-named AS (SELECT workbook_id, max(CASE WHEN r = 7 THEN b END) AS v FROM ev GROUP BY 1)
-SELECT n.workbook_id, 'view' AS name,
-       CAST(CASE WHEN CAST(n.workbook_id AS BIGINT) % 2 = 0 THEN n.v ELSE e.b END AS VARCHAR) AS value
-FROM named n LEFT JOIN hit USING (workbook_id) LEFT JOIN ev e ON e.workbook_id = n.workbook_id AND e.r = hit.r
+  SELECT workbook_id, min(r) FILTER (r <= 100) AS first_r, max(r) AS last_r FROM ev WHERE a = 'view' GROUP BY 1),
+books AS (SELECT DISTINCT workbook_id FROM ev)
+SELECT workbook_id, 'view' AS name, CAST(b AS VARCHAR) AS value
+FROM books LEFT JOIN hit USING (workbook_id) LEFT JOIN ev ON ev.workbook_id = books.workbook_id
+  AND r = CASE WHEN CAST(books.workbook_id AS BIGINT) % 2 = 0 THEN last_r ELSE first_r END
 """)
 def grid_defined_names(spark, sf_dir):
-    """Defined name where the workbook has one, label search where it has not."""
+    """Defined name where the workbook has one (the last row of each event type), label
+    search where it has not."""
     cells = event_cells(spark, sf_dir)
-    names = books_of(cells).where(F.col("workbook_id").cast("bigint") % 2 == 0).select(
-        "workbook_id", F.lit("view").alias("name"), F.lit("EV").alias("sheet"), F.lit(7).alias("row"), F.lit(2).alias("col")
-    )
+    even = F.col("workbook_id").cast("bigint") % 2 == 0
+    names = cells.where(even & (F.col("col") == 1)).groupBy("workbook_id", "sheet", F.col("raw").alias("name")).agg(
+        F.max("row").alias("row")).withColumn("col", F.lit(2))
     return _scalars(cells, {"view": {"name": "view", "dtype": "float"}}, "EV", names)
 
 
@@ -282,7 +284,7 @@ def grid_many_tables(spark, sf_dir):
     }}
     rules = read_mapping(document)
     cells = line_cells(spark, sf_dir).unionByName(event_cells(spark, sf_dir))
-    records = tables.table_records(cells, rules.tables)
+    records = materialize(tables.table_records(cells, rules.tables), "records")
     found = tables.all_tables(cells, records, rules.tables, rules.scalars, rules.sheets)
     parts = [
         df.groupBy("workbook_id").agg(F.count("*").alias("n_rows"), F.sum("v").alias("total")).withColumn(

@@ -1,11 +1,12 @@
-"""Small driver-made tables for joins."""
+"""Small driver-made rule tables."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -25,10 +26,9 @@ def rule_frame(spark: SparkSession, rows: Sequence[dict], schema: str) -> DataFr
     return F.broadcast(spark.createDataFrame(table, schema=fields))
 
 
-def literal(value):
-    """Python value (dicts and lists included) -> Column."""
-    if isinstance(value, dict):
-        return F.create_map(*[x for k, v in value.items() for x in (F.lit(k), literal(v))])
-    if isinstance(value, (list, tuple)):
-        return F.array(*[literal(v) for v in value])
-    return F.lit(value)
+def rule_array(rows: Sequence[dict], schema: str) -> Column:
+    """Rule rows as one constant ``array<struct>`` (folded by the optimizer)."""
+    if len(rows) > MAX_RULE_ROWS:
+        raise ValueError(f"{len(rows)} rule rows: too many for a constant")
+    fields = ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in StructType.fromDDL(schema))
+    return F.from_json(F.lit(json.dumps(rows)), f"array<struct<{fields}>>")

@@ -20,7 +20,7 @@ from ..functions import convert
 from ..functions.normalize import normalize
 from ..functions.text import is_blank, strip
 from ..plans.mapping import LIST_TYPES
-from .frames import rule_frame
+from .frames import rule_array, rule_frame
 
 
 def _cell() -> Column:
@@ -48,12 +48,12 @@ def point_hits(cells: DataFrame, rules: Sequence[dict]) -> DataFrame:
 def label_hits(cells: DataFrame, rules: Sequence[dict]) -> DataFrame:
     """Neighbour of the first cell, in row-major order, that contains a text.
 
-    Rules give the search window; the first hit is a minimum of (row, col), which
+    Rules give the search window.  They are a constant array that each cell is
+    tested against in its own task; the first hit is a minimum of (row, col), which
     is combined before the shuffle.  A workbook without a hit gives no row; a hit
     whose neighbour is empty gives a null cell.
     """
-    spec = rule_frame(
-        cells.sparkSession,
+    wanted = rule_array(
         [
             {
                 "seq": r["seq"], "sheet": r["sheet_name"], "text": r["text"], "first_row": r["first_row"],
@@ -67,17 +67,16 @@ def label_hits(cells: DataFrame, rules: Sequence[dict]) -> DataFrame:
     high = max(r["last_row"] for r in rules)
     right = max(r["last_col"] + max(r["offset"], 0) for r in rules)
     window = cells.where(F.col("row").between(low, high) & (F.col("col") <= right))
+
+    def hit(rule: Column) -> Column:
+        inside = F.col("row").between(rule["first_row"], rule["last_row"]) & (F.col("col") <= rule["last_col"])
+        return (rule["sheet"] == F.col("sheet")) & inside & F.col("raw").contains(rule["text"])
+
     first = (
-        window.where(truthy(window)).alias("c")
-        .join(
-            spec.alias("s"),
-            (F.col("c.sheet") == F.col("s.sheet"))
-            & F.col("c.row").between(F.col("s.first_row"), F.col("s.last_row"))
-            & (F.col("c.col") <= F.col("s.last_col"))
-            & F.col("c.raw").contains(F.col("s.text")),
-        )
-        .groupBy("c.workbook_id", "c.sheet", "s.seq", "s.offset")
-        .agg(F.min(F.struct("c.row", "c.col")).alias("at"))
+        window.where(truthy(window))
+        .select("workbook_id", "sheet", "row", "col", F.explode(F.filter(wanted, hit)).alias("rule"))
+        .groupBy("workbook_id", "sheet", "rule.seq", "rule.offset")
+        .agg(F.min(F.struct("row", "col")).alias("at"))
         .select("workbook_id", "sheet", "seq", F.col("at.row").alias("row"), (F.col("at.col") + F.col("offset")).alias("col"))
     )
     return first.join(window, ["workbook_id", "sheet", "row", "col"], "left").select(
@@ -108,34 +107,34 @@ def list_items(cells: DataFrame, rules: Sequence[dict]) -> DataFrame:
         cells.sparkSession,
         [
             {
-                "seq": r["seq"], "sheet": r["sheet_name"], "first_row": r["first_row"], "last_row": r["last_row"],
-                "key_col": r["col"], "code_col": r["code_col"], "plain": r["dtype"] == "list_of_string",
+                "seq": r["seq"], "sheet": r["sheet_name"], "col": col, "first_row": r["first_row"], "last_row": r["last_row"],
+                "is_key": is_key, "plain": r["dtype"] == "list_of_string", "coded": r["code_col"] is not None,
             }
             for r in rules
+            for col, is_key in ((r["col"], True), (r["code_col"], False))
+            if col is not None
         ],
-        "seq int, sheet string, first_row int, last_row int, key_col int, code_col int, plain boolean",
+        "seq int, sheet string, col int, first_row int, last_row int, is_key boolean, plain boolean, coded boolean",
     )
-    filled = cells.where(~is_blank(F.col("raw")))
     items = (
-        filled.alias("c")
+        cells.where(~is_blank(F.col("raw"))).alias("c")
         .join(
             spec.alias("s"),
-            (F.col("c.sheet") == F.col("s.sheet"))
-            & F.col("c.row").between(F.col("s.first_row"), F.col("s.last_row"))
-            & ((F.col("c.col") == F.col("s.key_col")) | (F.col("c.col") == F.col("s.code_col"))),
+            (F.col("c.sheet") == F.col("s.sheet")) & (F.col("c.col") == F.col("s.col"))
+            & F.col("c.row").between(F.col("s.first_row"), F.col("s.last_row")),
         )
-        .groupBy("c.workbook_id", "s.seq", "s.first_row", "s.plain", "s.code_col", "c.row")
+        .groupBy("workbook_id", "seq", "first_row", "plain", "coded", "row")
         .agg(
-            F.max(F.when(F.col("c.col") == F.col("s.key_col"), strip(F.col("c.raw")))).alias("nom"),
-            F.max(F.when(F.col("c.col") == F.col("s.code_col"), strip(F.col("c.raw")))).alias("riziv"),
+            F.max(F.when(F.col("is_key"), strip(F.col("raw")))).alias("nom"),
+            F.max(F.when(~F.col("is_key"), strip(F.col("raw")))).alias("riziv"),
         )
         .where("nom is not null")
-        .groupBy("workbook_id", "seq", "first_row", "plain", "code_col")
+        .groupBy("workbook_id", "seq", "first_row", "plain", "coded")
         .agg(F.array_sort(F.collect_list(F.struct("row", "nom", "riziv"))).alias("items"))
     )
     prefix = F.filter("items", lambda x, i: x["row"] == F.col("first_row") + i)
     named = F.when(
-        F.col("code_col").isNotNull(),
+        F.col("coded"),
         F.to_json(F.transform(prefix, lambda x: F.struct(x["nom"].alias("nom"), x["riziv"].alias("riziv"))),
                   {"ignoreNullFields": "false"}),
     ).otherwise(F.to_json(F.transform(prefix, lambda x: F.struct(x["nom"].alias("nom")))))

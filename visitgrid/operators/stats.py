@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,26 +27,41 @@ def percent(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole * 100).otherwise(F.lit(0.0))
 
 
+_FACTS = (
+    "total_sheets", "configured_sheets", "processed_sheets", "errors", "extracted_fields", "total_rows",
+    "extracted_scalar_records", "extracted_named_results",
+)
+
+
 def extraction_stats(workbooks: DataFrame, fields: DataFrame, records: DataFrame, tables: DataFrame,
                      sheet_audit: DataFrame) -> DataFrame:
     """Counts of sheets, fields, tables, records, named results and errors per workbook."""
-    n_fields = fields.groupBy("workbook_id").agg(F.count("*").alias("extracted_fields"))
-    n_records = records.groupBy("workbook_id").agg(
-        F.count_if(F.col("kind") != "named_result").alias("extracted_scalar_records"),
-        F.count_if(F.col("kind") == "named_result").alias("extracted_named_results"),
-    )
-    n_tables = tables.groupBy("workbook_id").agg(
-        F.count_distinct("sheet_id", "table_key").alias("extracted_tables"), F.count("*").alias("total_rows")
-    )
-    n_sheets = sheet_audit.groupBy("workbook_id").agg(
-        F.count("*").alias("configured_sheets"),
-        F.count_if(F.col("present") & ~F.col("skipped")).alias("processed_sheets"),
-        F.sum(F.size("errors")).alias("errors"),
+
+    def facts(df: DataFrame, kind: str, n: Column | None = None, table: Column | None = None) -> DataFrame:
+        none = F.lit(None).cast("string")
+        return df.select(
+            "workbook_id", F.lit(kind).alias("fact"), (F.lit(1) if n is None else n).cast("bigint").alias("n"),
+            (none if table is None else table).alias("table"),
+        )
+
+    named = F.col("kind") == "named_result"
+    done = F.col("present") & ~F.col("skipped")
+    parts = [
+        facts(workbooks, "total_sheets", F.size("sheets")),
+        facts(sheet_audit, "configured_sheets"),
+        facts(sheet_audit.where(done), "processed_sheets"),
+        facts(sheet_audit, "errors", F.size("errors")),
+        facts(fields, "extracted_fields"),
+        facts(tables, "total_rows", table=F.concat_ws("\u0001", "sheet_id", "table_key")),
+        facts(records.where(~named), "extracted_scalar_records"),
+        facts(records.where(named), "extracted_named_results"),
+    ]
+    # All counts in one aggregate over a union: one shuffle instead of a join per count.
+    per_book = reduce(DataFrame.unionByName, parts).groupBy("workbook_id").agg(
+        *[F.coalesce(F.sum(F.when(F.col("fact") == name, F.col("n"))), F.lit(0)).alias(name) for name in _FACTS],
+        F.count_distinct("table").alias("extracted_tables"),
     )
-    out = workbooks.select("workbook_id", F.size("sheets").alias("total_sheets"))
-    for part in (n_sheets, n_fields, n_tables, n_records):
-        out = out.join(part, "workbook_id", "left")
-    return out.na.fill(0)
+    return per_book.where("total_sheets > 0")
 
 
 def result_summary(items: DataFrame) -> DataFrame:

@@ -1,8 +1,7 @@
 """Table extraction: row ranges of many tables in one pass over the cells.
 
 Every column of a table gets a slot number.  Cells meet the (broadcast) slot table
-on (sheet, column), are shuffled once by (workbook, table) and become one record
-per row.  Stop rules, skip rules and fixed-row columns are window expressions over
+on (sheet, column), are shuffled once by workbook and become one record per row.  Stop rules, skip rules and fixed-row columns are window expressions over
 that same distribution, so no second shuffle is needed.  A sheet is read down to
 the row cap at most, which bounds every window group.
 """
@@ -76,9 +75,10 @@ def table_records(
         )
         .select("workbook_id", "table_id", "row", "slot", "role", F.struct("ctype", "raw").alias("cell"))
     )
-    # Cells are unique, so combining before the shuffle would only sort them twice.
-    windowed = carried or "stop" in roles
-    hits = hits.repartition("workbook_id", "table_id") if windowed else hits.repartition(*_KEYS)
+    # Cells are unique, so combining before the shuffle would only sort them twice.  A
+    # workbook's share is bounded by its rules, and later joins on the visit find the
+    # rows already distributed by workbook.
+    hits = hits.repartition("workbook_id")
 
     def pick(slot: int) -> Column:
         return F.max(F.when((F.col("slot") == slot) & F.col("role").isin("value", "fixed", "meta"), F.col("cell")))
@@ -184,10 +184,9 @@ def header_range(cells: DataFrame, rule: dict) -> DataFrame:
     )
     every = Window.partitionBy("workbook_id")
     body = F.col("_data") & (F.col("row") > top)
-    for c in spots:
-        rows = rows.withColumn(f"_live{c}", F.max(body & F.col(f"c{c}").isNotNull()).over(every))
-        rows = rows.withColumn(f"_head{c}", F.max(F.when(F.col("row") == top, F.col(f"c{c}.raw"))).over(every))
-    kept = rows.where(body)
+    flags = {f"_live{c}": F.max(body & F.col(f"c{c}").isNotNull()).over(every) for c in spots}
+    heads = {f"_head{c}": F.max(F.when(F.col("row") == top, F.col(f"c{c}.raw"))).over(every) for c in spots}
+    kept = rows.withColumns({**flags, **heads}).where(body)
     packed = F.filter(
         F.array(*[
             F.struct(
