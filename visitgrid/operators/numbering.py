@@ -33,8 +33,8 @@ def _slice_number(key: Column, edges: list[tuple[Column, bool]], first: int = 0)
 
 def _sample(df: DataFrame, keys: Sequence[str], slices: int) -> list[tuple]:
     """Sorted sample of a fixed number of key tuples."""
-    rows = df.select(*keys).orderBy(F.rand(7)).limit(slices * _SAMPLES_PER_SLICE).sort(*keys).collect()
-    return [tuple(row) for row in rows]
+    few = df.select(*keys).orderBy(F.rand(7)).limit(slices * _SAMPLES_PER_SLICE)
+    return [tuple(row) for row in few.sortWithinPartitions(*keys).collect()]  # a limit is one partition
 
 
 def _frequent(sample: list[tuple]) -> list[tuple]:

@@ -37,24 +37,23 @@ def extraction_stats(workbooks: DataFrame, fields: DataFrame, records: DataFrame
                      sheet_audit: DataFrame) -> DataFrame:
     """Counts of sheets, fields, tables, records, named results and errors per workbook."""
 
-    def facts(df: DataFrame, kind: str, n: Column | None = None, table: Column | None = None) -> DataFrame:
-        none = F.lit(None).cast("string")
-        return df.select(
-            "workbook_id", F.lit(kind).alias("fact"), (F.lit(1) if n is None else n).cast("bigint").alias("n"),
-            (none if table is None else table).alias("table"),
-        )
-
-    named = F.col("kind") == "named_result"
-    done = F.col("present") & ~F.col("skipped")
+    def facts(df: DataFrame, **counts: Column) -> DataFrame:
+        """Each input row as one row per named count."""
+        items = F.array(*[
+            F.struct(F.lit(name).alias("fact"), n.cast("bigint").alias("n")) for name, n in counts.items()
+        ])
+        table = F.concat_ws("\u0001", "sheet_id", "table_key") if "total_rows" in counts else F.lit(None).cast("string")
+        return df.select("workbook_id", table.alias("table"), F.inline(items))
+
+    one = F.lit(1)
+    named = (F.col("kind") == "named_result").cast("int")
+    done = (F.col("present") & ~F.col("skipped")).cast("int")
     parts = [
-        facts(workbooks, "total_sheets", F.size("sheets")),
-        facts(sheet_audit, "configured_sheets"),
-        facts(sheet_audit.where(done), "processed_sheets"),
-        facts(sheet_audit, "errors", F.size("errors")),
-        facts(fields, "extracted_fields"),
-        facts(tables, "total_rows", table=F.concat_ws("\u0001", "sheet_id", "table_key")),
-        facts(records.where(~named), "extracted_scalar_records"),
-        facts(records.where(named), "extracted_named_results"),
+        facts(workbooks, total_sheets=F.size("sheets")),
+        facts(sheet_audit, configured_sheets=one, processed_sheets=done, errors=F.size("errors")),
+        facts(fields, extracted_fields=one),
+        facts(tables, total_rows=one),
+        facts(records, extracted_scalar_records=1 - named, extracted_named_results=named),
     ]
     # All counts in one aggregate over a union: one shuffle instead of a join per count.
     per_book = reduce(DataFrame.unionByName, parts).groupBy("workbook_id").agg(
