@@ -222,7 +222,7 @@ def scalar_records(
         if rule["normalize"]:
             tidy = normalize(F.col("_raw"), rule["normalize"])
             joined = joined.withColumn(
-                "_raw", F.when((F.col("seq") == rule["seq"]) & F.col("_raw").isNotNull(), tidy).otherwise(F.col("_raw"))
+                "_raw", F.when((F.col("seq") == rule["seq"]) & ~is_blank(F.col("_raw")), tidy).otherwise(F.col("_raw"))
             )
     value = F.when(is_list, F.col("_raw")).otherwise(
         convert.convert_long(

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import convert
 from ..functions.normalize import normalize
-from ..functions.text import is_blank, norm
+from ..functions.text import is_blank, norm, strip
 from ..plans.mapping import ROW_CAP
 from .frames import rule_frame
 
@@ -157,7 +157,7 @@ def typed_table(
         raw = cell["raw"] if cell is not None else F.lit(None).cast("string")
         ctype = cell["ctype"] if cell is not None else F.lit(None).cast("string")
         if column["normalize"]:
-            raw = F.when(raw.isNotNull(), normalize(raw, column["normalize"]))
+            raw = F.when(~is_blank(raw), normalize(raw, column["normalize"]))
         value = convert.convert(raw, ctype, column["dtype"], column["locale_safe"], column["bool_map"])
         out.append(value.alias(column["name"]))
     names = {c["name"] for c in columns}
@@ -191,7 +191,7 @@ def header_range(cells: DataFrame, rule: dict) -> DataFrame:
         F.array(*[
             F.struct(
                 F.col(f"_live{c}").alias("live"),
-                F.coalesce(F.trim(F.col(f"_head{c}")), F.lit(f"Column_{c}")).alias("header"),
+                F.coalesce(strip(F.col(f"_head{c}")), F.lit(f"Column_{c}")).alias("header"),
                 F.col(f"c{c}").alias("cell"),
             )
             for c in spots
@@ -209,7 +209,7 @@ def header_range(cells: DataFrame, rule: dict) -> DataFrame:
         item = F.get("packed", i)["cell"]
         raw = item["raw"]
         if column["normalize"]:
-            raw = F.when(raw.isNotNull(), normalize(raw, column["normalize"]))
+            raw = F.when(~is_blank(raw), normalize(raw, column["normalize"]))
         value = convert.convert(raw, item["ctype"], column["dtype"], column["locale_safe"], column["bool_map"])
         out.append(value.alias(column["name"]))
     return kept.select("workbook_id", "row", *out)
