@@ -38,7 +38,7 @@ def book(reference="QC300_0624_01504CT-CT11"):
             (4, 1, " Jansen "), (4, 2, 123), (5, 1, "Peeters"), (7, 1, "after gap"), (9, 1, "voldoet")]
     data = [(1, 1, "n"), (1, 4, 120), (2, 1, 1), (2, 2, "1,5"), (2, 3, 4), (3, 1, 2), (3, 2, 2.25), (3, 3, 99),
             (5, 1, 4), (5, 2, 8), (9, 2, 0.5)]
-    return make_workbook({"Info": info, "Data": data, "Secret": [(1, 1, "no")]}, {"kvname": "Data!$D$1"})
+    return make_workbook({"Info": info, "Data": data, "Secret": [(1, 1, "no")]}, {"kvname": "Data!$D$1", "n": "Data!$A$1:$B$2"})
 
 
 @pytest.fixture
@@ -175,9 +175,10 @@ def test_reference_folder(spark, tmp_path):
 
 def test_defined_name(spark, folder):
     scan = wb.scan_workbooks(wb.workbook_files(spark, folder, ("xlsx",)))
-    rules = read_mapping({"sheets": {"Data": {"fields": {"kv": {"name": "kvname", "dtype": "float"}, "none": {"name": "zzz"}}}}})
+    rules = read_mapping({"sheets": {"Data": {"fields": {
+        "kv": {"name": "kvname", "dtype": "float"}, "none": {"name": "zzz"}, "area": {"name": "n"}, "empty": {"row": None, "col": "A", "default": "d"}}}}})
     rows = scalar_records(wb.workbooks(scan), wb.cells(scan), rules.scalars, wb.defined_names(scan)).collect()
-    assert {r["name"]: r["value"] for r in rows} == {"kv": "120.0", "none": None}
+    assert {r["name"]: r["value"] for r in rows} == {"kv": "120.0", "none": None, "area": None, "empty": "d"}
 
 
 def test_incremental_intake(spark, folder, tmp_path):

@@ -182,11 +182,12 @@ def _sheet_parts(book: zipfile.ZipFile) -> tuple[list[tuple[str, str]], ElementT
     root = ElementTree.fromstring(book.read("xl/workbook.xml"))
     links = ElementTree.fromstring(book.read("xl/_rels/workbook.xml.rels"))
     targets = {link.get("Id"): link.get("Target") for link in links}
-    sheets = []
+    present, sheets = set(book.namelist()), []
     for sheet in root.iter(f"{_SPACE}sheet"):
         target = targets[sheet.get(_REL)]
         part = target.lstrip("/") if target.startswith("/") else posixpath.normpath("xl/" + target)
-        sheets.append((sheet.get("name"), part))
+        if part in present:
+            sheets.append((sheet.get("name"), part))
     return sheets, root
 
 
@@ -204,11 +205,13 @@ def parse_workbook(content: bytes, wanted: set[str] | None = None) -> Iterator[t
         for position, (name, _) in enumerate(sheets, start=1):
             yield "sheet", name, position, None, None, None, None
         for defined in root.iter(f"{_SPACE}definedName"):
-            target, _, address = (defined.text or "").rpartition("!")
+            target, mark, address = (defined.text or "").rpartition("!")
+            if not mark or defined.get("localSheetId") is not None:
+                continue
+            # A name that is no single cell is found too; it has no value.
             spot = re.fullmatch(r"\$?([A-Za-z]+)\$?(\d+)", address)
-            if target and spot and defined.get("localSheetId") is None:
-                sheet = target.strip("'").replace("''", "'")
-                yield "name", sheet, int(spot.group(2)), _column(spot.group(1)), None, None, defined.get("name")
+            row, col = (int(spot.group(2)), _column(spot.group(1))) if spot else (None, None)
+            yield "name", target.strip("'").replace("''", "'"), row, col, None, None, defined.get("name")
         for name, part_name in sheets:
             if wanted is not None and name not in wanted:
                 continue
