@@ -14,6 +14,10 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
 CATALOG = load_catalog()
+SQL_TYPES = {
+    "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN", "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+}
 
 
 @pytest.fixture(scope="module")
@@ -40,7 +44,9 @@ def test_query_equals_sql(spark, duck, name):
     result = duck.execute(item.sql)
     names = [d[0] for d in result.description]
     assert sorted(names) == columns
+    wanted = {row[0]: row[1] for row in duck.execute(f"DESCRIBE {item.sql}").fetchall()}
+    assert {c: SQL_TYPES[t] for c, t in frame.dtypes} == wanted
     order = [names.index(c) for c in columns]
-    want = Counter(tuple(comparable(row[i]) for i in order) for row in result.fetchall())
+    want = Counter(tuple(comparable(row[i]) for i in order) for row in duck.execute(item.sql).fetchall())
     assert got == want
     assert sum(got.values()) > 0

@@ -129,8 +129,9 @@ def _extraction(spark, sf_dir):
 WITH {_BOOK_SQL}, head AS (SELECT n, count(*) FILTER (r = 1) > 0 AS has_first FROM cell GROUP BY 1)
 SELECT row_number() OVER (ORDER BY path) AS "QAID", CAST(n AS VARCHAR) AS "QAMPR", path AS source_file,
        n % 9 + 1 AS hospital_id, n % 5 AS system_id, CASE WHEN n % 13 = 12 THEN 'failed' ELSE 'success' END AS extraction_status,
-       CASE WHEN n % 13 = 12 THEN 0 ELSE 3 END AS n_fields,
-       CASE WHEN n % 13 = 12 THEN 0 ELSE 1 + CAST(has_first AS INTEGER) END AS n_tables, CASE WHEN n % 13 = 12 THEN 0 ELSE 1 END AS n_named_results
+       CAST(CASE WHEN n % 13 = 12 THEN 0 ELSE 3 END AS BIGINT) AS n_fields,
+       CAST(CASE WHEN n % 13 = 12 THEN 0 ELSE 1 + CAST(has_first AS INTEGER) END AS BIGINT) AS n_tables,
+       CAST(CASE WHEN n % 13 = 12 THEN 0 ELSE 1 END AS BIGINT) AS n_named_results
 FROM book JOIN head USING (n)
 """)
 def workbook_visits(spark, sf_dir):
@@ -140,7 +141,7 @@ def workbook_visits(spark, sf_dir):
 
 @query("workbook_audit", f"""
 WITH {_BOOK_SQL}, head AS (SELECT n, path, count(*) FILTER (r = 1) > 0 AS has_first FROM cell JOIN book USING (n) WHERE n % 13 <> 12 GROUP BY 1, 2)
-SELECT path AS workbook_id, 'info' AS sheet_id, 2 AS fields_extracted, 0 AS tables_extracted, 2 AS scalar_records, 0 AS named_results, '' AS errors, FALSE AS skipped FROM head
+SELECT path AS workbook_id, 'info' AS sheet_id, 2::BIGINT AS fields_extracted, 0::BIGINT AS tables_extracted, 2::BIGINT AS scalar_records, 0::BIGINT AS named_results, '' AS errors, FALSE AS skipped FROM head
 UNION ALL SELECT path, 'lines', 1, 1 + CAST(has_first AS INTEGER), 0, 1, '', FALSE FROM head
 UNION ALL SELECT path, 'gone', 0, 0, 0, 0, 'configured sheet missing: Absent', FALSE FROM head
 UNION ALL SELECT path, 'off', 0, 0, 0, 0, '', TRUE FROM head
@@ -156,8 +157,9 @@ def workbook_audit(spark, sf_dir):
 WITH {_BOOK_SQL}, head AS (SELECT n, path, count(*) FILTER (r = 1) > 0 AS has_first, count(*) AS n_rows,
          count(*) FILTER (r = 1) AS one FROM cell JOIN book USING (n) WHERE n % 13 <> 12 GROUP BY 1, 2),
 run AS (SELECT n, count(*) AS n_head FROM (SELECT n, r, row_number() OVER (PARTITION BY n ORDER BY r) AS k FROM cell) WHERE r = k GROUP BY 1)
-SELECT path AS workbook_id, 2 AS total_sheets, 4 AS configured_sheets, 2 AS processed_sheets, 1 AS errors, 3 AS extracted_fields,
-       1 + CAST(has_first AS INTEGER) AS extracted_tables, n_rows + coalesce(n_head, 0) AS total_rows, 2 AS extracted_scalar_records, 1 AS extracted_named_results
+SELECT path AS workbook_id, 2::BIGINT AS total_sheets, 4::BIGINT AS configured_sheets, 2::BIGINT AS processed_sheets, 1::BIGINT AS errors,
+       3::BIGINT AS extracted_fields, 1 + CAST(has_first AS BIGINT) AS extracted_tables, n_rows + coalesce(n_head, 0) AS total_rows,
+       2::BIGINT AS extracted_scalar_records, 1::BIGINT AS extracted_named_results
 FROM head LEFT JOIN run USING (n)
 """)
 def extraction_stats(spark, sf_dir):
