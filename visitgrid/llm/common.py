@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import materialize, scratch_path  # noqa: F401
@@ -31,7 +32,7 @@ def steps(batches: Iterator[pa.RecordBatch], column: int | str, limit: int = STE
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = np.cumsum(np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0), dtype=np.int64))
+        sizes = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), dtype=np.int64))
         at = 0
         while at < batch.num_rows:
             done = sizes[at - 1] if at else 0
