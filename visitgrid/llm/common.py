@@ -44,3 +44,14 @@ def steps(batches: Iterator[pa.RecordBatch], column: int | str, limit: int = STE
 def texts_of(batch: pa.RecordBatch, column: int | str) -> list[str]:
     """Texts of a column, empty for null."""
     return [x or "" for x in batch.column(column).to_pylist()]
+
+
+def open_store(path: str):
+    """File system and path in it; a path without a scheme is a local one."""
+    from pyarrow import fs
+
+    if "://" not in path:
+        return (fs.LocalFileSystem(), path.removeprefix("file:"))
+    scheme, rest = path.split("://", 1)
+    scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+    return fs.FileSystem.from_uri(f"{scheme}://{rest}")

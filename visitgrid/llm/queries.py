@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe
+from . import bpe, tokenfile
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,3 +27,9 @@ def register(name: str, sql: str | None = None):
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and the bytes they decode to, as digests."""
     return bpe.encode(table(spark, sf_dir, "documents"), outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
+
+
+@register("op5_token_files")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranked token files of every document, written and read back."""
+    return tokenfile.token_files(table(spark, sf_dir, "documents"), outputs=("start", "n_tokens", "ids_crc32"))
