@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, tokenfile
+from . import bpe, decontamination, tokenfile
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,3 +34,40 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ranked token files of every document, written and read back."""
     return tokenfile.token_files(table(spark, sf_dir, "documents"), outputs=("start", "n_tokens", "ids_crc32"))
+
+
+_PLAIN_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@register("op3_decontamination", f"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all({_LOWER.format('text')}, '{_PLAIN_WORDS}') AS words FROM documents
+), b AS (
+  SELECT item_id, words, least(13, len(words)) AS size
+  FROM (SELECT item_id, regexp_extract_all({_LOWER.format('text')}, '{_PLAIN_WORDS}') AS words FROM benchmark)
+  WHERE len(words) > 0
+), bw AS (
+  SELECT DISTINCT item_id, size, words[i : i + size - 1] AS win
+  FROM (SELECT *, unnest(range(1, len(words) - size + 2)) AS i FROM b)
+), sizes AS (SELECT DISTINCT size FROM bw), dw AS (
+  SELECT doc_id, size, i, words[i : i + size - 1] AS win
+  FROM (SELECT doc_id, words, size, unnest(range(1, len(words) - size + 2)) AS i FROM w, sizes)
+), found AS (SELECT doc_id, i, size, item_id FROM dw JOIN bw USING (size, win)),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM found) GROUP BY 1),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS name FROM found) GROUP BY 1
+)
+SELECT doc_id, coalesce(len(words), 0)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+  coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= coalesce(len(words), 0) AS contaminated
+FROM w LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+""")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document inside benchmark passages."""
+    rows = decontamination.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return rows.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"), "contaminated",
+    )
