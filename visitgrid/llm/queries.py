@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, tokenfile
+from . import bpe, decontamination, tokenfile, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,15 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"), "contaminated",
     )
+
+
+@register("op9_toxicity")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Noisy-or score of every document; the model never sees held-out labels."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train_on_open_rows(docs, table(spark, sf_dir, "labels"))
+    scored, name = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id", toxicity.held_out().alias("held_out"), F.col(name).alias("score"),
+        (F.col(name) >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
