@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, tokenfile, toxicity
+from . import bpe, decontamination, minhash, tokenfile, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", toxicity.held_out().alias("held_out"), F.col(name).alias("score"),
         (F.col(name) >= toxicity.THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+@register("op6_probminhash")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near copies of every document."""
+    return minhash.classes(table(spark, sf_dir, "documents"))
