@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, minhash, tokenfile, toxicity
-from .common import table
+from . import bpe, decontamination, minhash, quality, tokenfile, toxicity
+from .common import materialize, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -89,3 +89,55 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of near copies of every document."""
     return minhash.classes(table(spark, sf_dir, "documents"))
+
+
+def _shrunk(rule: str) -> str:
+    """Whether a host's shrunk rate of a rule is above the limit, from sums over hosts."""
+    rate = f"(f_{rule} / nn)"
+    within = f"CASE WHEN nn - n2 / nn - (k - 1) > 0 THEN ((s_{rule} - {rate} * {rate} * nn) / ({rate} * (1 - {rate})) - (k - 1)) / (nn - n2 / nn - (k - 1)) ELSE 1.0 END"
+    weight = f"(1 / least(greatest({within}, 1e-6), 0.999) - 1)"
+    return f"(k >= 2 AND f_{rule} > 0 AND f_{rule} < nn AND ({rule} + {rate} * {weight}) / (n + {weight}) > {quality.MOST_FAILING})"
+
+
+_RULES = {
+    "few_words": f"n_words < {quality.LEAST_WORDS}", "repeated_words": f"100 * n_repeat_words > {quality.MOST_REPEATED} * n_words",
+    "symbols": f"100 * n_symbols > {quality.MOST_SYMBOLS} * n_words", "dup_lines": f"100 * n_dup_lines > {quality.MOST_DUP_LINES} * n_words",
+}
+
+
+@register("op1_quality_rules", rf"""
+WITH w AS (
+  SELECT doc_id, source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), win AS (
+  SELECT doc_id, i, words[i : i + 2] AS t FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM w)
+), twice AS (SELECT doc_id, t FROM win GROUP BY ALL HAVING count(*) > 1),
+rep AS (
+  SELECT doc_id, count(DISTINCT p) AS n_repeat_words
+  FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM win JOIN twice USING (doc_id, t)) GROUP BY 1
+), lines AS (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM w) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY 1
+), m AS (
+  SELECT doc_id, coalesce(source, '') AS host, len(words)::BIGINT AS n_words, len(array_to_string(words, ''))::BIGINT AS word_chars,
+    len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
+    coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+  FROM w LEFT JOIN rep USING (doc_id) LEFT JOIN lines USING (doc_id)
+), h AS (
+  SELECT host, count(*)::DOUBLE AS n, {', '.join(f"sum(CASE WHEN {c} THEN 1.0 ELSE 0.0 END)::DOUBLE AS {r}" for r, c in _RULES.items())} FROM m GROUP BY 1
+), g AS (
+  SELECT count(*) AS k, sum(n) AS nn, sum(n * n) AS n2, {', '.join(f"sum({r}) AS f_{r}, sum({r} * {r} / n) AS s_{r}" for r in _RULES)} FROM h
+), bad AS (SELECT host FROM h, g WHERE {' OR '.join(map(_shrunk, _RULES))})
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  {_RULES['few_words']} OR {_RULES['repeated_words']} AS base_failed,
+  NOT ({_RULES['few_words']} OR {_RULES['repeated_words']}) AND host NOT IN (SELECT host FROM bad) AS kept
+FROM m
+""")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures of every document, and what the rules and its host say."""
+    docs = table(spark, sf_dir, "documents")
+    measured, measures = quality.measure(docs)
+    judged, kept = quality.judge(materialize(measured.select("doc_id", "source", measures), "measured"), measures)
+    return judged.select(
+        "doc_id", *(F.col(f"{measures}.{x}").alias(x) for x in quality.MEASURES), quality.base_failed(measures).alias("base_failed"),
+        F.col(kept).alias("kept"),
+    )
