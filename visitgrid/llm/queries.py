@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, minhash, quality, tokenfile, toxicity
+from . import bpe, decontamination, licenses, minhash, quality, tokenfile, toxicity
 from .common import materialize, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,3 +141,52 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *(F.col(f"{measures}.{x}").alias(x) for x in quality.MEASURES), quality.base_failed(measures).alias("base_failed"),
         F.col(kept).alias("kept"),
     )
+
+
+def _notices_sql() -> str:
+    rows = []
+    for n, (text, label) in enumerate(licenses.TEMPLATES.items()):
+        words = sorted(set(licenses.words_of_notice(text)))
+        rows.append(f"({n}, '{label}', {words}, {licenses.needed(len(words))})")
+    return ", ".join(rows)
+
+
+def _phrases_sql() -> str:
+    rows = []
+    for phrase, label in licenses.PHRASES.items():
+        parts = phrase.split(" ")
+        test = " AND ".join(f"words[i + {k}] = '{part}'" for k, part in enumerate(parts))
+        rows.append(f"SELECT doc_id, i - 1 AS place, '{label}' AS label FROM (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM d) WHERE {test}")
+    return " UNION ALL ".join(rows)
+
+
+@register("op4_license_scan", f"""
+WITH t AS (SELECT doc_id, {_LOWER.format("coalesce(text, '')")} AS text FROM documents),
+d AS (SELECT doc_id, regexp_extract_all(text, '{_PLAIN_WORDS}') AS words FROM t),
+places AS ({_phrases_sql()}),
+base AS (
+  SELECT doc_id, count(*) AS n, min(place) AS lo, max(place) AS hi, string_agg(DISTINCT label, ',' ORDER BY label) AS names FROM places GROUP BY 1
+), notices(no, label, words, need) AS (VALUES {_notices_sql()}),
+lines AS (
+  SELECT doc_id, list_distinct(regexp_extract_all(line, '{_PLAIN_WORDS}')) AS words
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM t)
+), hits AS (
+  SELECT doc_id, label, len(list_intersect(lines.words, notices.words)) / len(notices.words)::DOUBLE AS share
+  FROM lines, notices WHERE len(list_intersect(lines.words, notices.words)) >= need
+), labels AS (
+  SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS names
+  FROM (SELECT doc_id, label FROM places UNION SELECT doc_id, label FROM hits) GROUP BY 1
+), best AS (SELECT doc_id, max(share) AS share FROM hits GROUP BY 1)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, lo::BIGINT AS first_word, hi::BIGINT AS last_word,
+  coalesce(base.names, '') AS base_labels, coalesce(labels.names, '') AS labels,
+  CASE WHEN n > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0.0)::DOUBLE END AS score
+FROM d LEFT JOIN base USING (doc_id) LEFT JOIN labels USING (doc_id) LEFT JOIN best USING (doc_id)
+""")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices in every document."""
+    found, name = licenses.label(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    f = F.col(name)
+    return found.select(
+        "doc_id", *(f[x].alias(x) for x in ("n_words", "n_base", "first_word", "last_word")),
+        F.array_join(f["base_labels"], ",").alias("base_labels"), F.array_join(f["labels"], ",").alias("labels"), f["score"].alias("score"),
+    )
