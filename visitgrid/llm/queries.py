@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, licenses, minhash, quality, tokenfile, toxicity
+from . import bpe, decontamination, licenses, minhash, quality, tokenfile, toxicity, unigram
 from .common import materialize, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -190,3 +190,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *(f[x].alias(x) for x in ("n_words", "n_base", "first_word", "last_word")),
         F.array_join(f["base_labels"], ",").alias("base_labels"), F.array_join(f["labels"], ",").alias("labels"), f["score"].alias("score"),
     )
+
+
+@register("op10_token_counts")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram tokens of every document."""
+    return unigram.count_tokens(table(spark, sf_dir, "documents"))
