@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, licenses, minhash, quality, tokenfile, toxicity, unigram
+from . import archives, bpe, decontamination, licenses, minhash, quality, tokenfile, toxicity, unigram
 from .common import materialize, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -196,3 +196,24 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unigram tokens of every document."""
     return unigram.count_tokens(table(spark, sf_dir, "documents"))
+
+
+@register("op2_warc_archives", """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages), d AS (
+  SELECT page_id, strlen(html)::BIGINT AS payload_bytes, sha1(html) AS hex, min(page_id) OVER (PARTITION BY html) AS first FROM p
+), bits AS (
+  SELECT *, array_to_string([lpad(bin(instr('0123456789abcdef', hex[i]) - 1), 4, '0') FOR i IN range(1, 41)], '') AS b FROM d
+)
+SELECT page_id, payload_bytes,
+  array_to_string([
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 + 16 * b[5 * i + 1]::INT + 8 * b[5 * i + 2]::INT + 4 * b[5 * i + 3]::INT + 2 * b[5 * i + 4]::INT + b[5 * i + 5]::INT]
+    FOR i IN range(0, 32)
+  ], '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM bits
+""")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page through legacy archives, their conversion, and back."""
+    found = archives.pages_through_archives(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
