@@ -151,7 +151,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, action: str = "document
         return marked.where(~contaminated(names)).select(*[F.col(f"`{c}`") for c in docs.columns])
     if action != "spans":
         raise ValueError(f"unknown action {action}")
-    at, width = docs.columns.index(text), len(docs.columns)
+    columns = docs.columns
+    at, width = columns.index(text), len(columns)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, at):
@@ -170,8 +171,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, action: str = "document
                     kept.append(data[last : words.starts[first[row] + a] - base])
                     last = words.ends[first[row] + b] - base
                 out.append(b"".join([*kept, data[last:]]).decode())
-            columns = list(batch.columns[:width])
-            columns[at] = pa.array(out, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, names=docs.columns)
+            values = list(batch.columns[:width])
+            values[at] = pa.array(out, pa.string())
+            yield pa.RecordBatch.from_arrays(values, names=columns)
 
     return marked.mapInArrow(cut, docs.schema)
