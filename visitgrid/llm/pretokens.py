@@ -16,6 +16,8 @@ import functools
 import numpy as np
 import regex
 
+from .words import factors
+
 LETTER, NUMBER, OTHER, SPACE, END = 1, 2, 0, 3, 4
 
 
@@ -31,10 +33,8 @@ def class_table() -> np.ndarray:
     return classes
 
 
-def pretokens(texts: list[str]) -> tuple[list[str], np.ndarray]:
-    """All pre-tokens of the texts in order, and how many each text has."""
-    if not texts:
-        return [], np.zeros(0, np.int64)
+def _split(texts: list[str]) -> tuple[str, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The texts joined, their code points, start and end of each pre-token, counts by text."""
     joined = "\0".join(texts) + "\0"
     points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
     ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1) - 1
@@ -45,9 +45,8 @@ def pretokens(texts: list[str]) -> tuple[list[str], np.ndarray]:
     after = np.empty_like(kinds)
     after[-1], after[:-1] = END, kinds[1:]
     space = kinds == SPACE
-    blank = points == 32
     led = np.zeros(len(points), bool)  # preceded by the one blank that belongs to it
-    led[1:] = blank[:-1]
+    led[1:] = points[:-1] == 32
     starts = (kinds != before) & (space | ~led | (kinds == END))
     starts |= space & (after != SPACE) & (after != END)
     starts[1:][kinds[:-1] == END] = True
@@ -64,10 +63,56 @@ def pretokens(texts: list[str]) -> tuple[list[str], np.ndarray]:
         starts[marks[long] + 3] = True
     starts[ends] = True
     places = np.flatnonzero(starts)
-    is_end = kinds[places] == END
-    cuts = places.tolist()
-    words = [joined[a:b] for a, b in zip(cuts, cuts[1:] + [len(joined)])]
-    counts = np.diff(np.flatnonzero(is_end), prepend=-1) - 1
-    if is_end.any():
-        words = [w for w, end in zip(words, is_end.tolist()) if not end]
-    return words, counts
+    stops = np.append(places[1:], len(points))
+    real = kinds[places] != END
+    counts = np.diff(np.flatnonzero(~real), prepend=-1) - 1
+    return joined, points, places[real], stops[real], counts
+
+
+def pretokens(texts: list[str]) -> tuple[list[str], np.ndarray]:
+    """All pre-tokens of the texts in order, and how many each text has."""
+    if not texts:
+        return [], np.zeros(0, np.int64)
+    joined, _, starts, stops, counts = _split(texts)
+    return [joined[a:b] for a, b in zip(starts.tolist(), stops.tolist())], counts
+
+
+def distinct_pretokens(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Distinct pre-tokens, for each pre-token in order which of them it is, and how many
+    pre-tokens each text has.
+
+    Only the distinct ones become strings: equal ones are found by a 64-bit hash, and a
+    second hash confirms it (should it ever not, the strings are compared).
+    """
+    if not texts:
+        return [], np.zeros(0, np.int64), np.zeros(0, np.int64)
+    joined, points, starts, stops, counts = _split(texts)
+    if not len(starts):
+        return [], np.zeros(0, np.int64), counts
+    sizes = stops - starts
+    ends = np.cumsum(sizes)
+    place = np.arange(int(ends[-1])) - np.repeat(ends - sizes, sizes)
+    terms = points[np.repeat(starts, sizes) + place].astype(np.uint64) + np.uint64(1)
+    longest = int(sizes.max())
+    one, two = (np.add.reduceat(terms * factors(longest, seed)[place], ends - sizes) for seed in (7, 8))
+    _, first, which = np.unique(one, return_index=True, return_inverse=True)
+    if not np.array_equal(two[first][which], two):
+        words = [joined[a:b] for a, b in zip(starts.tolist(), stops.tolist())]
+        known = {w: n for n, w in enumerate(dict.fromkeys(words))}
+        return list(known), np.fromiter(map(known.__getitem__, words), np.int64, len(words)), counts
+    return [joined[a:b] for a, b in zip(starts[first].tolist(), stops[first].tolist())], which, counts
+
+
+def gather(values: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows ``which`` of a ragged table (``values`` cut by ``sizes``), end to end, and
+    where each ends."""
+    begins = np.cumsum(sizes) - sizes
+    taken = sizes[which]
+    ends = np.cumsum(taken)
+    total = int(ends[-1]) if len(ends) else 0
+    return values[np.repeat(begins[which] - (ends - taken), taken) + np.arange(total)], ends
+
+
+def by_text(ends: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Where each text's part ends, given where each of its pre-tokens' parts ends."""
+    return np.append(0, ends)[np.cumsum(counts)]

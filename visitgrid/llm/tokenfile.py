@@ -19,6 +19,7 @@ import functools
 import os
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,14 +29,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import materialize, open_store, scratch_path, steps, texts_of
-from .pretokens import pretokens
+from .pretokens import by_text, distinct_pretokens, gather
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
 #: Ids after which a block is closed; memory of a task follows this and the longest document.
 BLOCK_IDS = 1 << 19
 #: Pre-tokens a worker keeps with their ids; a full table is emptied and filled anew.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 800_000
 
 #: For each control byte the lengths of its four ids.
 LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.uint8) + 1
@@ -93,20 +94,21 @@ def _tokenizer(path: str):
     return found, {}
 
 
-def _ids(path: str, texts: list[str]) -> Iterator[bytes]:
-    """Packed ids of each text.  The library splits a text into pre-tokens and encodes
-    each by itself; it is asked once for each distinct one that is not kept."""
+def _ids(path: str, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts, and where those of each text end.  The library splits a text into
+    pre-tokens and encodes each by itself; it is asked once for each distinct one that is
+    not kept."""
     tokenizer, kept = _tokenizer(path)
-    words, counts = pretokens(texts)
+    words, which, counts = distinct_pretokens(texts)
     if len(kept) > KEPT_WORDS:
         kept.clear()
-    new = list({w for w in words if w not in kept})
-    for w, got in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-        kept[w] = np.array(got.ids, "<u4").tobytes()
-    at = 0
-    for n in counts.tolist():
-        yield b"".join(map(kept.__getitem__, words[at : at + n]))
-        at += n
+    packed = list(map(kept.get, words))
+    new = [n for n, ids in enumerate(packed) if ids is None]
+    for n, got in zip(new, tokenizer.encode_batch_fast([words[n] for n in new], add_special_tokens=False)):
+        packed[n] = kept[words[n]] = array("I", got.ids).tobytes()
+    sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+    ids, ends = gather(np.frombuffer(b"".join(packed), np.uint32), sizes, which)
+    return ids, by_text(ends, counts)
 
 
 _FILE = "part int, path string, n_docs bigint, n_ids bigint"
@@ -155,10 +157,11 @@ def encode_files(docs: DataFrame, folder: str, tokenizer: str | None = None, key
                 store, at = open_store(file)
                 sink = store.open_output_stream(at)
             end = np.array([END_ID], "<u4").tobytes()
-            for k, packed in zip(batch.column(0).to_pylist(), _ids(path, texts_of(batch, 1))):
+            found, ends = _ids(path, texts_of(batch, 1))
+            for k, a, b in zip(batch.column(0).to_pylist(), [0, *ends[:-1].tolist()], ends.tolist()):
                 keys.append(k)
-                ids.append(packed + end)
-                held += len(packed) // 4 + 1
+                ids.append(found[a:b].tobytes() + end)
+                held += b - a + 1
                 total += 1
                 if held >= BLOCK_IDS:
                     close_block()
