@@ -190,7 +190,7 @@ def order_report(spark, sf_dir):
         F.col("o_orderkey").alias("QAID"), F.when(F.col("o_custkey") % 7 != 0, F.col("o_custkey").cast("string")).alias("QAMPR"),
         F.when(F.col("o_orderstatus") == "P", "broken").alias("error"))
     sink = F.when(F.col("l_linenumber") % 2 == 0, "text").otherwise("parquet")
-    failures = lines.where("l_returnflag = 'R' and l_linestatus = 'F' and l_linenumber < 4").select(
+    failures = lines.where("l_returnflag = 'R' and l_linestatus = 'F'").select(
         F.col("l_orderkey").cast("string").alias("source_file"), sink.alias("sink"),
         F.concat(sink, F.lit(" export failed for t"), F.col("l_linenumber").cast("string")).alias("message"))
     return stats.report_with_failures(report, failures)
@@ -198,7 +198,7 @@ def order_report(spark, sf_dir):
 
 _REPORT_SQL = """fail AS (SELECT DISTINCT l_orderkey, CASE WHEN l_linenumber % 2 = 0 THEN 'text' ELSE 'parquet' END AS sink,
     CASE WHEN l_linenumber % 2 = 0 THEN 'text' ELSE 'parquet' END || ' export failed for t' || CAST(l_linenumber AS VARCHAR) AS message
-  FROM lineitem WHERE l_returnflag = 'R' AND l_linestatus = 'F' AND l_linenumber < 4),
+  FROM lineitem WHERE l_returnflag = 'R' AND l_linestatus = 'F'),
 msg AS (SELECT l_orderkey, bool_or(sink = 'text') AS t, bool_or(sink = 'parquet') AS p, string_agg(message, '; ' ORDER BY sink = 'parquet', message) AS m FROM fail GROUP BY 1),
 rep AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS source_file, CASE WHEN o_orderstatus = 'P' THEN 'failed' ELSE 'success' END AS status, o_orderkey AS "QAID",

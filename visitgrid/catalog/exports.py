@@ -153,8 +153,7 @@ def reference_scan(spark, sf_dir):
     customer = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("ID"), F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("Qampr"))
     writers.write_text(supplier, f"{root}/System.txt")
     writers.write_text(customer, f"{root}/Linktable.txt")
-    found = {name: typing.with_inferred_types(readers.read_text_table(spark, f"{root}/{name}.txt")) for name in ("System", "Linktable")}
-    parts = [df.withColumn("table_name", F.lit(name)) for name, df in found.items()]
+    parts = [df.withColumn("table_name", F.lit(name)) for name, df in sorted(readers.read_reference_tables(spark, root).items(), reverse=True)]
     return parts[0].unionByName(parts[1], allowMissingColumns=True)
 
 

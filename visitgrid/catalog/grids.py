@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from ..operators import tables
 from ..operators.scalars import missing_required, scalar_records
 from ..operators.visits import structure_check
-from ..plans.mapping import read_mapping
+from ..plans.mapping import LAST_ROW, read_mapping
 from ..session import materialize
 from . import query
-from .inputs import EVENTS_SQL, LINES_SQL, books_of, event_cells, line_cells, mapping, table
+from .inputs import EVENTS_SQL, LINES_SQL, books_of, event_cells, line_cells, long_form, mapping, table
 
 
 def _scalars(cells, fields, sheet, names=None):
@@ -49,7 +49,7 @@ def grid_scalar_lookup(spark, sf_dir):
 @query("grid_label_search", f"""
 WITH {EVENTS_SQL}, hit AS (
   SELECT workbook_id, n.name, min(r) AS r FROM ev JOIN (VALUES ('purch'), ('rror')) n(name) ON contains(a, n.name)
-  WHERE r <= 100 GROUP BY ALL),
+  GROUP BY ALL),
 books AS (SELECT DISTINCT workbook_id, n.name FROM ev, (VALUES ('purch'), ('rror')) n(name))
 SELECT workbook_id, name, CAST(b AS VARCHAR) AS value
 FROM books LEFT JOIN hit USING (workbook_id, name) LEFT JOIN ev USING (workbook_id, r)
@@ -74,7 +74,7 @@ def grid_label_offset(spark, sf_dir):
 
 @query("grid_defined_names", f"""
 WITH {EVENTS_SQL}, hit AS (
-  SELECT workbook_id, min(r) FILTER (r <= 100) AS first_r, max(r) AS last_r FROM ev WHERE a = 'view' GROUP BY 1),
+  SELECT workbook_id, min(r) AS first_r, max(r) AS last_r FROM ev WHERE a = 'view' GROUP BY 1),
 books AS (SELECT DISTINCT workbook_id FROM ev)
 SELECT workbook_id, 'view' AS name, CAST(b AS VARCHAR) AS value
 FROM books LEFT JOIN hit USING (workbook_id) LEFT JOIN ev ON ev.workbook_id = books.workbook_id
@@ -141,7 +141,7 @@ def grid_rows_n(spark, sf_dir):
 
 @query("grid_rows_until_blank", f"""
 WITH {EVENTS_SQL}, stop AS (
-  SELECT workbook_id, coalesce(min(CASE WHEN b IS NULL THEN r END), 10001) AS r FROM ev WHERE r >= 3 GROUP BY 1)
+  SELECT workbook_id, coalesce(min(CASE WHEN b IS NULL THEN r END), 1 << 30) AS r FROM ev WHERE r >= 3 GROUP BY 1)
 SELECT ev.workbook_id, ev.r AS "row", a AS kind, b AS val, c AS who
 FROM ev JOIN stop USING (workbook_id) WHERE ev.r >= 3 AND ev.r < stop.r
 """)
@@ -171,7 +171,7 @@ def grid_rows_prefix(spark, sf_dir):
 
 @query("grid_rows_until_label", f"""
 WITH {EVENTS_SQL}, stop AS (
-  SELECT workbook_id, coalesce(min(CASE WHEN a = 'signup' THEN r END), 10001) AS r FROM ev WHERE r >= 2 GROUP BY 1)
+  SELECT workbook_id, coalesce(min(CASE WHEN a = 'signup' THEN r END), 1 << 30) AS r FROM ev WHERE r >= 2 GROUP BY 1)
 SELECT ev.workbook_id, ev.r AS "row", b AS val, d AS "day"
 FROM ev JOIN stop USING (workbook_id) WHERE ev.r >= 2 AND ev.r < stop.r
 """)
@@ -189,12 +189,12 @@ WITH {LINES_SQL}, head AS (
   SELECT workbook_id, max(CASE WHEN r = 2 THEN e END) AS status2, max(CASE WHEN r = 1 THEN b END) AS top_price FROM li GROUP BY 1)
 SELECT workbook_id, r AS "row", a AS qty, CAST(trunc(b) AS BIGINT) AS whole_price, d AS flag, f AS shipped,
        status2, top_price, 'std' AS recon_type
-FROM li JOIN head USING (workbook_id) WHERE r BETWEEN 1 AND 6
+FROM li JOIN head USING (workbook_id)
 """)
 def grid_table_pivot(spark, sf_dir):
     """Typed columns, one column from a fixed row, section metadata, an injected column."""
     section = {
-        "data_start_row": 1, "data_end_row": 6,
+        "data_start_row": 1, "data_end_row": LAST_ROW,
         "metadata": {"top_price": {"row": 1, "col": "B", "dtype": "float"}, "qty": {"row": 9, "col": "Z"}},
         "columns": {
             "qty": {"col": "A", "dtype": "float"},
@@ -210,12 +210,12 @@ def grid_table_pivot(spark, sf_dir):
 
 @query("grid_skip_rows", f"""
 WITH {EVENTS_SQL}
-SELECT workbook_id, r AS "row", a AS kind, c AS who FROM ev WHERE r <= 150 AND a NOT IN ('click', 'view')
+SELECT workbook_id, r AS "row", a AS kind, c AS who FROM ev WHERE a NOT IN ('click', 'view')
 """)
 def grid_skip_rows(spark, sf_dir):
     """Rows whose skip column holds one of the skip values are left out."""
     section = {
-        "data_start_row": 1, "end_row": 150, "skip_col": "A", "skip_if_value": ["Click", " VIEW"],
+        "data_start_row": 1, "end_row": LAST_ROW, "skip_col": "A", "skip_if_value": ["Click", " VIEW"],
         "columns": {"kind": {"col": "A", "dtype": "string"}, "who": {"col": "C", "dtype": "int"}},
     }
     return _table(event_cells(spark, sf_dir), "EV", section)
@@ -333,3 +333,79 @@ def required_missing(spark, sf_dir):
     }
     rules = read_mapping({"sheets": {"EV": {"fields": fields}}})
     return missing_required(scalar_records(books_of(cells), cells, rules.scalars))
+
+
+LONG_ROWS = 20_000
+
+
+def long_cells(spark, sf_dir):
+    """One workbook per 20,000 places of order key and line number, which give the row.
+
+    A quantity, B ``end`` on one late row, AZ (column 52) a label beside the row number.
+    """
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_quantity").alias("q"))
+    place = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    rows = lines.select(
+        F.floor(place / LONG_ROWS).cast("string").alias("workbook_id"), F.lit("LONG").alias("sheet"),
+        (F.pmod(place, F.lit(LONG_ROWS)) + 1).cast("int").alias("row"), "q", "l_linenumber")
+    return long_form(rows, [
+        (1, "float", F.col("q").cast("string")),
+        (2, "text", F.when(F.col("row") == LONG_ROWS - 4, "end").otherwise("go on")),
+        (52, "text", F.when(F.col("l_linenumber") == 7, "far label")),
+        (53, "text", F.col("row").cast("string")),
+    ])
+
+
+LONG_SQL = """lg AS (
+  SELECT CAST(p // 20000 AS VARCHAR) AS workbook_id, CAST(p % 20000 + 1 AS INTEGER) AS r, q, n FROM (
+    SELECT l_orderkey * 8 + l_linenumber AS p, l_linenumber AS n, max(l_quantity) AS q FROM lineitem GROUP BY ALL))"""
+
+
+@query("grid_rows_long", f"""
+WITH {LONG_SQL}, stop AS (SELECT workbook_id, coalesce(min(CASE WHEN r = 19996 THEN r END), 1 << 30) AS r FROM lg GROUP BY 1)
+SELECT lg.workbook_id, lg.r AS "row", q AS qty FROM lg JOIN stop USING (workbook_id) WHERE lg.r < stop.r
+""")
+def grid_rows_long(spark, sf_dir):
+    """Rows up to a label that may stand beyond row 10,000; without it to the end of the sheet."""
+    section = {"end_condition": {"type": "label_row", "col": "B", "label": "end"}, "columns": {"qty": {"col": "A", "dtype": "float"}}}
+    return _table(long_cells(spark, sf_dir), "LONG", section)
+
+
+@query("grid_label_far", f"""
+WITH {LONG_SQL}, hit AS (SELECT workbook_id, min(r) FILTER (n = 7 AND r >= 200) AS r FROM lg GROUP BY 1)
+SELECT workbook_id, 'far' AS name, CAST(r AS VARCHAR) AS value FROM hit
+""")
+def grid_label_far(spark, sf_dir):
+    """A label beyond row 100 and column 50, with no window given but a first row."""
+    fields = {"far": {"locator": {"find": {"text": "far label", "start_row": 200}}, "dtype": "int"}}
+    return _scalars(long_cells(spark, sf_dir), fields, "LONG")
+
+
+@query("grid_section_metadata", f"""
+WITH {EVENTS_SQL}, books AS (SELECT DISTINCT workbook_id FROM ev), stop AS (
+  SELECT workbook_id, coalesce(min(CASE WHEN r BETWEEN 2 AND 4 AND a IS NULL THEN r END), 5) AS r FROM ev GROUP BY 1),
+m AS (
+  SELECT books.workbook_id, max(CASE WHEN ev.r = 1 THEN a END) AS top, coalesce(max(CASE WHEN ev.r = 3 THEN b END), -1.5) AS third
+  FROM books JOIN ev USING (workbook_id) GROUP BY 1)
+SELECT 'plain' AS part, ev.workbook_id, ev.r AS "row", c AS who, top, third, CAST(7 AS BIGINT) AS absent
+FROM ev JOIN m USING (workbook_id) WHERE ev.r BETWEEN 5 AND 9
+UNION ALL
+SELECT 'range', ev.workbook_id, ev.r, c, top, third, 7
+FROM ev JOIN m USING (workbook_id) WHERE ev.r BETWEEN 11 AND 14
+""")
+def grid_section_metadata(spark, sf_dir):
+    """Metadata of a section in the rows of its tables: from a cell, with a default where
+    the cell is blank, and one that no cell gives; for a plain and for a range table."""
+    metadata = {
+        "top": {"row": 1, "col": "A"}, "third": {"row": 3, "col": "B", "dtype": "float", "default": -1.5},
+        "absent": {"row": 5000, "col": "Z", "dtype": "int", "default": 7},
+    }
+    columns = {"who": {"col": "C", "dtype": "int"}}
+    document = {"workbook": {}, "sheets": {"EV": {"sections": {
+        "plain": {"db_table": "plain", "data_start_row": 5, "end_row": 9, "metadata": metadata, "columns": columns},
+        "range": {"db_table": "range", "locator": {"range": "C10:C14"}, "metadata": metadata, "columns": columns}}}}}
+    rules = read_mapping(document)
+    cells = event_cells(spark, sf_dir)
+    found = tables.all_tables(cells, tables.table_records(cells, rules.tables, rules.scalars), rules.tables, rules.scalars, rules.sheets)
+    parts = [found[name].select(F.lit(name).alias("part"), "workbook_id", "row", "who", "top", "third", "absent") for name in ("plain", "range")]
+    return parts[0].unionByName(parts[1])

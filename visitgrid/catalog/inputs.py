@@ -21,7 +21,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _long(df: DataFrame, values: list[tuple[int, str, Column]]) -> DataFrame:
+def long_form(df: DataFrame, values: list[tuple[int, str, Column]]) -> DataFrame:
     items = F.array(*[
         F.struct(F.lit(col).alias("col"), F.lit(ctype).alias("ctype"), raw.alias("raw")) for col, ctype, raw in values
     ])
@@ -47,7 +47,7 @@ def line_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_orderkey").cast("string").alias("workbook_id"), F.lit("LI").alias("sheet"),
         F.col("l_linenumber").cast("int").alias("row"), "a", "b", "c", "d", "e", "f",
     )
-    return _long(rows, [
+    return long_form(rows, [
         (1, "float", F.col("a").cast("string")),
         (2, "float", F.col("b").cast("string")),
         (3, "float", F.col("c").cast("string")),
@@ -72,7 +72,7 @@ def event_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.pmod("event_id", F.lit(EVENTS_PER_BOOK)) + 1).cast("int").alias("row"),
         "event_type", "value", "user_id", F.col("ts").cast("date").alias("day"),
     ).distinct()
-    return _long(rows, [
+    return long_form(rows, [
         (1, "text", F.col("event_type")),
         (2, "float", F.when(F.col("event_type") != "error", F.col("value").cast("string"))),
         (3, "int", F.col("user_id").cast("string")),

@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 from ..functions import checks
 from ..functions.identity import visit_year
 from ..operators import numbering, stats, tables, visits
-from ..plans.mapping import read_mapping
+from ..plans.mapping import LAST_ROW, read_mapping
+from ..session import scratch_path
+from ..sinks import writers
+from ..sources.tables import resolve_from_folder as resolve_folder
 from . import query
 from .inputs import LINES_SQL, line_cells, mapping, table
 
@@ -81,6 +84,22 @@ def resolve_references(spark, sf_dir):
     return visits.resolve_references(_customer_visits(spark, sf_dir), link, systems, "load_order")
 
 
+@query("resolve_from_folder", f"""
+WITH {_RESOLVED_SQL}
+SELECT c_custkey, qampr, link.hospital_id, link.system_id, CAST(s_nationkey AS BIGINT) AS system_info_id,
+       CASE WHEN TRY_CAST(qampr AS DOUBLE) IS NULL THEN 'ReferenceResolutionSkipped' WHEN link.k IS NULL THEN 'ReferenceResolutionNoMatch'
+            ELSE 'ReferencesResolved' END AS resolution
+FROM seen LEFT JOIN link ON link.k = TRY_CAST(qampr AS DOUBLE) LEFT JOIN supplier ON s_suppkey = link.system_id
+""")
+def resolve_from_folder(spark, sf_dir):
+    """The same from text files: of many link rows of a device the first in file order wins."""
+    root = scratch_path(spark, "static")
+    link, systems = reference_tables(spark, sf_dir)
+    writers.write_text(link.orderBy("load_order").drop("load_order"), f"{root}/Linktable.txt")
+    writers.write_text(systems.drop("load_order"), f"{root}/System.txt")
+    return resolve_folder(_customer_visits(spark, sf_dir), root)
+
+
 @query("incremental_reference_load", """
 SELECT c_custkey AS "ID", c_name, c_acctbal FROM customer WHERE c_custkey % 3 = 0
 UNION ALL
@@ -218,11 +237,7 @@ FROM visits
 def visit_stats_total(spark, sf_dir):
     """Visits, sites and systems of the whole store."""
     seen = order_visits(spark, sf_dir)
-    return seen.agg(
-        F.count_distinct("qaid").alias("total_visits"),
-        F.count_distinct("hospital_id").alias("hospital_id_count"),
-        F.count_distinct("system_id").alias("system_id_count"),
-    )
+    return stats.total_visits(seen, "qaid", "hospital_id", "system_id")
 
 
 @query("visit_stats_by_hospital", f"""
@@ -245,11 +260,11 @@ def visit_stats_by_system(spark, sf_dir):
 WITH {VISITS_SQL}, {LINES_SQL}
 SELECT hospital_id, count(*) AS n_rows, count(DISTINCT qaid) AS visits, CAST(sum(CAST(trunc(a) AS BIGINT)) AS BIGINT) AS quantity,
        count(*) FILTER (b BETWEEN 0 AND 50000) AS price_in_limits, count(d) AS flagged
-FROM li JOIN visits USING (workbook_id) WHERE r <= 5 GROUP BY 1
+FROM li JOIN visits USING (workbook_id) GROUP BY 1
 """)
 def measurements_by_hospital(spark, sf_dir):
     """Cells to a typed table, traced to its visit, checked and counted per site."""
-    rules = read_mapping(mapping("LI", {"data_start_row": 1, "end_row": 5, "db_table": "lines/all", "columns": {
+    rules = read_mapping(mapping("LI", {"data_start_row": 1, "end_row": LAST_ROW, "db_table": "lines/all", "columns": {
         "quantity": {"col": "A", "dtype": "int"}, "price": {"col": "B", "dtype": "float"}, "flag": {"col": "D"}}}))
     records = tables.table_records(line_cells(spark, sf_dir), rules.tables)
     rows = tables.typed_table(records, rules.tables[0])

@@ -9,25 +9,28 @@ from pyspark.sql import functions as F
 
 from ..operators import audit, stats
 from ..operators.tables import table_records, typed_table
-from ..plans import batch
-from ..plans.mapping import read_mapping
+from ..plans import batch, export
+from ..plans.mapping import LAST_ROW, read_mapping
+from ..session import scratch_path
+from ..sources import tables as readers
 from ..sources import workbooks as wb
 from . import query
-from .inputs import LINES_SQL, line_rows
+from .inputs import LINES_SQL, line_rows, table
+from .visiting import reference_tables
 from .xlsx import make_workbook
 
 ORDERS_PER_BOOK = 100
-LINES_PER_ORDER = 7
 
 
 def line_files(spark, sf_dir):
-    """One .xlsm file per 100 orders: at most 700 rows, each with its own row number.
+    """One .xlsm file per 100 orders; an order has as many rows as the largest line number.
 
     Every 13th file is cut short, so that it cannot be read.
     """
-    rows = line_rows(spark, sf_dir).where(F.col("l_linenumber") <= LINES_PER_ORDER)
+    rows = line_rows(spark, sf_dir)
+    stride = table(spark, sf_dir, "lineitem").agg(F.coalesce(F.max("l_linenumber"), F.lit(1))).first()[0]
     book = F.floor(F.col("l_orderkey") / ORDERS_PER_BOOK)
-    row = F.pmod("l_orderkey", F.lit(ORDERS_PER_BOOK)) * LINES_PER_ORDER + F.col("l_linenumber")
+    row = F.pmod("l_orderkey", F.lit(ORDERS_PER_BOOK)) * stride + F.col("l_linenumber")
     tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     packed = (
         rows.withColumns({"book": book, "row": row.cast("int")})
@@ -58,7 +61,7 @@ def line_files(spark, sf_dir):
 
 _BOOK_SQL = f"""{LINES_SQL},
 cell AS (
-  SELECT CAST(workbook_id AS BIGINT) // 100 AS n, CAST(CAST(workbook_id AS BIGINT) % 100 * 7 + r AS INTEGER) AS r, a, b, c, d, e, f FROM li),
+  SELECT CAST(workbook_id AS BIGINT) // 100 AS n, CAST(CAST(workbook_id AS BIGINT) % 100 * (SELECT max(l_linenumber) FROM lineitem) + r AS INTEGER) AS r, a, b, c, d, e, f FROM li),
 book AS (
   SELECT DISTINCT n, '/in/QC' || lpad(CAST(n % 9 + 1 AS VARCHAR), 3, '0') || '_0624_' || lpad(CAST(n AS VARCHAR), 5, '0') || 'CT-CT' || CAST(n % 5 AS VARCHAR) || '.xlsm' AS path FROM cell)"""
 
@@ -97,7 +100,7 @@ def batch_rules():
         "info": {"sheet_name": "Info", "sections": {
             "qa_visit": {"db_table": "meta/visit", "reference_QC": {"row": 2, "col": "B"}, "centrum_nummer": {"row": 1, "col": "B", "dtype": "int"}}}},
         "lines": {"sheet_name": "LI", "inject_columns": {"source": "scan"}, "sections": {
-            "all": {"db_table": "lines/all", "data_start_row": 1, "end_row": 700, "columns": {
+            "all": {"db_table": "lines/all", "data_start_row": 1, "end_row": LAST_ROW, "columns": {
                 "qty": {"col": "A", "dtype": "float"}, "flag": {"col": "D"}, "shipped": {"col": "F", "dtype": "date"},
                 "large": {"col": "G", "dtype": "bool"}},
                 "named_results": {"first_price": {"row": 1, "col": "B", "dtype": "float"}}},
@@ -199,3 +202,31 @@ def batch_audit_log(spark, sf_dir):
     found = _extraction(spark, sf_dir)
     log = batch.run_audit(found, batch.batch_visits(found), batch_rules())
     return log.groupBy("level", "event_type").agg(F.count("*").alias("events"))
+
+
+def mixed_rules():
+    """One table that a section fills with rows and, where it has none, with a scalar."""
+    return read_mapping({"workbook": {"version": "3"}, "sheets": {
+        "info": {"sheet_name": "Info", "sections": {"qa_visit": {"db_table": "meta/visit", "reference_QC": {"row": 2, "col": "B"}}}},
+        "lines": {"sheet_name": "LI", "sections": {"late": {
+            "db_table": "lines/late", "data_start_row": 690, "end_row": LAST_ROW, "columns": {"qty": {"col": "A", "dtype": "float"}},
+            "pass_fail": {"row": 8, "col": "G", "dtype": "bool"}}}},
+    }})
+
+
+@query("text_export_mixed", f"""
+WITH {_BOOK_SQL}, good AS (SELECT regexp_extract(path, '([^/]+)$', 1) AS source_file, cell.* FROM cell JOIN book USING (n) WHERE n % 13 <> 12),
+late AS (SELECT source_file, r, a FROM good WHERE r >= 690)
+SELECT source_file, a::DOUBLE AS qty, CAST(NULL AS VARCHAR) AS pass_fail FROM late
+UNION ALL
+SELECT source_file, NULL, CAST(bool_or(a > 25) FILTER (r = 8) AS VARCHAR) FROM good WHERE source_file NOT IN (SELECT source_file FROM late) GROUP BY 1
+""")
+def text_export_mixed(spark, sf_dir):
+    """Text export, read back, of a table that holds rows of some workbooks and a single
+    value of the others."""
+    root, rules = scratch_path(spark, "mixed"), mixed_rules()
+    found = batch.extract(spark, line_files(spark, sf_dir), rules)
+    link, systems = reference_tables(spark, sf_dir)
+    export.export_text(found, batch.full_visits(found, rules, link, systems, "load_order"), root)
+    back = readers.read_text_table(spark, f"{root}/Extracted_Tables/lines__late.txt")
+    return back.select(F.col("Source_File").alias("source_file"), F.col("qty").cast("double").alias("qty"), "pass_fail")

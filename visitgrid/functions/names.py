@@ -122,7 +122,3 @@ def suffix_repeats(names: Column) -> Column:
         return F.array_append(done, F.when(F.array_contains(done, name), free[0]).otherwise(name))
 
     return F.aggregate(names, F.array().cast("array<string>"), place)
-
-
-def strip_quotes(c: Column) -> Column:
-    return F.regexp_replace(strip(c), "^'+|'+$", "")

@@ -13,6 +13,8 @@ from .frames import rule_frame
 
 _SAMPLES_PER_SLICE = 20
 _COPIES_PER_CHUNK = 100_000
+ROWS_PER_SLICE = 1_000_000
+_TIE = "_nested_text"
 _NESTED = (T.ArrayType, T.MapType, T.StructType, T.BinaryType, T.VariantType)
 
 
@@ -59,7 +61,7 @@ def number_rows(
     order_by: Sequence[str],
     partition_by: Sequence[str] = (),
     out: str = "row_no",
-    slices: int = 64,
+    slices: int | None = None,
 ) -> DataFrame:
     """Add ``out`` = 1, 2, 3 ... in ascending order of ``order_by`` within each key.
 
@@ -69,28 +71,31 @@ def number_rows(
     gets the number of its rows in earlier ranges added.  Only keys found among the
     edges can cross one, so that offset table has a bounded number of rows.
 
-    Where many rows tie, the other columns extend the order.  Rows that are equal in
-    all columns are counted, not sorted, and written out again in chunks.  The
-    result does not depend on the sample.
+    The other columns always extend the order, nested ones by their JSON text, so the
+    order is total up to rows that are equal in all columns.  Copies that would fill a
+    range on their own are counted, not sorted, and written out again in chunks (where
+    no column is nested).  The result does not depend on the sample.  Without ``slices``
+    there is one range per million rows, 64 at least.
     """
     spark = df.sparkSession
+    wanted_columns = [*df.columns, out]
+    if slices is None:
+        slices = max(64, -(-df.count() // ROWS_PER_SLICE))
+    nested = [f.name for f in df.schema if isinstance(f.dataType, _NESTED)]
+    if nested:
+        df = df.withColumn(_TIE, F.to_json(F.struct(*nested)))
     types = {f.name: f.dataType for f in df.schema}
     keys = [*partition_by, *order_by]
-    rest = [c for c in df.columns if c not in keys]
+    keys += [c for c in df.columns if c not in keys and c not in nested]
     sample = _sample(df, keys, slices)
-    frequent = _frequent(sample)
-    if frequent and rest and not any(isinstance(types[c], _NESTED) for c in rest):
-        keys, rest = [*keys, *rest], []
-        sample = _sample(df, keys, slices)
-        frequent = _frequent(sample)
-    copies = set() if rest else set(frequent)
+    copies = set() if nested else set(_frequent(sample))
 
     step = max(1, len(sample) // slices)
     wanted = {*sample[step::step], *copies}
     bounds = [key for key in dict.fromkeys(sample) if key in wanted]  # in sample order
     if not bounds:
         window = Window.partitionBy(*partition_by).orderBy(*keys)
-        return df.withColumn(out, F.row_number().over(window).cast("bigint"))
+        return df.withColumn(out, F.row_number().over(window).cast("bigint")).select(*wanted_columns)
 
     edges, copy_slice = [], {}
     for key in bounds:
@@ -132,7 +137,7 @@ def number_rows(
     if made:
         columns = ", ".join(f"`{k}` {types[k].simpleString()}" for k in keys)
         numbered = numbered.unionByName(_copies(spark, made, columns, out))
-    return numbered
+    return numbered.select(*wanted_columns)
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -146,8 +151,12 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
 
 
 def visit_ids(paths: DataFrame, path: str = "source_path", out: str = "qaid", base: int = 0) -> DataFrame:
-    """Visit id = position in path order, after ``base``."""
-    return number_rows(paths, [path], out=out).withColumn(out, F.col(out) + F.lit(base))
+    """Visit id = position in path order, after ``base``.
+
+    Paths are ordered by their parts: the separator sorts before any other character.
+    """
+    parts = paths.withColumn("_parts", F.translate(path, "/", "\x01"))
+    return number_rows(parts, ["_parts"], out=out).withColumn(out, F.col(out) + F.lit(base)).drop("_parts")
 
 
 def next_id_base(visits: DataFrame, column: str = "ID") -> int:

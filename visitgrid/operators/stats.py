@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def total_visits(visits: DataFrame, key: str = "qaid") -> DataFrame:
-    return visits.agg(F.count_distinct(key).alias("total_visits"))
+def total_visits(visits: DataFrame, key: str = "qaid", *columns: str) -> DataFrame:
+    """Distinct visits, and of sites, systems ..., in one row."""
+    return visits.agg(F.count_distinct(key).alias("total_visits"), *[F.count_distinct(c).alias(f"{c}_count") for c in columns])
 
 
 def rows_by(visits: DataFrame, column: str) -> DataFrame:
@@ -18,11 +19,6 @@ def rows_by(visits: DataFrame, column: str) -> DataFrame:
     return counts.orderBy(F.desc("visits"), column)
 
 
-def group_counts(visits: DataFrame, *columns: str) -> DataFrame:
-    """Distinct number of sites, systems ... in one row."""
-    return visits.agg(*[F.count_distinct(c).alias(f"{c}_count") for c in columns])
-
-
 def percent(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole * 100).otherwise(F.lit(0.0))
 

@@ -2,12 +2,14 @@
 
 Every column of a table gets a slot number.  Cells meet the (broadcast) slot table
 on (sheet, column), are shuffled once by workbook and become one record per row.  Stop rules, skip rules and fixed-row columns are window expressions over
-that same distribution, so no second shuffle is needed.  A sheet is read down to
-the row cap at most, which bounds every window group.
+that same distribution, so no second shuffle is needed.  A sheet is read to its end; its
+format bounds the rows of a window group.
 """
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -16,15 +18,19 @@ from pyspark.sql import functions as F
 from ..functions import convert
 from ..functions.normalize import normalize
 from ..functions.text import is_blank, norm, strip
-from ..plans.mapping import ROW_CAP
+from ..plans.mapping import LAST_ROW, LIST_TYPES
 from .frames import rule_frame
 
 _KEYS = ("workbook_id", "table_id", "row")
 SLOT_SCHEMA = "table_id int, sheet string, col int, first_row int, last_row int, slot int, role string"
 
 
-def _slots(rule: dict, metadata: Sequence[dict], cap: int) -> list[dict]:
-    first, last = rule["first_row"], cap if rule["last_row"] is None else rule["last_row"]
+def _last_row(rule: dict) -> int:
+    return LAST_ROW if rule["last_row"] is None else rule["last_row"]
+
+
+def _slots(rule: dict, metadata: Sequence[dict]) -> list[dict]:
+    first, last = rule["first_row"], _last_row(rule)
     base = {"table_id": rule["table_id"], "sheet": rule["sheet_name"], "first_row": first, "last_row": last}
     rows = []
     for slot, column in enumerate(rule["columns"]):
@@ -56,12 +62,10 @@ def section_metadata(rule: dict, scalars: Sequence[dict]) -> list[dict]:
     ]
 
 
-def table_records(
-    cells: DataFrame, tables: Sequence[dict], scalars: Sequence[dict] = (), cap: int = ROW_CAP
-) -> DataFrame:
+def table_records(cells: DataFrame, tables: Sequence[dict], scalars: Sequence[dict] = ()) -> DataFrame:
     """(workbook_id, table_id, row, s0 .. sN) for all given tables at once."""
     tables = [t for t in tables if t["stop"] != "range"]
-    slots = [s for t in tables for s in _slots(t, section_metadata(t, scalars), cap)]
+    slots = [s for t in tables for s in _slots(t, section_metadata(t, scalars))]
     width = 1 + max((s["slot"] for s in slots), default=0)
     roles = {s["role"] for s in slots}
     carried = bool(roles & {"fixed", "meta"})
@@ -132,7 +136,7 @@ def table_records(
     if carried:
         bounds: dict[tuple[int, int], list[int]] = {}
         for t in tables:
-            bounds.setdefault((t["first_row"], cap if t["last_row"] is None else t["last_row"]), []).append(t["table_id"])
+            bounds.setdefault((t["first_row"], _last_row(t)), []).append(t["table_id"])
         inside = F.lit(False)
         for (first, last), ids in bounds.items():
             inside = inside | (F.col("table_id").isin(ids) & F.col("row").between(first, last))
@@ -145,24 +149,75 @@ def table_records(
     return records.where(keep).select(*_KEYS, *[f"s{i}" for i in range(width)])
 
 
+def _typed(cell: Column | None, column: dict) -> Column:
+    """Value of a cell by the column's settings; a blank one takes the default."""
+    raw = F.lit(None).cast("string") if cell is None else cell["raw"]
+    ctype = F.lit(None).cast("string") if cell is None else cell["ctype"]
+    if column.get("default") is not None:
+        raw = F.when(~is_blank(raw), raw).otherwise(F.lit(str(column["default"])))
+        ctype = F.coalesce(ctype, F.lit("text"))
+    if column["normalize"]:
+        raw = F.when(~is_blank(raw), normalize(raw, column["normalize"]))
+    return convert.convert(raw, ctype, column["dtype"], column["locale_safe"], column["bool_map"])
+
+
+def _with_found_metadata(rows: DataFrame, metadata: Sequence[dict], values: DataFrame | None) -> DataFrame:
+    """Adds metadata that stands at no fixed cell (lists, label and name searches) from
+    the scalar records: one row per workbook is joined."""
+    if not metadata:
+        return rows
+    if values is None:  # no records at hand: lists are empty, others have their default
+        constants = {m["name"]: F.lit("[]") if m["dtype"] in LIST_TYPES else _typed(None, m) for m in metadata}
+        return rows.withColumns(constants)
+    own = values.where(F.col("seq").isin([m["seq"] for m in metadata])).groupBy("workbook_id").agg(
+        *[F.max(F.when(F.col("seq") == m["seq"], F.col("value"))).alias(f"_m{i}") for i, m in enumerate(metadata)])
+    joined = rows.join(own, "workbook_id", "left")
+    columns = {}
+    for i, m in enumerate(metadata):
+        found = F.col(f"_m{i}")
+        plain = {**m, "normalize": None, "default": None}
+        columns[m["name"]] = found if m["dtype"] in LIST_TYPES else _typed(F.struct(F.lit("text").alias("ctype"), found.alias("raw")), plain)
+    return joined.withColumns(columns).drop(*[f"_m{i}" for i in range(len(metadata))])
+
+
+def _at_a_cell(scalar: dict) -> bool:
+    return scalar["how"] == "point"
+
+
 def typed_table(
-    records: DataFrame, rule: dict, scalars: Sequence[dict] = (), inject: dict | None = None
+    records: DataFrame, rule: dict, scalars: Sequence[dict] = (), inject: dict | None = None, values: DataFrame | None = None
 ) -> DataFrame:
-    """Typed rows of one table: a narrow projection of its records."""
-    columns = [*rule["columns"], *section_metadata(rule, scalars)]
+    """Typed rows of one table: a narrow projection of its records.
+
+    ``values`` are the scalar records; they give the section's metadata that stands at no
+    fixed cell.
+    """
+    metadata = section_metadata(rule, scalars)
     out = []
-    for slot, column in enumerate(columns):
-        usable = column["col"] is not None and column.get("how", "point") == "point"
-        cell = F.col(f"s{slot}") if usable and f"s{slot}" in records.columns else None
-        raw = cell["raw"] if cell is not None else F.lit(None).cast("string")
-        ctype = cell["ctype"] if cell is not None else F.lit(None).cast("string")
-        if column["normalize"]:
-            raw = F.when(~is_blank(raw), normalize(raw, column["normalize"]))
-        value = convert.convert(raw, ctype, column["dtype"], column["locale_safe"], column["bool_map"])
-        out.append(value.alias(column["name"]))
-    names = {c["name"] for c in columns}
-    constants = [F.lit(v).alias(k) for k, v in (inject or {}).items() if k not in names]
-    return records.where(F.col("table_id") == rule["table_id"]).select("workbook_id", "row", *out, *constants)
+    for slot, column in enumerate([*rule["columns"], *metadata]):
+        if not _at_a_cell({"how": "point", **column}):
+            continue
+        cell = F.col(f"s{slot}") if column["col"] is not None and f"s{slot}" in records.columns else None
+        out.append(_typed(cell, column).alias(column["name"]))
+    rows = records.where(F.col("table_id") == rule["table_id"]).select("workbook_id", "row", *out)
+    rows = _with_found_metadata(rows, [m for m in metadata if not _at_a_cell(m)], values)
+    return rows.select("*", *[F.lit(v).alias(k) for k, v in (inject or {}).items() if k not in rows.columns])
+
+
+def range_metadata(rows: DataFrame, cells: DataFrame, rule: dict, scalars: Sequence[dict], values: DataFrame | None = None) -> DataFrame:
+    """Adds the section's metadata to the rows of a range table: a lookup of a few cells
+    per workbook, joined by workbook."""
+    metadata = [m for m in section_metadata(rule, scalars) if m["name"] not in rows.columns]
+    points = [m for m in metadata if _at_a_cell(m)]
+    if points:
+        at = {(m["row"], m["col"]) for m in points}
+        wanted = functools.reduce(operator.or_, [(F.col("row") == r) & (F.col("col") == c) for r, c in sorted(at)])
+        cell = F.struct("ctype", "raw")
+        found = cells.where((F.col("sheet") == rule["sheet_name"]) & wanted & ~is_blank(F.col("raw"))).groupBy("workbook_id").agg(
+            *[F.max(F.when((F.col("row") == m["row"]) & (F.col("col") == m["col"]), cell)).alias(f"_p{i}") for i, m in enumerate(points)])
+        rows = rows.join(found, "workbook_id", "left").withColumns(
+            {m["name"]: _typed(F.col(f"_p{i}"), m) for i, m in enumerate(points)}).drop(*[f"_p{i}" for i in range(len(points))])
+    return _with_found_metadata(rows, [m for m in metadata if not _at_a_cell(m)], values)
 
 
 def header_range(cells: DataFrame, rule: dict) -> DataFrame:
@@ -235,7 +290,8 @@ def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def all_tables(
-    cells: DataFrame, records: DataFrame, tables: Sequence[dict], scalars: Sequence[dict], sheets: Sequence[dict]
+    cells: DataFrame, records: DataFrame, tables: Sequence[dict], scalars: Sequence[dict], sheets: Sequence[dict],
+    values: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Table key -> rows, the sheets that feed one key being unioned by name."""
     inject = {s["sheet_id"]: s["inject"] for s in sheets if s["extract"]}
@@ -244,11 +300,11 @@ def all_tables(
         if rule["sheet_id"] not in inject:
             continue
         if rule["stop"] == "range":
-            rows = header_range(cells, rule)
+            rows = range_metadata(header_range(cells, rule), cells, rule, scalars, values)
             for key, value in inject[rule["sheet_id"]].items():
                 rows = rows if key in rows.columns else rows.withColumn(key, F.lit(value))
         else:
-            rows = typed_table(records, rule, scalars, inject[rule["sheet_id"]])
+            rows = typed_table(records, rule, scalars, inject[rule["sheet_id"]], values)
         rows = rows.withColumn("sheet_id", F.lit(rule["sheet_id"])) if "sheet_id" not in rows.columns else rows
         grouped.setdefault(rule["table_key"], []).append(rows)
     return {key: union_by_name(frames) for key, frames in grouped.items()}

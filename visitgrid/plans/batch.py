@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.identity import batch_device_number, derive_device_number, hospital_id, system_id
 from ..operators import audit, records, stats, tables, visits
+from ..operators.frames import rule_frame
 from ..operators.numbering import visit_ids
 from ..operators.scalars import missing_required, scalar_records
 from ..session import materialize
 from ..sinks import writers
 from ..sources import workbooks as wb
-from .mapping import ROW_CAP, MappingRules
+from .mapping import MappingRules
 
 
 @dataclass
@@ -80,7 +83,7 @@ def sheet_audit(books: DataFrame, rules: MappingRules, recs: DataFrame, rows: Da
     )
 
 
-def extract(spark: SparkSession, files: DataFrame, rules: MappingRules, cap: int = ROW_CAP) -> Extraction:
+def extract(spark: SparkSession, files: DataFrame, rules: MappingRules) -> Extraction:
     """Files to typed results.
 
     The scan is written once to the shared folder; all that follows reads it from
@@ -101,18 +104,30 @@ def extract(spark: SparkSession, files: DataFrame, rules: MappingRules, cap: int
         [], "workbook_id string, seq int, sheet_id string, sheet_name string, section_id string, db_table string, "
             "name string, kind string, dtype string, row int, col string, value string, required boolean")
     plain = [t for t in table_rules if t["stop"] != "range"]
-    slots = materialize(tables.table_records(grid, plain, scalar_rules, cap), "tables") if plain else None
-    found = tables.all_tables(grid, slots, table_rules, scalar_rules, rules.sheets)
-    lists = [
-        df.select("workbook_id", "row", "sheet_id", F.lit(key).alias("table_key")) for key, df in found.items()
-    ]
-    rows = tables.union_by_name(lists) if lists else spark.createDataFrame(
-        [], "workbook_id string, row int, sheet_id string, table_key string")
+    slots = materialize(tables.table_records(grid, plain, scalar_rules), "tables", "table_id") if plain else None
+    found = tables.all_tables(grid, slots, table_rules, scalar_rules, rules.sheets, recs)
+    rows = _table_rows(spark, grid, slots, table_rules)
     fields = records.field_names(recs)
     broken = wb.sheet_errors(scan)
     return Extraction(books, grid, recs, fields, rows, broken, found, sheet_audit(books, rules, recs, rows, broken))
 
 
+def _table_rows(spark: SparkSession, grid: DataFrame, slots: DataFrame | None, table_rules: list[dict]) -> DataFrame:
+    """Which table each row belongs to: one read of the records, whatever the number of
+    tables, beside the rules (broadcast, checked in size)."""
+    schema = "workbook_id string, row int, sheet_id string, table_key string"
+    parts = []
+    if slots is not None:
+        names = rule_frame(spark, [{k: t[k] for k in ("table_id", "sheet_id", "table_key")} for t in table_rules if t["stop"] != "range"],
+                           "table_id int, sheet_id string, table_key string")
+        parts.append(slots.select("workbook_id", "row", "table_id").join(names, "table_id").select("workbook_id", "row", "sheet_id", "table_key"))
+    for t in table_rules:
+        if t["stop"] == "range":
+            parts.append(tables.header_range(grid, t).select(
+                "workbook_id", "row", F.lit(t["sheet_id"]).alias("sheet_id"), F.lit(t["table_key"]).alias("table_key")))
+    return functools.reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schema)
+
+
 def batch_visits(result: Extraction) -> DataFrame:
     """One visit per file, ids in path order; a failed file keeps its row with zero counts."""
     ids = visit_ids(result.workbooks, "source_path", "QAID")
@@ -137,16 +152,22 @@ def batch_visits(result: Extraction) -> DataFrame:
     )
 
 
+def run_stamp() -> str:
+    """Time of a run as text, taken once by the driver."""
+    return datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%S")
+
+
 def full_visits(result: Extraction, rules: MappingRules, linktable: DataFrame, systems: DataFrame, order: str,
-                base: int = 0, default_type: str | None = None) -> DataFrame:
-    """Visits with all attributes and resolved references."""
+                base: int = 0, default_type: str | None = None, stamp: str | None = None) -> DataFrame:
+    """Visits with all attributes and resolved references, written once: all sinks see
+    the same ids and the one stamp of the run."""
     good = result.workbooks.where("error is null")
     rows = visit_ids(good, "source_path", "qaid", base).join(
         records.fields_map(result.fields), "workbook_id", "left"
     )
     fields = F.coalesce("fields", F.create_map().cast("map<string,string>"))
     own = visits.visit_attributes(fields, default_type)
-    stamp = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss")
+    stamp = F.lit(stamp or run_stamp())
     rows = rows.select(
         "workbook_id", "qaid",
         derive_device_number(
@@ -161,7 +182,7 @@ def full_visits(result: Extraction, rules: MappingRules, linktable: DataFrame, s
         stamp.alias("date_to_db"), stamp.alias("processing_timestamp"),
         F.lit("template").alias("extraction_method"),
     )
-    return visits.resolve_references(rows, linktable, systems, order)
+    return materialize(visits.resolve_references(rows, linktable, systems, order), "visits")
 
 
 def run_batch(spark: SparkSession, folder: str, rules: MappingRules, text_root: str, parquet_root: str,
@@ -198,4 +219,4 @@ def run_audit(result: Extraction, seen: DataFrame, rules: MappingRules) -> DataF
     done = stats.batch_completion(status, F.col("error").isNull())
     log = audit.file_events(status)
     log = log.unionByName(audit.extraction_events(status.where("error is null")))
-    return log.unionByName(audit.batch_event(done))
+    return materialize(log.unionByName(audit.batch_event(done)), "audit")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import audit, records, routing, stats
+from ..operators.tables import union_by_name
 from ..operators.visits import add_trace
 from ..sinks import writers
 from ..sources.tables import TableStore
@@ -96,7 +97,8 @@ def export_text(result: Extraction, visits: DataFrame, root: str, sep: str = ","
         found = routing.first_available(tables, candidates)
         if found is not None:
             tables[name] = found
-    tables.update(single_value_tables(result))
+    for name, rows in single_value_tables(result).items():  # of workbooks that have no rows in the table
+        tables[name] = union_by_name([tables[name], rows]) if name in tables else rows
     for name, df in tables.items():
         paths.append(writers.write_text_table(traced(df), root, name, sep))
     extra = {"Scalar_Records": result.scalars.drop("seq", "required"), "Named_Results": result.named_results.drop("seq", "required"),

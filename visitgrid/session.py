@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+_LOCAL: dict[str, str] = {}
 
 
 def build_session(app_name: str = "visitgrid", master: str | None = None, **settings: str) -> SparkSession:
@@ -33,17 +35,20 @@ def build_session(app_name: str = "visitgrid", master: str | None = None, **sett
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: the checkpoint setting of the session.
 
-    Only where it is unset a folder is chosen here: a new local one under a local
-    master (tests), the warehouse folder otherwise.
+    Only where it is unset and all runs in one process (tests) a local folder is
+    chosen here, one per application.  On a cluster an unset folder is an error: each
+    executor would write to a disk of its own.
     """
     folder = spark.conf.get(CHECKPOINT_SETTING, None)
     if folder:
         return folder.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="visitgrid-")
-        spark.conf.set(CHECKPOINT_SETTING, folder)
-        return folder
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise ValueError(f"{CHECKPOINT_SETTING} must name a folder that all executors share")
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL:
+        _LOCAL[application] = tempfile.mkdtemp(prefix="visitgrid-")
+    return _LOCAL[application]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -51,10 +56,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
     """Write once to the shared folder and read back, so that several sinks reuse
-    the rows and a lost executor never restarts the scan of the workbooks."""
+    the rows and a lost executor never restarts the scan of the workbooks.
+
+    With ``partition_by`` a reader that filters on that column opens its files only.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    if partition_by:
+        df.hint("rebalance", partition_by).write.partitionBy(partition_by).parquet(path)
+    else:
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

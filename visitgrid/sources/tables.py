@@ -3,38 +3,54 @@
 from __future__ import annotations
 
 import re
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from ..functions.text import base_name
 from ..operators.audit import parsed_details
 from ..operators.typing import with_inferred_types
-from ..operators.visits import merged_reference
+from ..operators.visits import merged_reference, resolve_references
 
 
-def read_text_table(spark: SparkSession, path: str, sep: str = ",", schema: str | None = None) -> DataFrame:
-    """Quoted text table with a header; quotes inside values are doubled."""
+def read_text_table(spark: SparkSession, path: str, sep: str = ",", schema: str | None = None, order: str | None = None) -> DataFrame:
+    """Quoted text table with a header; quotes inside values are doubled.
+
+    ``order`` names a column for the place of a row: file, block of the file, and a
+    number that grows with the rows of a block.
+    """
     reader = spark.read.option("header", True).option("sep", sep).option("quote", '"').option("escape", '"')
-    return reader.schema(schema).csv(path) if schema else reader.csv(path)
+    rows = reader.schema(schema).csv(path) if schema else reader.csv(path)
+    if order is None:
+        return rows
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    return rows.select("*", place.alias(order))
 
 
 def reference_files(spark: SparkSession, folder: str, suffix: str = ".txt") -> dict[str, str]:
-    """Table name -> path of the text tables in a folder (a bounded, configured set)."""
-    listing = (
-        spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}").load(folder).select("path")
-    )
-    return {r["path"].rsplit("/", 1)[-1][: -len(suffix)]: r["path"] for r in listing.collect()}
+    """Table name -> path of the text tables in a folder (a bounded, configured set).
+
+    A table is a file, or a folder of part files as Spark writes them.
+    """
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path")
+    tables = listing.select(F.regexp_extract("path", rf"^(.*/[^/]+{re.escape(suffix)})(/part-[^/]*)?$", 1).alias("path")).where("path <> ''").distinct()
+    return {r["path"].rsplit("/", 1)[-1][: -len(suffix)]: r["path"] for r in tables.collect()}
 
 
-def read_reference_tables(spark: SparkSession, folder: str, typed: bool = True) -> dict[str, DataFrame]:
-    """All reference tables of a folder, typed by their content when asked."""
-    tables = {name: read_text_table(spark, path) for name, path in reference_files(spark, folder).items()}
+def read_reference_tables(spark: SparkSession, folder: str, typed: bool = True, order: str | None = None) -> dict[str, DataFrame]:
+    """All reference tables of a folder, typed by their content when asked, with a column
+    for the load order when asked."""
+    tables = {name: read_text_table(spark, path, order=order) for name, path in reference_files(spark, folder).items()}
     return {name: with_inferred_types(df) if typed else df for name, df in tables.items()}
 
 
+def resolve_from_folder(visits: DataFrame, folder: str, link: str = "Linktable", systems: str = "System") -> DataFrame:
+    """Hospital, system and system info of visits from a folder of reference tables; of
+    rows with one device number the first in file order wins."""
+    found = read_reference_tables(visits.sparkSession, folder, order="load_order")
+    return resolve_references(visits, found[link], found[systems], "load_order")
+
+
 def read_dataset(spark: SparkSession, root: str) -> DataFrame:
     """Partitioned Parquet folder; files may differ in their columns."""
     return spark.read.option("mergeSchema", True).parquet(root)
@@ -52,8 +68,10 @@ class TableStore:
     def find(self, name: str) -> DataFrame | None:
         try:
             return self.spark.read.option("mergeSchema", True).parquet(self.path(name))
-        except AnalysisException:
-            return None
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":  # anything else is a table that cannot be read
+                return None
+            raise
 
     def __contains__(self, name: str) -> bool:
         return self.find(name) is not None
@@ -110,14 +128,3 @@ def read_archive(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Archived visits: chunk rows back to one row per archived record."""
     chunks = spark.read.schema(f"workbook_id string, section string, chunk bigint, rows array<struct<{schema}>>").json(path)
     return chunks.select("workbook_id", "section", F.inline("rows"))
-
-
-def table_name_of(path_column=None):
-    """Table name from the path a row was read from."""
-    return F.regexp_replace(base_name(path_column if path_column is not None else F.input_file_name()), r"\.[^.]*$", "")
-
-
-def read_all_reference_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """All reference tables as one long table (table_name + their columns)."""
-    parts = [df.withColumn("table_name", F.lit(name)) for name, df in read_reference_tables(spark, folder, False).items()]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
