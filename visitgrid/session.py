@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import re
+import shutil
 import tempfile
 import uuid
 
@@ -10,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 _LOCAL: dict[str, str] = {}
+_SHIPPED: set[str] = set()
 
 
 def build_session(app_name: str = "visitgrid", master: str | None = None, **settings: str) -> SparkSession:
@@ -29,7 +32,21 @@ def build_session(app_name: str = "visitgrid", master: str | None = None, **sett
         builder = builder.master(master)
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, which need not find it where they start."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="visitgrid-package-")
+    archive = shutil.make_archive(os.path.join(folder, "visitgrid"), "zip", os.path.dirname(package), os.path.basename(package))
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
 
 
 def shared_folder(spark: SparkSession) -> str:
