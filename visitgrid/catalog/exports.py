@@ -18,7 +18,8 @@ from .visiting import VISITS_SQL, order_visits
 
 @query("partitioned_visits", f"""
 WITH {VISITS_SQL}
-SELECT qaid, date_test, hospital_id, system_id, excel_file_name AS source_file, left(date_test, 4) AS year, CAST(hospital_id AS VARCHAR) AS hospital
+SELECT qaid, qampr, reference_qc, type, date_test, hospital_id, system_id, system_info_id, excel_file_name, excel_file_name AS source_file, template_id,
+       sidecar_version, workbook_hash, qa_member1, qa_member2, processing_timestamp, extraction_method, left(date_test, 4) AS year, CAST(hospital_id AS VARCHAR) AS hospital
 FROM visits WHERE date_test LIKE '1998-%'
 """)
 def partitioned_visits(spark, sf_dir):
@@ -29,7 +30,26 @@ def partitioned_visits(spark, sf_dir):
         *writers.VISIT_COLUMNS, *[c.alias(n) for n, c in writers.partition_columns().items() if n != "system"])
     writers.write_partitioned(rows, root, ("year", "hospital"))
     back = spark.read.schema(rows.schema).parquet(root).where("year = '1998'")
-    return back.select("qaid", "date_test", "hospital_id", "system_id", "source_file", "year", "hospital")
+    return back
+
+
+@query("export_rerun", f"""
+WITH {VISITS_SQL}
+SELECT 'visits' AS part, batch, qaid FROM visits, (VALUES ('a'), ('b')) x(batch) WHERE (qaid % 2 = 0) = (batch = 'a')
+UNION ALL SELECT 'table', 'a', l_orderkey FROM lineitem
+""")
+def export_rerun(spark, sf_dir):
+    """Two batches of visits, the first written twice, and a table written twice: no row
+    is there more than once."""
+    seen, root = order_visits(spark, sf_dir).withColumn("system_id", F.lit(1).cast("bigint")), scratch_path(spark, "rerun")
+    even = seen.where("qaid % 2 = 0")
+    for part, batch in ((even, "a"), (seen.where("qaid % 2 = 1"), "b"), (even, "a")):
+        writers.write_visits(part, root, batch)
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("qaid"), "l_linenumber")
+    for _ in range(2):
+        writers.write_tables({"lines/all": lines}, root, "a")
+    visits_back = readers.read_dataset(spark, f"{root}/visits").select(F.lit("visits").alias("part"), "batch", "qaid")
+    return visits_back.unionByName(readers.read_dataset(spark, f"{root}/tables/lines__all").select(F.lit("table").alias("part"), "batch", "qaid"))
 
 
 @query("parquet_roundtrip", """
@@ -65,18 +85,23 @@ def txt_roundtrip(spark, sf_dir):
 
 @query("visit_text", f"""
 WITH {VISITS_SQL}
-SELECT CAST(qaid AS VARCHAR) AS "ID", qampr AS "Qampr", reference_qc AS "Reference_QC", date_test AS "Date_Test", excel_file_name AS "Excel_File_Name" FROM visits
+SELECT CAST(qaid AS VARCHAR) AS "ID", qampr AS "Qampr", reference_qc AS "Reference_QC", type AS "Type", date_test AS "Date_Test", CAST(hospital_id AS VARCHAR) AS "Hospital_ID",
+       CAST(system_id AS VARCHAR) AS "System_ID", CAST(system_info_id AS VARCHAR) AS "System_Info_ID", excel_file_name AS "Excel_File_Name", qa_member1 AS "QA_Member1",
+       qa_member2 AS "QA_Member2", date_to_db AS "Date_To_DB", template_id AS "Template_ID", workbook_hash AS "Workbook_Hash"
+FROM visits
 """)
 def visit_text(spark, sf_dir):
     """The 14-column visit table in the text export."""
     root = scratch_path(spark, "visit-text")
     path = writers.write_visit_text(order_visits(spark, sf_dir), root)
-    return readers.read_text_table(spark, path).select("ID", "Qampr", "Reference_QC", "Date_Test", "Excel_File_Name")
+    return readers.read_text_table(spark, path)
 
 
 @query("extraction_text", f"""
 WITH {VISITS_SQL}
-SELECT CAST(qaid AS VARCHAR) AS "QAID", template_id AS "Template_ID", extraction_method AS "Extraction_Method", '3' AS "Total_Sheets" FROM visits
+SELECT CAST(qaid AS VARCHAR) AS "QAID", template_id AS "Template_ID", sidecar_version AS "Sidecar_Version", workbook_hash AS "Workbook_Hash",
+       extraction_method AS "Extraction_Method", processing_timestamp AS "Processing_Timestamp", '3' AS "Total_Sheets", '0' AS "Extracted_Fields", '0' AS "Extracted_Tables"
+FROM visits
 """)
 def extraction_text(spark, sf_dir):
     """The extraction table of the text export."""
@@ -84,7 +109,7 @@ def extraction_text(spark, sf_dir):
     seen = order_visits(spark, sf_dir).withColumns(
         {"total_sheets": F.lit(3), "extracted_fields": F.lit(0), "extracted_tables": F.lit(0)})
     path = writers.write_extraction_text(seen, root)
-    return readers.read_text_table(spark, path).select("QAID", "Template_ID", "Extraction_Method", "Total_Sheets")
+    return readers.read_text_table(spark, path)
 
 
 @query("batch_export", f"""

@@ -64,22 +64,23 @@ def audit_rows(result: Extraction) -> DataFrame:
     return audit.sheet_audit_rows(result.sheet_audit, totals)
 
 
-def export_parquet(result: Extraction, visits: DataFrame, root: str) -> None:
-    """Visits by year, hospital and system; tables, records, fields and audit rows."""
+def export_parquet(result: Extraction, visits: DataFrame, root: str, batch: str | None = None) -> None:
+    """Visits by year, hospital and system; tables, records, fields and audit rows.  A named
+    batch replaces what an earlier run of it wrote."""
     ids = visits.select("workbook_id", "qaid")
 
     def with_id(df: DataFrame) -> DataFrame:
         return df.drop("qaid").join(ids, "workbook_id", "left")
 
-    writers.write_visits(visits, root)
-    writers.write_tables({name: with_id(df.drop("row")) for name, df in result.tables.items()}, root)
+    writers.write_visits(visits, root, batch)
+    writers.write_tables({name: with_id(df.drop("row")) for name, df in result.tables.items()}, root, batch)
     parts: Mapping[str, DataFrame | None] = {
         **summary_results(result), "scalar_records": result.scalars, "named_results": result.named_results,
         "extracted_fields": wide_fields(result.fields), "extraction_audit": audit_rows(result),
     }
     for name, df in parts.items():
         if df is not None:
-            writers.write_parquet_table(with_id(df), root, name)
+            writers.write_parquet_table(with_id(df), root, name, batch)
 
 
 def export_text(result: Extraction, visits: DataFrame, root: str, sep: str = ",") -> list[str]:
@@ -111,16 +112,16 @@ def export_text(result: Extraction, visits: DataFrame, root: str, sep: str = ","
     return paths
 
 
-def export_archive(result: Extraction, visits: DataFrame, log: DataFrame, root: str) -> None:
+def export_archive(result: Extraction, visits: DataFrame, log: DataFrame, root: str, batch: str | None = None) -> None:
     """Visit metadata, all rows in chunks of bounded length, and each visit's events."""
     meta = visits.select("workbook_id", "qaid", "qampr", "reference_qc", "template_id", "hospital_id", "system_id",
                          "system_info_id", "excel_file_name", "processing_timestamp", "workbook_hash")
-    writers.write_archive(meta, f"{root}/metadata")
+    writers.write_archive(meta, f"{root}/metadata", batch)
     for name, df in result.tables.items():
-        writers.write_archive(writers.archive_chunks(df, name), f"{root}/result/{writers.table_file_name(name)}")
+        writers.write_archive(writers.archive_chunks(df, name), f"{root}/result/{writers.table_file_name(name)}", batch)
     scalars = result.records.drop("row").withColumnRenamed("seq", "row").withColumn("row", F.col("row") + 1)
-    writers.write_archive(writers.archive_chunks(scalars, "records"), f"{root}/result/records")
-    writers.write_archive(audit.visit_events(log), f"{root}/audit")
+    writers.write_archive(writers.archive_chunks(scalars, "records"), f"{root}/result/records", batch)
+    writers.write_archive(audit.visit_events(log), f"{root}/audit", batch)
 
 
 def export_audit(log: DataFrame, store: TableStore, parquet_root: str, text_root: str) -> None:

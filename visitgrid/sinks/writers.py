@@ -2,6 +2,10 @@
 
 Every writer writes the rows of a whole batch at once: two visits of one site in
 one year add rows to the same partition instead of replacing each other.
+
+With a batch name, a dataset has a folder per batch (a partition column ``batch`` for
+readers).  A second run of the same batch replaces its folder and no other, so a re-run
+doubles nothing.  Without a name rows are appended.
 """
 
 from __future__ import annotations
@@ -55,32 +59,39 @@ def partition_columns() -> dict[str, Column]:
     }
 
 
-def write_partitioned(df: DataFrame, path: str, partitions: Sequence[str] = PARTITIONS, mode: str = "append") -> None:
+def batch_target(path: str, batch: str | None) -> tuple[str, str]:
+    """Folder and save mode of a batch's part of a dataset."""
+    return (path, "append") if batch is None else (f"{path}/batch={batch}", "overwrite")
+
+
+def write_partitioned(df: DataFrame, path: str, partitions: Sequence[str] = PARTITIONS, batch: str | None = None) -> None:
     """Partitioned Parquet; adaptive execution splits a partition too big for one file."""
+    target, mode = batch_target(path, batch)
     df.hint("rebalance", *[F.col(p) for p in partitions]).write.mode(mode).option("compression", "zstd").partitionBy(
         *partitions
-    ).parquet(path)
+    ).parquet(target)
 
 
-def write_visits(visits: DataFrame, root: str) -> None:
+def write_visits(visits: DataFrame, root: str, batch: str | None = None) -> None:
     rows = visits.withColumn("source_file", F.col("excel_file_name")).select(*VISIT_COLUMNS, *[
         c.alias(n) for n, c in partition_columns().items()
     ])
-    write_partitioned(rows, f"{root}/visits")
+    write_partitioned(rows, f"{root}/visits", batch=batch)
 
 
-def write_parquet_table(df: DataFrame, root: str, name: str) -> str:
+def write_parquet_table(df: DataFrame, root: str, name: str, batch: str | None = None) -> str:
     path = f"{root}/{table_file_name(name)}"
-    df.write.mode("append").option("compression", "zstd").parquet(path)
+    target, mode = batch_target(path, batch)
+    df.write.mode(mode).option("compression", "zstd").parquet(target)
     return path
 
 
-def write_tables(tables: Mapping[str, DataFrame], root: str) -> None:
+def write_tables(tables: Mapping[str, DataFrame], root: str, batch: str | None = None) -> None:
     """One dataset per table, and the routed copies of the tables that have a target."""
     for name, df in tables.items():
-        write_parquet_table(df, f"{root}/tables", name)
+        write_parquet_table(df, f"{root}/tables", name, batch)
         for target in routing.parquet_targets(name):
-            write_parquet_table(df, root, target)
+            write_parquet_table(df, root, target, batch)
 
 
 def write_text(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite") -> None:
@@ -179,8 +190,9 @@ def archive_chunks(rows: DataFrame, section: str, row: str = "row", chunk_rows:
     )
 
 
-def write_archive(chunks: DataFrame, path: str) -> None:
-    chunks.write.mode("append").json(path)
+def write_archive(chunks: DataFrame, path: str, batch: str | None = None) -> None:
+    target, mode = batch_target(path, batch)
+    chunks.write.mode(mode).json(target)
 
 
 def append_audit(log: DataFrame, store: TableStore, name: str = "AuditTrail") -> None:
