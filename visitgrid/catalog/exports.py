@@ -154,6 +154,7 @@ def store_roundtrip(spark, sf_dir):
 
 @query("store_dump", """
 SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_partkey AS VARCHAR) AS l_partkey, CASE WHEN l_linenumber > 2 THEN CAST(l_linenumber AS VARCHAR) ELSE '' END AS n FROM lineitem
+UNION ALL SELECT CAST(l_orderkey AS VARCHAR), NULL, '' FROM lineitem
 """)
 def store_dump(spark, sf_dir):
     """Stored tables as text, the stand-in for "none" written as empty."""
@@ -162,9 +163,11 @@ def store_dump(spark, sf_dir):
         "l_orderkey", "l_partkey", F.when(F.col("l_linenumber") > 2, F.col("l_linenumber")).otherwise(typing.NONE_NUMBER).alias("n"))
     store.put("lines", lines)
     store.put("other", lines.select("l_orderkey"))
-    paths = writers.dump_store(store, scratch_path(spark, "dump"), ["lines"], null_sentinel=True)
-    back = readers.read_text_table(spark, paths[0], schema="l_orderkey string, l_partkey string, n string")
-    return back.withColumn("n", F.coalesce("n", F.lit("")))
+    store.put("unwanted", lines.limit(1))
+    paths = writers.dump_store(store, scratch_path(spark, "dump"), ["lines", "other"], null_sentinel=True)
+    lines_back = readers.read_text_table(spark, paths[0], schema="l_orderkey string, l_partkey string, n string")
+    other_back = readers.read_text_table(spark, paths[1], schema="l_orderkey string")
+    return lines_back.unionByName(other_back, allowMissingColumns=True).withColumn("n", F.coalesce("n", F.lit("")))
 
 
 @query("reference_scan", """
@@ -273,11 +276,40 @@ def record_sinks(spark, sf_dir):
 
 
 @query("audit_report_csv", """
-SELECT 'total_events' AS metric, CAST(count(*) AS VARCHAR) AS value FROM events
-UNION ALL SELECT 'error_events', CAST(count(*) FILTER (event_type = 'error') AS VARCHAR) FROM events
+WITH m AS (SELECT event_type, count(*) AS n FROM events GROUP BY 1)
+SELECT 'files_processed' AS metric, CAST(sum(n) FILTER (event_type = 'view') AS VARCHAR) AS value FROM m
+UNION ALL SELECT 'successful_files', CAST(sum(n) FILTER (event_type = 'purchase') AS VARCHAR) FROM m
+UNION ALL SELECT 'failed_files', CAST(sum(n) FILTER (event_type = 'error') AS VARCHAR) FROM m
+UNION ALL SELECT 'total_events', CAST(sum(n) AS VARCHAR) FROM m
+UNION ALL SELECT 'error_events', CAST(sum(n) FILTER (event_type = 'error') AS VARCHAR) FROM m
+UNION ALL SELECT 'warning_events', CAST(sum(n) FILTER (event_type = 'signup') AS VARCHAR) FROM m
+UNION ALL SELECT 'success_events', CAST(sum(n) FILTER (event_type = 'purchase') AS VARCHAR) FROM m
+UNION ALL SELECT 'success_rate', printf('%.6f', 100.0 * sum(n) FILTER (event_type = 'purchase') / sum(n) FILTER (event_type = 'view')) FROM m
 """)
 def audit_report_csv(spark, sf_dir):
-    """Metric rows of the CSV report."""
+    """All metric rows of the CSV report; the rate with six places."""
     path = scratch_path(spark, "audit-report")
     writers.write_audit_report(audit.metrics(event_log(spark, sf_dir)), path, "csv")
-    return readers.read_text_table(spark, path).where("metric in ('total_events', 'error_events')")
+    value = F.when(F.col("metric") == "success_rate", F.format_string("%.6f", F.col("value").cast("double"))).otherwise(F.col("value"))
+    return readers.read_text_table(spark, path).withColumn("value", value)
+
+
+@query("audit_report_html", """
+WITH m AS (SELECT count(*) FILTER (event_type = 'view') AS n, count(*) FILTER (event_type = 'purchase') AS ok, count(*) FILTER (event_type = 'error') AS bad FROM events)
+SELECT '<html><head><title>Audit Report</title></head><body><h1>Audit Report</h1><h2>Summary</h2><ul><li>Files Processed: ' || n || '</li><li>Successful: ' || ok
+       || '</li><li>Failed: ' || bad || '</li><li>Success Rate: ' || printf('%.1f', ok / n * 100) || '%</li></ul></body></html>' AS value FROM m
+""")
+def audit_report_html(spark, sf_dir):
+    """The report as a page, written and read back."""
+    path = scratch_path(spark, "audit-page")
+    writers.write_audit_report(audit.metrics(event_log(spark, sf_dir)), path, "html")
+    return spark.read.text(path)
+
+
+@query("filtered_export_csv", "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus = 'F'")
+def filtered_export_csv(spark, sf_dir):
+    """Filtered rows exported as CSV and read back."""
+    path = scratch_path(spark, "export-csv")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    writers.write_filtered(typing.where_equal(orders, ["o_orderstatus=F"]), path, "csv")
+    return spark.read.schema(orders.schema).option("header", True).csv(path)

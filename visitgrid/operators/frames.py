@@ -11,19 +11,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-# A mapping holds a few hundred rules; a table above this many rows is not a rule table.
+# A mapping holds a few hundred rules; up to this many rows are sent to every task.
 MAX_RULE_ROWS = 50_000
 
 
 def rule_frame(spark: SparkSession, rows: Sequence[dict], schema: str) -> DataFrame:
-    """Rule rows as a local relation, marked for broadcast after its size is checked."""
-    if len(rows) > MAX_RULE_ROWS:
-        raise ValueError(f"{len(rows)} rule rows: too many for a broadcast table")
+    """Rule rows as a local relation, marked for broadcast if their number is small; more
+    are joined like any table."""
     fields = StructType.fromDDL(schema)
     table = pa.Table.from_pylist(
         [{f.name: row.get(f.name) for f in fields} for row in rows], schema=to_arrow_schema(fields)
     )
-    return F.broadcast(spark.createDataFrame(table, schema=fields))
+    frame = spark.createDataFrame(table, schema=fields)
+    return F.broadcast(frame) if len(rows) <= MAX_RULE_ROWS else frame
 
 
 def rule_array(rows: Sequence[dict], schema: str) -> Column:

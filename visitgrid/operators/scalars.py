@@ -11,6 +11,7 @@ task; what is shuffled is at most one hit per (workbook, rule).
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -218,12 +219,15 @@ def scalar_records(
     is_list = F.col("dtype").isin(*LIST_TYPES)
     raw = F.coalesce("cell.raw", F.when(is_list, F.lit("[]")), F.col("default"))
     joined = joined.withColumn("_raw", raw).withColumn("_ctype", F.coalesce("cell.ctype", F.lit("text")))
+    by_settings: dict[str, list[dict]] = {}
     for rule in rules:
         if rule["normalize"]:
-            tidy = normalize(F.col("_raw"), rule["normalize"])
-            joined = joined.withColumn(
-                "_raw", F.when((F.col("seq") == rule["seq"]) & ~is_blank(F.col("_raw")), tidy).otherwise(F.col("_raw"))
-            )
+            by_settings.setdefault(json.dumps(rule["normalize"], sort_keys=True, default=str), []).append(rule)
+    tidy = F.col("_raw")
+    for same in by_settings.values():  # one branch per kind of settings, in one projection
+        wanted = F.col("seq").isin([r["seq"] for r in same]) & ~is_blank(F.col("_raw"))
+        tidy = F.when(wanted, normalize(F.col("_raw"), same[0]["normalize"])).otherwise(tidy)
+    joined = joined.withColumn("_raw", tidy)
     value = F.when(is_list, F.col("_raw")).otherwise(
         convert.convert_long(
             F.col("_raw"), F.col("_ctype"), F.col("dtype"), {r["dtype"] for r in rules}, F.col("locale_safe"), F.col("bool_map")
