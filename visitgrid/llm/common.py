@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import materialize, scratch_path  # noqa: F401
 
-#: Text bytes handled by one numpy step; a single longer text is a step of its own.
-STEP_BYTES = 2 << 20
+#: Text bytes and rows handled by one numpy step; a single longer text is a step of its own.
+STEP_BYTES, STEP_ROWS = 2 << 20, 2000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,7 +28,7 @@ def free_name(df: DataFrame, wish: str) -> str:
 
 
 def steps(batches: Iterator[pa.RecordBatch], column: int | str, limit: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that the named text column of each holds about ``limit`` bytes."""
+    """Cut batches so that each has few rows and the text column about ``limit`` bytes."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -36,7 +36,7 @@ def steps(batches: Iterator[pa.RecordBatch], column: int | str, limit: int = STE
         at = 0
         while at < batch.num_rows:
             done = sizes[at - 1] if at else 0
-            end = max(at + 1, int(np.searchsorted(sizes, done + limit, side="right")))
+            end = min(max(at + 1, int(np.searchsorted(sizes, done + limit, side="right"))), at + STEP_ROWS)
             yield batch.slice(at, end - at)
             at = end
 

@@ -15,12 +15,18 @@ Pairs.  Within a bucket each node is first compared with the bucket's smallest o
 and verified links are joined to components.  Then only nodes that share a bucket but not
 a component are compared with each other.  So a large group of near copies costs links in
 proportion to its size, and still no candidate pair is left out that could join two
-components.  32 bands of 5 registers miss a pair at 0.8 about three times in a million.
+components.  Each node carries an odd sketch for that: one bit for each of 2048 classes of
+shingles, 1 if it holds an odd number of the class.  Where two sketches differ in d bits,
+the sets differ in d shingles at least, so the join itself drops pairs that are surely too
+far apart, and never one that is near enough.  32 bands of 5 registers miss a pair at 0.8
+about three times in a million.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import operator
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,10 +44,8 @@ BANDS, ROWS = 32, 5
 REGISTERS = BANDS * ROWS
 #: 0.8 as whole numbers: common / (all) >= 4 / 5.
 NUMERATOR, DENOMINATOR = 4, 5
-#: One bit per register is kept for a cheap look at pairs.  At a similarity of 0.8 of 160
-#: bits 16 differ, with a deviation of 3.8; pairs with more than 37 are left out (5.5
-#: deviations).
-MOST_BITS = 37
+#: Bits of the odd sketch.
+ODD_BITS = 2048
 #: Nodes to compare whose keys are sent to every task up to this number, else joined.
 BROADCAST_ROWS = 1_000_000
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -102,7 +106,7 @@ def sketch(doc: np.ndarray, shingle: np.ndarray, weight: np.ndarray, docs: int)
 def sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
     """Per row: ``k`` (the key), ``h`` (a hash of the text), ``digest`` (of the set of
     shingles; of the text itself where it has no word), ``size`` (number of shingles),
-    ``bands`` (bucket keys, none without words) and ``bits``."""
+    ``bands`` (bucket keys, none without words) and ``odd`` (the odd sketch)."""
     rows = docs.select(F.col(key).alias("k"), F.coalesce(text, F.lit("")).alias("t")).select("k", F.xxhash64("t").alias("h"), "t")
     row_factors, salts = factors(ROWS, 5), factors(BANDS, 6)
 
@@ -121,18 +125,17 @@ def sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
             number[some] = np.arange(len(some))
             registers = sketch(number[doc], shingle, 1 + np.log(count), len(some))
             bands = mix((mix(registers).reshape(len(some), BANDS, ROWS) * row_factors).sum(axis=2, dtype=np.uint64) + salts)
-            flags = np.zeros((len(some), 192), np.uint8)
-            flags[:, :REGISTERS] = (mix(registers) >> np.uint64(33)) & np.uint64(1)
-            bits = np.packbits(flags, axis=1).view(np.int64)
+            classes_of = (mix(shingle + _GOLDEN) % np.uint64(ODD_BITS)).astype(np.int64) + number[doc] * ODD_BITS
+            odd = np.packbits((np.bincount(classes_of, minlength=len(some) * ODD_BITS) & 1).astype(np.uint8)).view(np.int64)
             has = (size > 0).astype(np.int32)
             band_list = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(has * BANDS)]), pa.int32()), pa.array(bands.reshape(-1).view(np.int64)))
-            bit_list = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(has * 3)]), pa.int32()), pa.array(bits.reshape(-1)))
+            odd_list = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(has * (ODD_BITS // 64))]), pa.int32()), pa.array(odd))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(digest, pa.binary()), pa.array(size, pa.int64()), band_list, bit_list],
-                names=["k", "h", "digest", "size", "bands", "bits"])
+                [batch.column(0), batch.column(1), pa.array(digest, pa.binary()), pa.array(size, pa.int64()), band_list, odd_list],
+                names=["k", "h", "digest", "size", "bands", "odd"])
 
     kind = rows.schema["k"].dataType.simpleString()
-    return rows.mapInArrow(run, f"k {kind}, h bigint, digest binary, size bigint, bands array<bigint>, bits array<bigint>")
+    return rows.mapInArrow(run, f"k {kind}, h bigint, digest binary, size bigint, bands array<bigint>, odd array<bigint>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
@@ -187,13 +190,13 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
 
 def _nodes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """One row per set of shingles with a number, and the buckets (``bucket``, ``nid``,
-    ``size``, ``bits``)."""
+    ``size``, ``odd``)."""
     nodes = rows.groupBy("digest").agg(
         F.min(F.struct(F.col("k").isNull().alias("z"), "k", "h")).alias("rep"),
-        F.first("size").alias("size"), F.first("bands").alias("bands"), F.first("bits").alias("bits"),
-    ).select("digest", "rep.k", "rep.h", "size", "bands", "bits")
+        F.first("size").alias("size"), F.first("bands").alias("bands"), F.first("odd").alias("odd"),
+    ).select("digest", "rep.k", "rep.h", "size", "bands", "odd")
     nodes = materialize(nodes.withColumn("nid", F.monotonically_increasing_id()), "nodes")  # written, so the numbers stay
-    return nodes, nodes.select(F.explode("bands").alias("bucket"), "nid", "size", "bits")
+    return nodes, nodes.select(F.explode("bands").alias("bucket"), "nid", "size")
 
 
 def _components(nodes: DataFrame, buckets: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -209,12 +212,15 @@ def _components(nodes: DataFrame, buckets: DataFrame, docs: DataFrame, key: str,
     rest = shared.join(comp.withColumnRenamed("id", "nid"), "nid", "left").withColumn("comp", F.coalesce("comp", "nid"))
     mixed = rest.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("bucket")
     mixed = materialize(mixed, "mixed")
-    rest = materialize(rest.join(mixed, "bucket", "left_semi"), "rest")
-    x, y = rest.where("nid <> leader").alias("x"), rest.where("nid <> leader").alias("y")
-    differing = sum((F.bit_count(F.col("x.bits")[i].bitwiseXOR(F.col("y.bits")[i])) for i in range(3)), F.lit(0))
+    rest = rest.where("nid <> leader").join(mixed, "bucket", "left_semi")  # pairs with a leader are done
+    rest = materialize(rest.join(nodes.select("nid", "odd"), "nid"), "rest")
+    x, y = rest.alias("x"), rest.alias("y")
+    differing = functools.reduce(operator.add, (F.bit_count(F.col("x.odd")[i].bitwiseXOR(F.col("y.odd")[i])) for i in range(ODD_BITS // 64)))
+    small, large = F.least("x.size", "y.size"), F.greatest("x.size", "y.size")
+    # common / every >= n / d as bounds on the sizes and on the number of shingles in one set only
     near = (
-        (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.comp") < F.col("y.comp"))
-        & (DENOMINATOR * F.least("x.size", "y.size") >= NUMERATOR * F.greatest("x.size", "y.size")) & (differing <= MOST_BITS)
+        (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.comp") < F.col("y.comp")) & (DENOMINATOR * small >= NUMERATOR * large)
+        & ((DENOMINATOR + NUMERATOR) * differing <= (DENOMINATOR - NUMERATOR) * (small + large))
     )
     second = materialize(x.join(y, near).select(F.col("x.nid").alias("a"), F.col("y.nid").alias("b")).distinct(), "pairs")
     more = _linked(second, nodes, docs, key, text, "links")
