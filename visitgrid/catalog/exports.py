@@ -197,7 +197,7 @@ def filtered_export(spark, sf_dir):
 @query("csv_report", """
 SELECT status, access_export_ok, count(*) AS n FROM (
   SELECT CASE WHEN o_orderstatus = 'P' THEN 'failed' ELSE 'success' END AS status,
-         o_orderstatus <> 'P' AND o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R' AND l_linestatus = 'F' AND l_linenumber = 2) AS access_export_ok FROM orders)
+         o_orderstatus <> 'P' AND o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R' AND l_linestatus = 'F' AND l_linenumber % 2 = 0) AS access_export_ok FROM orders)
 GROUP BY 1, 2
 """)
 def csv_report(spark, sf_dir):
