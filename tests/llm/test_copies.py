@@ -88,6 +88,15 @@ def test_classes_against_brute_force(spark, mixed):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(got.values()))
 
 
+def test_many_nodes_are_joined_without_a_broadcast(spark, monkeypatch):
+    rng = random.Random(6)
+    base = [f"b{i}" for i in range(80)]
+    texts = {n: edited(base, rng, 0.03) for n in range(60)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    monkeypatch.setattr(minhash, "BROADCAST_ROWS", 0)
+    assert {r["doc_id"]: r["class_id"] for r in minhash.classes(docs).collect()} == brute_classes(texts)
+
+
 def test_edges(spark, edges, nothing):
     rows = minhash.classes(edges).collect()
     named = sorted((str(r["doc_id"]), r["class_id"], r["copy_id"]) for r in rows)

@@ -60,6 +60,11 @@ def test_host_verdicts(spark):
     assert quality.beta_priors(hosts.where("host = 'bad'")) == {}
 
 
+def test_many_rejected_hosts_are_joined_without_a_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(quality, "BROADCAST_HOSTS", 0)
+    test_host_verdicts(spark)
+
+
 def test_quality_edges(spark, edges, nothing):
     kept = quality.keep_good(edges)
     assert kept.columns == edges.columns and kept.count() == 0
