@@ -17,7 +17,9 @@ def test_equals_sql(spark, name):
     con = duckdb.connect()
     for table in ("documents", "pages", "benchmark", "labels", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
-    got = QUERIES[name](spark, SMALL).toPandas()
-    want = con.execute(SQL[name]).df()[list(got.columns)]
-    rows = lambda df: sorted(map(repr, df.astype(object).where(df.notna(), None).itertuples(index=False, name=None)))
-    assert len(got) and rows(got) == rows(want)
+    frame = QUERIES[name](spark, SMALL)
+    result = con.execute(SQL[name])
+    columns = [d[0] for d in result.description]
+    assert sorted(columns) == sorted(frame.columns)
+    got = sorted(repr([row[c] for c in columns]) for row in frame.collect())
+    assert got and got == sorted(repr(list(row)) for row in result.fetchall())
