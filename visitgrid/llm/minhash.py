@@ -213,16 +213,18 @@ def _components(nodes: DataFrame, buckets: DataFrame, docs: DataFrame, key: str,
     mixed = rest.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("bucket")
     mixed = materialize(mixed, "mixed")
     rest = rest.where("nid <> leader").join(mixed, "bucket", "left_semi")  # pairs with a leader are done
-    rest = materialize(rest.join(nodes.select("nid", "odd"), "nid"), "rest")
+    rest = materialize(rest.join(nodes.select("nid", "odd", "bands"), "nid"), "rest")
     x, y = rest.alias("x"), rest.alias("y")
     differing = functools.reduce(operator.add, (F.bit_count(F.col("x.odd")[i].bitwiseXOR(F.col("y.odd")[i])) for i in range(ODD_BITS // 64)))
     small, large = F.least("x.size", "y.size"), F.greatest("x.size", "y.size")
-    # common / every >= n / d as bounds on the sizes and on the number of shingles in one set only
+    # common / every >= n / d as bounds on the sizes and on the number of shingles in one set only;
+    # of the buckets that a pair shares one gives it
     near = (
         (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.comp") < F.col("y.comp")) & (DENOMINATOR * small >= NUMERATOR * large)
         & ((DENOMINATOR + NUMERATOR) * differing <= (DENOMINATOR - NUMERATOR) * (small + large))
+        & (F.array_min(F.array_intersect("x.bands", "y.bands")) == F.col("x.bucket"))
     )
-    second = materialize(x.join(y, near).select(F.col("x.nid").alias("a"), F.col("y.nid").alias("b")).distinct(), "pairs")
+    second = materialize(x.join(y, near).select(F.col("x.nid").alias("a"), F.col("y.nid").alias("b")), "pairs")
     more = _linked(second, nodes, docs, key, text, "links")
     return components(links.union(more))
 
