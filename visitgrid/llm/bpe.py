@@ -15,6 +15,7 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import steps, texts_of
-from .pretokens import pretokens
+from .pretokens import by_text, distinct_pretokens, gather
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Pre-tokens and token pairs that a worker keeps; a full table is emptied and filled anew.
@@ -62,6 +63,9 @@ class RankEncoder:
                     reached.add(word)
                     break
         self.reached = reached
+        every = [self.word.get(n, b"") for n in range(max(self.word, default=-1) + 1)]
+        self.sizes = np.fromiter(map(len, every), np.int64, len(every))
+        self.bytes = np.frombuffer(b"".join(every), np.uint8)
         # Matches that end at a place of the reversed bytes start at that place of the bytes.
         self.automaton = ahocorasick.Automaton()
         for word in reached:
@@ -139,22 +143,32 @@ class RankEncoder:
 
     def packed(self, words: list[str]) -> list[bytes]:
         """Ids of each pre-token as little-endian 32-bit integers."""
-        if len(self.kept) > KEPT_WORDS:
-            self.kept.clear()
         kept = self.kept
+        if len(kept) > KEPT_WORDS:
+            kept.clear()
         found = list(map(kept.get, words))
-        if None in found:
-            for i, ids in enumerate(found):
-                if ids is None:
-                    w = words[i]
-                    ids = kept.get(w)
-                    if ids is None:
-                        ids = kept[w] = np.array(self.encode_bytes(w.encode("utf-8", "surrogatepass")), "<u4").tobytes()
-                    found[i] = ids
+        for n, ids in enumerate(found):
+            if ids is None:
+                w = words[n]
+                found[n] = kept[w] = array("I", self.encode_bytes(w.encode("utf-8", "surrogatepass"))).tobytes()
         return found
 
-    def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.word.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+    def encode_texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, and where those of each text end."""
+        words, which, counts = distinct_pretokens(texts)
+        packed = self.packed(words)
+        sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+        ids, ends = gather(np.frombuffer(b"".join(packed), np.uint32), sizes, which)
+        return ids, by_text(ends, counts)
+
+    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes of all ids, and where those of each id end.
+
+        An id that the vocabulary lacks is an error.
+        """
+        if len(ids) and (int(ids.max()) >= len(self.sizes) or not self.sizes[ids].all()):
+            raise ValueError("an id is not in the vocabulary")
+        return gather(self.bytes, self.sizes, ids)
 
 
 @functools.cache
@@ -179,17 +193,19 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(path)
         for batch in steps(batches, 1):
-            words, counts = pretokens(texts_of(batch, 1))
-            packed = bpe.packed(words)
+            ids, ends = bpe.encode_texts(texts_of(batch, 1))
+            if decodes:
+                plain, plain_ends = bpe.decode(ids)
+                plain_ends = np.append(0, plain_ends)[ends]
+            else:
+                plain, plain_ends = np.zeros(0, np.uint8), np.zeros_like(ends)
             got = {x: [] for x in outputs}
-            at = 0
-            for n in counts.tolist():
-                ids = b"".join(packed[at : at + n])
-                at += n
-                plain = bpe.decode(ids) if decodes else b""
-                row = {"n_tokens": len(ids) // 4, "ids": ids, "decoded": plain}
+            last = plain_last = 0
+            for end, plain_end in zip(ends.tolist(), plain_ends.tolist()):
+                row = {"n_tokens": end - last, "ids": ids[last:end].tobytes(), "decoded": plain[plain_last:plain_end].tobytes()}
+                last, plain_last = end, plain_end
                 for x in outputs:
-                    got[x].append(row[x] if x in row else hashlib.sha256(ids if x == "ids_sha256" else plain).hexdigest())
+                    got[x].append(row[x] if x in row else hashlib.sha256(row[x.removesuffix("_sha256")]).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array(got[x], OUTPUTS[x]) for x in outputs)], names=[key, *outputs])
 
@@ -208,7 +224,8 @@ def decode(encoded: DataFrame, vocabulary: str | None = None, key: str = "doc_id
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(path)
         for batch in batches:
-            out = [None if x is None else bpe.decode(x).decode("utf-8", "replace") for x in batch.column(1).to_pylist()]
+            packed = [x if x is None else bpe.decode(np.frombuffer(x, "<u4"))[0].tobytes() for x in batch.column(1).to_pylist()]
+            out = [x if x is None else x.decode("utf-8", "replace") for x in packed]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=[key, "text"])
 
     rows = encoded.select(key, ids)
