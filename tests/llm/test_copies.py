@@ -88,6 +88,25 @@ def test_classes_against_brute_force(spark, mixed):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(got.values()))
 
 
+def test_repeated_passages_do_not_hide_near_copies(spark):
+    """Pairs above and below the limit, one side with a passage that it repeats; and texts of
+    one set of shingles that repeat unequally."""
+    texts, n = {}, 0
+    for pair in range(60):
+        shared = [f"p{pair}w{i}" for i in range(160)]
+        own = [f"p{pair}x{i}" for i in range(15)]
+        other = 18 if pair % 6 else 40
+        texts[n] = " ".join(shared + own * 500)
+        texts[n + 1] = " ".join(shared + [f"p{pair}y{i}" for i in range(other)])
+        if pair % 3 == 0:
+            texts[n + 2] = " ".join(shared + own * 2)
+        n += 3
+    found = brute_classes(texts)
+    assert len(set(found.values())) == 70  # all pairs but those of the long other ends
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    assert {r["doc_id"]: r["class_id"] for r in minhash.classes(docs).collect()} == found
+
+
 def test_many_nodes_are_joined_without_a_broadcast(spark, monkeypatch):
     rng = random.Random(6)
     base = [f"b{i}" for i in range(80)]
