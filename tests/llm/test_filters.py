@@ -107,6 +107,46 @@ def test_license_scan_against_brute_force(spark, edges, nothing):
     assert licenses.label(nothing)[0].count() == 0
 
 
+def wrapped(text, at):
+    """A notice as a comment of lines of ``at`` words."""
+    words = text.split()
+    return "\n".join(" * " + " ".join(words[i : i + at]) for i in range(0, len(words), at))
+
+
+def brute_notices(text):
+    words, found = plain(text), {}
+    for notice, label in licenses.TEMPLATES.items():
+        sequence = licenses.words_of_notice(notice)
+        want, span = set(sequence), len(sequence) + len(sequence) // 4
+        for i in range(len(words)):
+            have = len(want & set(words[i : i + span]))
+            if 100 * have >= 80 * len(want):
+                found[label] = max(found.get(label, 0), have / len(want))
+    return found
+
+
+def test_wrapped_notices_against_brute_force(spark, edges, nothing):
+    texts = [f"/* Code of x.\n{wrapped(t, at)}\n */ int main" for t in licenses.TEMPLATES for at in (3, 8, 13)]
+    split = len(texts)
+    texts += [
+        "Released under an MIT License", "released under mit\nlicense", "", "the\n" * 300, "x\n\n".join(licenses.TEMPLATES),
+        "released " + "word " * 40 + "under the MIT License", "Licensed under the\r\n# Apache\r\n# License, Version 2.0",
+    ]
+    texts += [r["text"] for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("text").collect()]
+    found, name = licenses.notices(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3))
+    got = {r["doc_id"]: r for r in found.select("doc_id", f"{name}.*").collect()}
+    assert len(got) == len(texts)
+    for n, text in enumerate(texts):
+        want = brute_notices(text)
+        assert got[n]["labels"] == sorted(want), text[:200]
+        assert got[n]["score"] == pytest.approx(max(want.values(), default=0.0))
+    whole = [label for label in licenses.TEMPLATES.values() for _ in range(3)]
+    assert all(label in got[n]["labels"] for n, label in zip(range(split), whole))
+    labelled, _ = licenses.notices(edges)
+    assert labelled.columns[:-1] == edges.columns and labelled.count() == edges.count()
+    assert licenses.notices(nothing)[0].count() == 0
+
+
 # decontamination
 
 

@@ -13,6 +13,9 @@ The join finds every such pair:
 * what is left is verified on the whole sets.
 
 Words that no template has take no part.  All of it is DataFrame functions.
+
+``label`` finds notices within one line.  ``notices`` finds them in runs of words of about
+a template's length, wherever the text breaks its lines, by the same filters.
 """
 
 from __future__ import annotations
@@ -171,3 +174,76 @@ def label(docs: DataFrame, templates: dict[str, str] | None = None, phrases: dic
         F.array_sort(F.array_union(base, F.coalesce(hit_labels, none))).alias("labels"),
         F.when(F.size(places) > 0, 1.0).otherwise(F.coalesce(hit_score, F.lit(0.0))).alias("score"),
     ).alias(out)), out
+
+
+def _span(size: int) -> int:
+    """Words a run may have for a template of ``size`` words: a quarter more."""
+    return size + size // 4
+
+
+def _word_places(docs: DataFrame, row: str, text: str, vocabulary: list[str]) -> DataFrame:
+    """``row`` and ``known``: the words of the text that templates have (``at``, ``w``), in order."""
+    words = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(_WORD), F.lit(0))
+    placed = docs.select(F.col(row).alias("row"), F.transform(words, lambda w, i: F.struct(i.alias("at"), w.alias("w"))).alias("words"))
+    known = F.filter("words", lambda o: F.lower(o["w"]).isin(vocabulary) & (F.octet_length(o["w"]) == F.char_length(o["w"])))
+    return placed.select("row", F.transform(known, lambda o: F.struct(o["at"].alias("at"), F.lower(o["w"]).alias("w"))).alias("known"))
+
+
+def runs(places: DataFrame, templates: dict[str, str], percent: int = CONTAINED) -> DataFrame:
+    """Every row and template with a run of words that holds enough of it: ``row``,
+    ``label``, ``common`` (the most of a run) and ``size``.  ``places`` is read twice: a
+    written table."""
+    sequences = [(label, words_of_notice(text)) for text, label in templates.items()]
+    counted = places.select(F.explode(F.array_distinct(F.transform("known", lambda o: o["w"]))).alias("w")).groupBy("w").count().collect()
+    often = {r["w"]: r["count"] for r in counted}  # at most as many rows as the templates have words
+    order = sorted({w for _, ws in sequences for w in ws}, key=lambda w: (often.get(w, 0), w))
+    rank = {w: n for n, w in enumerate(order)}
+
+    rows = []
+    for n, (label, sequence) in enumerate(sequences):
+        ordered = sorted(set(sequence), key=rank.get)
+        need = needed(len(ordered), percent)
+        for w in ordered[: len(ordered) - need + 1]:
+            rows.append((w, n, label, need, _span(len(sequence)), ordered))
+    prefixes = places.sparkSession.createDataFrame(rows, "w string, template int, label string, need int, span int, t_words array<string>")
+
+    # a run that holds the word is within the widest span before and after it; known words
+    # are in order, so these are neighbours in the array
+    reach = max((r[4] for r in rows), default=1) - 1
+    indexed = F.filter(F.transform("known", lambda o, i: F.struct(i.alias("i"), o["at"].alias("at"), o["w"].alias("w"))), lambda x: x["w"].isin(sorted({r[0] for r in rows})))
+    probes = F.transform(indexed, lambda x: F.struct(
+        x["at"].alias("at"), x["w"].alias("w"), F.slice("known", F.greatest(x["i"] - reach, F.lit(0)) + 1, F.lit(2 * reach + 1)).alias("near")))
+    met = places.select("row", F.explode(probes).alias("p")).select("row", "p.*").join(F.broadcast(prefixes), "w")
+    met = met.withColumn("near", F.filter("near", lambda o: F.abs(o["at"] - F.col("at")) < F.col("span")))
+    # bound over all runs with the word, closer than by places: the template's words nearby
+    have = F.array_intersect("t_words", F.transform("near", lambda o: o["w"]))
+    possible = met.withColumn("have", have).where(F.size("have") >= F.col("need"))
+
+    def within(start: Column) -> Column:
+        run = F.filter("near", lambda o: (o["at"] >= start) & (o["at"] < start + F.col("span")))
+        return F.size(F.array_intersect(F.transform(run, lambda o: o["w"]), F.col("have")))
+
+    starts = F.transform(F.filter("near", lambda o: o["at"] <= F.col("at")), lambda o: o["at"])
+    common = F.array_max(F.transform(starts, within))
+    verified = possible.select("row", "template", "label", "need", common.alias("common"), F.size("t_words").alias("size")).where("common >= need")
+    return verified.groupBy("row", "template", "label", "size").agg(F.max("common").alias("common")).select("row", "label", "common", "size")
+
+
+def notices(docs: DataFrame, templates: dict[str, str] | None = None, text: str = "text", percent: int = CONTAINED) -> tuple[DataFrame, str]:
+    """All columns of ``docs`` and a struct of the notices in runs of words, across line
+    breaks: ``labels`` (distinct and sorted) and ``score`` (the largest share of a matched
+    template, else 0).  Returns the frame and its name."""
+    templates = TEMPLATES if templates is None else templates
+    row, out = free_name(docs, "notice_row"), free_name(docs, "notices")
+    # written with their numbers, so both reads give the same
+    numbered = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "notices")
+    vocabulary = sorted({w for x in templates for w in words_of_notice(x)})
+    places = materialize(_word_places(numbered, row, text, vocabulary), "notices")
+    best = runs(places, templates, percent).groupBy(F.col("row").alias(free_name(numbered, "hit_row"))).agg(
+        F.collect_set("label").alias(free_name(numbered, "hit_labels")), F.max(F.col("common") / F.col("size")).alias(free_name(numbered, "hit_score")))
+    hit_row, hit_labels, hit_score = best.columns
+    joined = numbered.join(best, F.col(row) == F.col(hit_row), "left")
+    return joined.select(*[F.col(f"`{c}`") for c in docs.columns], F.struct(
+        F.array_sort(F.coalesce(hit_labels, F.array().cast("array<string>"))).alias("labels"),
+        F.coalesce(hit_score, F.lit(0.0)).alias("score"),
+    ).alias(out)), out
