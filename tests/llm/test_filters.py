@@ -118,9 +118,11 @@ def brute_notices(text):
     for notice, label in licenses.TEMPLATES.items():
         sequence = licenses.words_of_notice(notice)
         want, span = set(sequence), len(sequence) + len(sequence) // 4
+        told = [f" {p} " for p in licenses.TELLING if f" {p} " in f" {' '.join(sequence)} "]
         for i in range(len(words)):
-            have = len(want & set(words[i : i + span]))
-            if 100 * have >= 80 * len(want):
+            run = words[i : i + span]
+            have = len(want & set(run))
+            if 100 * have >= 80 * len(want) and all(p in f" {' '.join(run)} " for p in told):
                 found[label] = max(found.get(label, 0), have / len(want))
     return found
 
@@ -147,6 +149,21 @@ def test_wrapped_notices_against_brute_force(spark, edges, nothing):
     assert licenses.notices(nothing)[0].count() == 0
 
 
+def test_notices_are_told_apart(spark):
+    gpl, other = "This work is licensed under the GNU General Public License, version", "Creative Commons Attribution"
+    texts = {
+        gpl + " 2": ["gpl-2.0"], gpl + " 3": ["gpl-3.0"], gpl + "\n3\n2 things": ["gpl-3.0"], f"{gpl} 2. {gpl} 3.": ["gpl-2.0", "gpl-3.0"],
+        gpl + " 3 or the Apache License, Version 2.0": ["gpl-3.0"],
+        "Licensed under CC BY-NC 4.0": ["cc-by-nc-4.0"], "Licensed under CC BY-SA 4.0": ["cc-by-sa-4.0"], "Licensed under CC BY-NC-SA 4.0": [],
+        f"This work is licensed under a {other} 4.0 International License": ["cc-by-4.0"],
+        f"This work is licensed under a {other}-ShareAlike 4.0 International License": [],
+        "Released under the MIT License": ["mit"], "Released under the X License": [], "released " + "x " * 50 + "under MIT license": [],
+    }
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    found, name = licenses.notices(docs)
+    assert {r["text"]: r[name]["labels"] for r in found.collect()} == texts
+
+
 # decontamination
 
 

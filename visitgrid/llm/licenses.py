@@ -15,7 +15,8 @@ The join finds every such pair:
 Words that no template has take no part.  All of it is DataFrame functions.
 
 ``label`` finds notices within one line.  ``notices`` finds them in runs of words of about
-a template's length, wherever the text breaks its lines, by the same filters.
+a template's length, wherever the text breaks its lines, by the same filters; a run must
+also hold the words that tell templates apart, in their order.
 """
 
 from __future__ import annotations
@@ -50,6 +51,11 @@ TEMPLATES = {
     "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0": "mpl-2.0",
     "This is free and unencumbered software released into the public domain": "unlicense",
 }
+#: Words that tell notices apart: a notice that has them needs them, next to each other.
+TELLING = (
+    "apache license version 2", "attribution 4", "by nc 4", "by sa 4", "gnu general public license", "mit license",
+    "mozilla public license v 2", "public license version 2", "public license version 3", "unencumbered software",
+)
 #: Share of a template's words that a block must hold, in percent.
 CONTAINED = 80
 _WORD = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
@@ -181,18 +187,31 @@ def _span(size: int) -> int:
     return size + size // 4
 
 
-def _word_places(docs: DataFrame, row: str, text: str, vocabulary: list[str]) -> DataFrame:
-    """``row`` and ``known``: the words of the text that templates have (``at``, ``w``), in order."""
+def _told(sequence: list[str], telling: tuple[str, ...]) -> list[str]:
+    """Those of the phrases that a notice has."""
+    return [p for p in telling if f" {p} " in f" {' '.join(sequence)} "]
+
+
+def _word_places(docs: DataFrame, row: str, text: str, vocabulary: list[str], telling: tuple[str, ...]) -> DataFrame:
+    """``row`` and ``known``: the words of the text that templates have (``at``, ``w``), in
+    order; with ``tail``, the text's words up to it, where it may end a telling phrase."""
+    longest = max((len(p.split(" ")) for p in telling), default=1)
+    last = sorted({p.split(" ")[-1] for p in telling})
     words = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(_WORD), F.lit(0))
     placed = docs.select(F.col(row).alias("row"), F.transform(words, lambda w, i: F.struct(i.alias("at"), w.alias("w"))).alias("words"))
     known = F.filter("words", lambda o: F.lower(o["w"]).isin(vocabulary) & (F.octet_length(o["w"]) == F.char_length(o["w"])))
-    return placed.select("row", F.transform(known, lambda o: F.struct(o["at"].alias("at"), F.lower(o["w"]).alias("w"))).alias("known"))
 
+    def tail(o: Column) -> Column:
+        before = F.slice("words", F.greatest(o["at"] - (longest - 1), F.lit(0)) + 1, F.least(o["at"], F.lit(longest - 1)) + 1)
+        return F.when(F.lower(o["w"]).isin(last), F.concat(F.lit(" "), F.array_join(F.transform(before, lambda x: F.lower(x["w"])), " ")))
+
+    return placed.select("row", F.transform(known, lambda o: F.struct(o["at"].alias("at"), F.lower(o["w"]).alias("w"), tail(o).alias("tail"))).alias("known"))
 
-def runs(places: DataFrame, templates: dict[str, str], percent: int = CONTAINED) -> DataFrame:
-    """Every row and template with a run of words that holds enough of it: ``row``,
-    ``label``, ``common`` (the most of a run) and ``size``.  ``places`` is read twice: a
-    written table."""
+
+def runs(places: DataFrame, templates: dict[str, str], percent: int = CONTAINED, telling: tuple[str, ...] = TELLING) -> DataFrame:
+    """Every row and template with a run of words that holds enough of it, and what tells
+    it from others: ``row``, ``label``, ``common`` (the most of a run) and ``size``.
+    ``places`` is read twice: a written table."""
     sequences = [(label, words_of_notice(text)) for text, label in templates.items()]
     counted = places.select(F.explode(F.array_distinct(F.transform("known", lambda o: o["w"]))).alias("w")).groupBy("w").count().collect()
     often = {r["w"]: r["count"] for r in counted}  # at most as many rows as the templates have words
@@ -204,8 +223,8 @@ def runs(places: DataFrame, templates: dict[str, str], percent: int = CONTAINED)
         ordered = sorted(set(sequence), key=rank.get)
         need = needed(len(ordered), percent)
         for w in ordered[: len(ordered) - need + 1]:
-            rows.append((w, n, label, need, _span(len(sequence)), ordered))
-    prefixes = places.sparkSession.createDataFrame(rows, "w string, template int, label string, need int, span int, t_words array<string>")
+            rows.append((w, n, label, need, _span(len(sequence)), ordered, [(" " + p, p.count(" ")) for p in _told(sequence, telling)]))
+    prefixes = places.sparkSession.createDataFrame(rows, "w string, template int, label string, need int, span int, t_words array<string>, told array<struct<phrase:string,before:int>>")
 
     # a run that holds the word is within the widest span before and after it; known words
     # are in order, so these are neighbours in the array
@@ -221,7 +240,8 @@ def runs(places: DataFrame, templates: dict[str, str], percent: int = CONTAINED)
 
     def within(start: Column) -> Column:
         run = F.filter("near", lambda o: (o["at"] >= start) & (o["at"] < start + F.col("span")))
-        return F.size(F.array_intersect(F.transform(run, lambda o: o["w"]), F.col("have")))
+        has = F.forall("told", lambda t: F.exists(run, lambda o: (o["at"] - t["before"] >= start) & F.coalesce(F.endswith(o["tail"], t["phrase"]), F.lit(False))))
+        return F.when(has, F.size(F.array_intersect(F.transform(run, lambda o: o["w"]), F.col("have")))).otherwise(0)
 
     starts = F.transform(F.filter("near", lambda o: o["at"] <= F.col("at")), lambda o: o["at"])
     common = F.array_max(F.transform(starts, within))
@@ -229,7 +249,9 @@ def runs(places: DataFrame, templates: dict[str, str], percent: int = CONTAINED)
     return verified.groupBy("row", "template", "label", "size").agg(F.max("common").alias("common")).select("row", "label", "common", "size")
 
 
-def notices(docs: DataFrame, templates: dict[str, str] | None = None, text: str = "text", percent: int = CONTAINED) -> tuple[DataFrame, str]:
+def notices(
+    docs: DataFrame, templates: dict[str, str] | None = None, text: str = "text", percent: int = CONTAINED, telling: tuple[str, ...] = TELLING,
+) -> tuple[DataFrame, str]:
     """All columns of ``docs`` and a struct of the notices in runs of words, across line
     breaks: ``labels`` (distinct and sorted) and ``score`` (the largest share of a matched
     template, else 0).  Returns the frame and its name."""
@@ -238,8 +260,8 @@ def notices(docs: DataFrame, templates: dict[str, str] | None = None, text: str
     # written with their numbers, so both reads give the same
     numbered = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "notices")
     vocabulary = sorted({w for x in templates for w in words_of_notice(x)})
-    places = materialize(_word_places(numbered, row, text, vocabulary), "notices")
-    best = runs(places, templates, percent).groupBy(F.col("row").alias(free_name(numbered, "hit_row"))).agg(
+    places = materialize(_word_places(numbered, row, text, vocabulary, telling), "notices")
+    best = runs(places, templates, percent, telling).groupBy(F.col("row").alias(free_name(numbered, "hit_row"))).agg(
         F.collect_set("label").alias(free_name(numbered, "hit_labels")), F.max(F.col("common") / F.col("size")).alias(free_name(numbered, "hit_score")))
     hit_row, hit_labels, hit_score = best.columns
     joined = numbered.join(best, F.col(row) == F.col(hit_row), "left")
