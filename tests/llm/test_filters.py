@@ -149,6 +149,14 @@ def test_wrapped_notices_against_brute_force(spark, edges, nothing):
     assert licenses.notices(nothing)[0].count() == 0
 
 
+def test_labels_of_absent_documents_take_no_place(spark):
+    labels = spark.createDataFrame([(n, n % 2) for n in range(3000)], "doc_id bigint, toxic int")
+    docs = spark.createDataFrame([(n, f"text {n}") for n in range(2900, 3000)], "doc_id bigint, text string")
+    for limit, rows in ((60, 60), (500, 100)):
+        sample = toxicity.sample_of(docs.union(docs.limit(5)), labels, limit, "doc_id", "text", "toxic")
+        assert sample.count() == rows
+
+
 def test_notices_are_told_apart(spark):
     gpl, other = "This work is licensed under the GNU General Public License, version", "Creative Commons Attribution"
     texts = {
