@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import archives, bpe, chat, decontamination, licenses, minhash, quality, tokenfile, toxicity, unigram
+from . import archives, bpe, chat, collocations, decontamination, licenses, minhash, quality, tokenfile, toxicity, unigram
 from .common import materialize, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -238,3 +238,34 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     forged = spark.createDataFrame([(-1, 0, "user", _FORGED), (-1, 1, "assistant", _FORGED)], "conv_id bigint, turn bigint, role string, text string")
     return chat.read_back(chat.format_conversations(turns.union(forged)))
+
+
+@register("op12_collocations", f"""
+WITH t AS (
+  SELECT coalesce(lang, '{collocations.UNKNOWN_LANG}') AS lang,
+    unnest(string_split_regex({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM t),
+g AS (
+  SELECT lang, words[i : i + size - 1] AS phrase, size, count(*)::HUGEINT AS f
+  FROM (SELECT lang, words, size, unnest(range(1, len(words) - size + 2)) AS i FROM p, range(1, 6) AS sizes(size)) GROUP BY ALL
+), n AS (SELECT lang, sum(f)::HUGEINT AS n FROM g WHERE size = 1 GROUP BY 1),
+often AS (SELECT * FROM g WHERE f >= {collocations.LEAST}),
+c AS (SELECT * FROM often WHERE size > 1),
+inside AS (
+  SELECT DISTINCT c.lang, c.phrase FROM c JOIN (
+    SELECT lang, f, phrase[2 :] AS part FROM c UNION ALL SELECT lang, f, phrase[: -2] FROM c
+  ) AS longer ON longer.lang = c.lang AND longer.part = c.phrase AND 100 * longer.f >= 100 * c.f
+), cuts AS (
+  SELECT c.lang, c.phrase, c.f AS a, k, l.f AS l, r.f AS r, n.n, (1000::HUGEINT * c.f * n.n) // (l.f * r.f) AS score
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM c) AS c JOIN n USING (lang)
+  JOIN often AS l ON l.lang = c.lang AND l.phrase = c.phrase[: k] JOIN often AS r ON r.lang = c.lang AND r.phrase = c.phrase[k + 1 :]
+), best AS (
+  SELECT * FROM cuts ANTI JOIN inside USING (lang, phrase) QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(phrase, ' ')) AS rank,
+  array_to_string(phrase, ' ') AS phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM best QUALIFY rank <= {collocations.TOP}
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 best phrases of each language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
