@@ -39,8 +39,8 @@ LEAST, LONGEST, TOP = 100, 5, 2000
 WIDEN = 64
 #: Bits of a bitmap (8 MB), whatever the number of phrases in it.
 BITMAP_BITS = 26
-#: Bytes of text in one step, and words of runs counted together.
-STEP, BLOCK = 4 << 20, 2 << 20
+#: Words of runs counted together, and at most in one row of runs.
+BLOCK, ROW = 1 << 20, 1 << 16
 UNKNOWN_LANG = "und"
 
 _BREAKS = np.zeros(256, bool)
@@ -97,7 +97,7 @@ def count_words(docs: DataFrame, seed: int) -> DataFrame:
     table = _byte_table()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, 0, STEP):
+        for batch in steps(batches, 0):
             words, langs = words_of(batch.column(0), table), _langs(batch)
             if not len(words.starts):
                 continue
@@ -166,7 +166,7 @@ def frequent_runs(docs: DataFrame, frequent: DataFrame, seed: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
-        for batch in steps(batches, 0, STEP):
+        for batch in steps(batches, 0):
             words = words_of(batch.column(0), table)
             if bits is None or not len(words.starts):
                 continue
@@ -182,7 +182,10 @@ def frequent_runs(docs: DataFrame, frequent: DataFrame, seed: int) -> DataFrame:
             place = np.cumsum(inside.astype(np.int64) + last)
             out = np.zeros(int(place[-1]), np.uint64)
             out[(place - 1 - last)[inside]] = h[inside]
-            yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], names=["run"])
+            ends = np.flatnonzero(out == 0) + 1
+            ends = np.unique(ends[np.minimum(np.searchsorted(ends, np.arange(ROW, len(out) + ROW, ROW)), len(ends) - 1)])
+            rows = [out[a:b].tobytes() for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["run"])
 
     return docs.mapInArrow(run, "run binary")
 
@@ -221,18 +224,20 @@ def _count_block(words: np.ndarray, wanted: Wanted) -> Iterator[pa.RecordBatch]:
         new = np.ones(len(at), bool)
         new[1:] = (table[1:] != table[:-1]).any(axis=1)  # words themselves: a clash of hashes only splits a group
         first = np.flatnonzero(new)
-        before, after = padded[at].view(np.int64), padded[at + size + 1].view(np.int64)
-        yield pa.RecordBatch.from_arrays([
-            _keys(table[first]), pa.array(np.diff(np.append(first, len(at)))),
-            *(pa.array(f.reduceat(x, first)) for x in (before, after) for f in (np.minimum, np.maximum)),
-        ], names=_COUNTED)
+        sides = []
+        for beside in (padded[at], padded[at + size + 1]):
+            low = np.minimum.reduceat(beside, first)
+            only = np.where(low == np.maximum.reduceat(beside, first), low, np.uint64(0)).view(np.int64)  # 0: not one alone
+            sides += [pa.array(only), pa.array(only)]
+        yield pa.RecordBatch.from_arrays([_keys(table[first]), pa.array(np.diff(np.append(first, len(at)))), *sides], names=_COUNTED)
 
 
 _COUNTED = ["key", "a", "before_lo", "before_hi", "after_lo", "after_hi"]
 
 
 def count_phrases(runs: DataFrame, wanted: Wanted) -> DataFrame:
-    """Exact counts and outermost neighbours of all phrases that the bitmaps let through."""
+    """Exact counts of all phrases that the bitmaps let through, and the smallest and largest
+    of the words that stand alone before or after them in a block (0 where several do)."""
     shared = runs.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
