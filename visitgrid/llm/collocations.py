@@ -32,15 +32,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialize, steps
-from .words import Words, factors, mix, words_of
+from .words import Words, column_bytes, factors, mix, words_of
 
 LEAST, LONGEST, TOP = 100, 5, 2000
 #: Each batch takes prefixes whose first word occurs up to so many times as often as before.
 WIDEN = 64
 #: Bits of a bitmap (8 MB), whatever the number of phrases in it.
 BITMAP_BITS = 26
-#: Words of runs counted together, and at most in one row of runs.
-BLOCK, ROW = 1 << 20, 1 << 16
+#: Bytes of runs counted together, and words in one row of runs (more only if a run is
+#: longer), so that a batch of rows stays small.
+BLOCK, ROW = 8 << 20, 1 << 9
 UNKNOWN_LANG = "und"
 
 _BREAKS = np.zeros(256, bool)
@@ -241,16 +242,8 @@ def count_phrases(runs: DataFrame, wanted: Wanted) -> DataFrame:
     shared = runs.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for batch in batches:
-            for blob in batch.column(0):
-                held.append(np.frombuffer(blob.as_buffer(), "<u8"))
-                size += len(held[-1])
-                if size >= BLOCK:
-                    yield from _count_block(np.concatenate(held), shared.value)
-                    held, size = [], 0
-        if held:
-            yield from _count_block(np.concatenate(held), shared.value)
+        for batch in steps(batches, 0, BLOCK):
+            yield from _count_block(column_bytes(batch.column(0))[0].view("<u8"), shared.value)
 
     counted = runs.mapInArrow(run, "key binary, " + ", ".join(f"{c} bigint" for c in _COUNTED[1:]))
     return counted.groupBy("key").agg(
