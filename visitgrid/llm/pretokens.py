@@ -79,16 +79,45 @@ def pretokens(texts: list[str]) -> tuple[list[str], np.ndarray]:
 
 def distinct_pretokens(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Distinct pre-tokens, for each pre-token in order which of them it is, and how many
-    pre-tokens each text has.
+    pre-tokens each text has."""
+    if not texts:
+        return [], np.zeros(0, np.int64), np.zeros(0, np.int64)
+    joined, points, starts, stops, counts = _split(texts)
+    return *_distinct(joined, points, starts, stops), counts
 
-    Only the distinct ones become strings: equal ones are found by a 64-bit hash, and a
-    second hash confirms it (should it ever not, the strings are compared).
+
+def distinct_segments(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The same for segments: from a U+0020 that does not follow white space to the next.
+
+    No pre-token goes on over such a place.  Texts start with a segment whatever they start with.
     """
     if not texts:
         return [], np.zeros(0, np.int64), np.zeros(0, np.int64)
-    joined, points, starts, stops, counts = _split(texts)
+    joined = "\0".join(texts) + "\0"
+    points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    ends = np.cumsum(sizes + 1) - 1
+    starts = np.zeros(len(points) + 1, bool)
+    starts[1:-1] = (points[1:] == 32) & (class_table()[points[:-1]] != SPACE)
+    starts[ends + 1] = True
+    starts[0] = True
+    starts[ends] = True  # the mark behind each text, left out below
+    places = np.flatnonzero(starts[:-1])
+    stops = np.append(places[1:], len(points))
+    real = np.ones(len(places), bool)
+    real[np.searchsorted(places, ends)] = False
+    counts = np.diff(np.flatnonzero(~real), prepend=-1) - 1
+    return *_distinct(joined, points, places[real], stops[real]), counts
+
+
+def _distinct(joined: str, points: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """Distinct slices, and which of them each slice is.
+
+    Only the distinct ones become strings: equal ones are found by a 64-bit hash, and a
+    second hash confirms it (should it ever not, the strings are compared).
+    """
     if not len(starts):
-        return [], np.zeros(0, np.int64), counts
+        return [], np.zeros(0, np.int64)
     sizes = stops - starts
     ends = np.cumsum(sizes)
     place = np.arange(int(ends[-1])) - np.repeat(ends - sizes, sizes)
@@ -99,8 +128,8 @@ def distinct_pretokens(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndar
     if not np.array_equal(two[first][which], two):
         words = [joined[a:b] for a, b in zip(starts.tolist(), stops.tolist())]
         known = {w: n for n, w in enumerate(dict.fromkeys(words))}
-        return list(known), np.fromiter(map(known.__getitem__, words), np.int64, len(words)), counts
-    return [joined[a:b] for a, b in zip(starts[first].tolist(), stops[first].tolist())], which, counts
+        return list(known), np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+    return [joined[a:b] for a, b in zip(starts[first].tolist(), stops[first].tolist())], which
 
 
 def gather(values: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

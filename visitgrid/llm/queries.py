@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import archives, bpe, chat, collocations, decontamination, licenses, minhash, quality, tokenfile, toxicity, unigram
+from . import alignment, archives, bpe, chat, collocations, decontamination, licenses, minhash, neighbours, quality, tokenfile, toxicity, unigram
 from .common import materialize, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -269,3 +269,21 @@ FROM best QUALIFY rank <= {collocations.TOP}
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 2000 best phrases of each language."""
     return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@register("op13_token_alignment")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between the tokens of two vocabularies in every document."""
+    return alignment.link_counts(table(spark, sf_dir, "documents"))
+
+
+@register("op11_neighbour_votes")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by its labelled neighbours; held-out labels are never seen."""
+    docs = table(spark, sf_dir, "documents")
+    model = neighbours.train_on_open_rows(docs, table(spark, sf_dir, "labels"))
+    scored, name = neighbours.score(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id", neighbours.held_out().alias("held_out"), F.col(name).alias("score"),
+        (F.col(name) >= neighbours.THRESHOLD).cast("int").alias("predicted"),
+    )
