@@ -22,7 +22,7 @@ def test_numbering_equals_brute_force(spark, seed):
     rng = random.Random(seed)
     rows = [(("hot" if rng.random() < 0.4 else rng.choice(["a", "b", None, "c"])), rng.randrange(40), i) for i in range(900)]
     frame = spark.createDataFrame(rows, "k string, v int, id int").repartition(5)
-    got = {r["id"]: r["n"] for r in numbering.number_rows(frame, ["v", "id"], ["k"], "n", slices=16).collect()}
+    got = {r["id"]: r["n"] for r in numbering.number_rows(frame, ["v", "id"], ["k"], "n", slices=16, hot_rows=200).collect()}
     want = {}
     for key in {r[0] for r in rows}:
         for i, row in enumerate(sorted((r for r in rows if r[0] == key), key=lambda r: r[1:]), start=1):
@@ -37,7 +37,7 @@ def test_numbering_of_copies_and_ties(spark, key):
     rng = random.Random(3)
     rows = [("hot", 5, "same") if rng.random() < 0.4 else (rng.choice(["hot", "a", None]), rng.choice([5, 6]), str(i)) for i in range(800)]
     frame = spark.createDataFrame(rows, "k string, v int, t string").repartition(4)
-    got = [tuple(r) for r in numbering.number_rows(frame, ["v"], key, "n", slices=16).collect()]
+    got = [tuple(r) for r in numbering.number_rows(frame, ["v"], key, "n", slices=16, hot_rows=200).collect()]
     assert sorted(map(repr, (g[:3] for g in got))) == sorted(map(repr, rows))
     groups = {}
     for k, v, _, n in got:
@@ -50,12 +50,28 @@ def test_numbering_of_copies_and_ties(spark, key):
 
 def test_numbering_spreads_a_hot_key(spark):
     frame = spark.range(20000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
-    plan = numbering.number_rows(frame, ["id"], ["k"], "n", slices=16)
+    plan = numbering.number_rows(frame, ["id"], ["k"], "n", slices=16, hot_rows=1000)
     hot = plan.where("k = 'hot'")
     assert hot.agg(F.min("n"), F.max("n"), F.count_distinct("n")).first()[:] == (1, 6667, 6667)
     assert frame.sparkSession.range(0).count() == 0 and numbering.number_rows(frame.where("false"), ["id"]).count() == 0
 
 
+def test_numbering_spreads_copies_with_nested_columns(spark):
+    """Equal rows, nested columns among them, are dealt out over ranges; the plan names none of the ranges."""
+    frame = spark.range(6000).select(F.array(F.lit(1)).alias("v"), F.create_map(F.lit("k"), F.lit(2)).alias("m"), F.lit("same").alias("t")).repartition(3)
+    got = numbering.number_rows(frame, ["t"], out="n", slices=500)
+    assert got.agg(F.min("n"), F.max("n"), F.count_distinct("n")).first()[:] == (1, 6000, 6000)
+    files = spark.read.parquet(*got.inputFiles()).groupBy(F.input_file_name()).count()
+    assert files.count() > 100 and files.agg(F.max("count")).first()[0] < 200
+    assert len(got._jdf.queryExecution().optimizedPlan().toString()) < 5000
+
+
+def test_path_order_is_by_parts(spark):
+    paths = ["/in/a-b/1", "/in/a/b/1", "/in/a/1", "/in/a.b/1", "/in/a", "/in/a b/1", "/in/A/1", "/in/a/b-c", "/in/é/1"]
+    got = {r["source_path"]: r["qaid"] for r in numbering.visit_ids(spark.createDataFrame([(p,) for p in paths], "source_path string"), base=7).collect()}
+    assert got == {p: n for n, p in enumerate(sorted(paths, key=lambda p: p.split("/")), 8)}
+
+
 def test_row_ranges(spark):
     rng = random.Random(5)
     cells, grid = [], {}

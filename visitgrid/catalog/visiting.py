@@ -177,13 +177,13 @@ def visit_year_query(spark, sf_dir):
 
 
 @query("visit_id_assign", """
-SELECT '/in/' || o_orderpriority || '/' || CAST(o_orderkey AS VARCHAR) || '.xlsm' AS source_path,
-       row_number() OVER (ORDER BY '/in/' || o_orderpriority || '/' || CAST(o_orderkey AS VARCHAR) || '.xlsm') AS qaid
-FROM orders
+SELECT source_path, row_number() OVER (ORDER BY string_split(source_path, '/')) AS qaid
+FROM (SELECT '/in/' || ['a', 'a-b', 'a/b', 'a b', 'a.b'][1 + o_custkey % 5] || '/' || o_orderpriority || '/' || CAST(o_orderkey AS VARCHAR) || '.xlsm' AS source_path FROM orders)
 """)
 def visit_id_assign(spark, sf_dir):
-    """Visit id = position of the file in path order."""
-    path = F.concat(F.lit("/in/"), F.col("o_orderpriority"), F.lit("/"), F.col("o_orderkey").cast("string"), F.lit(".xlsm"))
+    """Visit id = position of the file in path order: folder by folder, so ``a/b`` before ``a-b``."""
+    folder = F.get(F.array(*map(F.lit, ("a", "a-b", "a/b", "a b", "a.b"))), (F.col("o_custkey") % 5).cast("int"))
+    path = F.concat(F.lit("/in/"), folder, F.lit("/"), F.col("o_orderpriority"), F.lit("/"), F.col("o_orderkey").cast("string"), F.lit(".xlsm"))
     return numbering.visit_ids(table(spark, sf_dir, "orders").select(path.alias("source_path")))
 
 

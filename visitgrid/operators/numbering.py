@@ -2,58 +2,39 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .frames import rule_frame
+from ..session import materialize
 
-_SAMPLES_PER_SLICE = 20
-_COPIES_PER_CHUNK = 100_000
-ROWS_PER_SLICE = 1_000_000
-_TIE = "_nested_text"
+#: A key with more rows than this is numbered over several tasks.
+HOT_ROWS = 1_000_000
+#: ``monotonically_increasing_id`` has the partition above these bits, the place in it below.
+_PLACE_BITS = 33
+_TIE, _SALT, _AT, _RANGE = "_nested_text", "_copy", "_at", "_range"
 _NESTED = (T.ArrayType, T.MapType, T.StructType, T.BinaryType, T.VariantType)
 
 
-def _slice_number(key: Column, edges: list[tuple[Column, bool]], first: int = 0) -> Column:
-    """Balanced decision tree over sorted edges: log2(n) comparisons per row.
+def _by_ranges(df: DataFrame, keys: Sequence[str], out: str, slices: int | None) -> DataFrame:
+    """Add ``out`` = 1, 2, 3 ... over all rows in the order of ``keys``.
 
-    An edge lies before its bound, or after it where the flag is set.
+    Rows are dealt out by ranges of their keys and sorted within each; a row's number is
+    its place in its range and the number of rows in all ranges before it.  That offset
+    table has a row for each range.  A random last key spreads equal rows over ranges.  Both
+    the salted and the sorted rows are written, so a lost executor changes neither.
     """
-    if not edges:
-        return F.lit(first)
-    middle = len(edges) // 2
-    bound, after = edges[middle]
-    left = key <= bound if after else key < bound
-    return F.when(left, _slice_number(key, edges[:middle], first)).otherwise(
-        _slice_number(key, edges[middle + 1 :], first + middle + 1)
-    )
-
-
-def _sample(df: DataFrame, keys: Sequence[str], slices: int) -> list[tuple]:
-    """Sorted sample of a fixed number of key tuples."""
-    few = df.select(*keys).orderBy(F.rand(7)).limit(slices * _SAMPLES_PER_SLICE)
-    return [tuple(row) for row in few.sortWithinPartitions(*keys).collect()]  # a limit is one partition
-
-
-def _frequent(sample: list[tuple]) -> list[tuple]:
-    """Tuples that would fill more than two slices on their own."""
-    return [key for key, n in Counter(sample).items() if n > 2 * _SAMPLES_PER_SLICE]
-
-
-def _copies(spark: SparkSession, rows: list[dict], schema: str, out: str) -> DataFrame:
-    """Numbered copies of equal rows, made in chunks that are spread over tasks."""
-    first = rule_frame(spark, rows, f"{schema}, _start bigint, _count bigint")
-    end = F.col("_start") + F.col("_count") - 1
-    chunks = first.withColumn("_end", end).withColumn(
-        "_from", F.explode(F.sequence("_start", "_end", F.lit(_COPIES_PER_CHUNK).cast("bigint")))
-    )
-    to = F.least(F.col("_from") + _COPIES_PER_CHUNK - 1, F.col("_end"))
-    return chunks.repartition("_from").withColumn(out, F.explode(F.sequence("_from", to))).drop(
-        "_start", "_count", "_end", "_from")
+    salted = materialize(df.withColumn(_SALT, F.rand()), "numbering-salted")
+    order = [*keys, _SALT]
+    ranged = salted.repartitionByRange(slices, *order) if slices else salted.repartitionByRange(*order)
+    placed = ranged.sortWithinPartitions(*order).drop(_SALT).withColumn(_AT, F.monotonically_increasing_id())
+    placed = materialize(placed, "numbering-ranges").withColumn(_RANGE, F.shiftright(_AT, _PLACE_BITS))
+    before = F.sum("_rows").over(Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1))
+    sizes = placed.groupBy(_RANGE).agg(F.count(_AT).alias("_rows")).withColumn("_before", F.coalesce(before, F.lit(0)))
+    place = F.col(_AT).bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
+    return placed.join(F.broadcast(sizes.drop("_rows")), _RANGE).withColumn(out, place + 1 + F.col("_before")).drop(_RANGE, _AT, "_before")
 
 
 def number_rows(
@@ -62,82 +43,44 @@ def number_rows(
     partition_by: Sequence[str] = (),
     out: str = "row_no",
     slices: int | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add ``out`` = 1, 2, 3 ... in ascending order of ``order_by`` within each key.
 
-    Rows are cut into value ranges of (key, order): a sample gives the edges, so a
-    key that holds a third of all rows is spread over many ranges while a small key
-    stays in one.  Each range is numbered on its own; a key that crosses an edge
-    gets the number of its rows in earlier ranges added.  Only keys found among the
-    edges can cross one, so that offset table has a bounded number of rows.
+    Without a key, and for keys of more than ``hot_rows`` rows, rows are numbered by
+    ranges (``_by_ranges``); such a key's numbers then start at that of its first row.  All
+    other keys are numbered by a window.  ``slices`` is the number of ranges; without it
+    the session's shuffle partitions and adaptive execution set it.
 
     The other columns always extend the order, nested ones by their JSON text, so the
-    order is total up to rows that are equal in all columns.  Copies that would fill a
-    range on their own are counted, not sorted, and written out again in chunks (where
-    no column is nested).  The result does not depend on the sample.  Without ``slices``
-    there is one range per million rows, 64 at least.
+    order is total up to rows that are equal in all columns, and which of those gets which
+    number makes no difference.
     """
-    spark = df.sparkSession
     wanted_columns = [*df.columns, out]
-    if slices is None:
-        slices = max(64, -(-df.count() // ROWS_PER_SLICE))
     nested = [f.name for f in df.schema if isinstance(f.dataType, _NESTED)]
     if nested:
         df = df.withColumn(_TIE, F.to_json(F.struct(*nested)))
-    types = {f.name: f.dataType for f in df.schema}
     keys = [*partition_by, *order_by]
     keys += [c for c in df.columns if c not in keys and c not in nested]
-    sample = _sample(df, keys, slices)
-    copies = set() if nested else set(_frequent(sample))
-
-    step = max(1, len(sample) // slices)
-    wanted = {*sample[step::step], *copies}
-    bounds = [key for key in dict.fromkeys(sample) if key in wanted]  # in sample order
-    if not bounds:
-        window = Window.partitionBy(*partition_by).orderBy(*keys)
-        return df.withColumn(out, F.row_number().over(window).cast("bigint")).select(*wanted_columns)
-
-    edges, copy_slice = [], {}
-    for key in bounds:
-        literal = F.struct(*[F.lit(v).cast(types[k]).alias(k) for k, v in zip(keys, key)])
-        edges.append((literal, False))
-        if key in copies:
-            copy_slice[len(edges)] = key  # the range between the two edges of this row
-            edges.append((literal, True))
-    sliced = df.withColumn("_slice", _slice_number(F.struct(*keys), edges))
-
-    schema = "".join(f", `{k}` {types[k].simpleString()}" for k in partition_by)
-    crossing = sliced
-    if partition_by:
-        edge_keys = dict.fromkeys(key[: len(partition_by)] for key in bounds)
-        table = rule_frame(spark, [dict(zip(partition_by, key)) for key in edge_keys], schema[2:])
-        same = [F.col(f"d.{k}").eqNullSafe(F.col(f"e.{k}")) for k in partition_by]
-        crossing = sliced.alias("d").join(table.alias("e"), same, "left_semi")
-    before, offsets, made = Counter(), [], []
-    for row in sorted(crossing.groupBy("_slice", *partition_by).count().collect(), key=lambda r: r["_slice"]):
-        key = tuple(row[k] for k in partition_by)
-        if row["_slice"] in copy_slice:
-            values = dict(zip(keys, copy_slice[row["_slice"]]))
-            made.append({**values, "_start": before[key] + 1, "_count": row["count"]})
-        elif before[key]:
-            offsets.append({"_slice": row["_slice"], "_before": before[key], **dict(zip(partition_by, key))})
-        before[key] += row["count"]
-
-    single = sliced.where(~F.col("_slice").isin(list(copy_slice))) if copy_slice else sliced
-    inner = Window.partitionBy("_slice", *partition_by).orderBy(*keys[len(partition_by):])
-    numbered = single.withColumn(out, F.row_number().over(inner).cast("bigint"))
-    if offsets:
-        table = rule_frame(spark, offsets, f"_slice int, _before bigint{schema}")
-        on = [F.col("n._slice") == F.col("o._slice")]
-        on += [F.col(f"n.{k}").eqNullSafe(F.col(f"o.{k}")) for k in partition_by]
-        total = F.col(f"n.{out}") + F.coalesce("o._before", F.lit(0))
-        numbered = numbered.alias("n").join(table.alias("o"), on, "left").select(
-            *[F.col(f"n.{c}") for c in df.columns], total.alias(out))
-    numbered = numbered.select(*df.columns, out)
-    if made:
-        columns = ", ".join(f"`{k}` {types[k].simpleString()}" for k in keys)
-        numbered = numbered.unionByName(_copies(spark, made, columns, out))
-    return numbered.select(*wanted_columns)
+    if not partition_by:
+        return _by_ranges(df, keys, out, slices).select(*wanted_columns)
+
+    window = Window.partitionBy(*partition_by).orderBy(*keys)
+    plain = F.row_number().over(window).cast("bigint")
+    sizes = df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > hot_rows)
+    hot = materialize(sizes.select(*partition_by), "numbering-hot-keys")
+    if hot.isEmpty():
+        return df.withColumn(out, plain).select(*wanted_columns)
+
+    def same(right: str):
+        return [F.col(f"d.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in partition_by]
+
+    rows, large = df.alias("d"), hot.alias("h")
+    small = rows.join(large, same("h"), "left_anti").withColumn(out, plain)
+    ranked = _by_ranges(rows.join(large, same("h"), "left_semi"), keys, "_overall", slices)
+    first = ranked.groupBy(*partition_by).agg(F.min("_overall").alias("_first"))  # a row for each hot key
+    ranked = ranked.alias("d").join(first.alias("f"), same("f")).select("d.*", (F.col("_overall") - F.col("_first") + 1).alias(out))
+    return small.select(*wanted_columns).unionByName(ranked.select(*wanted_columns))
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
