@@ -7,13 +7,15 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import functions as F
 
+from ..functions.text import base_name
 from ..operators import audit, stats
 from ..operators.tables import table_records, typed_table
 from ..plans import batch, export
 from ..plans.mapping import LAST_ROW, read_mapping
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources import tables as readers
 from ..sources import workbooks as wb
+from ..streaming.folder import Intake
 from . import query
 from .inputs import LINES_SQL, line_rows, table
 from .visiting import reference_tables
@@ -230,3 +232,29 @@ def text_export_mixed(spark, sf_dir):
     export.export_text(found, batch.full_visits(found, rules, link, systems, "load_order"), root)
     back = readers.read_text_table(spark, f"{root}/Extracted_Tables/lines__late.txt")
     return back.select(F.col("Source_File").alias("source_file"), F.col("qty").cast("double").alias("qty"), "pass_fail")
+
+
+@query("incremental_visits", f"""
+WITH {_BOOK_SQL}, good AS (SELECT path, count(*) AS n_rows FROM cell JOIN book USING (n) WHERE n % 13 <> 12 GROUP BY 1)
+SELECT CAST(n % 2 AS INTEGER) AS arrival, row_number() OVER (ORDER BY n % 2, path) AS "QAID", path AS source_file,
+       CASE WHEN n % 13 = 12 THEN 'failed' ELSE 'success' END AS extraction_status, coalesce(n_rows, 0) AS n_rows,
+       CASE WHEN n % 13 = 12 THEN 'ProcessingFailed,ProcessingStart' ELSE 'ExtractionComplete,ProcessingComplete,ProcessingStart' END AS events
+FROM book LEFT JOIN good USING (path)
+""")
+def incremental_visits(spark, sf_dir):
+    """Two arrivals of files, the second of them taken once more: visits with the rows and
+    events stored for each.  Ids of the second arrival follow the first's."""
+    root, arrived, checkpoint = (scratch_path(spark, x) for x in ("intake", "arrived", "intake-checkpoint"))
+    intake, files = Intake(batch_rules(), root), materialize(line_files(spark, sf_dir), "files")
+    schema = "source_path string, content binary"
+    odd = F.regexp_extract("source_path", r"_(\d+)CT", 1).cast("bigint") % 2
+    for number in (0, 1):
+        files.where(odd == number).write.mode("append").parquet(arrived)
+        intake.follow(spark.readStream.schema(schema).parquet(arrived), checkpoint).awaitTermination()
+    intake.take(files.where(odd == 1), 1)  # as after a failure before the commit
+    lines = spark.read.parquet(f"{root}/tables/lines__all").groupBy("qaid").agg(F.count("*").alias("n_rows"))
+    log = spark.read.parquet(f"{root}/audit").where("file_name <> ''")
+    log = log.groupBy("file_name").agg(F.array_join(F.array_sort(F.collect_list("event_type")), ",").alias("events"))
+    seen = intake.visits(spark).withColumn("file_name", base_name(F.col("source_file")))
+    return seen.join(log, "file_name").join(lines.withColumnRenamed("qaid", "QAID"), "QAID", "left").select(
+        F.col("batch").alias("arrival"), "QAID", "source_file", "extraction_status", F.coalesce("n_rows", F.lit(0)).alias("n_rows"), "events")

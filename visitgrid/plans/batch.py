@@ -128,9 +128,10 @@ def _table_rows(spark: SparkSession, grid: DataFrame, slots: DataFrame | None, t
     return functools.reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schema)
 
 
-def batch_visits(result: Extraction) -> DataFrame:
-    """One visit per file, ids in path order; a failed file keeps its row with zero counts."""
-    ids = visit_ids(result.workbooks, "source_path", "QAID")
+def batch_visits(result: Extraction, base: int = 0) -> DataFrame:
+    """One visit per file, ids in path order after ``base``; a failed file keeps its row
+    with zero counts."""
+    ids = visit_ids(result.workbooks, "source_path", "QAID", base)
     maps = records.fields_map(result.fields)
     n_tables = result.table_rows.groupBy("workbook_id").agg(F.count_distinct("table_key").alias("n_tables"))
     n_named = result.named_results.groupBy("workbook_id").agg(F.count("*").alias("n_named_results"))
