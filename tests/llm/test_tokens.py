@@ -32,9 +32,7 @@ def library(ranks):
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    found = Tokenizer.from_file(public_tokenizers.path(tokenfile.TOKENIZER))
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(public_tokenizers.path(tokenfile.TOKENIZER))
 
 
 @settings(max_examples=300, deadline=None)
@@ -96,6 +94,12 @@ def test_token_files(spark, tokenizer, edges, nothing, monkeypatch):
         assert (got[key]["start"], got[key]["n_tokens"], got[key]["ids_crc32"]) == (start, len(ids), zlib.crc32(ids.tobytes()))
         start += len(ids)
 
+    # added tokens as the library finds them
+    texts = ["a<|endoftext|>b", "<|endoftext|>", "", "plain", " <|endoftext|> <|endoftext|>x", "<|endoftext", "a b " * 9]
+    rows = tokenfile.token_files(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).orderBy("doc_id").collect()
+    assert [np.frombuffer(r["ids"], "<u4").tolist() for r in rows] == [[*tokenizer.encode(x, add_special_tokens=False).ids, 0] for x in texts]
+    assert 50256 in np.frombuffer(rows[0]["ids"], "<u4")
+
     # nulls first, equal keys and rows each, ids back in order
     rows = tokenfile.token_files(edges.repartition(4)).orderBy("start").collect()
     assert [r["doc_id"] for r in rows] == [None, None, 1, 2, 3, 4, 5, 5, 6, 7, 8]

@@ -29,14 +29,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import materialize, open_store, scratch_path, steps, texts_of
+from .kept import Kept
 from .pretokens import by_text, distinct_pretokens, gather
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
 #: Ids after which a block is closed; memory of a task follows this and the longest document.
 BLOCK_IDS = 1 << 19
-#: Pre-tokens a worker keeps with their ids; a full table is emptied and filled anew.
-KEPT_WORDS = 800_000
+#: Bytes of pre-tokens and their ids that a worker keeps.
+KEPT_BYTES = 128 << 20
 
 #: For each control byte the lengths of its four ids.
 LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.uint8) + 1
@@ -86,26 +87,35 @@ def read_blocks(path: str) -> Iterator[tuple[list, np.ndarray, np.ndarray, int]]
 
 @functools.cache
 def _tokenizer(path: str):
+    """The library's tokenizer, the strings of its added tokens, and ids of pre-tokens seen lately."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     found = Tokenizer.from_file(path)
-    found.encode_special_tokens = True  # their strings in a text are ordinary text
-    return found, {}
+    return found, [x.content for x in found.get_added_tokens_decoder().values()], Kept(KEPT_BYTES)
 
 
 def _ids(path: str, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts, and where those of each text end.  The library splits a text into
-    pre-tokens and encodes each by itself; it is asked once for each distinct one that is
-    not kept."""
-    tokenizer, kept = _tokenizer(path)
+    """Ids of all texts, and where those of each text end.
+
+    The library splits a text into pre-tokens and encodes each by itself; it is asked once
+    for each distinct one that is not kept.  A text with the string of an added token,
+    which the library finds before it splits, goes through it whole.
+    """
+    tokenizer, added, kept = _tokenizer(path)
+    whole = [n for n, x in enumerate(texts) if any(a in x for a in added)]
+    if whole:
+        ids, ends = _ids(path, ["" if n in set(whole) else x for n, x in enumerate(texts)])
+        parts = np.split(ids, ends[:-1])
+        for n in whole:
+            parts[n] = np.array(tokenizer.encode(texts[n], add_special_tokens=False).ids, np.uint32)
+        return np.concatenate(parts), np.cumsum([len(x) for x in parts])
     words, which, counts = distinct_pretokens(texts)
-    if len(kept) > KEPT_WORDS:
-        kept.clear()
     packed = list(map(kept.get, words))
     new = [n for n, ids in enumerate(packed) if ids is None]
     for n, got in zip(new, tokenizer.encode_batch_fast([words[n] for n in new], add_special_tokens=False)):
-        packed[n] = kept[words[n]] = array("I", got.ids).tobytes()
+        packed[n] = array("I", got.ids).tobytes()
+        kept.keep(words[n], packed[n])
     sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
     ids, ends = gather(np.frombuffer(b"".join(packed), np.uint32), sizes, which)
     return ids, by_text(ends, counts)
