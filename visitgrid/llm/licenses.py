@@ -1,22 +1,19 @@
 """License notices in documents: fixed phrases, and an exact set-similarity join.
 
-A block is a line of a document, taken as its set of distinct words; a template is the set
-of words of a notice.  A block matches a template if it holds at least 80 % of its words.
-The join finds every such pair:
+A block is a run of consecutive words of a document, wherever its lines break, a quarter
+longer than the notice it is held against; a template is the set of words of a notice.  A
+block matches a template if it holds at least 80 % of its words, and the phrases that tell
+notices apart.  The join finds every such pair:
 
 * words are ordered by how many documents have them, rare ones first;
 * prefix filter: a block that holds ``need`` of the n words of a template must hold one of
-  the n - need + 1 rarest, so only those are looked up;
-* length filter: a block needs at least ``need`` words that templates have;
-* positional filter: from the place of the match in both ordered lists follows how many
-  words can be common at most;
-* what is left is verified on the whole sets.
+  the n - need + 1 rarest, so only places of those are looked up;
+* positional filter: all of the block lies within a block's length before and after that
+  place;
+* length filter: the template's words there must be ``need`` or more;
+* what is left is verified run by run.
 
 Words that no template has take no part.  All of it is DataFrame functions.
-
-``label`` finds notices within one line.  ``notices`` finds them in runs of words of about
-a template's length, wherever the text breaks its lines, by the same filters; a run must
-also hold the words that tell templates apart, in their order.
 """
 
 from __future__ import annotations
@@ -69,117 +66,38 @@ def needed(size: int, percent: int = CONTAINED) -> int:
     return -(-size * percent // 100)
 
 
-def _places(words: str, phrase: str) -> Column:
-    parts, w = phrase.split(" "), F.col(words)
-
-    def stands(i: Column) -> Column:
-        return functools.reduce(operator.and_, (F.lower(w[i + k]) == part for k, part in enumerate(parts)))
-
-    return F.filter(F.sequence(F.lit(0), F.size(w) - len(parts)), stands)
-
-
 def measure(
-    docs: DataFrame, templates: dict[str, str] | None = None, phrases: dict[str, str] | None = None,
-    text: str = "text", block: str = "\n", percent: int = CONTAINED,
+    docs: DataFrame, templates: dict[str, str] | None = None, phrases: dict[str, str] | None = None, text: str = "text",
 ) -> tuple[DataFrame, str]:
-    """All columns of ``docs`` and a struct: ``n_words``, ``tokens`` (distinct template words),
-    ``blocks`` (``no``, ``tokens``; those long enough for some template) and ``places``
-    (phrase starts, with labels).  Null and empty texts have no words."""
+    """All columns of ``docs`` and a struct: ``n_words``, ``known`` (the words that notices
+    and phrases have, ``at`` and ``w``, in order) and ``places`` (phrase starts, with
+    labels).  Null and empty texts have no words."""
     phrases = PHRASES if phrases is None else phrases
-    notices = [set(words_of_notice(x)) for x in (TEMPLATES if templates is None else templates)]
+    notices = [words_of_notice(x) for x in (TEMPLATES if templates is None else templates)]
     vocabulary = sorted(set().union(*notices, *(p.split(" ") for p in phrases)))
-    least = min((needed(len(x), percent) for x in notices), default=1 << 30)
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    lines, words, blocks, out = (free_name(docs, f"license_{x}") for x in ("lines", "words", "blocks", "all"))
-
-    known = lambda w: F.lower(w).isin(vocabulary) & (F.octet_length(w) == F.char_length(w))
-    df = docs.select(*columns, F.transform(
-        F.split(F.coalesce(F.col(text), F.lit("")), block), lambda x: F.regexp_extract_all(x, F.lit(_WORD), F.lit(0))).alias(lines))
-    df = df.select("*", F.flatten(lines).alias(words), F.transform(lines, lambda ws, no: F.struct(
-        no.alias("no"), F.array_distinct(F.transform(F.filter(ws, known), lambda w: F.lower(w))).alias("tokens"))).alias(blocks))
-    tokens = free_name(docs, "license_tokens")
-    df = df.select("*", F.array_distinct(F.flatten(F.transform(blocks, lambda b: b["tokens"]))).alias(tokens))
-    # a phrase is looked for only in texts that have all its words
-    nowhere = F.array().cast("array<struct<at:int,label:string>>")
+    words, known, out = (free_name(docs, f"license_{x}") for x in ("words", "known", "all"))
 
-    def places_of(phrase: str, name: str) -> Column:
-        parts = phrase.split(" ")
-        has_all = functools.reduce(operator.and_, (F.array_contains(tokens, x) for x in sorted(set(parts))))
-        starts = F.transform(_places(words, phrase), lambda i: F.struct(i.alias("at"), F.lit(name).alias("label")))
-        return F.when((F.size(words) >= len(parts)) & has_all, starts).otherwise(nowhere)
+    def place(w: Column, i: Column) -> Column:
+        low = F.lower(w)  # of letters beyond ASCII too, so the length must show that there are none
+        return F.when(low.isin(vocabulary) & (F.octet_length(w) == F.char_length(w)), F.struct(i.alias("at"), low.alias("w")))
 
-    found = [places_of(phrase, name) for phrase, name in phrases.items()]
-    return df.select(*columns, F.struct(
-        F.size(words).cast("long").alias("n_words"), F.col(tokens).alias("tokens"),
-        F.filter(blocks, lambda b: F.size(b["tokens"]) >= least).alias("blocks"),
-        F.concat(nowhere, *found).alias("places"),
-    ).alias(out)), out
-
-
-def matches(measured: DataFrame, row: str, measures: str, templates: dict[str, str] | None = None, percent: int = CONTAINED) -> DataFrame:
-    """Every pair of a block and a template it contains enough of: ``row``, ``no``,
-    ``label``, ``common``, ``size``.  ``measured`` is read twice: a written table."""
-    spark: SparkSession = measured.sparkSession
-    templates = TEMPLATES if templates is None else templates
-    m = F.col(measures)
-    sets = [(label, sorted(set(words_of_notice(text)))) for text, label in templates.items()]
-    vocabulary = {w for _, ws in sets for w in ws}
-    # at most as many rows as the templates have words
-    counted = measured.select(F.explode(m["tokens"]).alias("w")).where(F.col("w").isin(sorted(vocabulary))).groupBy("w").count().collect()
-    often = {r["w"]: r["count"] for r in counted}
-    rank = {w: n for n, w in enumerate(sorted(vocabulary, key=lambda w: (often.get(w, 0), w)))}
+    df = docs.select(*columns, F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(_WORD), F.lit(0)).alias(words))
+    df = df.select("*", F.array_compact(F.transform(words, place)).alias(known))
+    nowhere = F.array().cast("array<struct<at:int,label:string>>")
 
-    rows = []
-    for n, (label, ws) in enumerate(sets):
-        ordered = sorted(rank[w] for w in ws)
-        need = needed(len(ws), percent)
-        for at, r in enumerate(ordered[: len(ws) - need + 1]):
-            rows.append((r, n, label, at, need, ordered))
-    prefixes = spark.createDataFrame(rows, "rank int, template int, label string, t_at int, need int, t_ranks array<int>")
-
-    ranks = F.create_map(*[F.lit(x) for w, r in rank.items() for x in (w, r)])
-    blocks = measured.select(F.col(row).alias("row"), F.explode(m["blocks"]).alias("b")).select(
-        "row", F.col("b.no").alias("no"),
-        F.sort_array(F.filter(F.transform("b.tokens", lambda w: F.try_element_at(ranks, w)), lambda r: r.isNotNull())).alias("b_ranks"))
-    probes = blocks.select("row", "no", "b_ranks", F.posexplode("b_ranks").alias("b_at", "rank"))
-    # templates are given by the caller and few, so their prefixes go to every task
-    met = probes.join(F.broadcast(prefixes), "rank")
-    size, b_size = F.size("t_ranks"), F.size("b_ranks")
-    before, after = F.least("b_at", "t_at"), F.least(b_size - F.col("b_at") - 1, size - F.col("t_at") - 1)
-    possible = met.where((b_size >= F.col("need")) & (before + 1 + after >= F.col("need")))
-    common = F.size(F.array_intersect("b_ranks", "t_ranks"))
-    verified = possible.where(common >= F.col("need")).select("row", "no", "template", "label", common.alias("common"), size.alias("size"))
-    return verified.distinct()
+    def places_of(phrase: str, name: str) -> Column:
+        """The phrase's words are neighbours among the known words, and in the text."""
+        k = F.col(known)
 
+        def follows(n: int, part: str, o: Column, i: Column) -> Column:
+            return F.coalesce((F.get(k, i + n)["w"] == part) & (F.get(k, i + n)["at"] == o["at"] + n), F.lit(False))
 
-def label(docs: DataFrame, templates: dict[str, str] | None = None, phrases: dict[str, str] | None = None, text: str = "text", **options) -> tuple[DataFrame, str]:
-    """All columns of ``docs`` and a struct of what was found; returns the frame and its name.
+        starts = F.filter(k, lambda o, i: functools.reduce(operator.and_, (follows(n, part, o, i) for n, part in enumerate(phrase.split(" ")))))
+        return F.transform(starts, lambda o: F.struct(o["at"].alias("at"), F.lit(name).alias("label")))
 
-    ``n_words``, ``n_base`` (places of phrases), ``first_word``, ``last_word`` (smallest and
-    largest start, null without any), ``base_labels``, ``labels`` (base ones and those of
-    templates; distinct and sorted) and ``score``: 1 with a phrase, else the largest share
-    of a matched template, else 0.  Equal rows are labelled alike.
-    """
-    row = free_name(docs, "license_row")
-    measured, measures = measure(docs, templates, phrases, text, **options)
-    measured = materialize(measured.withColumn(row, F.monotonically_increasing_id()), "licenses")
-    found = matches(measured, row, measures, templates, **{k: v for k, v in options.items() if k == "percent"})
-    best = found.groupBy(F.col("row").alias(free_name(measured, "hit_row"))).agg(
-        F.collect_set("label").alias(free_name(measured, "hit_labels")), F.max(F.col("common") / F.col("size")).alias(free_name(measured, "hit_score")))
-    hit_row, hit_labels, hit_score = best.columns
-    joined = measured.join(best, F.col(row) == F.col(hit_row), "left")
-    m, none = F.col(measures), F.array().cast("array<string>")
-    places = m["places"]
-    base = F.array_distinct(F.transform(places, lambda p: p["label"]))
-    out = free_name(docs, "licenses")
-    return joined.select(*[F.col(f"`{c}`") for c in docs.columns], F.struct(
-        m["n_words"].alias("n_words"), F.size(places).cast("long").alias("n_base"),
-        F.array_min(F.transform(places, lambda p: p["at"])).cast("long").alias("first_word"),
-        F.array_max(F.transform(places, lambda p: p["at"])).cast("long").alias("last_word"),
-        F.array_sort(base).alias("base_labels"),
-        F.array_sort(F.array_union(base, F.coalesce(hit_labels, none))).alias("labels"),
-        F.when(F.size(places) > 0, 1.0).otherwise(F.coalesce(hit_score, F.lit(0.0))).alias("score"),
-    ).alias(out)), out
+    found = [places_of(phrase, name) for phrase, name in phrases.items()]
+    return df.select(*columns, F.struct(F.size(words).cast("long").alias("n_words"), F.col(known).alias("known"), F.concat(nowhere, *found).alias("places")).alias(out)), out
 
 
 def _span(size: int) -> int:
@@ -192,56 +110,48 @@ def _told(sequence: list[str], telling: tuple[str, ...]) -> list[str]:
     return [p for p in telling if f" {p} " in f" {' '.join(sequence)} "]
 
 
-def _word_places(docs: DataFrame, row: str, text: str, vocabulary: list[str], telling: tuple[str, ...]) -> DataFrame:
-    """``row`` and ``known``: the words of the text that templates have (``at``, ``w``), in
-    order; with ``tail``, the text's words up to it, where it may end a telling phrase."""
-    longest = max((len(p.split(" ")) for p in telling), default=1)
-    last = sorted({p.split(" ")[-1] for p in telling})
-    words = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(_WORD), F.lit(0))
-    placed = docs.select(F.col(row).alias("row"), F.transform(words, lambda w, i: F.struct(i.alias("at"), w.alias("w"))).alias("words"))
-    known = F.filter("words", lambda o: F.lower(o["w"]).isin(vocabulary) & (F.octet_length(o["w"]) == F.char_length(o["w"])))
-
-    def tail(o: Column) -> Column:
-        before = F.slice("words", F.greatest(o["at"] - (longest - 1), F.lit(0)) + 1, F.least(o["at"], F.lit(longest - 1)) + 1)
-        return F.when(F.lower(o["w"]).isin(last), F.concat(F.lit(" "), F.array_join(F.transform(before, lambda x: F.lower(x["w"])), " ")))
-
-    return placed.select("row", F.transform(known, lambda o: F.struct(o["at"].alias("at"), F.lower(o["w"]).alias("w"), tail(o).alias("tail"))).alias("known"))
-
-
-def runs(places: DataFrame, templates: dict[str, str], percent: int = CONTAINED, telling: tuple[str, ...] = TELLING) -> DataFrame:
+def runs(measured: DataFrame, row: str, measures: str, templates: dict[str, str], percent: int = CONTAINED, telling: tuple[str, ...] = TELLING) -> DataFrame:
     """Every row and template with a run of words that holds enough of it, and what tells
     it from others: ``row``, ``label``, ``common`` (the most of a run) and ``size``.
-    ``places`` is read twice: a written table."""
+    ``measured`` is read twice: a written table."""
     sequences = [(label, words_of_notice(text)) for text, label in templates.items()]
-    counted = places.select(F.explode(F.array_distinct(F.transform("known", lambda o: o["w"]))).alias("w")).groupBy("w").count().collect()
-    often = {r["w"]: r["count"] for r in counted}  # at most as many rows as the templates have words
-    order = sorted({w for _, ws in sequences for w in ws}, key=lambda w: (often.get(w, 0), w))
-    rank = {w: n for n, w in enumerate(order)}
+    vocabulary = sorted({w for _, ws in sequences for w in ws})
+    places = measured.select(F.col(row).alias("row"), F.col(measures)["known"].alias("known"))
+    own = F.array_distinct(F.transform("known", lambda o: o["w"]))
+    # at most as many rows as the templates have words
+    often = {r["w"]: r["count"] for r in places.select(F.explode(own).alias("w")).where(F.col("w").isin(vocabulary)).groupBy("w").count().collect()}
+    rank = {w: n for n, w in enumerate(sorted(vocabulary, key=lambda w: (often.get(w, 0), w)))}
 
     rows = []
     for n, (label, sequence) in enumerate(sequences):
         ordered = sorted(set(sequence), key=rank.get)
         need = needed(len(ordered), percent)
         for w in ordered[: len(ordered) - need + 1]:
-            rows.append((w, n, label, need, _span(len(sequence)), ordered, [(" " + p, p.count(" ")) for p in _told(sequence, telling)]))
-    prefixes = places.sparkSession.createDataFrame(rows, "w string, template int, label string, need int, span int, t_words array<string>, told array<struct<phrase:string,before:int>>")
+            rows.append((w, n, label, need, _span(len(sequence)), ordered, [p.split(" ") for p in _told(sequence, telling)]))
+    # templates are given by the caller and few, so their prefixes go to every task
+    prefixes = places.sparkSession.createDataFrame(rows, "w string, template int, label string, need int, span int, t_words array<string>, told array<array<string>>")
 
     # a run that holds the word is within the widest span before and after it; known words
     # are in order, so these are neighbours in the array
     reach = max((r[4] for r in rows), default=1) - 1
-    indexed = F.filter(F.transform("known", lambda o, i: F.struct(i.alias("i"), o["at"].alias("at"), o["w"].alias("w"))), lambda x: x["w"].isin(sorted({r[0] for r in rows})))
+    indexed = F.array_compact(F.transform("known", lambda o, i: F.when(
+        o["w"].isin(sorted({r[0] for r in rows})), F.struct(i.alias("i"), o["at"].alias("at"), o["w"].alias("w")))))
     probes = F.transform(indexed, lambda x: F.struct(
         x["at"].alias("at"), x["w"].alias("w"), F.slice("known", F.greatest(x["i"] - reach, F.lit(0)) + 1, F.lit(2 * reach + 1)).alias("near")))
     met = places.select("row", F.explode(probes).alias("p")).select("row", "p.*").join(F.broadcast(prefixes), "w")
     met = met.withColumn("near", F.filter("near", lambda o: F.abs(o["at"] - F.col("at")) < F.col("span")))
-    # bound over all runs with the word, closer than by places: the template's words nearby
     have = F.array_intersect("t_words", F.transform("near", lambda o: o["w"]))
     possible = met.withColumn("have", have).where(F.size("have") >= F.col("need"))
 
     def within(start: Column) -> Column:
         run = F.filter("near", lambda o: (o["at"] >= start) & (o["at"] < start + F.col("span")))
-        has = F.forall("told", lambda t: F.exists(run, lambda o: (o["at"] - t["before"] >= start) & F.coalesce(F.endswith(o["tail"], t["phrase"]), F.lit(False))))
-        return F.when(has, F.size(F.array_intersect(F.transform(run, lambda o: o["w"]), F.col("have")))).otherwise(0)
+
+        def begins(phrase: Column, o: Column) -> Column:
+            parts = F.transform(phrase, lambda w, n: F.struct((o["at"] + n).alias("at"), w.alias("w")))
+            return F.forall(parts, lambda part: F.array_contains(run, part))
+
+        told = F.forall("told", lambda phrase: F.exists(run, lambda o: (o["w"] == phrase[0]) & begins(phrase, o)))
+        return F.when(told, F.size(F.array_intersect(F.transform(run, lambda o: o["w"]), F.col("have")))).otherwise(0)
 
     starts = F.transform(F.filter("near", lambda o: o["at"] <= F.col("at")), lambda o: o["at"])
     common = F.array_max(F.transform(starts, within))
@@ -249,23 +159,33 @@ def runs(places: DataFrame, templates: dict[str, str], percent: int = CONTAINED,
     return verified.groupBy("row", "template", "label", "size").agg(F.max("common").alias("common")).select("row", "label", "common", "size")
 
 
-def notices(
-    docs: DataFrame, templates: dict[str, str] | None = None, text: str = "text", percent: int = CONTAINED, telling: tuple[str, ...] = TELLING,
+def label(
+    docs: DataFrame, templates: dict[str, str] | None = None, phrases: dict[str, str] | None = None, text: str = "text",
+    percent: int = CONTAINED, telling: tuple[str, ...] = TELLING,
 ) -> tuple[DataFrame, str]:
-    """All columns of ``docs`` and a struct of the notices in runs of words, across line
-    breaks: ``labels`` (distinct and sorted) and ``score`` (the largest share of a matched
-    template, else 0).  Returns the frame and its name."""
+    """All columns of ``docs`` and a struct of what was found; returns the frame and its name.
+
+    ``n_words``, ``n_base`` (places of phrases), ``first_word``, ``last_word`` (smallest and
+    largest start, null without any), ``base_labels``, ``notice_labels``, ``labels`` (both;
+    distinct and sorted), ``notice_score`` (the largest share of a matched template, else 0)
+    and ``score`` (1 with a phrase, else that).  Equal rows are labelled alike.
+    """
     templates = TEMPLATES if templates is None else templates
-    row, out = free_name(docs, "notice_row"), free_name(docs, "notices")
+    row = free_name(docs, "license_row")
+    measured, measures = measure(docs, templates, phrases, text)
     # written with their numbers, so both reads give the same
-    numbered = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "notices")
-    vocabulary = sorted({w for x in templates for w in words_of_notice(x)})
-    places = materialize(_word_places(numbered, row, text, vocabulary, telling), "notices")
-    best = runs(places, templates, percent, telling).groupBy(F.col("row").alias(free_name(numbered, "hit_row"))).agg(
-        F.collect_set("label").alias(free_name(numbered, "hit_labels")), F.max(F.col("common") / F.col("size")).alias(free_name(numbered, "hit_score")))
+    measured = materialize(measured.withColumn(row, F.monotonically_increasing_id()), "licenses")
+    best = runs(measured, row, measures, templates, percent, telling).groupBy(F.col("row").alias(free_name(measured, "hit_row"))).agg(
+        F.collect_set("label").alias(free_name(measured, "hit_labels")), F.max(F.col("common") / F.col("size")).alias(free_name(measured, "hit_score")))
     hit_row, hit_labels, hit_score = best.columns
-    joined = numbered.join(best, F.col(row) == F.col(hit_row), "left")
+    joined = measured.join(best, F.col(row) == F.col(hit_row), "left")
+    places, found = F.col(measures)["places"], F.coalesce(hit_labels, F.array().cast("array<string>"))
+    base, share = F.array_distinct(F.transform(places, lambda p: p["label"])), F.coalesce(hit_score, F.lit(0.0))
+    out = free_name(docs, "licenses")
     return joined.select(*[F.col(f"`{c}`") for c in docs.columns], F.struct(
-        F.array_sort(F.coalesce(hit_labels, F.array().cast("array<string>"))).alias("labels"),
-        F.coalesce(hit_score, F.lit(0.0)).alias("score"),
+        F.col(measures)["n_words"].alias("n_words"), F.size(places).cast("long").alias("n_base"),
+        F.array_min(F.transform(places, lambda p: p["at"])).cast("long").alias("first_word"),
+        F.array_max(F.transform(places, lambda p: p["at"])).cast("long").alias("last_word"),
+        F.array_sort(base).alias("base_labels"), F.array_sort(found).alias("notice_labels"), F.array_sort(F.array_union(base, found)).alias("labels"),
+        share.alias("notice_score"), F.when(F.size(places) > 0, 1.0).otherwise(share).alias("score"),
     ).alias(out)), out

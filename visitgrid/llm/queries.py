@@ -145,9 +145,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _notices_sql() -> str:
     rows = []
-    for n, (text, label) in enumerate(licenses.TEMPLATES.items()):
-        words = sorted(set(licenses.words_of_notice(text)))
-        rows.append(f"({n}, '{label}', {words}, {licenses.needed(len(words))})")
+    for text, label in licenses.TEMPLATES.items():
+        sequence = licenses.words_of_notice(text)
+        words = sorted(set(sequence))
+        told = [p for p in licenses.TELLING if f" {p} " in f" {' '.join(sequence)} "]
+        rows.append(f"('{label}', {words}, {licenses.needed(len(words))}, {len(sequence) + len(sequence) // 4}, {told}::VARCHAR[])")
     return ", ".join(rows)
 
 
@@ -166,13 +168,15 @@ d AS (SELECT doc_id, regexp_extract_all(text, '{_PLAIN_WORDS}') AS words FROM t)
 places AS ({_phrases_sql()}),
 base AS (
   SELECT doc_id, count(*) AS n, min(place) AS lo, max(place) AS hi, string_agg(DISTINCT label, ',' ORDER BY label) AS names FROM places GROUP BY 1
-), notices(no, label, words, need) AS (VALUES {_notices_sql()}),
-lines AS (
-  SELECT doc_id, list_distinct(regexp_extract_all(line, '{_PLAIN_WORDS}')) AS words
-  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM t)
+), notices(label, wanted, need, span, told) AS (VALUES {_notices_sql()}),
+cand AS (SELECT doc_id, words, notices.* FROM d, notices WHERE len(list_intersect(words, wanted)) >= need),
+run AS (
+  SELECT doc_id, label, wanted, need, told, words[i : i + span - 1] AS block
+  FROM (SELECT *, unnest(range(1, len(words) + 1)) AS i FROM cand) WHERE list_contains(wanted, words[i])
 ), hits AS (
-  SELECT doc_id, label, len(list_intersect(lines.words, notices.words)) / len(notices.words)::DOUBLE AS share
-  FROM lines, notices WHERE len(list_intersect(lines.words, notices.words)) >= need
+  SELECT doc_id, label, len(list_intersect(block, wanted)) / len(wanted)::DOUBLE AS share
+  FROM run WHERE len(list_intersect(block, wanted)) >= need
+    AND len(list_filter(told, lambda p: contains(' ' || array_to_string(block, ' ') || ' ', ' ' || p || ' '))) = len(told)
 ), labels AS (
   SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS names
   FROM (SELECT doc_id, label FROM places UNION SELECT doc_id, label FROM hits) GROUP BY 1
