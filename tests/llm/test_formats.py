@@ -84,7 +84,7 @@ def test_warc_files_are_whole(spark, tmp_path):
 def test_each_layout_round_trips(name):
     turns = [("system", "s")] * (name == "question") + [("user", "u \"1\"\n"), ("assistant", "a<|im_end|>")]
     record = json.loads(json.dumps(chat.record_of(turns, name)))
-    layout = chat.BY_FINGERPRINT[chat.fingerprint(chat.field_paths(record))]
+    layout = chat.BY_FINGERPRINT[chat.record_fingerprint(record)]
     assert layout == chat.LAYOUTS[name] and chat.turns_of(record, layout) == turns
 
 
@@ -103,7 +103,31 @@ def test_escaping_is_reversible(text):
     assert [chat.unescape(whole[a:b]) for a, b in spans] == [text, text + "!"]
 
 
-def test_conversations(spark):
+def test_foreign_records_are_not_lost(spark):
+    """Other fields, missing optional ones and null ones; what has no mapping comes back as such."""
+    talk = [("user", "q"), ("assistant", "a")]
+    known = [
+        {"id": 1, "source": {"x": [1]}, "messages": [{"role": "user", "content": "q"}, {"role": "assistant", "content": "a", "name": "n"}]},
+        {"instruction": "q", "output": "a"}, {"instruction": "q", "output": "a", "input": None}, {"question": "q", "response": "a", "lang": "en"},
+        {"prompt": "q", "completion": "a", "score": 0.5}, {"conversations": [{"from": "human", "value": "q"}, {"from": "gpt", "value": "a"}], "id": "z"},
+        {"dialogue": {"id": 7, "turns": [{"speaker": "user", "message": {"text": "q"}}, {"speaker": "assistant", "message": {"text": "a"}}]}},
+    ]
+    others = [{"messages": [{"role": "user", "content": ["q"]}]}, {"prompt": "q"}, {"id": 1}, {}, {"prompt": "q", "completion": "a", "messages": []}]
+    lines = [json.dumps(x) for x in known + others] + ["", "no json", "[1]", None]
+    records = spark.createDataFrame([(n, 0, x) for n, x in enumerate(lines)], "conv_id bigint, part int, record string")
+    got = {r["conv_id"]: r for r in chat.format_records(records).collect()}
+    assert len(got) == len(lines)
+    assert all(chat.parsed(got[n]["formatted"]) == talk for n in range(len(known)))
+    for n in range(len(known), len(lines)):
+        assert got[n]["formatted"] is None and (got[n]["fingerprint"] is None) == (n >= len(known) + len(others))
+    assert {r["conv_id"] for r in chat.read_back(chat.format_records(records)).collect()} == set(range(len(known)))
+    holes = {"messages": [{"role": "user"}, {"content": "a", "role": "assistant"}, None, {"content": None, "role": "assistant"}]}
+    assert chat.turns_of(holes, chat.LAYOUTS["messages"]) == [("user", ""), ("assistant", "a"), ("", ""), ("assistant", "")]
+    assert chat.turns_of({"system": "s", "instruction": "q", "input": "", "output": "a"}, chat.LAYOUTS["instruction"]) == [("system", "s"), *talk]
+
+
+def test_conversations(spark, monkeypatch):
+    monkeypatch.setattr(chat, "LONG_CONVERSATION", 100)  # one of them is numbered by ranges
     rows = [(1, 0, "user", "a"), (1, 1, "assistant", "b"), (2, 0, "system", "s"), (2, 1, "user", "u"), (2, 2, "assistant", None), (3, None, None, None),
             (4, 1, "gpt", "x"), (4, 0, "human", "y"), (None, 0, "user", "n"), (5, 0, "user", "r"), (5, 0, "user", "r")]
     rows += [(6, i, "assistant" if i % 2 else "user", f"t{i}" * (i % 5)) for i in range(300)]
@@ -127,4 +151,5 @@ def test_unknown_layouts_are_shown(spark):
     got = {r["conv_id"]: r for r in chat.canonical(records).collect()}
     assert all(r["turns"] is None for r in got.values())
     assert got[1]["fingerprint"] and got[5]["fingerprint"] and got[2]["fingerprint"] is None and got[4]["fingerprint"] is None
-    assert chat.to_text(chat.canonical(records)).count() == 0
+    shown = chat.to_text(chat.canonical(records))
+    assert shown.count() == 5 and shown.where("formatted is not null").count() == 0

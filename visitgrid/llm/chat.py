@@ -3,7 +3,9 @@
 A record is a JSON object.  Its schema fingerprint is a hash of the sorted paths of its
 fields (``a.b``, ``a[].b``; the type of the value at the end), and a table from
 fingerprints to declarative mappings says where prompts, instructions or messages stand.
-So a new layout is a new row of ``LAYOUTS``, not code.  Records whose fingerprint has no
+So a new layout is a new row of ``LAYOUTS``, not code.  Fields that begin with a name no
+layout uses (``id``, ``source`` and the like) and null ones do not count; a layout has a
+fingerprint for each choice of its optional fields.  Records whose fingerprint has no
 mapping are returned as such, with their fingerprint.
 
 The template is ``<|im_start|>role NEWLINE text<|im_end|> NEWLINE``.  In a text every ``<``
@@ -11,13 +13,15 @@ with any number of backslashes and ``|`` after it gets one backslash more, which
 taken back exactly; so no text holds a control string.  Every assistant text is in the
 loss mask, as offsets of its escaped form.
 
-Long conversations go through in parts of at most ``PART_TURNS`` turns, in order, so no
-task holds a whole one.
+Long conversations go through in parts of at most ``PART_TURNS`` turns, cut by turn number,
+so no task holds a whole one; only the digests of ``read_back`` take one in order.
+Conversations are named by whole numbers.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
 import re
 from collections.abc import Callable, Iterator
@@ -27,10 +31,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.numbering import number_rows
 from .common import materialize
 
 START, END = "<|im_start|>", "<|im_end|>\n"
 PART_TURNS = 64
+#: Turns from which a conversation is numbered over several tasks.
+LONG_CONVERSATION = 1 << 13
 #: Rows of a batch that goes back to Spark.
 _ROWS = 512
 
@@ -39,11 +46,13 @@ Turn = tuple[str, str]
 
 @dataclass(frozen=True)
 class Layout:
-    """``fields``: (role, path) of single texts, in order; empty optional ones give no turn.
+    """``paths``: fields that a record has, with their types; ``extra``: those it may have.
+    ``fields``: (role, path) of single texts, in order; empty optional ones give no turn.
     ``turns``: path of a list whose items have a role at ``role`` and a text at ``text``."""
 
     paths: tuple[str, ...]
     fields: tuple[tuple[str, str], ...] = ()
+    extra: tuple[str, ...] = ()
     optional: tuple[str, ...] = ()
     turns: str = ""
     role: str = ""
@@ -55,20 +64,27 @@ class Layout:
 LAYOUTS = {
     "prompt": Layout(("completion:str", "prompt:str"), (("user", "prompt"), ("assistant", "completion"))),
     "instruction": Layout(
-        ("input:str", "instruction:str", "output:str"), (("user", "instruction"), ("user", "input"), ("assistant", "output")), ("input",)),
+        ("instruction:str", "output:str"), (("system", "system"), ("user", "instruction"), ("user", "input"), ("assistant", "output")),
+        ("input:str", "system:str"), ("input", "system")),
     "question": Layout(
-        ("question:str", "response:str", "system_prompt:str"), (("system", "system_prompt"), ("user", "question"), ("assistant", "response"))),
-    "messages": Layout(("messages[].content:str", "messages[].role:str"), turns="messages", role="role", text="content"),
+        ("question:str", "response:str"), (("system", "system_prompt"), ("user", "question"), ("assistant", "response")),
+        ("system_prompt:str",), ("system_prompt",)),
+    "messages": Layout(("messages[].content:str", "messages[].role:str"), extra=("messages[].name:str",), turns="messages", role="role", text="content"),
     "shares": Layout(
-        ("conversations[].from:str", "conversations[].value:str"), turns="conversations", role="from", text="value",
+        ("conversations[].from:str", "conversations[].value:str"), extra=("system:str",), turns="conversations", role="from", text="value",
         roles=(("human", "user"), ("gpt", "assistant"))),
     "dialogue": Layout(
-        ("dialogue.turns[].message.text:str", "dialogue.turns[].speaker:str"), turns="dialogue.turns", role="speaker", text="message.text"),
+        ("dialogue.turns[].message.text:str", "dialogue.turns[].speaker:str"), extra=("dialogue.id:str", "dialogue.id:int"), turns="dialogue.turns", role="speaker",
+        text="message.text"),
 }
+#: Names a layout's fields begin with; other fields of a record are no part of its layout.
+ROOTS = {re.split(r"[.:\[]", path)[0] for layout in LAYOUTS.values() for path in (*layout.paths, *layout.extra)}
 
 
 def field_paths(value, path: str = "") -> set[str]:
-    """Paths of all values with their types; items of a list count as one."""
+    """Paths of all values with their types; items of a list count as one, null is no value."""
+    if value is None:
+        return set()
     if isinstance(value, dict) and value:
         return set().union(*(field_paths(x, f"{path}.{name}" if path else name) for name, x in value.items()))
     if isinstance(value, list) and value:
@@ -80,20 +96,30 @@ def fingerprint(paths) -> str:
     return hashlib.sha1("\n".join(sorted(paths)).encode()).hexdigest()[:16]
 
 
-BY_FINGERPRINT = {fingerprint(x.paths): x for x in LAYOUTS.values()}
+def record_fingerprint(record: dict) -> str:
+    return fingerprint(field_paths({name: x for name, x in record.items() if name in ROOTS}))
+
+
+#: Every layout under the fingerprint of each choice of its extra fields.
+BY_FINGERPRINT = {
+    fingerprint((*layout.paths, *some)): layout
+    for layout in LAYOUTS.values() for n in range(len(layout.extra) + 1) for some in itertools.combinations(layout.extra, n)
+}
 
 
 def _at(value, path: str):
+    """The value at a path; '' where an item of a list lacks it."""
     for name in path.split("."):
-        value = value[name]
-    return value
+        value = (value or {}).get(name)
+    return "" if value is None else value
 
 
 def turns_of(record: dict, layout: Layout) -> list[Turn]:
     """Canonical turns of a record of the layout."""
     if layout.turns:
         names = dict(layout.roles)
-        return [(names.get(_at(x, layout.role), _at(x, layout.role)), _at(x, layout.text)) for x in _at(record, layout.turns)]
+        before = [("system", record["system"])] if record.get("system") and "system:str" in layout.extra else []
+        return before + [(names.get(_at(x, layout.role), _at(x, layout.role)), _at(x, layout.text)) for x in _at(record, layout.turns)]
     texts = [(role, path, _at(record, path)) for role, path in layout.fields]
     return [(role, text) for role, path, text in texts if text or path not in layout.optional]
 
@@ -120,7 +146,8 @@ def record_of(turns: list[Turn], name: str) -> dict:
         return out
     rest = list(turns)
     for role, path in layout.fields:
-        put(out, path, "" if path in layout.optional else rest.pop(0)[1])
+        given = rest and rest[0][0] == role and (path not in layout.optional or path in ("system", "system_prompt"))
+        put(out, path, rest.pop(0)[1] if given else "")
     return out
 
 
@@ -130,8 +157,8 @@ def fitting(turns: list[Turn], whole: bool) -> list[str]:
     lists = ["messages", "dialogue"] + ["shares"] * (not {"human", "gpt"} & set(roles))
     if whole and roles == ["user", "assistant"]:
         return lists + ["prompt", "instruction"]
-    if whole and roles == ["system", "user", "assistant"]:
-        return lists + ["question"]
+    if whole and roles == ["system", "user", "assistant"] and turns[0][1]:
+        return lists + ["question", "instruction"]
     return lists
 
 
@@ -187,48 +214,25 @@ def to_records(turns: DataFrame) -> DataFrame:
     """Rows by turn (``conv_id, turn, role, text``) to JSON records of mixed layouts.
 
     Turns are ordered by number (null first), role and text; a null role or text is empty.
-    Rows without a conversation are one of their own; repeated rows are turns each.
+    Rows without a conversation are one of their own; repeated rows are turns each.  Turns
+    are numbered first, over several tasks in a long conversation, and meet by part.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple] = []
-        held: list[Turn] = []
-        conv, part, begun = None, 0, False
-
-        def close(whole: bool) -> None:
-            nonlocal part
-            if held:
-                options = fitting(held, whole and part == 0)
-                pick = int.from_bytes(hashlib.sha1(f"{conv}/{part}".encode()).digest()[:4], "little") % len(options)
-                rows.append((conv, part, json.dumps(record_of(held, options[pick]), ensure_ascii=False)))
-                held.clear()
-            part += 1
-
-        def flush() -> pa.RecordBatch:
-            batch = pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), (pa.int64(), pa.int32(), pa.string()))], names=["conv_id", "part", "record"])
-            rows.clear()
-            return batch
-
-        for batch in batches:
-            for own, role, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                if not begun or own != conv:
-                    close(True)
-                    conv, part, begun = own, 0, True
-                elif len(held) == PART_TURNS:
-                    close(False)
-                held.append((role, text))
-                if len(rows) >= _ROWS:
-                    yield flush()
-        close(True)
-        if rows:
-            yield flush()
+    def make(row: dict) -> tuple:
+        held = [(x["role"], x["text"]) for x in row["turns"]]
+        options = fitting(held, row["part"] == 0 and len(held) < PART_TURNS)
+        pick = int.from_bytes(hashlib.sha1(f"{row['conv_id']}/{row['part']}".encode()).digest()[:4], "little") % len(options)
+        return row["conv_id"], row["part"], json.dumps(record_of(held, options[pick]), ensure_ascii=False)
 
     empty = F.lit("")
     rows = turns.select(
         F.col("conv_id").cast("bigint").alias("conv_id"), F.col("turn").cast("bigint").alias("turn"),
         F.coalesce("role", empty).alias("role"), F.coalesce("text", empty).alias("text"))
-    ordered = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    return ordered.select("conv_id", "role", "text").mapInArrow(run, "conv_id bigint, part int, record string")
+    rows = number_rows(rows, ["turn", "role", "text"], ["conv_id"], "no", hot_rows=LONG_CONVERSATION)
+    parts = rows.groupBy("conv_id", F.floor((F.col("no") - 1) / PART_TURNS).cast("int").alias("part")).agg(
+        F.array_sort(F.collect_list(F.struct("no", "role", "text"))).alias("turns"))
+    fields = [("conv_id", pa.int64()), ("part", pa.int32()), ("record", pa.string())]
+    return _stream(parts, make, fields, "conv_id bigint, part int, record string")
 
 
 _TURNS = pa.list_(pa.struct([("role", pa.string()), ("text", pa.string())]))
@@ -249,7 +253,7 @@ def canonical(records: DataFrame) -> DataFrame:
             record = None
         if not isinstance(record, dict):
             return row["conv_id"], row["part"], None, None
-        key = fingerprint(field_paths(record))
+        key = record_fingerprint(record)
         layout = BY_FINGERPRINT.get(key)
         turns = None if layout is None else [{"role": r, "text": t} for r, t in turns_of(record, layout)]
         return row["conv_id"], row["part"], key, turns
@@ -259,16 +263,23 @@ def canonical(records: DataFrame) -> DataFrame:
 
 
 def to_text(turns: DataFrame) -> DataFrame:
-    """``conv_id, part, formatted, loss`` of canonical turns; those without are left out
-    (``canonical`` shows them)."""
+    """``conv_id, part, fingerprint, formatted, loss`` of canonical turns; the last two are
+    null where there are no turns, so no record is lost."""
 
     def make(row: dict) -> tuple:
+        if row["turns"] is None:
+            return row["conv_id"], row["part"], row["fingerprint"], None, None
         text, spans = formatted([(x["role"], x["text"]) for x in row["turns"]])
-        return row["conv_id"], row["part"], text, [{"from": a, "to": b} for a, b in spans]
+        return row["conv_id"], row["part"], row["fingerprint"], text, [{"from": a, "to": b} for a, b in spans]
+
+    fields = [("conv_id", pa.int64()), ("part", pa.int32()), ("fingerprint", pa.string()), ("formatted", pa.string()), ("loss", _SPANS)]
+    return _stream(turns, make, fields, "conv_id bigint, part int, fingerprint string, formatted string, loss array<struct<from:bigint,to:bigint>>")
+
 
-    fields = [("conv_id", pa.int64()), ("part", pa.int32()), ("formatted", pa.string()), ("loss", _SPANS)]
-    known = turns.where("turns is not null").select("conv_id", "part", "turns")
-    return _stream(known, make, fields, "conv_id bigint, part int, formatted string, loss array<struct<from:bigint,to:bigint>>")
+def format_records(records: DataFrame) -> DataFrame:
+    """Records of any layout (``conv_id, part, record``) to formatted text, a row each;
+    those without a mapping keep their fingerprint and have no text."""
+    return to_text(canonical(records))
 
 
 def read_back(output: DataFrame) -> DataFrame:
@@ -308,10 +319,10 @@ def read_back(output: DataFrame) -> DataFrame:
         if rows:
             yield batch_of()
 
-    ordered = output.select("conv_id", "part", "formatted", "loss").repartition("conv_id").sortWithinPartitions("conv_id", "part")
+    ordered = output.where("formatted is not null").select("conv_id", "part", "formatted", "loss").repartition("conv_id").sortWithinPartitions("conv_id", "part")
     return ordered.mapInArrow(run, "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint")
 
 
 def format_conversations(turns: DataFrame) -> DataFrame:
-    """Rows by turn to written, formatted parts (``conv_id, part, formatted, loss``)."""
-    return materialize(to_text(canonical(to_records(turns))), "chat")
+    """Rows by turn to written, formatted parts (``conv_id, part, fingerprint, formatted, loss``)."""
+    return materialize(format_records(to_records(turns)), "chat")
