@@ -1,7 +1,9 @@
 """Near duplicates against brute force, components against union-find."""
 
+import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -38,15 +40,40 @@ def groups(keys, links):
     return {k: top(k) for k in keys}
 
 
+def weights(text):
+    """1 + ln(count) of each shingle, 1 where all occur equally often."""
+    words = plain(text)
+    counts = Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4)) or Counter(shingle_set(text))
+    return {x: 1.0 for x in counts} if len(set(counts.values())) == 1 else {x: 1 + math.log(n) for x, n in counts.items()}
+
+
+def weighted_similarity(one, two):
+    """Probability Jaccard by its definition."""
+    every = list(one.keys() | two.keys())
+    x, y = (np.array([side.get(j, 0) for j in every]) for side in (one, two))
+    common = (x > 0) & (y > 0)
+    return sum(1 / np.maximum(x / a, y / b).sum() for a, b in zip(x[common], y[common]))
+
+
 def brute_classes(texts):
-    sets, holders, links = {k: shingle_set(t) for k, t in texts.items()}, {}, []
+    """Texts of one set of shingles are one node, with the counts of its smallest key."""
+    nodes, links = {}, []
+    for k in sorted(texts):
+        first = nodes.setdefault(frozenset(shingle_set(texts[k])), k)
+        links.append((first, k))
+    sets, weigh = {k: s for s, k in nodes.items()}, {k: weights(texts[k]) for k in nodes.values()}
+    holders = {}
     for k, s in sets.items():
         common = {}
         for x in s:
             for other in holders.setdefault(x, []):
                 common[other] = common.get(other, 0) + 1
             holders[x].append(k)
-        links += [(k, o) for o, n in common.items() if 5 * n >= 4 * (len(s) + len(sets[o]) - n)]
+        for o, n in common.items():
+            near = 5 * n >= 4 * (len(s) + len(sets[o]) - n)
+            uneven = len(set(weigh[k].values()) | set(weigh[o].values())) > 1
+            if near or (uneven and weighted_similarity(weigh[k], weigh[o]) >= 0.8):
+                links.append((k, o))
     return groups(texts, links)
 
 
@@ -103,6 +130,13 @@ def test_repeated_passages_do_not_hide_near_copies(spark):
         n += 3
     found = brute_classes(texts)
     assert len(set(found.values())) == 70  # all pairs but those of the long other ends
+    for pair in range(60):  # near by weight only: what both repeat weighs more than what each has alone
+        shared = [f"q{pair}w{i}" for i in range(60)]
+        for side in "xy":
+            texts[n] = " ".join(shared * (30 if pair % 2 else 2) + [f"q{pair}{side}{i}" for i in range(25)])
+            n += 1
+    found = brute_classes(texts)
+    assert 70 + 60 < len(set(found.values())) < 70 + 120
     docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
     assert {r["doc_id"]: r["class_id"] for r in minhash.classes(docs).collect()} == found
 

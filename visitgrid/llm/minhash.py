@@ -6,12 +6,14 @@ shingle that arrived first.  Two texts agree in a register with their probabilit
 similarity, each register by itself.  A shingle is followed only while its next arrival
 can still be the first anywhere, so after its first few arrivals almost all work ends.
 
-Candidates.  All weights are 1 here, whatever the counts, so that similarity is the
-Jaccard similarity of the sets, which verification asks for.  Registers form bands; texts
-that agree in a band share a bucket.  Texts with the same set of shingles have the same
-bands and are one node, so copies never meet as pairs.
+Candidates.  Registers form bands; texts that agree in a band share a bucket.  A shingle
+weighs 1 + ln(count), so a text has the bands of its weighted shingles, and beside them
+those of its set, in which all weigh alike; where no shingle occurs more often than
+another the two are the same and stand once.  Texts with the same set of shingles are one
+node, so copies never meet as pairs; it has the bands and counts of its smallest row.
 
-Verification is exact: the Jaccard similarity of the two sets of shingles, 0.8 or more.
+Verification is exact: two nodes are linked if the probability Jaccard similarity of their
+weighted shingles, or the Jaccard similarity of their sets, is 0.8 or more.
 
 Pairs.  Within a bucket each node is first compared with the bucket's smallest one only,
 and verified links are joined to components.  Then only nodes that share a bucket but not
@@ -20,8 +22,10 @@ proportion to its size, and still no candidate pair is left out that could join
 components.  Each node carries an odd sketch for that: one bit for each of 2048 classes of
 shingles, 1 if it holds an odd number of the class.  Where two sketches differ in d bits,
 the sets differ in d shingles at least, so the join itself drops pairs that are surely too
-far apart, and never one that is near enough.  32 bands of 5 registers miss a pair at 0.8
-about three times in a million, (1 - 0.8 ** 5) ** 32, and nearer ones less often.
+far apart, and never one that is near enough (by either similarity: a shingle weighs 1 at
+least, and probability Jaccard is at most 1 less the share of weight that is not common).
+32 bands of 5 registers miss a pair at 0.8 about three times in a million,
+(1 - 0.8 ** 5) ** 32, and nearer ones less often.
 """
 
 from __future__ import annotations
@@ -38,7 +42,6 @@ from pyspark.sql import functions as F
 
 from .common import free_name, materialize, steps
 from .components import components
-from .toxicity import distinct_pairs
 from .words import factors, mix, windows, words_of
 
 SHINGLE = 5
@@ -105,17 +108,47 @@ def sketch(doc: np.ndarray, shingle: np.ndarray, weight: np.ndarray, docs: int)
     return holder.reshape(docs, REGISTERS)
 
 
+def weights_of(doc: np.ndarray, counts: np.ndarray, docs: int) -> tuple[np.ndarray, np.ndarray]:
+    """Weight of each shingle, and which texts have different ones.  Equal weights are 1."""
+    ends = np.cumsum(np.bincount(doc, minlength=docs))
+    mixed = np.zeros(docs, bool)
+    if len(doc):
+        some = np.flatnonzero(np.diff(np.append(0, ends)))
+        first = np.append(0, ends[:-1])[some]
+        mixed[some] = np.minimum.reduceat(counts, first) != np.maximum.reduceat(counts, first)
+    return np.where(mixed[doc], 1 + np.log(counts), 1.0), mixed
+
+
+def probability_jaccard(x: np.ndarray, y: np.ndarray) -> float:
+    """Of two rows of weights over the same shingles (0 where one lacks it):
+    the sum over common i of 1 / sum over j of max(x[j] / x[i], y[j] / y[i])."""
+    with np.errstate(divide="ignore"):
+        ratio = x / y
+    order = np.argsort(ratio, kind="stable")
+    x, y, ratio = x[order], y[order], ratio[order]
+    common = np.flatnonzero((x > 0) & (y > 0))
+    # up to i in this order y[j] / y[i] is the larger one, behind it x[j] / x[i]
+    below, above = np.cumsum(y)[common], x.sum() - np.cumsum(x)[common]
+    return float((1 / (below / y[common] + above / x[common])).sum())
+
+
+def _bands(shingle: np.ndarray, owner: np.ndarray, weight: np.ndarray, docs: int) -> np.ndarray:
+    registers = sketch(owner, shingle, weight, docs)
+    return mix((mix(registers).reshape(docs, BANDS, ROWS) * factors(ROWS, 5)).sum(axis=2, dtype=np.uint64) + factors(BANDS, 6))
+
+
 def sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
     """Per row: ``k`` (the key), ``h`` (a hash of the text), ``digest`` (of the set of
     shingles; of the text itself where it has no word), ``size`` (number of shingles),
-    ``bands`` (bucket keys, none without words) and ``odd`` (the odd sketch)."""
+    ``weight`` (all of them, rounded up), ``bands`` (bucket keys, none without words; of the set,
+    then of the weighted shingles where these weigh differently) and ``odd`` (the odd sketch)."""
     rows = docs.select(F.col(key).alias("k"), F.coalesce(text, F.lit("")).alias("t")).select("k", F.xxhash64("t").alias("h"), "t")
-    row_factors, salts = factors(ROWS, 5), factors(BANDS, 6)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, 2):
             n = batch.num_rows
-            doc, shingle, _ = shingles_of(batch.column(2))
+            doc, shingle, counts = shingles_of(batch.column(2))
+            weight, mixed = weights_of(doc, counts, n)
             size = np.bincount(doc, minlength=n)
             ends = np.cumsum(size)
             digest = [
@@ -125,23 +158,32 @@ def sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
             some = np.flatnonzero(size)
             number = np.zeros(n, np.int64)
             number[some] = np.arange(len(some))
-            registers = sketch(number[doc], shingle, np.ones(len(shingle)), len(some))
-            bands = mix((mix(registers).reshape(len(some), BANDS, ROWS) * row_factors).sum(axis=2, dtype=np.uint64) + salts)
+            sets = _bands(shingle, number[doc], np.ones(len(shingle)), len(some))
+            other = np.flatnonzero(mixed)
+            place = np.zeros(n, np.int64)
+            place[other] = np.arange(len(other))
+            uneven = mixed[doc]
+            bands = np.empty((len(some) + len(other), BANDS), np.uint64)
+            at = np.arange(len(some)) + np.cumsum(mixed[some]) - mixed[some]
+            bands[at] = sets
+            bands[at[mixed[some]] + 1] = _bands(shingle[uneven], place[doc[uneven]], weight[uneven], len(other))
             classes_of = (mix(shingle + _GOLDEN) % np.uint64(ODD_BITS)).astype(np.int64) + number[doc] * ODD_BITS
             odd = np.packbits((np.bincount(classes_of, minlength=len(some) * ODD_BITS) & 1).astype(np.uint8)).view(np.int64)
             has = (size > 0).astype(np.int32)
-            band_list = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(has * BANDS)]), pa.int32()), pa.array(bands.reshape(-1).view(np.int64)))
+            band_list = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum((has + mixed) * BANDS)]), pa.int32()), pa.array(bands.reshape(-1).view(np.int64)))
+            whole = np.ceil(np.bincount(doc, weight, minlength=n)).astype(np.int64)
             odd_list = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(has * (ODD_BITS // 64))]), pa.int32()), pa.array(odd))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(digest, pa.binary()), pa.array(size, pa.int64()), band_list, odd_list],
-                names=["k", "h", "digest", "size", "bands", "odd"])
+                [batch.column(0), batch.column(1), pa.array(digest, pa.binary()), pa.array(size, pa.int64()), pa.array(whole), band_list, odd_list],
+                names=["k", "h", "digest", "size", "weight", "bands", "odd"])
 
     kind = rows.schema["k"].dataType.simpleString()
-    return rows.mapInArrow(run, f"k {kind}, h bigint, digest binary, size bigint, bands array<bigint>, odd array<bigint>")
+    return rows.mapInArrow(run, f"k {kind}, h bigint, digest binary, size bigint, weight bigint, bands array<bigint>, odd array<bigint>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
-    """``nid`` and its sorted shingles for nodes in ``wanted`` (``nid``, ``k``, ``h``)."""
+    """``nid``, its sorted shingles, and their weights (null if all are equal) for nodes in
+    ``wanted`` (``nid``, ``k``, ``h``)."""
     rows = docs.select(F.col(key).alias("k"), F.coalesce(text, F.lit("")).alias("t")).withColumn("h", F.xxhash64("t"))
     if wanted.count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
@@ -150,25 +192,45 @@ def _sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, 1):
-            doc, shingle, _ = shingles_of(batch.column(1))
-            ends = np.cumsum(np.bincount(doc, minlength=batch.num_rows))
-            lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(shingle.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["nid", "shingles"])
-
-    return chosen.mapInArrow(run, "nid bigint, shingles array<bigint>").dropDuplicates(["nid"])
+            doc, shingle, counts = shingles_of(batch.column(1))
+            weight, mixed = weights_of(doc, counts, batch.num_rows)
+            ends = np.append(0, np.cumsum(np.bincount(doc, minlength=batch.num_rows)))
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(shingle.view(np.int64)))
+            packed = [weight[a:b].astype("<f8").tobytes() if m else None for a, b, m in zip(ends, ends[1:], mixed)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(packed, pa.binary())], names=["nid", "shingles", "weights"])
+
+    return chosen.mapInArrow(run, "nid bigint, shingles array<bigint>, weights binary").dropDuplicates(["nid"])
+
+
+def _weighed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of pairs with their shingles, those that are near by weight; pairs without are near by their sets."""
+    for batch in batches:
+        near = np.ones(batch.num_rows, bool)
+        for n, x in enumerate(batch.column(2)):
+            if not x.is_valid:
+                continue
+            own = [np.asarray(batch.column(c)[n].values) for c in (2, 3)]
+            every = np.union1d(*own)
+            rows = np.zeros((2, len(every)))
+            for row, shingles, packed in zip(rows, own, (batch.column(4)[n], batch.column(5)[n])):
+                row[np.searchsorted(every, shingles)] = np.frombuffer(packed.as_buffer(), "<f8") if packed.is_valid else 1.0
+            near[n] = probability_jaccard(*rows) >= NUMERATOR / DENOMINATOR
+        yield batch.select(["a", "b"]).filter(pa.array(near))
 
 
 def _linked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, text: str, label: str) -> DataFrame:
-    """Those of the pairs (``a``, ``b``) whose sets of shingles are similar enough."""
+    """Those of the pairs (``a``, ``b``) that are similar enough, by their sets or by weight."""
     ids = pairs.select(F.col("a").alias("nid")).union(pairs.select(F.col("b").alias("nid"))).distinct()
     wanted = materialize(nodes.select("nid", "k", "h").join(ids, "nid", "left_semi"), label)
     sets = materialize(_sets(docs, wanted, key, text), label)
-    left = sets.select(F.col("nid").alias("a"), F.col("shingles").alias("x"))
-    right = sets.select(F.col("nid").alias("b"), F.col("shingles").alias("y"))
-    both = pairs.join(left, "a").join(right, "b")
+    left = sets.select(F.col("nid").alias("a"), F.col("shingles").alias("x"), F.col("weights").alias("u"))
+    right = sets.select(F.col("nid").alias("b"), F.col("shingles").alias("y"), F.col("weights").alias("v"))
     common = F.size(F.array_intersect("x", "y"))
     every = F.size("x") + F.size("y") - common
-    return materialize(both.where(DENOMINATOR * common >= NUMERATOR * every).select("a", "b"), label)
+    both = pairs.select("a", "b").join(left, "a").join(right, "b").withColumn("near", DENOMINATOR * common >= NUMERATOR * every)
+    both = both.where("near OR u IS NOT NULL OR v IS NOT NULL")
+    rest = both.select("a", "b", *(F.when(~F.col("near"), F.col(c)).alias(c) for c in ("x", "y", "u", "v")))
+    return materialize(rest.mapInArrow(_weighed, "a bigint, b bigint"), label)
 
 
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -194,11 +256,11 @@ def _nodes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """One row per set of shingles with a number, and the buckets (``bucket``, ``nid``,
     ``size``, ``odd``)."""
     nodes = rows.groupBy("digest").agg(
-        F.min(F.struct(F.col("k").isNull().alias("z"), "k", "h")).alias("rep"),
-        F.first("size").alias("size"), F.first("bands").alias("bands"), F.first("odd").alias("odd"),
-    ).select("digest", "rep.k", "rep.h", "size", "bands", "odd")
+        F.min(F.struct(F.col("k").isNull().alias("z"), "k", "h", "weight", "bands")).alias("rep"),
+        F.first("size").alias("size"), F.first("odd").alias("odd"),
+    ).select("digest", "rep.k", "rep.h", "rep.weight", "size", "rep.bands", "odd")
     nodes = materialize(nodes.withColumn("nid", F.monotonically_increasing_id()), "nodes")  # written, so the numbers stay
-    return nodes, nodes.select(F.explode("bands").alias("bucket"), "nid", "size")
+    return nodes, nodes.select(F.explode(F.array_distinct("bands")).alias("bucket"), "nid", "size", "weight")
 
 
 def _components(nodes: DataFrame, buckets: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -219,11 +281,14 @@ def _components(nodes: DataFrame, buckets: DataFrame, docs: DataFrame, key: str,
     x, y = rest.alias("x"), rest.alias("y")
     differing = functools.reduce(operator.add, (F.bit_count(F.col("x.odd")[i].bitwiseXOR(F.col("y.odd")[i])) for i in range(ODD_BITS // 64)))
     small, large = F.least("x.size", "y.size"), F.greatest("x.size", "y.size")
-    # common / every >= n / d as bounds on the sizes and on the number of shingles in one set only;
+    # common / every >= n / d as bounds on the sizes and on the number of shingles in one set only
+    by_sets = (DENOMINATOR * small >= NUMERATOR * large) & ((DENOMINATOR + NUMERATOR) * differing <= (DENOMINATOR - NUMERATOR) * (small + large))
+    # the same by weight, where it differs from the size: what is not common weighs 1 a shingle at least
+    whole = F.col("x.weight") + F.col("y.weight")
+    by_weight = (whole > small + large) & (DENOMINATOR * differing <= (DENOMINATOR - NUMERATOR) * whole)
     # of the buckets that a pair shares one gives it
     near = (
-        (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.comp") < F.col("y.comp")) & (DENOMINATOR * small >= NUMERATOR * large)
-        & ((DENOMINATOR + NUMERATOR) * differing <= (DENOMINATOR - NUMERATOR) * (small + large))
+        (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.comp") < F.col("y.comp")) & (by_sets | by_weight)
         & (F.array_min(F.array_intersect("x.bands", "y.bands")) == F.col("x.bucket"))
     )
     second = materialize(x.join(y, near).select(F.col("x.nid").alias("a"), F.col("y.nid").alias("b")), "pairs")
