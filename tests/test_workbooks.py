@@ -1,5 +1,6 @@
 """Real files: scan, extraction, batch job, incremental intake."""
 
+import io
 import os
 import zipfile
 from datetime import date, datetime
@@ -66,13 +67,40 @@ def test_folder_listing(spark, folder):
 def test_scan_values():
     moment = datetime(2024, 4, 3, 10, 30)
     content = make_workbook({"S": [(1, 1, 1), (1, 2, 1.0), (1, 28, "x & <y>"), (2, 1, True), (3, 1, moment), (3, 2, 1e-5), (4, 1, " ")]})
-    got = {(r[2], r[3]): (r[4], r[5]) for r in wb.parse_workbook(content) if r[0] == "cell"}
+    got = {(r[2], r[3]): (r[4], r[5]) for part in wb.open_workbook(content) if part[0] == "part" for r in wb.parse_part(part[1], *part[7:]) if r[0] == "cell"}
     assert got == {
         (1, 1): ("int", "1"), (1, 2): ("float", "1.0"), (1, 28): ("text", "x & <y>"), (2, 1): ("bool", "True"),
         (3, 1): ("date", "2024-04-03 10:30:00"), (3, 2): ("float", "1e-05"), (4, 1): ("text", " "),
     }
 
 
+def test_sheets_of_one_file_go_to_several_tasks(spark):
+    content = make_workbook({f"S{n}": [(1, 1, f"text {n}"), (2, 2, n)] for n in range(40)})
+    files = spark.createDataFrame([("/in/a.xlsx", content)], "source_path string, content binary")
+    found = wb.scan_workbooks(files, {f"S{n}" for n in range(30)}).withColumn("task", F.spark_partition_id())
+    cells = found.where("kind = 'cell'").collect()
+    assert len(cells) == 60 and {r["raw"] for r in cells if r["col"] == 1} == {f"text {n}" for n in range(30)}
+    assert len({r["task"] for r in cells}) > 4
+    assert found.where("kind = 'sheet'").count() == 40 and found.where("kind = 'part'").count() == 0
+
+
+@pytest.mark.parametrize("method", [zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED, zipfile.ZIP_BZIP2])
+def test_entries_of_any_packing(method):
+    plain, out = zipfile.ZipFile(io.BytesIO(book())), io.BytesIO()
+    with zipfile.ZipFile(out, "w", method) as packed:
+        for name in plain.namelist():
+            packed.writestr(name, plain.read(name))
+    parts = [x for x in wb.open_workbook(out.getvalue(), {"Data"}) if x[0] == "part"]
+    assert len(parts) == 1
+    rows = list(wb.parse_part(parts[0][1], *parts[0][7:]))
+    assert len(rows) == 11 and all(r[0] == "cell" for r in rows)
+    sheet, strings, settings, data = parts[0][1], *parts[0][7:]
+    cut = list(wb.parse_part(sheet, strings, settings, data[: len(data) // 2]))
+    assert cut[-1][0] == "sheet_error"
+    other = settings.replace('"checksum": ', '"checksum": 1')
+    assert list(wb.parse_part(sheet, strings, other, data))[-1][5].startswith("BadZipFile")
+
+
 def test_broken_sheet_keeps_the_others(spark, tmp_path):
     good = book()
     source, target = tmp_path / "g.xlsm", tmp_path / "h.xlsm"

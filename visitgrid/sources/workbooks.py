@@ -1,16 +1,21 @@
 """Workbook files to cells.
 
 The only row-wise Python stage: an .xlsx file is a zip of XML parts, which Spark
-cannot read.  One file is parsed by one task as a stream (sheet by sheet, row by
-row), cells leave in batches of bounded size, and a file that cannot be read gives
-an error row instead of failing the job.
+cannot read.  It goes in two steps.  The first opens each file, lists its sheets and
+names, and passes on the wanted sheets as they lie in the zip, still compressed, one row
+each.  Those rows are dealt out by file and sheet, so the sheets of a large workbook go to
+several tasks; the second step parses each as a stream, row by row.  Cells leave in
+batches of bounded size, and a file that cannot be read gives an error row instead of
+failing the job.
 """
 
 from __future__ import annotations
 
 import io
+import json
 import posixpath
 import re
+import struct
 import zipfile
 import zlib
 from collections.abc import Iterable, Iterator
@@ -18,6 +23,7 @@ from datetime import datetime, time, timedelta
 from xml.etree import ElementTree
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -30,7 +36,8 @@ SCAN_SCHEMA = (
 )
 CELL_COLUMNS = ("workbook_id", "sheet", "row", "col", "ctype", "raw")
 FORMATS = ("xlsx", "xlsm", "xls")
-_BATCH_ROWS = 50_000
+_PART_SCHEMA = f"{SCAN_SCHEMA}, strings array<string>, settings string, data binary"
+_BATCH_ROWS, _BATCH_PARTS = 50_000, 200
 _SPACE = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _ROW, _CELL, _VALUE, _INLINE = (_SPACE + tag for tag in ("row", "c", "v", "is"))
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
@@ -191,19 +198,48 @@ def _sheet_parts(book: zipfile.ZipFile) -> tuple[list[tuple[str, str]], ElementT
     return sheets, root
 
 
-def parse_workbook(content: bytes, wanted: set[str] | None = None) -> Iterator[tuple]:
-    """Rows (kind, sheet, row, col, ctype, raw, name) of one workbook.
-
-    Sheets that no rule asks for are listed but their XML is not read.  A sheet whose
-    XML breaks off gives the cells before the break and a ``sheet_error`` row.
-    """
+class _Inflated:
+    """Stream of the content of a zip entry from its bytes in the archive."""
+
+    def __init__(self, data: bytes, method: int, checksum: int):
+        self.data, self.at, self.checksum, self.seen = memoryview(data), 0, checksum, 0
+        self.inflate = zlib.decompressobj(-zlib.MAX_WBITS) if method == zipfile.ZIP_DEFLATED else None
+
+    def read(self, size: int = -1) -> bytes:
+        step = 1 << 16 if size is None or size < 0 else size
+        out = b""
+        while not out and self.at < len(self.data):
+            piece = self.data[self.at : self.at + step]
+            self.at += len(piece)
+            out = self.inflate.decompress(piece) if self.inflate else bytes(piece)
+            if self.inflate and self.at == len(self.data):
+                out += self.inflate.flush()
+        self.seen = zlib.crc32(out, self.seen)
+        if not out and self.seen != self.checksum:
+            raise zipfile.BadZipFile("Bad CRC-32 for a sheet")
+        return out
+
+
+def _entry(book: zipfile.ZipFile, content: bytes, name: str) -> tuple[bytes, int, int]:
+    """Bytes of an entry as they lie in the archive, how they are packed, and their checksum."""
+    info = book.getinfo(name)
+    if info.compress_type not in (zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED):
+        return book.read(name), zipfile.ZIP_STORED, info.CRC
+    name_size, extra_size = struct.unpack_from("<HH", content, info.header_offset + 26)
+    start = info.header_offset + 30 + name_size + extra_size
+    return content[start : start + info.compress_size], info.compress_type, info.CRC
+
+
+def open_workbook(content: bytes, wanted: set[str] | None = None) -> Iterator[tuple]:
+    """Rows (kind, sheet, row, col, ctype, raw, name, strings, settings, data) of one
+    workbook: its sheets and names, and a ``part`` for each sheet that a rule asks for."""
     with zipfile.ZipFile(io.BytesIO(content)) as book:
         sheets, root = _sheet_parts(book)
         flags = root.find(f"{_SPACE}workbookPr")
         base_1904 = flags is not None and flags.get("date1904") in ("1", "true")
         strings, styles = _shared_strings(book), _date_styles(book)
         for position, (name, _) in enumerate(sheets, start=1):
-            yield "sheet", name, position, None, None, None, None
+            yield "sheet", name, position, *_NOTHING[2:]
         for defined in root.iter(f"{_SPACE}definedName"):
             target, mark, address = (defined.text or "").rpartition("!")
             if not mark or defined.get("localSheetId") is not None:
@@ -211,16 +247,47 @@ def parse_workbook(content: bytes, wanted: set[str] | None = None) -> Iterator[t
             # A name that is no single cell is found too; it has no value.
             spot = re.fullmatch(r"\$?([A-Za-z]+)\$?(\d+)", address)
             row, col = (int(spot.group(2)), _column(spot.group(1))) if spot else (None, None)
-            yield "name", target.strip("'").replace("''", "'"), row, col, None, None, defined.get("name")
+            yield "name", target.strip("'").replace("''", "'"), row, col, None, None, defined.get("name"), None, None, None
         for name, part_name in sheets:
-            if wanted is not None and name not in wanted:
-                continue
-            try:
-                with book.open(part_name) as part:
-                    for row, col, ctype, raw in _sheet_cells(part, strings, styles, base_1904):
-                        yield "cell", name, row, col, ctype, raw, None
-            except (ElementTree.ParseError, zipfile.BadZipFile, zlib.error, KeyError, ValueError, IndexError) as exc:
-                yield "sheet_error", name, None, None, None, f"{type(exc).__name__}: {exc}", None
+            if wanted is None or name in wanted:
+                try:
+                    data, method, checksum = _entry(book, content, part_name)
+                except (zipfile.BadZipFile, zlib.error, struct.error, NotImplementedError) as exc:
+                    yield "sheet_error", name, None, None, None, f"{type(exc).__name__}: {exc}", *_NOTHING[5:]
+                    continue
+                settings = json.dumps({"styles": styles, "base_1904": base_1904, "method": method, "checksum": checksum})
+                yield "part", name, None, None, None, None, None, strings, settings, data
+
+
+_NOTHING = (None,) * 9
+
+
+def parse_part(sheet: str, strings: list[str], settings: str, data: bytes) -> Iterator[tuple]:
+    """Rows (kind, sheet, row, col, ctype, raw, name) of the cells of a sheet.  A sheet whose
+    XML breaks off gives the cells before the break and a ``sheet_error`` row."""
+    known = json.loads(settings)
+    styles = {int(k): v for k, v in known["styles"].items()}
+    try:
+        part = _Inflated(data, known["method"], known["checksum"])
+        for row, col, ctype, raw in _sheet_cells(part, strings, styles, known["base_1904"]):
+            yield "cell", sheet, row, col, ctype, raw, None
+    except (ElementTree.ParseError, zipfile.BadZipFile, zlib.error, KeyError, ValueError, IndexError) as exc:
+        yield "sheet_error", sheet, None, None, None, f"{type(exc).__name__}: {exc}", None
+
+
+def _batches(rows: Iterator[tuple], schema: pa.Schema, most: int) -> Iterator[pa.RecordBatch]:
+    pending: list[tuple] = []
+
+    def batch() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*pending), schema)], schema=schema)
+
+    for row in rows:
+        pending.append(row)
+        if len(pending) >= most:
+            yield batch()
+            pending.clear()
+    if pending:
+        yield batch()
 
 
 def scan_workbooks(files: DataFrame, sheets: Iterable[str] | None = None) -> DataFrame:
@@ -228,32 +295,44 @@ def scan_workbooks(files: DataFrame, sheets: Iterable[str] | None = None) -> Dat
     ``sheet_error`` or ``error``.
 
     ``workbook_id`` is the path.  Rows leave in Arrow batches of bounded size, so
-    memory holds the files of one input batch and one output batch.  A file that is no
-    workbook gives one ``error`` row and nothing else.
+    memory holds the files or sheets of one input batch and one output batch.  A file that
+    is no workbook gives one ``error`` row and nothing else.  Sheets that no rule asks for
+    are listed but neither passed on nor read.
     """
     wanted = None if sheets is None else set(sheets)
-    arrow = to_arrow_schema(StructType.fromDDL(SCAN_SCHEMA))
-
-    def batch(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), arrow)], schema=arrow)
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pending: list[tuple] = []
+    plain, full = (to_arrow_schema(StructType.fromDDL(x)) for x in (SCAN_SCHEMA, _PART_SCHEMA))
+
+    def list_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple]:
+            for found in batches:
+                for path, content in zip(found.column("source_path"), found.column("content")):
+                    book = path.as_py()
+                    try:
+                        for kind, *rest in open_workbook(content.as_py(), wanted):
+                            yield kind, book, *rest
+                    except Exception as exc:  # isolate the file: it becomes its own error row
+                        yield "error", book, None, None, None, None, f"{type(exc).__name__}: {exc}", *_NOTHING[5:]
+
+        return _batches(rows(), full, _BATCH_PARTS)
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for found in batches:
-            for path, content in zip(found.column("source_path"), found.column("content")):
-                book = path.as_py()
-                try:
-                    for kind, *rest in parse_workbook(content.as_py(), wanted):
-                        pending.append((kind, book, *rest))
-                        if len(pending) >= _BATCH_ROWS:
-                            yield batch(pending)
-                            pending = []
-                except Exception as exc:  # isolate the file: it becomes its own error row
-                    pending.append(("error", book, None, None, None, None, f"{type(exc).__name__}: {exc}", None))
-        if pending:
-            yield batch(pending)
-
-    return files.select("source_path", "content").mapInArrow(scan, SCAN_SCHEMA)
+            part = pc.equal(found.column("kind"), "part")
+            yield found.filter(pc.invert(part)).select(plain.names)
+
+            def rows(parts: pa.RecordBatch = found.filter(part)) -> Iterator[tuple]:
+                for n in range(parts.num_rows):
+                    row = parts.slice(n, 1).to_pylist()[0]
+                    for kind, *rest in parse_part(row["sheet"], row["strings"], row["settings"], row["data"]):
+                        yield kind, row["workbook_id"], *rest
+
+            yield from _batches(rows(), plain, _BATCH_ROWS)
+
+    spark = files.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    listed = files.select("source_path", "content").mapInArrow(list_parts, _PART_SCHEMA)
+    # a given number is not coalesced: the parts are small as they lie in the zip, and parsing them is CPU work
+    return listed.repartition(tasks, "workbook_id", "sheet").mapInArrow(parse, SCAN_SCHEMA)
 
 
 def cells(scan: DataFrame) -> DataFrame:
