@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from visitgrid.operators import numbering, records, tables
+from visitgrid.operators import frames, numbering, records, tables
 from visitgrid.operators.overlay import overlay, setting
 from visitgrid.operators.scalars import label_hits, scalar_records
 from visitgrid.operators.typing import prepare_export, where_equal, with_inferred_types
@@ -132,6 +132,28 @@ def test_label_search_ignores_falsy_cells(spark):
     assert got == {"0": "9", "late": "3", "far": "4"}
 
 
+@pytest.mark.parametrize("limit", [0, 1 << 25])
+def test_label_index_equals_brute_force(spark, monkeypatch, limit):
+    """Many rules, short, long, empty and non-Latin texts; with and without a broadcast."""
+    monkeypatch.setattr(frames, "MAX_RULE_BYTES", limit)
+    rng = random.Random(8)
+    texts = ["", "a", "ab", "abc", "é漢", "漢字😀", "cab", "zz", "1", "0"] + ["".join(rng.choices("abc 1", k=rng.randint(1, 6))) for _ in range(60)]
+    cells = {(b, s, r, c): "".join(rng.choices("abcé漢字😀 01", k=rng.randint(0, 9))) for b in "vw" for s in "ST" for r in range(1, 9) for c in range(1, 5) if rng.random() < 0.8}
+    rules = [
+        {"seq": n, "sheet_name": "ST"[n % 2], "text": t, "first_row": 1 + n % 3, "last_row": 5 + n % 4, "last_col": 2 + n % 3, "offset": n % 3 - 1}
+        for n, t in enumerate(texts)]
+    got = {(r["workbook_id"], r["seq"]): r["cell"] and r["cell"]["raw"] for r in label_hits(
+        spark.createDataFrame([(*k, "text", v) for k, v in cells.items()], CELLS), rules).collect()}
+    want = {}
+    for book in "vw":
+        for rule in rules:
+            at = [k for k, v in cells.items() if k[:2] == (book, rule["sheet_name"]) and rule["first_row"] <= k[2] <= rule["last_row"] and k[3] <= rule["last_col"] and v and rule["text"] in v]
+            if at:
+                _, sheet, row, col = min(at)
+                want[book, rule["seq"]] = cells.get((book, sheet, row, col + rule["offset"]))
+    assert got == want
+
+
 def test_absent_sheet_gives_no_records(spark):
     books = spark.createDataFrame([("w", ["S"]), ("v", ["T"])], "workbook_id string, sheets array<string>")
     cells = spark.createDataFrame([("w", "S", 1, 1, "text", "x")], CELLS)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import tables
+from ..operators import scalars, tables
 from ..operators.scalars import missing_required, scalar_records
 from ..operators.visits import structure_check
 from ..plans.mapping import LAST_ROW, read_mapping
@@ -381,6 +381,29 @@ def grid_label_far(spark, sf_dir):
     return _scalars(long_cells(spark, sf_dir), fields, "LONG")
 
 
+@query("grid_label_many", f"""
+WITH {EVENTS_SQL}, cell AS (
+  SELECT workbook_id, r, 1 AS col, a AS raw FROM ev WHERE a IS NOT NULL
+  UNION ALL SELECT workbook_id, r, 2, CAST(b AS VARCHAR) FROM ev WHERE b IS NOT NULL
+  UNION ALL SELECT workbook_id, r, 3, CAST(c AS VARCHAR) FROM ev WHERE c IS NOT NULL
+  UNION ALL SELECT workbook_id, r, 4, d FROM ev WHERE d IS NOT NULL
+), piece AS (
+  SELECT DISTINCT workbook_id, r, col, substr(raw, i, size) AS text
+  FROM (SELECT *, unnest(range(1, len(raw) + 1)) AS i FROM cell WHERE NOT (col IN (2, 3) AND TRY_CAST(raw AS DOUBLE) = 0)), range(1, 6) AS sizes(size)
+  WHERE i + size - 1 <= len(raw)
+), hit AS (
+  SELECT workbook_id, CAST(text AS INTEGER) AS seq, min({{'r': r, 'c': col}}) AS spot FROM piece
+  WHERE regexp_full_match(text, '[1-9][0-9]{{0,4}}|0') GROUP BY ALL
+)
+SELECT hit.workbook_id, seq, raw FROM hit LEFT JOIN cell ON cell.workbook_id = hit.workbook_id AND r = spot.r AND col = spot.c + 1
+""")
+def grid_label_many(spark, sf_dir):
+    """100,000 label rules over one sheet: right neighbour of the first cell that holds a number."""
+    rules = [
+        {"seq": n, "sheet_name": "EV", "text": str(n), "first_row": 1, "last_row": LAST_ROW, "last_col": 100, "offset": 1} for n in range(100_000)]
+    return scalars.label_hits(event_cells(spark, sf_dir), rules).select("workbook_id", "seq", F.col("cell.raw").alias("raw"))
+
+
 @query("grid_section_metadata", f"""
 WITH {EVENTS_SQL}, books AS (SELECT DISTINCT workbook_id FROM ev), stop AS (
   SELECT workbook_id, coalesce(min(CASE WHEN r BETWEEN 2 AND 4 AND a IS NULL THEN r END), 5) AS r FROM ev GROUP BY 1),

@@ -2,33 +2,24 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-# A mapping holds a few hundred rules; up to this many rows are sent to every task.
-MAX_RULE_ROWS = 50_000
+#: A mapping holds a few hundred rules; a table of up to this many bytes is sent to every task.
+MAX_RULE_BYTES = 32 << 20
 
 
 def rule_frame(spark: SparkSession, rows: Sequence[dict], schema: str) -> DataFrame:
-    """Rule rows as a local relation, marked for broadcast if their number is small; more
-    are joined like any table."""
+    """Rule rows as a local relation, marked for broadcast if it is small; a larger one is
+    joined like any table."""
     fields = StructType.fromDDL(schema)
     table = pa.Table.from_pylist(
         [{f.name: row.get(f.name) for f in fields} for row in rows], schema=to_arrow_schema(fields)
     )
     frame = spark.createDataFrame(table, schema=fields)
-    return F.broadcast(frame) if len(rows) <= MAX_RULE_ROWS else frame
-
-
-def rule_array(rows: Sequence[dict], schema: str) -> Column:
-    """Rule rows as one constant ``array<struct>`` (folded by the optimizer)."""
-    if len(rows) > MAX_RULE_ROWS:
-        raise ValueError(f"{len(rows)} rule rows: too many for a constant")
-    fields = ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in StructType.fromDDL(schema))
-    return F.from_json(F.lit(json.dumps(rows)), f"array<struct<{fields}>>")
+    return F.broadcast(frame) if table.nbytes <= MAX_RULE_BYTES else frame

@@ -12,6 +12,7 @@ task; what is shuffled is at most one hit per (workbook, rule).
 from __future__ import annotations
 
 import json
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -21,7 +22,7 @@ from ..functions import convert
 from ..functions.normalize import normalize
 from ..functions.text import is_blank, strip
 from ..plans.mapping import LIST_TYPES
-from .frames import rule_array, rule_frame
+from .frames import rule_frame
 
 
 def _cell() -> Column:
@@ -46,37 +47,51 @@ def point_hits(cells: DataFrame, rules: Sequence[dict]) -> DataFrame:
     return cells.join(spec, ["sheet", "row", "col"]).select("workbook_id", "seq", _cell().alias("cell"))
 
 
+#: Characters of the piece by which a label text is looked up; shorter texts by all of them.
+_GRAM = 3
+
+
+def _grams(texts: Sequence[str]) -> dict[str, str]:
+    """For each text the piece of it that the fewest texts have."""
+    pieces = {t: {t[i : i + _GRAM] for i in range(max(1, len(t) - _GRAM + 1))} for t in set(texts)}
+    shared = Counter(g for found in pieces.values() for g in found)
+    return {t: min(found, key=lambda g: (shared[g], g)) for t, found in pieces.items()}
+
+
 def label_hits(cells: DataFrame, rules: Sequence[dict]) -> DataFrame:
     """Neighbour of the first cell, in row-major order, that contains a text.
 
-    Rules give the search window.  They are a constant array that each cell is
-    tested against in its own task; the first hit is a minimum of (row, col), which
-    is combined before the shuffle.  A workbook without a hit gives no row; a hit
-    whose neighbour is empty gives a null cell.
+    Rules give the search window.  Each rule stands in an index under a rare piece of its
+    text; the pieces of a cell's text are looked up there, and what is found is verified.
+    So the work of a cell depends on its length, not on the number of rules.  The first
+    hit is a minimum of (row, col), which is combined before the shuffle.  A workbook
+    without a hit gives no row; a hit whose neighbour is empty gives a null cell.
     """
-    wanted = rule_array(
+    grams = _grams([r["text"] for r in rules])
+    index = rule_frame(
+        cells.sparkSession,
         [
             {
-                "seq": r["seq"], "sheet": r["sheet_name"], "text": r["text"], "first_row": r["first_row"],
+                "gram": grams[r["text"]], "seq": r["seq"], "sheet": r["sheet_name"], "text": r["text"], "first_row": r["first_row"],
                 "last_row": r["last_row"], "last_col": r["last_col"], "offset": r["offset"],
             }
             for r in rules
         ],
-        "seq int, sheet string, text string, first_row int, last_row int, last_col int, offset int",
+        "gram string, seq int, sheet string, text string, first_row int, last_row int, last_col int, offset int",
     )
     low = min(r["first_row"] for r in rules)
     high = max(r["last_row"] for r in rules)
     right = max(r["last_col"] + max(r["offset"], 0) for r in rules)
     window = cells.where(F.col("row").between(low, high) & (F.col("col") <= right))
 
-    def hit(rule: Column) -> Column:
-        inside = F.col("row").between(rule["first_row"], rule["last_row"]) & (F.col("col") <= rule["last_col"])
-        return (rule["sheet"] == F.col("sheet")) & inside & F.col("raw").contains(rule["text"])
-
+    sizes = sorted({len(g) for g in grams.values()})
+    pieces = window.where(truthy(window)).withColumn("size", F.explode(F.array(*map(F.lit, sizes)))).where(F.length("raw") >= F.col("size"))
+    last = F.when(F.col("size") == 0, 1).otherwise(F.length("raw") - F.col("size") + 1)  # every text holds the empty one, once
+    pieces = pieces.withColumn("at", F.explode(F.sequence(F.lit(1), last))).withColumn("gram", F.expr("substring(raw, at, size)"))
+    inside = F.col("row").between(F.col("first_row"), F.col("last_row")) & (F.col("col") <= F.col("last_col"))
     first = (
-        window.where(truthy(window))
-        .select("workbook_id", "sheet", "row", "col", F.explode(F.filter(wanted, hit)).alias("rule"))
-        .groupBy("workbook_id", "sheet", "rule.seq", "rule.offset")
+        pieces.join(index, ["sheet", "gram"]).where(inside & F.col("raw").contains(F.col("text")))
+        .groupBy("workbook_id", "sheet", "seq", "offset")
         .agg(F.min(F.struct("row", "col")).alias("at"))
         .select("workbook_id", "sheet", "seq", F.col("at.row").alias("row"), (F.col("at.col") + F.col("offset")).alias("col"))
     )
