@@ -167,10 +167,11 @@ def test_full_export(spark, folder, tmp_path):
     visits = materialize(batch.full_visits(found, rules, link, systems, "n"), "visits")
     log = batch.run_audit(found, batch.batch_visits(found), rules)
     parquet, text, archive = (str(tmp_path / n) for n in ("parquet", "text", "archive"))
-    export.export_parquet(found, visits, parquet)
-    paths = export.export_text(found, visits, text)
-    export.export_archive(found, visits, log, archive)
-    export.export_audit(log, TableStore(spark, str(tmp_path / "store")), parquet, text)
+    for _ in range(2):  # the same files again: nothing is doubled
+        export.export_parquet(found, visits, parquet)
+        paths = export.export_text(found, visits, text)
+        export.export_archive(found, visits, log, archive)
+        export.export_audit(log, TableStore(spark, str(tmp_path / "store")), parquet, text)
 
     stored = spark.read.parquet(f"{parquet}/visits")
     assert sorted((r["year"], r["hospital"], r["system"]) for r in stored.select(
@@ -178,7 +179,7 @@ def test_full_export(spark, folder, tmp_path):
         ("2024", "7", "8"), ("2024", "unknown", "unknown")]
     assert spark.read.parquet(f"{parquet}/tables/noise__row").where("qaid is not null").count() == 4
     assert spark.read.parquet(f"{parquet}/noise_noise__row").count() == 4  # the routed copy
-    assert spark.read.parquet(f"{parquet}/noise_fields").columns == ["workbook_id", "noise.mean", "qaid"]
+    assert spark.read.parquet(f"{parquet}/noise_fields").columns == ["workbook_id", "noise.mean", "qaid", "batch"]
     assert spark.read.parquet(f"{parquet}/extraction_audit").groupBy("event_type").count().count() == 2
     assert sorted(os.path.relpath(p, text) for p in paths) == [
         "Extracted_Tables/meta__visit.txt", "Extracted_Tables/noise__row.txt", "Metadata/Extracted_Fields.txt",

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import audit, typing
@@ -20,27 +23,29 @@ from .visiting import VISITS_SQL, order_visits
 WITH {VISITS_SQL}
 SELECT qaid, qampr, reference_qc, type, date_test, hospital_id, system_id, system_info_id, excel_file_name, excel_file_name AS source_file, template_id,
        sidecar_version, workbook_hash, qa_member1, qa_member2, processing_timestamp, extraction_method, left(date_test, 4) AS year, CAST(hospital_id AS VARCHAR) AS hospital
-FROM visits WHERE date_test LIKE '1998-%'
+FROM visits
 """)
 def partitioned_visits(spark, sf_dir):
-    """Visits written by year, hospital and system; one year read back (pruned)."""
+    """Visits written by year and hospital, and read back."""
     seen = order_visits(spark, sf_dir)
     root = scratch_path(spark, "visits")
     rows = seen.withColumn("source_file", F.col("excel_file_name")).select(
         *writers.VISIT_COLUMNS, *[c.alias(n) for n, c in writers.partition_columns().items() if n != "system"])
     writers.write_partitioned(rows, root, ("year", "hospital"))
-    back = spark.read.schema(rows.schema).parquet(root).where("year = '1998'")
-    return back
+    return spark.read.schema(rows.schema).parquet(root)
 
 
 @query("export_rerun", f"""
 WITH {VISITS_SQL}
 SELECT 'visits' AS part, batch, qaid FROM visits, (VALUES ('a'), ('b')) x(batch) WHERE (qaid % 2 = 0) = (batch = 'a')
 UNION ALL SELECT 'table', 'a', l_orderkey FROM lineitem
+UNION ALL SELECT 'archive', 'a', qaid FROM visits
+UNION ALL SELECT 'audit', 'a', event_id FROM events
+UNION ALL SELECT 'audit by date', 'a', event_id FROM events
 """)
 def export_rerun(spark, sf_dir):
-    """Two batches of visits, the first written twice, and a table written twice: no row
-    is there more than once."""
+    """Two batches of visits, the first written twice, and a table, an archive and the audit
+    log written twice: no row is there more than once."""
     seen, root = order_visits(spark, sf_dir).withColumn("system_id", F.lit(1).cast("bigint")), scratch_path(spark, "rerun")
     even = seen.where("qaid % 2 = 0")
     for part, batch in ((even, "a"), (seen.where("qaid % 2 = 1"), "b"), (even, "a")):
@@ -48,8 +53,20 @@ def export_rerun(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("qaid"), "l_linenumber")
     for _ in range(2):
         writers.write_tables({"lines/all": lines}, root, "a")
-    visits_back = readers.read_dataset(spark, f"{root}/visits").select(F.lit("visits").alias("part"), "batch", "qaid")
-    return visits_back.unionByName(readers.read_dataset(spark, f"{root}/tables/lines__all").select(F.lit("table").alias("part"), "batch", "qaid"))
+        writers.write_archive(seen.select("qaid", "qampr"), f"{root}/archive", "a")
+        writers.append_audit(event_log(spark, sf_dir), readers.TableStore(spark, root), batch="a")
+        writers.write_audit_parquet(event_log(spark, sf_dir), f"{root}/audit", "a")
+
+    def part(name: str, df, key: str = "qaid"):
+        return df.select(F.lit(name).alias("part"), "batch", F.col(key).alias("qaid"))
+
+    parts = [
+        part("visits", readers.read_dataset(spark, f"{root}/visits")), part("table", readers.read_dataset(spark, f"{root}/tables/lines__all")),
+        part("archive", spark.read.schema("qaid bigint, batch string").json(f"{root}/archive")),
+        part("audit", readers.read_audit(readers.TableStore(spark, root)), "duration_ms"),
+        part("audit by date", readers.read_dataset(spark, f"{root}/audit"), "duration_ms"),
+    ]
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 @query("parquet_roundtrip", """
@@ -137,6 +154,42 @@ def batch_export(spark, sf_dir):
     return kept.select(*columns).unionByName(text.withColumn("sink", F.lit("text")).select(*columns)).unionByName(visit)
 
 
+#: Tables of the query below.
+MANY = 20
+
+
+@query("batch_export_many", f"""
+WITH s(sink) AS (VALUES ('parquet'), ('text'))
+SELECT sink, CAST(l_suppkey % {MANY} AS INTEGER) AS no, l_orderkey AS "QAID", CAST(l_linenumber AS VARCHAR) AS line,
+  CASE l_suppkey % {MANY} % 3 WHEN 0 THEN l_returnflag WHEN 1 THEN CAST(l_partkey AS VARCHAR) ELSE l_linestatus END AS value
+FROM lineitem, s
+""")
+def batch_export_many(spark, sf_dir):
+    """Batch export of many tables with columns of their own to both sinks, read back in full."""
+    root, lines = scratch_path(spark, "many"), table(spark, sf_dir, "lineitem")
+    kinds = [("flag", "l_returnflag"), ("part", "l_partkey"), ("state", "l_linestatus")]
+
+    def rows(no: int):
+        name, source = kinds[no % 3]
+        return lines.where(F.col("l_suppkey") % MANY == no).select(
+            F.col("l_orderkey").alias("QAID"), F.col("l_linenumber").cast("string").alias("line"), F.col(source).alias(f"{name}_{no}"))
+
+    seen = order_visits(spark, sf_dir).select(
+        F.col("qaid").alias("QAID"), F.col("qampr").alias("QAMPR"), F.col("excel_file_name").alias("source_file"), "hospital_id", "system_id",
+        F.lit("success").alias("extraction_status"), F.lit(0).alias("n_fields"), F.lit(1).alias("n_tables"), F.lit(0).alias("n_named_results"))
+    errors = writers.write_batch({f"lines/{no}": rows(no) for no in range(MANY)}, seen, f"{root}/text", f"{root}/parquet")
+    if errors:
+        raise RuntimeError("; ".join(errors.values()))
+    parts = []
+    for no in range(MANY):
+        own = f"{kinds[no % 3][0]}_{no}"
+        kept = spark.read.parquet(f"{root}/parquet/tables/lines_{no}.parquet")
+        text = readers.read_text_table(spark, f"{root}/text/Extracted_Tables/lines_{no}.txt", schema=f"QAID bigint, line string, {own} string")
+        for sink, df in (("parquet", kept), ("text", text)):
+            parts.append(df.select(F.lit(sink).alias("sink"), F.lit(no).alias("no"), "QAID", "line", F.col(own).cast("string").alias("value")))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 @query("store_roundtrip", """
 SELECT c_custkey AS "ID", CASE WHEN c_custkey % 4 < 2 THEN c_name ELSE lower(c_name) END AS name FROM customer WHERE c_custkey > 10
 """)
@@ -210,15 +263,15 @@ def csv_report(spark, sf_dir):
 
 
 @query("audit_parquet", """
-SELECT strftime(ts, '%Y-%m-%d') AS date, event_id AS duration_ms, props AS details FROM events WHERE strftime(ts, '%Y-%m-%d') = '2024-01-02'
+SELECT strftime(ts, '%Y-%m-%d') AS date, event_id AS duration_ms, props AS details FROM events
 """)
 def audit_parquet(spark, sf_dir):
-    """Log partitioned by event date; one day read back."""
+    """Log partitioned by event date, and read back."""
     path = scratch_path(spark, "audit")
     log = event_log(spark, sf_dir)
     writers.write_audit_parquet(log, path)
     back = spark.read.schema(audit.by_date(log).schema).parquet(path)
-    return back.where("date = '2024-01-02'").select("date", "duration_ms", "details")
+    return back.select("date", "duration_ms", "details")
 
 
 @query("audit_text", """

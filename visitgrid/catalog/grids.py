@@ -411,10 +411,10 @@ m AS (
   SELECT books.workbook_id, max(CASE WHEN ev.r = 1 THEN a END) AS top, coalesce(max(CASE WHEN ev.r = 3 THEN b END), -1.5) AS third
   FROM books JOIN ev USING (workbook_id) GROUP BY 1)
 SELECT 'plain' AS part, ev.workbook_id, ev.r AS "row", c AS who, top, third, CAST(7 AS BIGINT) AS absent
-FROM ev JOIN m USING (workbook_id) WHERE ev.r BETWEEN 5 AND 9
+FROM ev JOIN m USING (workbook_id) WHERE ev.r >= 5
 UNION ALL
 SELECT 'range', ev.workbook_id, ev.r, c, top, third, 7
-FROM ev JOIN m USING (workbook_id) WHERE ev.r BETWEEN 11 AND 14
+FROM ev JOIN m USING (workbook_id) WHERE ev.r >= 11
 """)
 def grid_section_metadata(spark, sf_dir):
     """Metadata of a section in the rows of its tables: from a cell, with a default where
@@ -425,8 +425,8 @@ def grid_section_metadata(spark, sf_dir):
     }
     columns = {"who": {"col": "C", "dtype": "int"}}
     document = {"workbook": {}, "sheets": {"EV": {"sections": {
-        "plain": {"db_table": "plain", "data_start_row": 5, "end_row": 9, "metadata": metadata, "columns": columns},
-        "range": {"db_table": "range", "locator": {"range": "C10:C14"}, "metadata": metadata, "columns": columns}}}}}
+        "plain": {"db_table": "plain", "data_start_row": 5, "end_row": LAST_ROW, "metadata": metadata, "columns": columns},
+        "range": {"db_table": "range", "locator": {"range": "C10:C200"}, "metadata": metadata, "columns": columns}}}}}
     rules = read_mapping(document)
     cells = event_cells(spark, sf_dir)
     found = tables.all_tables(cells, tables.table_records(cells, rules.tables, rules.scalars), rules.tables, rules.scalars, rules.sheets)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import functions as F
 
 from ..functions.text import base_name
@@ -97,7 +98,8 @@ def workbook_list(spark, sf_dir):
                         F.col("error").isNotNull().alias("failed"))
 
 
-def batch_rules():
+def batch_rules(spare: bool = False):
+    optional = {"spare": {"sheet_name": "Optional", "required": False, "sections": {"x": {"y": {"row": 1, "col": 1}}}}} if spare else {}
     return read_mapping({"workbook": {"version": "3"}, "sheets": {
         "info": {"sheet_name": "Info", "sections": {
             "qa_visit": {"db_table": "meta/visit", "reference_QC": {"row": 2, "col": "B"}, "centrum_nummer": {"row": 1, "col": "B", "dtype": "int"}}}},
@@ -108,6 +110,7 @@ def batch_rules():
                 "named_results": {"first_price": {"row": 1, "col": "B", "dtype": "float"}}},
             "head": {"db_table": "lines/head", "columns": {"price": {"col": "B", "dtype": "int"}}}}},
         "gone": {"sheet_name": "Absent", "required": True, "sections": {"x": {"y": {"row": 1, "col": 1}}}},
+        **optional,
         "off": {"sheet_name": "Off", "extract": False},
     }})
 
@@ -146,16 +149,19 @@ def workbook_visits(spark, sf_dir):
 
 @query("workbook_audit", f"""
 WITH {_BOOK_SQL}, head AS (SELECT n, path, count(*) FILTER (r = 1) > 0 AS has_first FROM cell JOIN book USING (n) WHERE n % 13 <> 12 GROUP BY 1, 2)
-SELECT path AS workbook_id, 'info' AS sheet_id, 2::BIGINT AS fields_extracted, 0::BIGINT AS tables_extracted, 2::BIGINT AS scalar_records, 0::BIGINT AS named_results, '' AS errors, FALSE AS skipped FROM head
-UNION ALL SELECT path, 'lines', 1, 1 + CAST(has_first AS INTEGER), 0, 1, '', FALSE FROM head
-UNION ALL SELECT path, 'gone', 0, 0, 0, 0, 'configured sheet missing: Absent', FALSE FROM head
-UNION ALL SELECT path, 'off', 0, 0, 0, 0, '', TRUE FROM head
+SELECT path AS workbook_id, 'info' AS sheet_id, 2::BIGINT AS fields_extracted, 0::BIGINT AS tables_extracted, 2::BIGINT AS scalar_records, 0::BIGINT AS named_results, '' AS errors, '' AS warnings, TRUE AS present, FALSE AS skipped FROM head
+UNION ALL SELECT path, 'lines', 1, 1 + CAST(has_first AS INTEGER), 0, 1, '', '', TRUE, FALSE FROM head
+UNION ALL SELECT path, 'gone', 0, 0, 0, 0, 'configured sheet missing: Absent', '', FALSE, FALSE FROM head
+UNION ALL SELECT path, 'spare', 0, 0, 0, 0, '', 'configured sheet missing: Optional', FALSE, FALSE FROM head
+UNION ALL SELECT path, 'off', 0, 0, 0, 0, '', '', FALSE, TRUE FROM head
 """)
 def workbook_audit(spark, sf_dir):
-    """Extraction audit per configured sheet."""
-    return _extraction(spark, sf_dir).sheet_audit.select(
+    """Extraction audit per configured sheet: an absent one is an error or, where it is
+    optional, a warning."""
+    found = batch.extract(spark, line_files(spark, sf_dir), batch_rules(spare=True))
+    return found.sheet_audit.select(
         "workbook_id", "sheet_id", "fields_extracted", "tables_extracted", "scalar_records", "named_results",
-        F.array_join("errors", "|").alias("errors"), "skipped")
+        F.array_join("errors", "|").alias("errors"), F.array_join("warnings", "|").alias("warnings"), "present", "skipped")
 
 
 @query("extraction_stats", f"""
@@ -191,6 +197,32 @@ def extraction_audit_rows(spark, sf_dir):
         F.count("*").alias("n_rows"), F.sum(fields).alias("fields"), F.sum(tables).alias("tables"), F.sum("errors").alias("errors"))
 
 
+@query("folder_listing", """
+WITH f AS (SELECT n_name || CASE n_nationkey % 5 WHEN 0 THEN '.xlsm' WHEN 1 THEN '.xlsx' WHEN 2 THEN '.XLS' WHEN 3 THEN '.txt' ELSE '.xlsm' END AS name, n_nationkey AS k FROM nation)
+SELECT 'all' AS part, name FROM f WHERE k % 5 <> 3
+UNION ALL SELECT 'all', '~$' || name FROM f WHERE k % 5 = 0
+UNION ALL SELECT 'batch', name FROM f WHERE k % 5 IN (0, 4)
+""")
+def folder_listing(spark, sf_dir):
+    """Workbooks of a folder tree by their endings, with lock files and without."""
+    root = scratch_path(spark, "tree")
+    names = table(spark, sf_dir, "nation").select("n_name", "n_nationkey").collect()  # a fixed table of 25 rows
+    endings = (".xlsm", ".xlsx", ".XLS", ".txt", ".xlsm")
+    paths = [f"{root}/{k % 2}/{k % 3}/{name}{endings[k % 5]}" for name, k in names]
+    paths += [f"{root}/~${name}{endings[0]}" for name, k in names if k % 5 == 0]
+    store, _ = fs.FileSystem.from_uri(root if "://" in root else f"file://{root.removeprefix('file:')}")
+    for path in paths:
+        at = path.split("://", 1)[-1].removeprefix("file:")
+        store.create_dir(at.rsplit("/", 1)[0], recursive=True)
+        with store.open_output_stream(at) as target:
+            target.write(b"x")  # empty files are not listed
+
+    def listed(part, *options):
+        return wb.workbook_files(spark, root, *options).select(F.lit(part).alias("part"), F.url_decode(base_name(F.col("source_path"))).alias("name"))
+
+    return listed("all").unionByName(listed("batch", ("xlsm",), True))
+
+
 @query("batch_audit_log", f"""
 WITH {_BOOK_SQL}, s AS (SELECT count(*) AS n, count(*) FILTER (n % 13 = 12) AS bad FROM book)
 SELECT 'INFO' AS level, 'ProcessingStart' AS event_type, n AS events FROM s

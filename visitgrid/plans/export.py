@@ -64,9 +64,20 @@ def audit_rows(result: Extraction) -> DataFrame:
     return audit.sheet_audit_rows(result.sheet_audit, totals)
 
 
+def files_name(paths: DataFrame, path: str) -> str:
+    """Name of a batch after its files: the same files, in any order, have the same name."""
+    mixed = paths.select(path).distinct().agg(F.bit_xor(F.xxhash64(path)), F.count(path)).first()
+    return f"{(mixed[0] or 0) % (1 << 64):016x}-{mixed[1]}"
+
+
+def run_name(result: Extraction) -> str:
+    return files_name(result.workbooks, "source_path")
+
+
 def export_parquet(result: Extraction, visits: DataFrame, root: str, batch: str | None = None) -> None:
-    """Visits by year, hospital and system; tables, records, fields and audit rows.  A named
-    batch replaces what an earlier run of it wrote."""
+    """Visits by year, hospital and system; tables, records, fields and audit rows.  A batch
+    (named after its files, if not by the caller) replaces what an earlier run of it wrote."""
+    batch = batch or run_name(result)
     ids = visits.select("workbook_id", "qaid")
 
     def with_id(df: DataFrame) -> DataFrame:
@@ -113,7 +124,9 @@ def export_text(result: Extraction, visits: DataFrame, root: str, sep: str = ","
 
 
 def export_archive(result: Extraction, visits: DataFrame, log: DataFrame, root: str, batch: str | None = None) -> None:
-    """Visit metadata, all rows in chunks of bounded length, and each visit's events."""
+    """Visit metadata, all rows in chunks of bounded length, and each visit's events.
+    Batches as in ``export_parquet``."""
+    batch = batch or run_name(result)
     meta = visits.select("workbook_id", "qaid", "qampr", "reference_qc", "template_id", "hospital_id", "system_id",
                          "system_info_id", "excel_file_name", "processing_timestamp", "workbook_hash")
     writers.write_archive(meta, f"{root}/metadata", batch)
@@ -124,7 +137,10 @@ def export_archive(result: Extraction, visits: DataFrame, log: DataFrame, root:
     writers.write_archive(audit.visit_events(log), f"{root}/audit", batch)
 
 
-def export_audit(log: DataFrame, store: TableStore, parquet_root: str, text_root: str) -> None:
-    writers.append_audit(log, store)
-    writers.write_audit_parquet(log, f"{parquet_root}/audit")
+def export_audit(log: DataFrame, store: TableStore, parquet_root: str, text_root: str, batch: str | None = None) -> None:
+    """The log of a run in all its forms; a batch (named after the files in the log, if not
+    by the caller) replaces what an earlier run of it wrote."""
+    batch = batch or files_name(log.where("file_name <> ''"), "file_name")
+    writers.append_audit(log, store, batch=batch)
+    writers.write_audit_parquet(log, f"{parquet_root}/audit", batch)
     writers.write_audit_text(log, f"{text_root}/AuditTrail.txt")

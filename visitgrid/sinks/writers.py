@@ -5,13 +5,16 @@ one year add rows to the same partition instead of replacing each other.
 
 With a batch name, a dataset has a folder per batch (a partition column ``batch`` for
 readers).  A second run of the same batch replaces its folder and no other, so a re-run
-doubles nothing.  Without a name rows are appended.
+doubles nothing.  The exports of a run name its batch after its files; without a name
+rows are appended.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,6 +51,8 @@ REPORT_COLUMNS = (
     "n_named_results", "access_export_ok", "parquet_export_ok", "error_message",
 )
 PARTITIONS = ("year", "hospital", "system")
+#: Tables of a batch that are written at the same time.
+PARALLEL_TABLES = 8
 
 
 def partition_columns() -> dict[str, Column]:
@@ -122,30 +127,39 @@ def write_extraction_text(visits: DataFrame, root: str) -> str:
     return write_text_table(renamed(visits, EXTRACTION_TEXT_COLUMNS), root, "Extraction_Metadata")
 
 
-def write_batch(tables: Mapping[str, DataFrame], visits: DataFrame, text_root: str, parquet_root: str) -> dict[str, str]:
+def write_batch(
+    tables: Mapping[str, DataFrame], visits: DataFrame, text_root: str, parquet_root: str, parallel: int = PARALLEL_TABLES,
+) -> dict[str, str]:
     """Both batch exports: per table one write of all visits, plus the visit table.
 
-    Gives the messages of tables that could not be written; the others are not
-    stopped by them.
+    Tables are worked out once, for Parquet; their text is formatted from there.  Several
+    are under way at a time, so the end of one does not leave the cluster idle.  Gives the
+    messages of tables that could not be written; the others are not stopped by them.
     """
     stems = table_stems(tables)
-    prepared = {name: prepare_export(df) for name, df in tables.items()}
-    meta = prepare_export(visits.select(*BATCH_VISIT_COLUMNS))
-    jobs = []
-    for name, df in prepared.items():
-        jobs.append(("text", name, lambda d=df, s=stems[name]: write_text(d, f"{text_root}/Extracted_Tables/{s}.txt")))
-        jobs.append(("parquet", name, lambda d=df, s=stems[name]: d.write.mode("overwrite").parquet(
-            f"{parquet_root}/tables/{s}.parquet")))
-    jobs.append(("text", "QAVisit", lambda: write_text(meta, f"{text_root}/Metadata/QAVisit.txt")))
-    jobs.append(("parquet", "QAVisit", lambda: meta.write.mode("overwrite").parquet(
-        f"{parquet_root}/metadata/QAVisit.parquet")))
-    errors = {}
-    for sink, name, job in jobs:
-        try:
-            job()
-        except Exception as exc:  # one table must not stop the others; its message goes to the report
-            errors[f"{sink}:{name}"] = f"{sink} export failed for {name}: {exc}"
-    return errors
+    frames = {
+        name: (prepare_export(df), f"{text_root}/Extracted_Tables/{stems[name]}.txt", f"{parquet_root}/tables/{stems[name]}.parquet")
+        for name, df in tables.items()
+    }
+    frames["QAVisit"] = (
+        prepare_export(visits.select(*BATCH_VISIT_COLUMNS)), f"{text_root}/Metadata/QAVisit.txt", f"{parquet_root}/metadata/QAVisit.parquet")
+
+    def write(name: str) -> dict[str, str]:
+        df, text, parquet = frames[name]
+        errors = {}
+        for sink, job in (("parquet", lambda: df.write.mode("overwrite").parquet(parquet)), ("text", lambda: write_text(df, text))):
+            try:
+                job()
+            except Exception as exc:  # one table must not stop the others; its message goes to the report
+                errors[f"{sink}:{name}"] = f"{sink} export failed for {name}: {exc}"
+            else:
+                if sink == "parquet":
+                    df = df.sparkSession.read.schema(df.schema).parquet(parquet)
+        return errors
+
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        found = list(pool.map(inheritable_thread_target(visits.sparkSession)(write), frames))
+    return {key: message for errors in found for key, message in errors.items()}
 
 
 def write_report(report: DataFrame, path: str) -> None:
@@ -195,12 +209,13 @@ def write_archive(chunks: DataFrame, path: str, batch: str | None = None) -> Non
     chunks.write.mode(mode).json(target)
 
 
-def append_audit(log: DataFrame, store: TableStore, name: str = "AuditTrail") -> None:
-    store.append(name, log)
+def append_audit(log: DataFrame, store: TableStore, name: str = "AuditTrail", batch: str | None = None) -> None:
+    target, mode = batch_target(store.path(name), batch)
+    log.write.mode(mode).parquet(target)
 
 
-def write_audit_parquet(log: DataFrame, path: str) -> None:
-    write_partitioned(audit.by_date(log), path, ("date",))
+def write_audit_parquet(log: DataFrame, path: str, batch: str | None = None) -> None:
+    write_partitioned(audit.by_date(log), path, ("date",), batch)
 
 
 def write_audit_text(log: DataFrame, path: str) -> None:
