@@ -119,5 +119,5 @@ def test_names(spark):
     assert values(spark, raw, names.sanitize_col) == [names.sanitize(n) for n in raw]
     assert names.standardize("a b-c(d).e/f") == "a_b_cd_e_f"
     assert names.table_stems(["a/b", "a_b", "a b", "a_b_2"]) == {"a/b": "a_b", "a_b": "a_b_2", "a b": "a_b_3", "a_b_2": "a_b_2_2"}
-    frame = spark.createDataFrame([(["a", "a_2", "a", "b", "a"],)], "n array<string>")
-    assert frame.select(names.suffix_repeats(F.col("n"))).first()[0] == ["a", "a_2", "a_3", "b", "a_4"]
+    assert names.suffix_repeats(["a", "a_2", "a", "b", "a"]) == ["a", "a_2", "a_3", "b", "a_4"]
+    assert names.suffix_repeats(["a", "a", "a_2", "a_2", "a"]) == ["a", "a_2", "a_2_2", "a_2_3", "a_3"]

@@ -154,6 +154,32 @@ def test_label_index_equals_brute_force(spark, monkeypatch, limit):
     assert got == want
 
 
+def test_field_names_by_sheet_then_workbook(spark):
+    """Names of interleaved sheets, against the rule applied field by field."""
+    rng = random.Random(2)
+    rows, want = [], {}
+    for book in range(12):
+        own = [(seq, f"s{rng.randrange(3)}", rng.choice(["a", "a_2", "b"]), rng.choice(["field", "named_result", "other"])) for seq in range(9) if rng.random() < 0.8]
+        own = own if book % 3 else [(seq, "s0", "a", "field") for seq in range(5)]
+        rows += [(str(book), seq, sheet, "sec", name, kind, f"v{seq}") for seq, sheet, name, kind in own]
+        sheets = {}
+        for seq, sheet, name, kind in own:
+            if kind != "other":
+                sheets.setdefault(sheet, []).append((seq, f"sec.{name}" if kind == "named_result" else name))
+
+        def free(names):
+            out = []
+            for name in names:
+                out.append(name if name not in out else next(f"{name}_{i}" for i in range(2, 99) if f"{name}_{i}" not in out))
+            return out
+
+        flat = free([n for items in sheets.values() for n in free([name for _, name in items])])
+        want |= {(str(book), seq): name for (seq, _), name in zip([x for items in sheets.values() for x in items], flat)}
+    frame = spark.createDataFrame(rows, "workbook_id string, seq int, sheet_id string, section_id string, name string, kind string, value string").repartition(3)
+    got = {(r["workbook_id"], r["seq"]): (r["name"], r["value"]) for r in records.field_names(frame).collect()}
+    assert got == {k: (name, f"v{k[1]}") for k, name in want.items()}
+
+
 def test_absent_sheet_gives_no_records(spark):
     books = spark.createDataFrame([("w", ["S"]), ("v", ["T"])], "workbook_id string, sheets array<string>")
     cells = spark.createDataFrame([("w", "S", 1, 1, "text", "x")], CELLS)

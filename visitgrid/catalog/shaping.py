@@ -10,6 +10,7 @@ from ..operators.overlay import overlay
 from ..operators.scalars import scalar_records
 from ..operators.tables import union_by_name
 from ..plans.mapping import read_mapping
+from ..session import materialize
 from . import query
 from .inputs import EVENTS_SQL, LINES_SQL, books_of, event_cells, line_cells, table
 
@@ -68,7 +69,7 @@ GROUP BY ALL
 """)
 def scalar_wide(spark, sf_dir):
     """One wide row per section; tables that already have rows are left out."""
-    rows = _records(spark, sf_dir)
+    rows = materialize(_records(spark, sf_dir), "records")
     filled = rows.where((F.col("db_table") == "meta/lines") & (F.col("workbook_id").cast("bigint") % 5 == 0))
     return records.single_value_rows(rows, ["v", "flag", "pass_fail"], filled, ["recon_type"])
 

@@ -107,18 +107,17 @@ def table_stems(names: Iterable[str]) -> dict[str, str]:
     return {name: stem for stem, name in owner.items()}
 
 
-def suffix_repeats(names: Column) -> Column:
-    """Array of field names -> same array with each repeat given a free suffix.
-
-    The first free number from 2 on is taken, counting names already given out.
-    The array is one workbook's field list, so its size is that of the mapping.
-    """
-    def place(done: Column, name: Column) -> Column:
-        numbered = F.transform(
-            F.sequence(F.lit(2), F.size(done) + 2),
-            lambda i: F.concat(name, F.lit("_"), i.cast("string")),
-        )
-        free = F.filter(numbered, lambda n: ~F.array_contains(done, n))
-        return F.array_append(done, F.when(F.array_contains(done, name), free[0]).otherwise(name))
-
-    return F.aggregate(names, F.array().cast("array<string>"), place)
+def suffix_repeats(names: Iterable[str]) -> list[str]:
+    """Each repeat gets the first free number from 2 on, counting names already given out."""
+    taken: set[str] = set()
+    tried: dict[str, int] = {}
+    out = []
+    for name in names:
+        given, number = name, tried.get(name, 1)
+        while given in taken:
+            number += 1
+            given = f"{name}_{number}"
+        tried[name] = number
+        taken.add(given)
+        out.append(given)
+    return out

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections import Counter
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import suffix_repeats
+from ..session import materialize
 
 # Record kinds that fill a table of single values.
 ROW_KINDS = ("field", "result_scalar")
@@ -50,37 +53,44 @@ def single_value_rows(
     )
 
 
+def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Field lists with their names, repeats suffixed in each sheet, then in the list."""
+    for batch in batches:
+        names = []
+        for fields in batch.column("fields").to_pylist():
+            sheets: dict[str, list[str]] = {}
+            for field in fields:  # in reading order, so a sheet stands where its first field does
+                sheets.setdefault(field["sheet_id"], []).append(field["name"])
+            places = [(sheet, n) for sheet, own in sheets.items() for n in range(len(own))]
+            given = dict(zip(places, suffix_repeats(name for own in sheets.values() for name in suffix_repeats(own))))
+            seen: Counter[str] = Counter()
+            names.append([])
+            for field in fields:
+                names[-1].append(given[field["sheet_id"], seen[field["sheet_id"]]])
+                seen[field["sheet_id"]] += 1
+        yield pa.RecordBatch.from_arrays([batch.column("fields_id"), pa.array(names, pa.list_(pa.string()))], names=["fields_id", "names"])
+
+
 def field_names(records: DataFrame) -> DataFrame:
     """Field name and value per record, repeats suffixed first in a sheet, then in
     the workbook.
 
-    A workbook has as many fields as its mapping has rules, so both arrays are
-    small by construction.
+    Which names a workbook has follows from the fields that are present, and most
+    workbooks have the same ones: names are worked out once for each list of fields.  A
+    workbook has as many fields as its mapping has rules, so its list is small.
     """
     own = records.where(F.col("kind").isin("field", "named_result")).withColumn(
         "_name",
         F.when(F.col("kind") == "named_result", F.concat("section_id", F.lit("."), "name")).otherwise(F.col("name")),
     )
-    sheets = (
-        own.groupBy("workbook_id", "sheet_id")
-        .agg(
-            F.min("seq").alias("sheet_seq"),
-            F.array_sort(F.collect_list(F.struct("seq", "_name", "value"))).alias("items"),
-        )
-        .withColumn("names", suffix_repeats(F.transform("items", lambda x: x["_name"])))
-    )
-    books = (
-        sheets.groupBy("workbook_id")
-        .agg(F.array_sort(F.collect_list(F.struct("sheet_seq", "names", "items"))).alias("sheets"))
-        .select(
-            "workbook_id",
-            F.flatten(F.transform("sheets", lambda s: s["items"])).alias("items"),
-            suffix_repeats(F.flatten(F.transform("sheets", lambda s: s["names"]))).alias("names"),
-        )
-    )
+    books = own.groupBy("workbook_id").agg(F.array_sort(F.collect_list(F.struct("seq", "sheet_id", F.col("_name").alias("name"), "value"))).alias("items"))
+    fields = F.transform("items", lambda x: F.struct(x["sheet_id"].alias("sheet_id"), x["name"].alias("name")))
+    books = materialize(books.withColumn("fields", fields).withColumn("fields_id", F.sha2(F.to_json("fields"), 256)), "field-lists")
+    lists = books.groupBy("fields_id").agg(F.any_value("fields").alias("fields"))
+    named = lists.mapInArrow(_named, "fields_id string, names array<string>")
     pairs = F.arrays_zip(F.col("names").alias("name"), F.transform("items", lambda x: x["value"]).alias("value"),
                          F.transform("items", lambda x: x["seq"]).alias("seq"))
-    return books.select("workbook_id", F.inline(pairs))
+    return books.join(named, "fields_id").select("workbook_id", F.inline(pairs))
 
 
 def fields_map(fields: DataFrame) -> DataFrame:
