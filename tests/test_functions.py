@@ -1,5 +1,7 @@
 """Edge values of the cleaning functions."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -121,3 +123,13 @@ def test_names(spark):
     assert names.table_stems(["a/b", "a_b", "a b", "a_b_2"]) == {"a/b": "a_b", "a_b": "a_b_2", "a b": "a_b_3", "a_b_2": "a_b_2_2"}
     assert names.suffix_repeats(["a", "a_2", "a", "b", "a"]) == ["a", "a_2", "a_3", "b", "a_4"]
     assert names.suffix_repeats(["a", "a", "a_2", "a_2", "a"]) == ["a", "a_2", "a_2_2", "a_2_3", "a_3"]
+
+
+def test_both_forms_of_names_know_all_of_unicode(spark):
+    rng = random.Random(4)
+    texts = ["Ελληνικά άλφα", "Tiếng Việt ệ", "ｆｕｌｌ　ｗｉｄｔｈ１", "𝐁𝐨𝐥𝐝 𝟗", "㎏/㎥ ½", "Ⅷ ǆ ŉ", "ﷺ 漢字 한글", "😀 a", "K Å Ω ℡", "", "__", "9½", "\x1c x", "a\u0301"]
+    points = [chr(rng.choice((rng.randrange(0x80, 0x3000), rng.randrange(0xF900, 0x10000), rng.randrange(0x1D400, 0x1F200)))) for _ in range(3000)]
+    texts += ["x".join(points[i : i + 5]) for i in range(0, len(points), 5)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "n int, name string")
+    got = [r["s"] for r in frame.select("n", names.sanitize_col(F.col("name")).alias("s")).orderBy("n").collect()]
+    assert got == [names.sanitize(x) for x in texts]

@@ -159,16 +159,16 @@ def standardize_names(spark, sf_dir):
 
 @query("sanitize_names", """
 SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'e' || replace(p_name, ' ', '_') || '_oAEss' WHEN 1 THEN 'c_' || CAST(p_partkey AS VARCHAR) || '_' || replace(p_name, ' ', '_')
-                  WHEN 2 THEN 'column' ELSE replace(p_name, ' ', '_') || '_fi2' END AS name
+                  WHEN 2 THEN 'column' ELSE replace(p_name, ' ', '_') || '_fi2_EAkgzVIII' END AS name
 FROM part
 """)
 def sanitize_names(spark, sf_dir):
-    """ASCII identifiers from names with accents, digits, signs, ligatures, or nothing usable."""
+    """ASCII identifiers from names with accents, digits, signs, ligatures, other scripts, or nothing usable."""
     kind, name = F.col("p_partkey") % 4, F.col("p_name")
     raw = (
         F.when(kind == 0, F.concat(F.lit(" é"), name, F.lit(" % öÅËss ")))
         .when(kind == 1, F.concat(F.col("p_partkey").cast("string"), F.lit("--"), name))
-        .when(kind == 2, "µ/Ø").otherwise(F.concat(F.lit("_"), name, F.lit("__ﬁ²_")))
+        .when(kind == 2, "µ/Ø").otherwise(F.concat(F.lit("_"), name, F.lit("__ﬁ²_Ệ𝐀㎏Ωｚ漢Ⅷ_")))
     )
     return table(spark, sf_dir, "part").select("p_partkey", names.sanitize_col(raw).alias("name"))
 

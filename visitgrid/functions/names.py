@@ -6,6 +6,7 @@ are handled by the Column forms.
 
 from __future__ import annotations
 
+import functools
 import re
 import unicodedata
 from collections.abc import Iterable
@@ -32,31 +33,35 @@ def sanitize(name: str) -> str:
     return "c_" + words if words[0].isdigit() else words
 
 
-def _fold_tables() -> tuple[str, str, list[tuple[str, str]]]:
-    """Letters whose compatibility decomposition leaves ASCII, worked out by rule."""
-    single_from, single_to, longer = [], [], []
-    for code in (*range(0xA0, 0x250), *range(0x1E00, 0x1F00), *range(0x2000, 0x2190), *range(0xFB00, 0xFB07), *range(0xFF01, 0xFF5F)):
+@functools.cache
+def _fold_tables() -> tuple[str, str, str, list[str]]:
+    """Characters whose compatibility decomposition leaves ASCII, worked out by rule over
+    all of Unicode: those that leave one character and it, those that leave more and these."""
+    single_from, single_to, long_from, long_to = [], [], [], []
+    for code in (*range(0x80, 0xD800), *range(0xE000, 0x110000)):
         char = chr(code)
         ascii_form = unicodedata.normalize("NFKD", char).encode("ascii", "ignore").decode()
         if len(ascii_form) == 1:
             single_from.append(char)
             single_to.append(ascii_form)
-        elif len(ascii_form) > 1:
-            longer.append((char, ascii_form))
-    return "".join(single_from), "".join(single_to), longer
+        elif ascii_form:
+            long_from.append(char)
+            long_to.append(ascii_form)
+    return "".join(single_from), "".join(single_to), "".join(long_from), long_to
 
 
-_FOLD_FROM, _FOLD_TO, _FOLD_LONG = _fold_tables()
-_FOLD_ANY_LONG = "[" + "".join(char for char, _ in _FOLD_LONG) + "]"
+def sanitize_col(c: Column) -> Column:
+    """Column form of :func:`sanitize`."""
+    single_from, single_to, long_from, long_to = _fold_tables()
+    spelt_out = F.array(*map(F.lit, long_to))
 
+    def spelt(char: Column) -> Column:
+        at = F.instr(F.lit(long_from), char)
+        return F.when((char != "") & (at > 0), F.element_at(spelt_out, at)).otherwise(char)
 
-def sanitize_col(c: Column) -> Column:
-    """Column form of :func:`sanitize` for Latin text."""
-    expanded = c
-    for char, ascii_form in _FOLD_LONG:
-        expanded = F.replace(expanded, F.lit(char), F.lit(ascii_form))
-    folded = F.translate(F.when(c.rlike(_FOLD_ANY_LONG), expanded).otherwise(c), _FOLD_FROM, _FOLD_TO)
-    plain = F.trim(F.regexp_replace(folded, r"[^\x00-\x7F]", ""))
+    # one pass over the characters, and only in names that hold one that leaves several
+    expanded = F.when(c.rlike(f"[{long_from}]"), F.array_join(F.transform(F.split(c, ""), spelt), "")).otherwise(c)
+    plain = F.trim(F.regexp_replace(F.translate(expanded, single_from, single_to), r"[^\x00-\x7F]", ""))
     words = F.regexp_replace(F.regexp_replace(plain, r"[^0-9A-Za-z_]+|_+", "_"), "_+", "_")
     bare = F.regexp_replace(words, "^_|_$", "")
     named = F.when(bare == "", "column").otherwise(bare)
