@@ -184,10 +184,10 @@ def test_large_groups_are_reduced_first(tools, monkeypatch):
 def test_kept_is_bounded_in_bytes():
     kept = Kept(2000)
     for n in range(1000):
-        kept.keep(str(n), b"abcd")
+        kept.keep([str(n)], [b"abcd"])
         assert kept.held <= 2000 + 300 and len(kept) < 20
-    kept.keep("x" * 300, b"")
-    assert "x" * 300 not in kept
+    kept.keep(["x" * 300, "y"], [(b"", b"a"), (b"b", b"c")])
+    assert "x" * 300 not in kept and kept["y"] == (b"b", b"c")
 
 
 # neighbour votes

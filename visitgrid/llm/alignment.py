@@ -93,9 +93,11 @@ class Aligner:
         segments, which, counts = distinct_segments([f" {x}" for x in texts])
         found = list(map(self.kept.get, segments))
         new = [n for n, ids in enumerate(found) if ids is None]
-        for n, ids in zip(new, self._encode([segments[n] for n in new])):
+        unknown = [segments[n] for n in new]
+        encoded = self._encode(unknown)
+        for n, ids in zip(new, encoded):
             found[n] = ids
-            self.kept.keep(segments[n], ids)
+        self.kept.keep(unknown, encoded)
         raw = np.frombuffer("".join(f" {x}" for x in texts).encode(), np.uint8)
         widths = np.fromiter((len(x.encode()) + 1 for x in texts), np.int64, len(texts))
         good, sides = np.array([bool(x) for x in texts], bool), []

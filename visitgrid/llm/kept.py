@@ -16,12 +16,16 @@ class Kept(dict):
         super().__init__()
         self.most_bytes, self.held = most_bytes, 0
 
-    def keep(self, key: str, value: bytes | tuple[bytes, ...]) -> None:
-        size = len(key) + (len(value) if isinstance(value, bytes) else sum(map(len, value)))
-        if size > LONGEST_ENTRY:
+    def keep(self, keys: list[str], values: list[bytes] | list[tuple[bytes, ...]]) -> None:
+        """Take new entries.  One that is longer than all others may be is left out."""
+        if not keys:
             return
+        sizes = list(map(len, values)) if isinstance(values[0], bytes) else [sum(map(len, v)) for v in values]
+        if max(sizes) + max(map(len, keys)) > LONGEST_ENTRY:
+            short = [n for n, size in enumerate(sizes) if size + len(keys[n]) <= LONGEST_ENTRY]
+            keys, values, sizes = ([x[n] for n in short] for x in (keys, values, sizes))
         if self.held > self.most_bytes:
             self.clear()
             self.held = 0
-        self[key] = value
-        self.held += size + ENTRY_BYTES
+        self.update(zip(keys, values))
+        self.held += sum(sizes) + sum(map(len, keys)) + ENTRY_BYTES * len(keys)

@@ -37,7 +37,7 @@ END_ID = 0
 #: Ids after which a block is closed; memory of a task follows this and the longest document.
 BLOCK_IDS = 1 << 19
 #: Bytes of pre-tokens and their ids that a worker keeps.
-KEPT_BYTES = 128 << 20
+KEPT_BYTES = 160 << 20
 
 #: For each control byte the lengths of its four ids.
 LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.uint8) + 1
@@ -92,6 +92,7 @@ def _tokenizer(path: str):
     from tokenizers import Tokenizer
 
     found = Tokenizer.from_file(path)
+    found.encode_special_tokens = True  # pre-tokens hold none, so they need not be searched
     return found, [x.content for x in found.get_added_tokens_decoder().values()], Kept(KEPT_BYTES)
 
 
@@ -107,15 +108,19 @@ def _ids(path: str, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     if whole:
         ids, ends = _ids(path, ["" if n in set(whole) else x for n, x in enumerate(texts)])
         parts = np.split(ids, ends[:-1])
+        tokenizer.encode_special_tokens = False
         for n in whole:
             parts[n] = np.array(tokenizer.encode(texts[n], add_special_tokens=False).ids, np.uint32)
+        tokenizer.encode_special_tokens = True
         return np.concatenate(parts), np.cumsum([len(x) for x in parts])
     words, which, counts = distinct_pretokens(texts)
     packed = list(map(kept.get, words))
     new = [n for n, ids in enumerate(packed) if ids is None]
-    for n, got in zip(new, tokenizer.encode_batch_fast([words[n] for n in new], add_special_tokens=False)):
-        packed[n] = array("I", got.ids).tobytes()
-        kept.keep(words[n], packed[n])
+    unknown = [words[n] for n in new]
+    found = [array("I", got.ids).tobytes() for got in tokenizer.encode_batch_fast(unknown, add_special_tokens=False)]
+    for n, ids in zip(new, found):
+        packed[n] = ids
+    kept.keep(unknown, found)
     sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
     ids, ends = gather(np.frombuffer(b"".join(packed), np.uint32), sizes, which)
     return ids, by_text(ends, counts)
