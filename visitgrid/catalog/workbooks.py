@@ -290,3 +290,34 @@ def incremental_visits(spark, sf_dir):
     seen = intake.visits(spark).withColumn("file_name", base_name(F.col("source_file")))
     return seen.join(log, "file_name").join(lines.withColumnRenamed("qaid", "QAID"), "QAID", "left").select(
         F.col("batch").alias("arrival"), "QAID", "source_file", "extraction_status", F.coalesce("n_rows", F.lit(0)).alias("n_rows"), "events")
+
+
+@query("visit_archive", f"""
+WITH {_BOOK_SQL}, ids AS (SELECT n, path, row_number() OVER (ORDER BY path) AS qaid, n % 13 = 12 AS bad FROM book),
+good AS (SELECT n, path, row_number() OVER (ORDER BY path) AS qaid FROM book WHERE n % 13 <> 12)
+SELECT 'metadata' AS part, qaid, regexp_extract(path, '([^/]+)$', 1) AS name, 1 AS number FROM good
+UNION ALL
+SELECT 'audit', qaid, 'ProcessingComplete', 1 FROM ids WHERE NOT bad
+UNION ALL
+SELECT 'lines', qaid, NULL, CAST(count(*) AS INTEGER) FROM good JOIN cell USING (n) GROUP BY ALL
+UNION ALL
+SELECT 'records', qaid, NULL, 3 FROM good
+""")
+def visit_archive(spark, sf_dir):
+    """Archive of every visit, read back: metadata, events, table rows and records."""
+    root, rules = scratch_path(spark, "visit-archive"), batch_rules()
+    found = _extraction(spark, sf_dir)
+    link, systems = reference_tables(spark, sf_dir)
+    seen = batch.full_visits(found, rules, link, systems, "load_order")
+    log = batch.run_audit(found, batch.batch_visits(found), rules)
+    export.export_archive(found, seen, log, root)
+    ids = seen.select("workbook_id", "qaid")
+    one = F.lit(1).alias("number")
+    metadata = spark.read.schema("qaid bigint, excel_file_name string").json(f"{root}/metadata")
+    events = spark.read.schema("qaid bigint, event_type string").json(f"{root}/audit")
+    parts = metadata.select(F.lit("metadata").alias("part"), "qaid", F.col("excel_file_name").alias("name"), one)
+    parts = parts.unionByName(events.select(F.lit("audit").alias("part"), "qaid", F.col("event_type").alias("name"), one))
+    for name, folder, field in (("lines", "lines__all", "row int"), ("records", "records", "name string")):
+        rows = readers.read_archive(spark, f"{root}/result/{folder}", field).join(ids, "workbook_id").groupBy("qaid").agg(F.count("*").cast("int").alias("number"))
+        parts = parts.unionByName(rows.select(F.lit(name).alias("part"), "qaid", F.lit(None).cast("string").alias("name"), "number"))
+    return parts
