@@ -123,19 +123,21 @@ def union_of_tables(spark, sf_dir):
     return union_by_name([orders, lines])
 
 
-@query("spec_overlay", """
-WITH parent AS (SELECT p_size AS template_id, 'a.' || p_type || '.' || CAST(p_partkey AS VARCHAR) AS path, p_name AS value, p_partkey, p_size, p_type FROM part)
+def _overlay_sql(template: str) -> str:
+    return f"""
+WITH parent AS (SELECT {template} AS template_id, 'a.' || p_type || '.' || CAST(p_partkey AS VARCHAR) AS path, p_name AS value, p_partkey, p_type FROM part)
 SELECT template_id, path, CASE WHEN p_partkey % 5 = 0 THEN p_type ELSE value END AS value
-FROM parent WHERE NOT (p_type = 'SMALL' AND p_size % 10 = 0) AND p_partkey % 5 <> 1
+FROM parent WHERE NOT (p_type = 'SMALL' AND template_id % 10 = 0) AND p_partkey % 5 <> 1
 UNION ALL
-SELECT template_id, path || '.x', 'deep' FROM parent WHERE p_partkey % 5 = 1 AND NOT (p_type = 'SMALL' AND p_size % 10 = 0)
+SELECT template_id, path || '.x', 'deep' FROM parent WHERE p_partkey % 5 = 1 AND NOT (p_type = 'SMALL' AND template_id % 10 = 0)
 UNION ALL
-SELECT DISTINCT p_size, 'a.SMALL', 'leaf' FROM parent WHERE p_size % 10 = 0
-""")
-def spec_overlay(spark, sf_dir):
-    """Child settings over parent settings: leaf over leaf, leaf over branch, branch over leaf."""
+SELECT DISTINCT template_id, 'a.SMALL', 'leaf' FROM parent WHERE template_id % 10 = 0
+"""
+
+
+def _overlaid(spark, sf_dir, template):
     parent = table(spark, sf_dir, "part").select(
-        F.col("p_size").alias("template_id"),
+        template.alias("template_id"),
         F.concat_ws(".", F.lit("a"), "p_type", F.col("p_partkey").cast("string")).alias("path"),
         F.col("p_name").alias("value"), "p_partkey", "p_type")
     cut = (F.col("p_type") == "SMALL") & (F.col("template_id") % 10 == 0)
@@ -147,6 +149,18 @@ def spec_overlay(spark, sf_dir):
     return overlay(parent.select("template_id", "path", "value"), child)
 
 
+@query("spec_overlay", _overlay_sql("p_size"))
+def spec_overlay(spark, sf_dir):
+    """Child settings over parent settings: leaf over leaf, leaf over branch, branch over leaf."""
+    return _overlaid(spark, sf_dir, F.col("p_size"))
+
+
+@query("spec_overlay_hot", _overlay_sql("CASE WHEN p_partkey % 10 < 8 THEN 20 ELSE p_size END"))
+def spec_overlay_hot(spark, sf_dir):
+    """The same where one template holds most of the leaves."""
+    return _overlaid(spark, sf_dir, F.when(F.col("p_partkey") % 10 < 8, 20).otherwise(F.col("p_size")))
+
+
 @query("standardize_names", """
 SELECT p_partkey, replace(replace(replace(p_name, ' ', '_') || '_' || p_brand, '.', '_'), '-', '_') || '_mm_x' AS name FROM part
 """)
