@@ -74,6 +74,32 @@ def scalar_wide(spark, sf_dir):
     return records.single_value_rows(rows, ["v", "flag", "pass_fail"], filled, ["recon_type"])
 
 
+#: Tables of the query below.
+SCALAR_TABLES = 20
+
+
+@query("scalar_tables", f"""
+SELECT CAST(event_id // 40 AS VARCHAR) AS workbook_id, 'meta/t' || CAST(event_id % {SCALAR_TABLES} AS VARCHAR) AS db_table,
+  count(*) AS n, arg_max(CAST(value AS VARCHAR), event_id) FILTER (event_type = 'click') AS click,
+  arg_max(CAST(value AS VARCHAR), event_id) FILTER (event_type = 'view') AS view, min(ts::DATE) AS day
+FROM events WHERE NOT (event_id % {SCALAR_TABLES} = 3 AND event_id // 40 % 2 = 0) GROUP BY 1, 2
+""")
+def scalar_tables(spark, sf_dir):
+    """Twenty tables that consist of scalars only, from one aggregate over the records."""
+    events = table(spark, sf_dir, "events").select(
+        F.floor(F.col("event_id") / 40).cast("string").alias("workbook_id"), F.col("event_id").alias("seq"),
+        F.concat(F.lit("meta/t"), (F.col("event_id") % SCALAR_TABLES).cast("string")).alias("db_table"), F.lit("s").alias("sheet_id"),
+        F.lit("S").alias("sheet_name"), F.lit("x").alias("section_id"), F.lit("field").alias("kind"), F.col("event_type").alias("name"),
+        F.col("value").cast("string").alias("value"))
+    days = table(spark, sf_dir, "events").groupBy(
+        F.floor(F.col("event_id") / 40).cast("string").alias("workbook_id"), F.concat(F.lit("meta/t"), (F.col("event_id") % SCALAR_TABLES).cast("string")).alias("db_table")).agg(
+        F.count("*").alias("n"), F.min(F.col("ts").cast("date")).alias("day"))
+    filled = events.where((F.col("db_table") == "meta/t3") & (F.col("workbook_id").cast("bigint") % 2 == 0))
+    maps = records.single_value_maps(events, filled)
+    return maps.join(days, ["workbook_id", "db_table"]).select(
+        "workbook_id", "db_table", "n", *[F.try_element_at("values", F.lit(c)).alias(c) for c in ("click", "view")], "day")
+
+
 @query("field_names", f"""
 WITH {_RECORDS_SQL}
 SELECT workbook_id, value, CASE seq WHEN 0 THEN 'v' WHEN 1 THEN 'flag' WHEN 2 THEN 'a.best' WHEN 3 THEN 'v_2'

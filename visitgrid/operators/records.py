@@ -53,6 +53,23 @@ def single_value_rows(
     )
 
 
+def single_value_maps(records: DataFrame, filled_tables: DataFrame, context: Sequence[str] = ()) -> DataFrame:
+    """All tables made of scalars in one aggregate: a row per (workbook, db_table, sheet,
+    section) with its ``values`` (last of each name) and the first context values.
+
+    Tables of a workbook that already have rows are left out.  A map holds the names of
+    one section, as many as the mapping has.
+    """
+    keys = ["workbook_id", "db_table", "sheet_id", "sheet_name", "section_id"]
+    rows = records.where(F.col("kind").isin(*ROW_KINDS) & F.col("db_table").isNotNull() & (F.trim("db_table") != ""))
+    rows = rows.join(filled_tables.select("workbook_id", "db_table").distinct(), ["workbook_id", "db_table"], "left_anti")
+    first = [F.min(F.when(F.col(c).isNotNull(), F.struct("seq", F.col(c)))).alias(c) for c in context]
+    named = rows.groupBy(*keys, "name").agg(F.max_by("value", "seq").alias("_value"), *first)
+    wide = named.groupBy(*keys).agg(
+        F.map_from_entries(F.collect_list(F.struct("name", "_value"))).alias("values"), *[F.min(c).alias(c) for c in context])
+    return wide.select(*keys, "values", *[F.col(c)[c].alias(c) for c in context])
+
+
 def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Field lists with their names, repeats suffixed in each sheet, then in the list."""
     for batch in batches:

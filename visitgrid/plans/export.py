@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import audit, records, routing, stats
 from ..operators.tables import union_by_name
 from ..operators.visits import add_trace
+from ..session import materialize
 from ..sinks import writers
 from ..sources.tables import TableStore
 from .batch import Extraction
@@ -43,19 +44,26 @@ def summary_results(result: Extraction) -> dict[str, DataFrame]:
 
 
 def single_value_tables(result: Extraction) -> dict[str, DataFrame]:
-    """Rows of the tables that consist of scalars only, one frame per table."""
-    rows = result.records.where(F.col("kind").isin(*records.ROW_KINDS) & (F.trim("db_table") != ""))
-    pairs = rows.select("db_table", "name").distinct().collect()  # bounded by the mapping
+    """Rows of the tables that consist of scalars only, one frame per table.
+
+    The records are read once for all of them; what a table opens are its own files.
+    """
     known = {"workbook_id", "seq", "sheet_id", "sheet_name", "section_id", "db_table", "name", "kind", "dtype", "row",
              "col", "value", "required"}
     context = [c for c in result.records.columns if c not in known]
     filled = result.table_rows.select("workbook_id", F.col("table_key").alias("db_table"))
-    out = {}
-    for table in sorted({p["db_table"] for p in pairs}):
-        names = sorted({p["name"] for p in pairs if p["db_table"] == table})
-        own = result.records.where(F.col("db_table") == table)
-        out[table] = records.single_value_rows(own, names, filled, [c for c in context if c not in names])
-    return out
+    maps = materialize(records.single_value_maps(result.records, filled, context), "single-values", "db_table")
+    rows = result.records.where(F.col("kind").isin(*records.ROW_KINDS) & (F.trim("db_table") != ""))
+    names: dict[str, list[str]] = {}
+    for table, name in sorted(rows.select("db_table", "name").distinct().collect()):  # bounded by the mapping
+        names.setdefault(table, []).append(name)
+    return {
+        table: maps.where(F.col("db_table") == table).select(
+            "workbook_id", "db_table", F.col("sheet_id").alias("source_sheet_id"), F.col("sheet_name").alias("source_sheet_name"),
+            F.col("section_id").alias("source_section_id"), *[F.try_element_at("values", F.lit(n)).alias(n) for n in own],
+            *[c for c in context if c not in own])
+        for table, own in names.items()
+    }
 
 
 def audit_rows(result: Extraction) -> DataFrame:
@@ -89,9 +97,8 @@ def export_parquet(result: Extraction, visits: DataFrame, root: str, batch: str
         **summary_results(result), "scalar_records": result.scalars, "named_results": result.named_results,
         "extracted_fields": wide_fields(result.fields), "extraction_audit": audit_rows(result),
     }
-    for name, df in parts.items():
-        if df is not None:
-            writers.write_parquet_table(with_id(df), root, name, batch)
+    writers.at_once(visits.sparkSession, [
+        lambda n=name, d=df: writers.write_parquet_table(with_id(d), root, n, batch) for name, df in parts.items() if df is not None])
 
 
 def export_text(result: Extraction, visits: DataFrame, root: str, sep: str = ",") -> list[str]:
@@ -102,7 +109,7 @@ def export_text(result: Extraction, visits: DataFrame, root: str, sep: str = ","
     totals = stats.extraction_stats(
         result.workbooks.where("error is null"), result.fields, result.records, result.table_rows, result.sheet_audit)
     counted = visits.join(totals.select("workbook_id", "total_sheets", "extracted_fields", "extracted_tables"), "workbook_id", "left")
-    paths = [writers.write_visit_text(visits, root), writers.write_extraction_text(counted, root)]
+    jobs = [lambda: writers.write_visit_text(visits, root), lambda: writers.write_extraction_text(counted, root)]
     named = {"CTDI_Results": routing.DOSE_TABLES, "IQ_Results": routing.IMAGE_TABLES}
     tables = {name: df.drop("row", "sheet_id") for name, df in result.tables.items()}
     for name, candidates in named.items():
@@ -111,16 +118,17 @@ def export_text(result: Extraction, visits: DataFrame, root: str, sep: str = ","
             tables[name] = found
     for name, rows in single_value_tables(result).items():  # of workbooks that have no rows in the table
         tables[name] = union_by_name([tables[name], rows]) if name in tables else rows
-    for name, df in tables.items():
-        paths.append(writers.write_text_table(traced(df), root, name, sep))
+    jobs += [lambda n=name, d=df: writers.write_text_table(traced(d), root, n, sep) for name, df in tables.items()]
     extra = {"Scalar_Records": result.scalars.drop("seq", "required"), "Named_Results": result.named_results.drop("seq", "required"),
              "Extracted_Fields": wide_fields(result.fields)}
-    for name, df in extra.items():
-        if df is not None:
-            path = f"{root}/Metadata/{name}.txt"
-            writers.write_text(writers.standardized(traced(df)), path, sep)
-            paths.append(path)
-    return paths
+
+    def write_extra(name: str, df: DataFrame) -> str:
+        path = f"{root}/Metadata/{name}.txt"
+        writers.write_text(writers.standardized(traced(df)), path, sep)
+        return path
+
+    jobs += [lambda n=name, d=df: write_extra(n, d) for name, df in extra.items() if df is not None]
+    return writers.at_once(visits.sparkSession, jobs)
 
 
 def export_archive(result: Extraction, visits: DataFrame, log: DataFrame, root: str, batch: str | None = None) -> None:

@@ -11,11 +11,11 @@ rows are appended.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.identity import visit_year
@@ -91,12 +91,22 @@ def write_parquet_table(df: DataFrame, root: str, name: str, batch: str | None =
     return path
 
 
+def at_once(spark: SparkSession, jobs: Sequence[Callable], parallel: int = PARALLEL_TABLES) -> list:
+    """Results of independent jobs, several of which are under way at a time, so the end of
+    one does not leave the cluster idle.  The first error is raised when all have ended."""
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+    return [job.result() for job in running]
+
+
 def write_tables(tables: Mapping[str, DataFrame], root: str, batch: str | None = None) -> None:
     """One dataset per table, and the routed copies of the tables that have a target."""
+    jobs = []
     for name, df in tables.items():
-        write_parquet_table(df, f"{root}/tables", name, batch)
-        for target in routing.parquet_targets(name):
-            write_parquet_table(df, root, target, batch)
+        jobs.append(lambda n=name, d=df: write_parquet_table(d, f"{root}/tables", n, batch))
+        jobs += [lambda t=target, d=df: write_parquet_table(d, root, t, batch) for target in routing.parquet_targets(name)]
+    if jobs:
+        at_once(next(iter(tables.values())).sparkSession, jobs)
 
 
 def write_text(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite") -> None:
@@ -132,8 +142,7 @@ def write_batch(
 ) -> dict[str, str]:
     """Both batch exports: per table one write of all visits, plus the visit table.
 
-    Tables are worked out once, for Parquet; their text is formatted from there.  Several
-    are under way at a time, so the end of one does not leave the cluster idle.  Gives the
+    Tables are worked out once, for Parquet; their text is formatted from there.  Gives the
     messages of tables that could not be written; the others are not stopped by them.
     """
     stems = table_stems(tables)
@@ -157,8 +166,7 @@ def write_batch(
                     df = df.sparkSession.read.schema(df.schema).parquet(parquet)
         return errors
 
-    with ThreadPoolExecutor(max_workers=parallel) as pool:
-        found = list(pool.map(inheritable_thread_target(visits.sparkSession)(write), frames))
+    found = at_once(visits.sparkSession, [lambda n=name: write(n) for name in frames], parallel)
     return {key: message for errors in found for key, message in errors.items()}
 
 
