@@ -43,6 +43,8 @@ BITMAP_BITS = 26
 #: longer), so that a batch of rows stays small.
 BLOCK, ROW = 8 << 20, 1 << 9
 UNKNOWN_LANG = "und"
+#: Parts of a language in which places are counted first.
+PARTS = 64
 
 _BREAKS = np.zeros(256, bool)
 _BREAKS[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = True
@@ -288,10 +290,18 @@ def scored(phrases: DataFrame, words: DataFrame, longest: int) -> DataFrame:
     return found.select("key", "a", "lang", "n", "cut.*", "unknown")
 
 
+def shortlist(found: DataFrame, top: int) -> DataFrame:
+    """The settled phrases that can have one of the first places of their language, ties
+    included: those that have one in their part of it, so no task sees a whole language."""
+    parts = found.where(F.size("unknown") == 0).withColumn("part", F.pmod(F.xxhash64("key"), F.lit(PARTS)))
+    place = F.rank().over(Window.partitionBy("lang", "part").orderBy(F.desc("score"), F.desc("a")))
+    return parts.withColumn("place", place).where(F.col("place") <= top).drop("part", "place")
+
+
 def floors(found: DataFrame, top: int) -> DataFrame:
     """By language the score of the last place, where all places are taken."""
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("score")))
-    best = found.where(F.size("unknown") == 0).select("lang", "score").withColumn("place", place).where(F.col("place") <= top)
+    best = shortlist(found, top).select("lang", "score").withColumn("place", place).where(F.col("place") <= top)
     return best.where(F.col("place") == top).select("lang", F.col("score").alias("floor"))
 
 
@@ -346,7 +356,7 @@ def grow(runs: DataFrame, words: DataFrame, least: int, longest: int, top: int)
 def ranked(found: DataFrame, words: DataFrame, top: int) -> DataFrame:
     """The places of each language.  Phrases are spelt out for those that can have one, ties included."""
     rank = F.rank().over(Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a")))
-    best = found.where(F.size("unknown") == 0).withColumn("place", rank).where(F.col("place") <= top)
+    best = shortlist(found, top).withColumn("place", rank).where(F.col("place") <= top)
     best = best.select("key", "lang", "a", "l", "r", "n", "score", F.explode(F.sequence(F.lit(0), _size() - 1)).alias("at"))
     spelt = best.withColumn("one", F.expr("substring(key, 8 * at + 1, 8)")).join(words.select(F.col("key").alias("one"), "word"), "one")
     spelt = spelt.groupBy("key", "lang", "a", "l", "r", "n", "score").agg(F.array_sort(F.collect_list(F.struct("at", "word"))).alias("words"))
