@@ -17,7 +17,7 @@ HEADLINE = (
     "grid_many_tables", "grid_label_search", "to_float_locale", "to_date_text", "limit_checks", "filename_ids",
     "resolve_references", "visit_id_assign", "trace_columns", "visit_stats_by_hospital", "scalar_wide", "field_names",
     "union_by_name", "spec_overlay", "name_numbering", "distinct_ratio", "audit_metrics", "report_join", "result_summary",
-    "partitioned_visits", "json_archive", "workbook_scan", "workbook_tables",
+    "partitioned_visits", "json_archive", "workbook_scan", "workbook_tables", "batch_export_many",
 )
 
 
