@@ -96,6 +96,28 @@ def _tokenizer(path: str):
     return found, [x.content for x in found.get_added_tokens_decoder().values()], Kept(KEPT_BYTES)
 
 
+def _encoded(tokenizer, words: list[str]) -> list[bytes]:
+    """Packed ids of pre-tokens.  Those of letters alone, which are most, go through as the
+    lines of one text: the library splits it at the line ends, and the id of these tells
+    where the next one starts."""
+    letters = [n for n, w in enumerate(words) if w.isalpha() or (w[0] == " " and w[1:].isalpha())]
+    mark = tokenizer.encode("\n", add_special_tokens=False).ids
+    out: list[bytes] = [b""] * len(words)
+    rest = range(len(words))
+    if letters and len(mark) == 1:
+        ids = np.array(tokenizer.encode_batch_fast(["\n".join([words[n] for n in letters])], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.append(np.flatnonzero(ids == mark[0]), len(ids))
+        if len(ends) == len(letters):
+            packed, at = ids.tobytes(), 0
+            for n, end in zip(letters, (4 * ends).tolist()):
+                out[n] = packed[at:end]
+                at = end + 4
+            rest = sorted(set(rest).difference(letters))
+    for n, got in zip(rest, tokenizer.encode_batch_fast([words[n] for n in rest], add_special_tokens=False)):
+        out[n] = array("I", got.ids).tobytes()
+    return out
+
+
 def _ids(path: str, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts, and where those of each text end.
 
@@ -117,7 +139,7 @@ def _ids(path: str, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     packed = list(map(kept.get, words))
     new = [n for n, ids in enumerate(packed) if ids is None]
     unknown = [words[n] for n in new]
-    found = [array("I", got.ids).tobytes() for got in tokenizer.encode_batch_fast(unknown, add_special_tokens=False)]
+    found = _encoded(tokenizer, unknown)
     for n, ids in zip(new, found):
         packed[n] = ids
     kept.keep(unknown, found)
