@@ -180,21 +180,21 @@ def extraction_stats(spark, sf_dir):
 
 
 @query("extraction_audit_rows", f"""
-WITH {_BOOK_SQL}, head AS (SELECT n, count(*) FILTER (r = 1) > 0 AS has_first FROM cell WHERE n % 13 <> 12 GROUP BY 1)
-SELECT 'SheetProcessed' AS event_type, 4 * count(*) AS n_rows, 3 * count(*) AS fields, count(*) + sum(CAST(has_first AS INTEGER))::BIGINT AS tables, count(*) AS errors FROM head
+WITH {_BOOK_SQL}, head AS (SELECT path AS workbook_id, count(*) FILTER (r = 1) > 0 AS has_first FROM cell JOIN book USING (n) WHERE n % 13 <> 12 GROUP BY 1),
+sheet(sheet, fields, tables, errors) AS (VALUES ('Info', 2, 0, 0), ('LI', 1, 1, 0), ('Absent', 0, 0, 1), ('Off', 0, 0, 0))
+SELECT workbook_id, 'SheetProcessed' AS event_type, sheet, fields::BIGINT AS fields, (tables + CASE WHEN sheet = 'LI' AND has_first THEN 1 ELSE 0 END)::BIGINT AS tables,
+  errors::INTEGER AS errors, NULL::BIGINT AS total_sheets, NULL::BIGINT AS processed_sheets FROM head, sheet
 UNION ALL
-SELECT 'ExtractionSummary', count(*), 3 * count(*), count(*) + sum(CAST(has_first AS INTEGER))::BIGINT, NULL FROM head
+SELECT workbook_id, 'ExtractionSummary', NULL, 3, 1 + CAST(has_first AS BIGINT), NULL, 2, 2 FROM head
 """)
 def extraction_audit_rows(spark, sf_dir):
-    """One audit row per sheet and one per file, totalled by kind."""
+    """One audit row per sheet and one per file."""
     found = _extraction(spark, sf_dir)
     totals = stats.extraction_stats(found.workbooks.where("error is null"), found.fields, found.records, found.table_rows, found.sheet_audit)
-    sheets = found.sheet_audit
-    rows = audit.sheet_audit_rows(sheets, totals)
-    fields = F.coalesce("fields_extracted", "extracted_fields")
-    tables = F.coalesce("tables_extracted", "extracted_tables")
-    return rows.groupBy("event_type").agg(
-        F.count("*").alias("n_rows"), F.sum(fields).alias("fields"), F.sum(tables).alias("tables"), F.sum("errors").alias("errors"))
+    rows = audit.sheet_audit_rows(found.sheet_audit, totals)
+    return rows.select(
+        "workbook_id", "event_type", "sheet", F.coalesce("fields_extracted", "extracted_fields").alias("fields"),
+        F.coalesce("tables_extracted", "extracted_tables").alias("tables"), "errors", "total_sheets", "processed_sheets")
 
 
 @query("folder_listing", """
