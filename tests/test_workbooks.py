@@ -1,13 +1,16 @@
 """Real files: scan, extraction, batch job, incremental intake."""
 
 import io
+import json
 import os
 import zipfile
+import zlib
 from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
+from visitgrid.catalog import workbooks as catalog_books
 from visitgrid.catalog.xlsx import make_workbook
 from visitgrid.operators.scalars import scalar_records
 from visitgrid.plans import batch, export
@@ -17,6 +20,8 @@ from visitgrid.sources import workbooks as wb
 from visitgrid.sources.tables import TableStore, read_archive, read_audit, read_reference_tables, read_text_table
 from visitgrid.streaming.folder import follow_folder
 
+from .conftest import SMALL
+
 MAPPING = {"workbook": {"version": "6"}, "sheets": {
     "info": {"sheet_name": "Info", "required": True, "sections": {
         "qa_visit": {"db_table": "meta/visit",
@@ -218,3 +223,39 @@ def test_incremental_intake(spark, folder, tmp_path):
         handle.write(book())
     follow_folder(spark, folder, target, checkpoint).awaitTermination(120)
     assert first == 9 and spark.read.parquet(target).where("kind = 'sheet'").count() == 12
+
+
+def test_sheets_of_plain_cells_are_read_as_the_xml_parser_reads_them(spark):
+    """All spellings of numbers, empty rows and cells, and sheets that need the parser from
+    their beginning, their middle or their end."""
+    moment = datetime(2020, 1, 2, 3, 4)
+    numbers = [1, -3, 0, 1.0, 0.1, 1e-5, 2.5e-7, 1e20, -0.0, 0.1 + 0.2, 100.0, 1e15, 1234567890.5, 12345678901234567, True, False, moment, "x & y", "x"]
+    many = [(r, c, v) for r in range(1, 400, 2) for c, v in enumerate(numbers, start=1)]
+
+    def sheet(body):
+        return f'<worksheet xmlns="{wb._SPACE[1:-1]}"><sheetData>{body}</sheetData></worksheet>'
+
+    plain = '<row r="1"/><row r="2" spans="1:2"><c r="A2" s="1"/><c r="B2" s="1"><v>43831</v></c></row><row r="9"></row><row r="10"><c r="AB10"><v>007.50</v></c></row>'
+    bodies = [
+        plain, "", plain + '<row r="11"><c r="A11"><f>1+1</f><v>2</v></c></row>', plain + '<row r="11"><c r="A11" t="s"><v>7</v></c></row>',
+        plain + '<row r="11"><c r="A11"><v>1</v></c>', plain + '<!-- <row r="3"><c r="A3"><v>1</v></c></row> -->', plain + '<row><c><v>1</v></c></row>',
+    ]
+    parts = [(r[1], r[7], r[8], r[9]) for r in wb.open_workbook(make_workbook({"S": many, "E": []})) if r[0] == "part"]
+    settings = '{"styles": {"1": "date"}, "base_1904": false, "method": 0, "checksum": %d}'
+    for body in bodies:
+        data = sheet(body).encode()
+        parts += [("S", ["x"], settings % zlib.crc32(data), data), ("S", ["x"], settings % 1, data)]
+    for part in parts:
+        names = ("kind", "sheet", "row", "col", "ctype", "raw", "name")
+        found = [tuple(row[n] for n in names) for t in wb.part_tables(*part) for row in t.to_pylist()]
+        assert found == list(wb.parse_part(*part))
+    name, strings, settings, data = parts[0]
+    known = json.loads(settings)
+    styles = {int(k): v for k, v in known["styles"].items()}
+    assert sum(t.num_rows for t in wb._plain_rows(wb._Inflated(data, known["method"], known["checksum"]), strings, styles, False)) == len(many)
+
+
+def test_given_lines_leave_their_builder_a_file_at_a_time(spark):
+    """So that a task holds one file and not those of a whole batch of groups."""
+    plan = catalog_books.line_files(spark, SMALL)._jdf.queryExecution().toString()
+    assert "MapInPandas" not in plan and "MapInArrow" in plan

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyarrow import fs
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions.text import base_name
@@ -20,11 +21,38 @@ from ..streaming.folder import Intake
 from . import query
 from .inputs import LINES_SQL, line_rows, table
 from .visiting import reference_tables
-from .xlsx import make_workbook
+from .xlsx import pack_workbook
 
 ORDERS_PER_BOOK = 100
 
 
+_INFO = (
+    '<row r="1"><c r="A1" t="s"><v>{first}</v></c><c r="B1"><v>{number}</v></c></row>'
+    '<row r="2"><c r="B2" t="s"><v>{second}</v></c></row>'
+)
+
+
+def _line_xml(row: Column) -> Column:
+    """A line as a row of sheet XML; blank flags, statuses and days have no cell."""
+
+    def cell(letter: str, value: Column, attributes: str = "") -> Column:
+        return F.concat(F.lit(f'<c r="{letter}'), row, F.lit(f'"{attributes}><v>'), value.cast("string"), F.lit("</v></c>"))
+
+    def where_filled(given: Column, made: Column) -> Column:
+        return F.when(given.isNotNull(), made).otherwise("")
+
+    flag = F.when(F.col("d") != "N", F.ascii("d"))
+    cells = [
+        *[cell(letter, F.col(name)) for letter, name in zip("ABC", "abc")],
+        where_filled(flag, cell("D", flag, ' t="s"')),
+        where_filled(F.col("e"), cell("E", F.ascii("e"), ' t="s"')),
+        where_filled(F.col("f"), cell("F", F.date_diff("f", F.lit("1899-12-30").cast("date")), ' s="1"')),
+        cell("G", (F.col("a") > 25).cast("int"), ' t="b"'),
+    ]
+    xml = F.concat(F.lit('<row r="'), row, F.lit('">'), *cells, F.lit("</row>"))
+    return F.coalesce(xml, F.raise_error(F.lit("a line without a number, quantity, price or discount")).cast("string"))
+
+
 def line_files(spark, sf_dir):
     """One .xlsm file per 100 orders; an order has as many rows as the largest line number.
 
@@ -33,33 +61,31 @@ def line_files(spark, sf_dir):
     rows = line_rows(spark, sf_dir)
     stride = table(spark, sf_dir, "lineitem").agg(F.coalesce(F.max("l_linenumber"), F.lit(1))).first()[0]
     book = F.floor(F.col("l_orderkey") / ORDERS_PER_BOOK)
-    row = F.pmod("l_orderkey", F.lit(ORDERS_PER_BOOK)) * stride + F.col("l_linenumber")
+    row = (F.pmod("l_orderkey", F.lit(ORDERS_PER_BOOK)) * stride + F.col("l_linenumber")).cast("int")
     tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     packed = (
-        rows.withColumns({"book": book, "row": row.cast("int")})
+        rows.withColumns({"book": book, "row": row})
+        .select("book", "row", F.ascii("d").alias("d"), F.ascii("e").alias("e"), _line_xml(F.col("row").cast("string")).alias("xml"))
         .repartition(tasks, "book")  # a given number is not coalesced: building and parsing files is CPU work
         .groupBy("book")
-        .agg(F.collect_list(F.struct("row", "a", "b", "c", "d", "e", "f")).alias("lines"))
+        .agg(F.sort_array(F.collect_list(F.struct("row", "xml"))).alias("lines"), F.array_union(F.collect_set("d"), F.collect_set("e")).alias("codes"))
+        .select("book", F.concat_ws("", "lines.xml").alias("body"), "codes")
     )
 
-    def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for found in batches:
-            out = []
-            for number, lines in zip(found["book"], found["lines"]):
-                cells = []
-                for x in lines:
-                    flag = None if x["d"] == "N" else x["d"]
-                    values = (float(x["a"]), float(x["b"]), float(x["c"]), flag, x["e"], x["f"], float(x["a"]) > 25)
-                    cells += [(int(x["row"]), i, v) for i, v in enumerate(values, start=1) if v is not None]
-                content = make_workbook(
-                    {"LI": cells, "Info": [(1, 1, "centre"), (1, 2, int(number)), (2, 2, "QA 0%d CT" % number)]},
-                    {"ref": "Info!$B$2"},
-                )
-                name = f"/in/QC{int(number) % 9 + 1:03d}_0624_{int(number):05d}CT-CT{int(number) % 5}.xlsm"
-                out.append((name, content[: len(content) // 2] if number % 13 == 12 else content))
-            yield pd.DataFrame(out, columns=["source_path", "content"])
-
-    return packed.mapInPandas(build, "source_path string, content binary")
+            for n in range(found.num_rows):  # a file at a time, so that a task holds one input batch and one file
+                number, body, codes = (column[n].as_py() for column in found.columns)
+                # flags and statuses stand at the code of their letter, two texts more after them
+                letters = [chr(code) if code in codes else "" for code in range(max(codes, default=-1) + 1)]
+                info = _INFO.format(number=number, first=len(letters), second=len(letters) + 1)
+                strings = [*letters, "centre", "QA 0%d CT" % number]
+                content = pack_workbook({"LI": body, "Info": info}, strings, {"ref": "Info!$B$2"}, level=1)
+                name = f"/in/QC{number % 9 + 1:03d}_0624_{number:05d}CT-CT{number % 5}.xlsm"
+                content = content[: len(content) // 2] if number % 13 == 12 else content
+                yield pa.RecordBatch.from_pydict({"source_path": [name], "content": [content]})
+
+    return packed.mapInArrow(build, "source_path string, content binary")
 
 
 _BOOK_SQL = f"""{LINES_SQL},
