@@ -34,34 +34,35 @@ def sanitize(name: str) -> str:
 
 
 @functools.cache
-def _fold_tables() -> tuple[str, str, str, list[str]]:
-    """Characters whose compatibility decomposition leaves ASCII, worked out by rule over
-    all of Unicode: those that leave one character and it, those that leave more and these."""
-    single_from, single_to, long_from, long_to = [], [], [], []
+def _fold_tables() -> list[tuple[str, str]]:
+    """Tables for ``translate``, one for each place of a result: a character whose
+    compatibility decomposition leaves ASCII to what stands there, worked out by rule over
+    all of Unicode.  What has nothing at that place stands last, so it is dropped."""
+    folded = {}
     for code in (*range(0x80, 0xD800), *range(0xE000, 0x110000)):
-        char = chr(code)
-        ascii_form = unicodedata.normalize("NFKD", char).encode("ascii", "ignore").decode()
-        if len(ascii_form) == 1:
-            single_from.append(char)
-            single_to.append(ascii_form)
-        elif ascii_form:
-            long_from.append(char)
-            long_to.append(ascii_form)
-    return "".join(single_from), "".join(single_to), "".join(long_from), long_to
+        ascii_form = unicodedata.normalize("NFKD", chr(code)).encode("ascii", "ignore").decode()
+        if ascii_form:
+            folded[chr(code)] = ascii_form
+    tables = []
+    for place in range(max(map(len, folded.values()))):
+        there = {char: form[place] for char, form in folded.items() if len(form) > place}
+        gone = [char for char, form in folded.items() if len(form) <= place]
+        tables.append(("".join(there) + "".join(gone), "".join(there.values())))
+    return tables
 
 
 def sanitize_col(c: Column) -> Column:
     """Column form of :func:`sanitize`."""
-    single_from, single_to, long_from, long_to = _fold_tables()
-    spelt_out = F.array(*map(F.lit, long_to))
+    tables = _fold_tables()
 
     def spelt(char: Column) -> Column:
-        at = F.instr(F.lit(long_from), char)
-        return F.when((char != "") & (at > 0), F.element_at(spelt_out, at)).otherwise(char)
+        return F.when(char.rlike(r"^[\x00-\x7F]"), char).otherwise(F.concat(*[F.translate(char, *table) for table in tables]))
 
-    # one pass over the characters, and only in names that hold one that leaves several
-    expanded = F.when(c.rlike(f"[{long_from}]"), F.array_join(F.transform(F.split(c, ""), spelt), "")).otherwise(c)
-    plain = F.trim(F.regexp_replace(F.translate(expanded, single_from, single_to), r"[^\x00-\x7F]", ""))
+    # one pass over the characters, and only in names that hold one beyond ASCII; each place
+    # of a spelling is looked up in a table, and what has no ASCII form goes afterwards
+    outside = c.rlike(r"[^\x00-\x7F]")
+    folded = F.regexp_replace(F.array_join(F.transform(F.split(c, ""), spelt), ""), r"[^\x00-\x7F]", "")
+    plain = F.trim(F.when(outside, folded).otherwise(c))
     words = F.regexp_replace(F.regexp_replace(plain, r"[^0-9A-Za-z_]+|_+", "_"), "_+", "_")
     bare = F.regexp_replace(words, "^_|_$", "")
     named = F.when(bare == "", "column").otherwise(bare)
