@@ -242,3 +242,16 @@ def test_types_and_filters(spark):
     assert typed == {"a": "string", "test_date": "timestamp_ntz", "t": "string", "n": "int"}
     assert where_equal(frame, ["n=5", "t=x"]).count() == 1
     assert prepare_export(frame.withColumn("l (x)", F.array("n"))).first()["l_x"] == "[5]"
+
+
+def test_field_names_need_no_shuffle_of_workbooks_by_their_list(spark):
+    """Most workbooks have the same list, so one task would get them all."""
+    rows = spark.createDataFrame([(f"w{n}", n % 3, "s", "x", "field", "f", "1") for n in range(30)],
+                                 "workbook_id string, seq int, sheet_id string, section_id string, kind string, name string, value string")
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        named = records.field_names(rows)
+        assert named.count() == 30 and "BroadcastHashJoin" in named._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.names import suffix_repeats
 from ..session import materialize
+from .frames import MAX_RULE_BYTES
 
 # Record kinds that fill a table of single values.
 ROW_KINDS = ("field", "result_scalar")
@@ -104,7 +105,10 @@ def field_names(records: DataFrame) -> DataFrame:
     fields = F.transform("items", lambda x: F.struct(x["sheet_id"].alias("sheet_id"), x["name"].alias("name")))
     books = materialize(books.withColumn("fields", fields).withColumn("fields_id", F.sha2(F.to_json("fields"), 256)), "field-lists")
     lists = books.groupBy("fields_id").agg(F.any_value("fields").alias("fields"))
-    named = lists.mapInArrow(_named, "fields_id string, names array<string>")
+    named = materialize(lists.mapInArrow(_named, "fields_id string, names array<string>"), "field-names")
+    size = named.agg(F.sum(F.octet_length(F.to_json("names")))).first()[0] or 0
+    if size <= MAX_RULE_BYTES:  # a shuffle would bring all workbooks of the usual list to one task
+        named = F.broadcast(named)
     pairs = F.arrays_zip(F.col("names").alias("name"), F.transform("items", lambda x: x["value"]).alias("value"),
                          F.transform("items", lambda x: x["seq"]).alias("seq"))
     return books.join(named, "fields_id").select("workbook_id", F.inline(pairs))
