@@ -1,6 +1,7 @@
 """Edge values of the cleaning functions."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -133,3 +134,15 @@ def test_both_forms_of_names_know_all_of_unicode(spark):
     frame = spark.createDataFrame(list(enumerate(texts)), "n int, name string")
     got = [r["s"] for r in frame.select("n", names.sanitize_col(F.col("name")).alias("s")).orderBy("n").collect()]
     assert got == [names.sanitize(x) for x in texts]
+
+
+def test_folding_tests_no_long_class_of_characters():
+    """A class of thousands of characters costs as many comparisons for each character."""
+    shown = str(names.sanitize_col(F.col("name")))
+    assert "RLIKE" in shown.upper() and not re.search(r"RLIKE\(name, .{60}", shown, re.IGNORECASE)
+
+
+def test_usual_numbers_and_others_give_the_same(spark):
+    raw = ["1", "-1.50", "007", "12\n", "12\u2028", " 3", "1,5", "1.", ".5", "1e3", "5%", "1.2.3", "--1", "1_0", "nan", "", None]
+    wanted = [1.0, -1.5, 7.0, 12.0, 12.0, 3.0, 1.5, 1.0, 0.5, 1000.0, 5.0, None, None, None, "nan", None, None]
+    assert [str(v) for v in values(spark, raw, convert.to_float)] == [str(v) for v in wanted]

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from .text import norm, strip
 
 NUMBER_TEXT = r"(?i)^[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:e[+-]?[0-9]+)?|inf(?:inity)?|nan)$"
+_USUAL_NUMBER = r"^-?[0-9]+(?:\.[0-9]+)?\z"  # this spelling skips all clean-up
 PLAIN_NUMBER_TEXT = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
 
 # The words for true and false.
@@ -48,7 +49,8 @@ def to_float(raw: Column, locale_safe: Column | bool = False) -> Column:
         loose = loose | locale_safe
     elif locale_safe:
         loose = F.lit(True)
-    return parse_number(F.when(loose, F.translate(bare, ",  ", ".")).otherwise(bare))
+    cleaned = parse_number(F.when(loose, F.translate(bare, ",  ", ".")).otherwise(bare))
+    return F.when(raw.rlike(_USUAL_NUMBER), raw.try_cast("double")).otherwise(cleaned)
 
 
 def truncate(number: Column) -> Column:
