@@ -136,10 +136,10 @@ def test_both_forms_of_names_know_all_of_unicode(spark):
     assert got == [names.sanitize(x) for x in texts]
 
 
-def test_folding_tests_no_long_class_of_characters():
+def test_folding_tests_no_long_class_of_characters(spark):
     """A class of thousands of characters costs as many comparisons for each character."""
     shown = str(names.sanitize_col(F.col("name")))
-    assert "RLIKE" in shown.upper() and not re.search(r"RLIKE\(name, .{60}", shown, re.IGNORECASE)
+    assert "rlike(name, " in shown and not re.search(r"rlike\(name, '\[[^\]]{60}", shown)
 
 
 def test_usual_numbers_and_others_give_the_same(spark):

@@ -64,9 +64,8 @@ def sanitize_col(c: Column) -> Column:
     folded = F.regexp_replace(F.array_join(F.transform(F.split(c, ""), spelt), ""), r"[^\x00-\x7F]", "")
     plain = F.trim(F.when(outside, folded).otherwise(c))
     words = F.regexp_replace(F.regexp_replace(plain, r"[^0-9A-Za-z_]+|_+", "_"), "_+", "_")
-    bare = F.regexp_replace(words, "^_|_$", "")
-    named = F.when(bare == "", "column").otherwise(bare)
-    return F.when(named.rlike("^[0-9]"), F.concat(F.lit("c_"), named)).otherwise(named)
+    named = F.regexp_replace(F.regexp_replace(words, "^_|_$", ""), "^$", "column")
+    return F.regexp_replace(named, "^([0-9])", "c_$1")  # each step once: an expression that is used twice is worked out twice
 
 
 def unique(names: Iterable[str]) -> list[str]:
