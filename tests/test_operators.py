@@ -115,6 +115,32 @@ def test_row_ranges(spark):
     assert got == want
 
 
+def test_records_of_packed_rows_are_those_of_their_cells(spark):
+    """Stop, skip and fixed columns, metadata, blank cells, a row in pieces and a file given
+    twice; rows meet their tables without a shuffle of the cells."""
+    rng = random.Random(11)
+    cells, packed = [], []
+    for book in ("w1", "w2", None, "w1"):
+        for sheet in ("S", "T"):
+            for row in (*range(1, 30), 7):
+                found = [(col, rng.choice(["int", "text"]), rng.choice(["1", "2", "stop", " ", "\u00a0", "7"])) for col in range(1, 6) if rng.random() < 0.8]
+                cells += [(book, sheet, row, *c) for c in found]
+                packed.append((book, sheet, row, found))
+    columns = {"x": {"col": "B"}, "y": {"col": "C", "row": 4}, "z": {"col": "E"}}
+    document = {"workbook": {}, "sheets": {"s": {"sheet_name": "S", "sections": {
+        "blank": {"data_start_row": 3, "end_condition": {"type": "empty_cell", "col": "A"}, "columns": columns},
+        "label": {"data_start_row": 2, "end_condition": {"type": "label_row", "col": "A", "label": "Stop "}, "columns": columns},
+        "fixed": {"data_start_row": 5, "end_row": 19, "skip_col": "A", "skip_if_value": "7", "columns": columns, "metadata": {"m": {"row": 2, "col": "D"}}}}},
+        "t": {"sheet_name": "T", "sections": {"open": {"data_start_row": 8, "end_row": 40, "columns": {"x": {"col": "D"}}}}}}}
+    rules = read_mapping(document)
+    flat = tables.table_records(spark.createDataFrame(cells, CELLS), rules.tables, rules.scalars)
+    rows = spark.createDataFrame(packed, "workbook_id string, sheet string, row int, cells array<struct<col: int, ctype: string, raw: string>>")
+    found = tables.table_records(rows, rules.tables, rules.scalars)
+    assert found.columns == flat.columns and {r["table_id"] for r in found.collect()} == {t["table_id"] for t in rules.tables}
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, flat.collect()))
+    assert tables.table_records(rows.where("false"), rules.tables, rules.scalars).count() == 0
+
+
 def test_fixed_column_counts_only_in_its_row(spark):
     cells = [("w", "S", 3, 2, "int", "5"), ("w", "S", 1, 1, "int", "1")]
     document = {"workbook": {}, "sheets": {"s": {"sheet_name": "S", "sections": {"t": {

@@ -255,6 +255,25 @@ def test_sheets_of_plain_cells_are_read_as_the_xml_parser_reads_them(spark):
     assert sum(t.num_rows for t in wb._plain_rows(wb._Inflated(data, known["method"], known["checksum"]), strings, styles, False)) == len(many)
 
 
+def test_scan_by_row_holds_the_cells_of_a_scan(spark, folder):
+    """A row whose cells do not stand from left to right comes in several pieces."""
+    def sheet(body):
+        return f'<worksheet xmlns="{wb._SPACE[1:-1]}"><sheetData>{body}</sheetData></worksheet>'.encode()
+
+    odd = sheet('<row r="1"><c r="B1"><v>2</v></c><c r="A1"><v>1</v></c><c r="A1"><v>3</v></c></row><row r="1"><c r="C1"><v>4</v></c></row>')
+    out = io.BytesIO()
+    with zipfile.ZipFile(io.BytesIO(make_workbook({"S": [(1, 1, 1)]}))) as old, zipfile.ZipFile(out, "w") as new:
+        for name in old.namelist():
+            new.writestr(name, odd if name.endswith("sheet1.xml") else old.read(name))
+    more = spark.createDataFrame([("/odd.xlsx", bytearray(out.getvalue())), (None, bytearray(book()))], "source_path string, content binary")
+    files = wb.workbook_files(spark, folder).unionByName(more)
+    flat, packed = wb.scan_workbooks(files), wb.scan_workbooks(files, by_row=True)
+    assert packed.where("kind = 'cell'").count() == 0 and packed.where("workbook_id = '/odd.xlsx' and kind = 'row'").count() == 3
+    assert sorted(map(repr, wb.cells(packed).collect())) == sorted(map(repr, wb.cells(flat).collect()))
+    rest = [sorted(map(repr, x.where("kind not in ('cell', 'row')").drop("cells").collect())) for x in (flat, packed)]
+    assert rest[0] == rest[1] and any("error" in r for r in rest[0])
+
+
 def test_given_lines_leave_their_builder_a_file_at_a_time(spark):
     """So that a task holds one file and not those of a whole batch of groups."""
     plan = catalog_books.line_files(spark, SMALL)._jdf.queryExecution().toString()

@@ -149,9 +149,9 @@ FROM cell JOIN book USING (n) WHERE n % 13 <> 12
 def workbook_tables(spark, sf_dir):
     """Files to one typed table."""
     rules = batch_rules()
-    cells = wb.cells(wb.scan_workbooks(line_files(spark, sf_dir), ["LI"]))
+    rows = wb.rows(wb.scan_workbooks(line_files(spark, sf_dir), ["LI"], by_row=True))
     wanted = [t for t in rules.tables if t["table_key"] == "lines/all"]
-    records = table_records(cells, wanted, rules.scalars)
+    records = table_records(rows, wanted, rules.scalars)
     return typed_table(records, wanted[0], rules.scalars, {"source": "scan"})
 
 

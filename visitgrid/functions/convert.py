@@ -14,7 +14,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import norm, strip
+from .text import is_blank, norm, strip
 
 NUMBER_TEXT = r"(?i)^[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:e[+-]?[0-9]+)?|inf(?:inity)?|nan)$"
 _USUAL_NUMBER = r"^-?[0-9]+(?:\.[0-9]+)?\z"  # this spelling skips all clean-up
@@ -81,6 +81,8 @@ def to_bool(
         value = F.when(word.isin(yes), True).when(word.isin(no), False).otherwise(value)
     if ctype is not None:
         value = F.when(ctype == "bool", word == "true").otherwise(value)
+        of_bool = ctype == "bool"  # as truth cells are spelled by the scan
+        return F.when(of_bool & (raw == "True"), True).when(of_bool & (raw == "False"), False).when(raw.isNotNull(), value)
     return F.when(raw.isNotNull(), value)
 
 
@@ -103,6 +105,7 @@ _NUMBER_REWRITES = (  # to year-month-day; what one has rewritten the others lea
     (rf"^(\d{{4}})-(1[3-9]|2\d|3[01])-(0?[1-9]|1[0-2]){_END}", "$1-$3-$2"),
     (r"(\d)t(\d)", "$1 $2"),
 )
+_WHOLE_DAY = r"^\d{4}-\d{2}-\d{2} 00:00:00\z"
 _PLAIN_ISO = r"^\d{4}-(?:0\d|1[0-2])-\d{2}$"  # the common spelling skips all rewriting
 _DATE_SHAPE = r"^\d{4}(?:-\d{1,2}(?:-\d{1,2}(?: .*)?)?)?$"
 
@@ -161,7 +164,11 @@ def _temporal_text(raw: Column, ctype: Column | None, with_time: bool) -> Column
 
 def to_date(raw: Column, ctype: Column | None = None) -> Column:
     """Cell -> ISO date text; text that is no date is kept as it is."""
-    return _temporal_text(raw, ctype, with_time=False)
+    other = _temporal_text(raw, ctype, with_time=False)
+    if ctype is None:
+        return other
+    day = F.when((ctype == "date") & raw.rlike(_WHOLE_DAY), F.substring(raw, 1, 10))  # as the scan spells a day
+    return F.when(day.try_cast("date").isNotNull(), day).otherwise(other)
 
 
 def to_datetime(raw: Column, ctype: Column | None = None) -> Column:
@@ -198,7 +205,7 @@ def convert(raw: Column, ctype: Column | None, dtype: str, locale_safe=False, bo
         return to_float(raw, locale_safe)
     if dtype == "int":
         return to_int(raw, locale_safe)
-    filled = F.when(strip(raw) != "", raw)
+    filled = F.when(~is_blank(raw), raw)
     if dtype in STRING_TYPES:
         return strip(filled)
     if dtype in BOOL_TYPES:

@@ -20,8 +20,11 @@ def norm(c: Column) -> Column:
 
 
 def is_blank(c: Column) -> Column:
-    """True for null and for text that holds only white space."""
-    return c.isNull() | (strip(c) == "")
+    """True for null and for text that holds only white space.
+
+    A text that begins with a visible ASCII character is told by that character.
+    """
+    return c.isNull() | (~((c >= "!") & (c < "\x7f")) & (strip(c) == ""))
 
 
 def title_case(c: Column) -> Column:

@@ -44,7 +44,9 @@ def point_hits(cells: DataFrame, rules: Sequence[dict]) -> DataFrame:
         [{"seq": r["seq"], "sheet": r["sheet_name"], "row": r["row"], "col": r["col"]} for r in rules],
         "seq int, sheet string, row int, col int",
     )
-    return cells.join(spec, ["sheet", "row", "col"]).select("workbook_id", "seq", _cell().alias("cell"))
+    rows = [r["row"] for r in rules]
+    near = cells.where(F.col("row").between(min(rows), max(rows)))  # before the cells of packed rows are laid out
+    return near.join(spec, ["sheet", "row", "col"]).select("workbook_id", "seq", _cell().alias("cell"))
 
 
 #: Characters of the piece by which a label text is looked up; shorter texts by all of them.

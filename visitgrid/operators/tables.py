@@ -62,13 +62,8 @@ def section_metadata(rule: dict, scalars: Sequence[dict]) -> list[dict]:
     ]
 
 
-def table_records(cells: DataFrame, tables: Sequence[dict], scalars: Sequence[dict] = ()) -> DataFrame:
-    """(workbook_id, table_id, row, s0 .. sN) for all given tables at once."""
-    tables = [t for t in tables if t["stop"] != "range"]
-    slots = [s for t in tables for s in _slots(t, section_metadata(t, scalars))]
-    width = 1 + max((s["slot"] for s in slots), default=0)
-    roles = {s["role"] for s in slots}
-    carried = bool(roles & {"fixed", "meta"})
+def _cell_records(cells: DataFrame, slots: Sequence[dict], width: int, roles: set[str]) -> DataFrame:
+    """Records of cells, which may stand in any order: a shuffle brings those of a row together."""
     spec = rule_frame(cells.sparkSession, slots, SLOT_SCHEMA)
     hits = (
         cells.where(~is_blank(F.col("raw"))).alias("c")
@@ -95,7 +90,66 @@ def table_records(cells: DataFrame, tables: Sequence[dict], scalars: Sequence[di
         aggregates.append(F.max(F.when(F.col("role") == "stop", text)).alias("_stop"))
     if "skip" in roles:
         aggregates.append(F.max(F.when(F.col("role") == "skip", text)).alias("_skip"))
-    records = hits.groupBy(*_KEYS).agg(*aggregates)
+    return hits.groupBy(*_KEYS).agg(*aggregates)
+
+
+_ADDRESS = "struct<col: int, first_row: int, last_row: int>"
+
+
+def _row_hits(rows: DataFrame, slots: Sequence[dict], width: int, roles: set[str]) -> DataFrame:
+    """Records of the rows of a scan by row: (workbook_id, table_id, row, s0 .. sN, _data,
+    and _stop and _skip where they are asked for).
+
+    A row meets each table of its sheet once and gives its record there and then, so what
+    is shuffled is a record and not its cells.
+    """
+    specs: dict[int, dict] = {}
+    for s in slots:
+        spec = specs.setdefault(s["table_id"], {
+            "table_id": s["table_id"], "sheet": s["sheet"], "low": s["first_row"], "high": s["last_row"], "own": [False] * width,
+            "at": [None] * width, "stop": None, "skip": None})
+        spec["low"], spec["high"] = min(spec["low"], s["first_row"]), max(spec["high"], s["last_row"])
+        address = {k: s[k] for k in ("col", "first_row", "last_row")}
+        if s["role"] in ("stop", "skip"):
+            spec[s["role"]] = address
+        else:
+            spec["at"][s["slot"]], spec["own"][s["slot"]] = address, s["role"] in ("value", "fixed")
+    rules = rule_frame(
+        rows.sparkSession, list(specs.values()),
+        f"table_id int, sheet string, low int, high int, own array<boolean>, at array<{_ADDRESS}>, stop {_ADDRESS}, skip {_ADDRESS}")
+    met = rows.alias("c").join(
+        rules.alias("s"), (F.col("c.sheet") == F.col("s.sheet")) & F.col("c.row").between(F.col("s.low"), F.col("s.high")))
+
+    columns = F.col("cells.col")  # ascending, so that a column stands there once
+
+    def standing(at: Column) -> Column:
+        found = F.get("cells", F.array_position(columns, at["col"]).cast("int") - 1)
+        kept = F.col("row").between(at["first_row"], at["last_row"]) & ~is_blank(found["raw"])
+        return F.when(kept, F.struct(found["ctype"].alias("ctype"), found["raw"].alias("raw")))
+
+    picked = [standing(F.col("at")[i]).alias(f"s{i}") for i in range(width)]
+    texts = {f"_{role}": standing(F.col(role))["raw"] for role in ("stop", "skip") if role in roles}
+    texts = [F.when(text.isNotNull(), norm(text)).alias(name) for name, text in texts.items()]
+    hits = met.select("workbook_id", "table_id", "row", "own", *picked, *texts)
+    data = [F.col("own")[i] & F.col(f"s{i}").isNotNull() for i in range(width)]
+    names = [f"s{i}" for i in range(width)] + [f"_{role}" for role in ("stop", "skip") if role in roles]
+    return hits.where(F.coalesce(*[F.when(F.col(n).isNotNull(), True) for n in names])).select(
+        "workbook_id", "table_id", "row", functools.reduce(operator.or_, data).alias("_data"), *names)
+
+
+def table_records(cells: DataFrame, tables: Sequence[dict], scalars: Sequence[dict] = ()) -> DataFrame:
+    """(workbook_id, table_id, row, s0 .. sN) for all given tables at once, from cells or
+    from the rows of a scan by row."""
+    tables = [t for t in tables if t["stop"] != "range"]
+    slots = [s for t in tables for s in _slots(t, section_metadata(t, scalars))]
+    width = 1 + max((s["slot"] for s in slots), default=0)
+    roles = {s["role"] for s in slots}
+    carried = bool(roles & {"fixed", "meta"})
+    if "cells" in cells.columns:
+        hits = _row_hits(cells, slots, width, roles).repartition("workbook_id")
+        records = hits.groupBy(*_KEYS).agg(*[F.max(n).alias(n) for n in hits.columns if n not in _KEYS])
+    else:
+        records = _cell_records(cells, slots, width, roles)
 
     whole = Window.partitionBy("workbook_id", "table_id").orderBy("row")
     running = whole.rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -92,7 +92,7 @@ def extract(spark: SparkSession, files: DataFrame, rules: MappingRules) -> Extra
     used = [s["sheet_name"] for s in rules.sheets if s["extract"]]
     active = {s["sheet_id"] for s in rules.sheets if s["extract"]}
     named = any(r["how"] == "name" for r in rules.scalars)
-    scan = materialize(wb.scan_workbooks(files, None if named else used), "scan")
+    scan = materialize(wb.scan_workbooks(files, None if named else used, by_row=True), "scan")
     books = wb.workbooks(scan)
     grid = wb.cells(scan)
     scalar_rules = [r for r in rules.scalars if r["sheet_id"] in active]
@@ -104,7 +104,7 @@ def extract(spark: SparkSession, files: DataFrame, rules: MappingRules) -> Extra
         [], "workbook_id string, seq int, sheet_id string, sheet_name string, section_id string, db_table string, "
             "name string, kind string, dtype string, row int, col string, value string, required boolean")
     plain = [t for t in table_rules if t["stop"] != "range"]
-    slots = materialize(tables.table_records(grid, plain, scalar_rules), "tables", "table_id") if plain else None
+    slots = materialize(tables.table_records(wb.rows(scan), plain, scalar_rules), "tables", "table_id") if plain else None
     found = tables.all_tables(grid, slots, table_rules, scalar_rules, rules.sheets, recs)
     rows = _table_rows(spark, grid, slots, table_rules)
     fields = records.field_names(recs)
