@@ -141,6 +141,27 @@ def test_records_of_packed_rows_are_those_of_their_cells(spark):
     assert tables.table_records(rows.where("false"), rules.tables, rules.scalars).count() == 0
 
 
+@pytest.mark.parametrize("broadcast", ["-1", "10m"])
+def test_tasks_of_wide_rows_grow_with_the_records(spark, monkeypatch, broadcast):
+    """More records make more tasks, not larger ones; join and aggregate share their shuffle."""
+    monkeypatch.setattr(records, "RECORDS_PER_TASK", 10)
+    items = [(None if w == 7 else f"w{w}", s, None if w == 9 else f"t{w % 2}", "s", "S", "x", "field", "ab"[s % 2], None if s == 2 else str(w * s)) for w in range(40) for s in range(5)]
+    frame = spark.createDataFrame(
+        items * 2, "workbook_id string, seq int, db_table string, sheet_id string, sheet_name string, section_id string, kind string, name string, value string")
+    filled = frame.where("workbook_id in ('w3', 'w4') and db_table = 't1'")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        wide = records.single_value_rows(frame, ["a", "b"], filled)
+        got = sorted(repr(tuple(r)) for r in wide.collect())
+        plan = wide._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    want = [(None if w == 7 else f"w{w}", f"t{w % 2}", "s", "S", "x", str(w * 4), str(w * 3)) for w in range(40) if w not in (3, 9)]
+    assert got == sorted(map(repr, want))
+    assert ", 39), REPARTITION_BY_NUM" in plan and plan.index("Join") < plan.index("REPARTITION_BY_NUM")
+
+
 def test_fixed_column_counts_only_in_its_row(spark):
     cells = [("w", "S", 3, 2, "int", "5"), ("w", "S", 1, 1, "int", "1")]
     document = {"workbook": {}, "sheets": {"s": {"sheet_name": "S", "sections": {"t": {

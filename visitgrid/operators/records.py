@@ -35,18 +35,32 @@ def pivot_last(df: DataFrame, keys: Sequence[str], names: Sequence[str], order:
     )
 
 
+#: A task sorts its records by table; so many of them take about 200 MB.
+RECORDS_PER_TASK = 250_000
+
+
 def single_value_rows(
     records: DataFrame, names: Sequence[str], filled_tables: DataFrame | None = None, context: Sequence[str] = ()
 ) -> DataFrame:
     """Wide row per (workbook, db_table, sheet, section) for tables made of scalars.
 
-    Tables of a workbook that already have rows are left out by an anti join.
+    Tables of a workbook that already have rows are left out.  The number
+    of tasks follows from the number of records, so the memory of one does not grow with
+    the input; ``records`` are counted for that, and should be written before.
     """
     rows = records.where(
         F.col("kind").isin(*ROW_KINDS) & F.col("db_table").isNotNull() & (F.trim("db_table") != "")
     )
-    if filled_tables is not None:
-        rows = rows.join(filled_tables.select("workbook_id", "db_table").distinct(), ["workbook_id", "db_table"], "left_anti")
+    table = ["workbook_id", "db_table"]
+    filled = None if filled_tables is None else filled_tables.select(*table)
+    tasks = -(-rows.count() // RECORDS_PER_TASK)
+    if tasks > 1:  # a given number is not coalesced; both sides have it, so the join and the aggregate keep it
+        tasks = max(tasks, int(records.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        rows = rows.repartition(tasks, *table)
+        filled = None if filled is None else filled.repartition(tasks, *table)
+    if filled is not None:
+        # marked and filtered: an anti join would be moved below the shuffle, back to tasks of any size
+        rows = rows.join(filled.distinct().withColumn("_filled", F.lit(True)), table, "left").where(F.col("_filled").isNull()).drop("_filled")
     keys = ["workbook_id", "db_table", "sheet_id", "sheet_name", "section_id"]
     wide = pivot_last(rows, keys, names, context=context)
     return wide.withColumnsRenamed(
