@@ -7,11 +7,15 @@ import zipfile
 import zlib
 from datetime import date, datetime
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from visitgrid.catalog import workbooks as catalog_books
 from visitgrid.catalog.xlsx import make_workbook
+from visitgrid import session
+from visitgrid.functions import convert
+from visitgrid.operators import frames, tables
 from visitgrid.operators.scalars import scalar_records
 from visitgrid.plans import batch, export
 from visitgrid.plans.mapping import read_mapping
@@ -278,3 +282,115 @@ def test_given_lines_leave_their_builder_a_file_at_a_time(spark):
     """So that a task holds one file and not those of a whole batch of groups."""
     plan = catalog_books.line_files(spark, SMALL)._jdf.queryExecution().toString()
     assert "MapInPandas" not in plan and "MapInArrow" in plan
+
+
+def _odd_book(names):
+    """A workbook with a row that stands too late, a gap, and rows that need the XML parser."""
+    def sheet(body):
+        return f'<worksheet xmlns="{wb._SPACE[1:-1]}"><sheetData>{body}</sheetData></worksheet>'.encode()
+
+    def row(n, *cells):
+        return f'<row r="{n}">' + "".join(f'<c r="{c}{n}"{kind}><v>{v}</v></c>' for c, kind, v in cells) + "</row>"
+
+    bodies = {
+        "gap": [row(1, ("A", "", 1), ("B", "", 2)), row(2, ("A", "", 3)), row(4, ("A", "", 5), ("C", ' t="s"', 0))],
+        "late": [row(1, ("A", "", 1)), row(3, ("A", "", 3)), row(2, ("A", "", 2)), row(4, ("B", "", 4)), row(5, ("A", "", 5))],
+        "twice": [row(1, ("A", "", 1)), row(1, ("B", "", 2)), row(2, ("B", "", 7)), row(3, ("A", "", 1))],
+        "begins": [row(2, ("A", "", 1)), row(3, ("A", "", 2))],
+        "parser": [row(1, ("A", "", 1)), '<row r="2"><c r="A2"><f>1</f><v>2</v></c></row>', row(4, ("A", "", 3))],
+        "none": ['<row r="1"><c r="A1"/></row>'], "index": [row(1, ("A", ' t="s"', 9))],
+    }
+    out = io.BytesIO()
+    blank = make_workbook({n: [(1, 1, t)] for n, t in zip(names, "uvwxyz")})
+    with zipfile.ZipFile(io.BytesIO(blank)) as old, zipfile.ZipFile(out, "w") as new:
+        for name in old.namelist():
+            at = name.removeprefix("xl/worksheets/sheet").removesuffix(".xml")
+            new.writestr(name, sheet("".join(bodies[names[int(at) - 1]])) if at.isdigit() else old.read(name))
+    return out.getvalue()
+
+
+def test_plain_sheets_of_a_batch_are_read_together(spark):
+    """Sheets of several workbooks in one pass, each with the strings of its own workbook; a
+    sheet that needs the parser leaves those beside it alone or takes them along."""
+    books = [_odd_book(["gap", "late", "parser"]), _odd_book(["none", "begins"]), book(), make_workbook({"S": [(1, 1, "a"), (1, 2, "b"), (2, 2, "a")]})]
+    rows = [r for b in books for r in wb.open_workbook(b) if r[0] == "part"]
+
+    def read(rows):
+        parts = pa.RecordBatch.from_pydict({
+            "strings": pa.array([r[7] for r in rows], pa.list_(pa.string())), "settings": [r[8] for r in rows], "data": pa.array([r[9] for r in rows], pa.binary())})
+        return list(wb.plain_sheets(parts))
+
+    found = read(rows)
+    assert max(len(places) for places, _ in found) > 3 and sum(len(places) for places, _ in found) == len(rows) - 1
+    for places, cells in found:
+        want = [(n, *c[2:6]) for n, at in enumerate(places) for c in wb.parse_part(rows[at][1], *rows[at][7:])]
+        assert [tuple(c[k] for k in ("sheet_no", "row", "col", "ctype", "raw")) for c in cells.to_pylist()] == want
+    bad = [r for r in wb.open_workbook(_odd_book(["index", "gap"])) if r[0] == "part"]
+    assert read(bad) == [] and read([]) == []
+
+
+def test_shared_strings_are_read_as_the_xml_parser_reads_them():
+    texts = ["", " a ", "x & y", "<", "é€\U0001f600", "a\nb", "]]>"]
+    for some in ([], texts[:2], texts[4:5], texts):
+        with zipfile.ZipFile(io.BytesIO(make_workbook({"S": [(n + 1, 1, t) for n, t in enumerate(some)]}))) as made:
+            assert wb._shared_strings(made) == some
+            assert (wb._plain_strings(made.read("xl/sharedStrings.xml")) is None) == (some == texts)
+    for odd in (b"<sst><si><t>a</t></si>", b"<sst><si><r><t>a</t></r></si></sst>", b'<?xml version="1.0" encoding="latin-1"?><sst></sst>', b"<sst a><si><t>a</t></si></sst>"):
+        assert wb._plain_strings(odd) is None
+
+
+def test_tables_of_rows_are_those_of_cells(spark):
+    """With tables that end at a blank cell, at a label or at a fixed row, and fixed cells."""
+    books = [("/a.xlsx", bytearray(_odd_book(["gap", "late", "twice"]))), ("/b.xlsx", bytearray(_odd_book(["parser", "begins", "none"]))),
+             ("/b.xlsx", bytearray(_odd_book(["twice", "gap", "parser"])))]
+    files = spark.createDataFrame(books, "source_path string, content binary")
+    empty = {"end_condition": {"type": "empty_col", "col": "A"}}
+    sections = {
+        "plain": {"db_table": "t/plain", "data_start_row": 1, "end_row": 9, "columns": {"a": {"col": "A"}, "b": {"col": "B"}}},
+        "blank": {"db_table": "t/blank", "data_start_row": 1, **empty, "columns": {"a": {"col": "A"}, "c": {"col": "C"}}},
+        "second": {"db_table": "t/second", "data_start_row": 2, **empty, "columns": {"a": {"col": "A"}}},
+        "fixed": {"db_table": "t/fixed", "data_start_row": 1, **empty, "columns": {"a": {"col": "A"}, "late": {"col": "A", "row": 4}}},
+    }
+    names = ("gap", "late", "twice", "parser", "begins", "none")
+    for some in (list(sections), list(sections)[:3]):
+        rules = read_mapping({"workbook": {"version": "1"}, "sheets": {n: {"sheet_name": n, "sections": {k: sections[k] for k in some}} for n in names}})
+        flat, packed = wb.cells(wb.scan_workbooks(files)), wb.rows(wb.scan_workbooks(files, by_row=True))
+        want, found = (sorted(map(repr, tables.table_records(x, rules.tables, rules.scalars).collect())) for x in (flat, packed))
+        assert want == found and len(found) > 20
+
+
+def test_a_row_is_looked_up_once(spark):
+    """The condition that drops rows without a cell must not repeat the look-ups."""
+    rows = spark.createDataFrame([], f"workbook_id string, sheet string, row int, cells {dict(spark.createDataFrame([], wb.ROW_SCHEMA).dtypes)['cells']}")
+    rules = catalog_books.batch_rules()
+    plan = tables.table_records(rows, rules.tables, rules.scalars)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_position") == 5
+
+
+def test_days_by_the_short_way_are_those_of_the_long_way(spark):
+    texts = ["2020-02-29 00:00:00", "2021-02-29 00:00:00", "2020-01-02 03:04:05", "2020-01-02", "2020-13-02", "2020-01-02\n", "0001-01-01", "1/2/2020",
+             "3 mar 2020", "43831", "0.5", "60", "-1", "True", "false", "nvt", "", " ", None]
+    kinds = ["date", "text", "int", "float", "bool", "time", None]
+    rows = spark.createDataFrame([(t, k) for t in texts for k in kinds], "raw string, ctype string")
+    both = rows.select(convert.to_date(F.col("raw"), F.col("ctype")).alias("now"), convert._temporal_text(F.col("raw"), F.col("ctype"), False).alias("long"))
+    assert [r for r in both.collect() if r["now"] != r["long"]] == []
+    short = rows.select(convert.to_date(F.col("raw"), F.col("ctype")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "transform" in short  # the long way is no part of the generated code
+
+
+def test_rows_of_a_table_are_no_single_file(spark, monkeypatch):
+    monkeypatch.setattr(session, "FILE_ROWS", 10)
+    kept = materialize(spark.range(45).withColumn("t", F.lit(1)), "files-of-rows", "t")
+    assert kept.count() == 45 and len(kept.inputFiles()) >= 5
+
+
+def test_ids_are_broadcast_if_they_are_found_to_be_small(spark, monkeypatch):
+    ids = materialize(spark.range(100), "small-ids")
+    assert "broadcast" in frames.measured(ids)._jdf.queryExecution().analyzed().toString()
+    monkeypatch.setattr(frames, "MAX_RULE_BYTES", 100)
+    assert "broadcast" not in frames.measured(ids)._jdf.queryExecution().analyzed().toString()
+
+
+def test_files_are_built_after_one_shuffle_of_the_lines(spark):
+    plan = catalog_books.line_files(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1

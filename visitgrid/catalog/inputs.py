@@ -31,8 +31,11 @@ def long_form(df: DataFrame, values: list[tuple[int, str, Column]]) -> DataFrame
 def line_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Combined lines.  Flags are single letters; their codes keep the aggregate a
     hash aggregate, which text buffers would turn into a sort of all lines."""
-    lines = table(spark, sf_dir, "lineitem")
-    return lines.groupBy("l_orderkey", "l_linenumber").agg(
+    return combined_lines(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
+
+
+def combined_lines(lines: DataFrame, *keys: str) -> DataFrame:
+    return lines.groupBy(*keys).agg(
         F.sum("l_quantity").alias("a"),
         F.max("l_extendedprice").alias("b"),
         F.min("l_discount").alias("c"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from ..sources import tables as readers
 from ..sources import workbooks as wb
 from ..streaming.folder import Intake
 from . import query
-from .inputs import LINES_SQL, line_rows, table
+from .inputs import LINES_SQL, combined_lines, table
 from .visiting import reference_tables
 from .xlsx import pack_workbook
 
@@ -58,32 +59,43 @@ def line_files(spark, sf_dir):
 
     Every 13th file is cut short, so that it cannot be read.
     """
-    rows = line_rows(spark, sf_dir)
-    stride = table(spark, sf_dir, "lineitem").agg(F.coalesce(F.max("l_linenumber"), F.lit(1))).first()[0]
+    lines = table(spark, sf_dir, "lineitem")
+    stride = lines.agg(F.coalesce(F.max("l_linenumber"), F.lit(1))).first()[0]
     book = F.floor(F.col("l_orderkey") / ORDERS_PER_BOOK)
     row = (F.pmod("l_orderkey", F.lit(ORDERS_PER_BOOK)) * stride + F.col("l_linenumber")).cast("int")
     tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     packed = (
-        rows.withColumns({"book": book, "row": row})
+        combined_lines(lines.withColumn("book", book).repartition(tasks, "book"), "book", "l_orderkey", "l_linenumber")
+        .withColumn("row", row)  # the number of tasks is not coalesced: building and parsing files is CPU work
         .select("book", "row", F.ascii("d").alias("d"), F.ascii("e").alias("e"), _line_xml(F.col("row").cast("string")).alias("xml"))
-        .repartition(tasks, "book")  # a given number is not coalesced: building and parsing files is CPU work
-        .groupBy("book")
-        .agg(F.sort_array(F.collect_list(F.struct("row", "xml"))).alias("lines"), F.array_union(F.collect_set("d"), F.collect_set("e")).alias("codes"))
-        .select("book", F.concat_ws("", "lines.xml").alias("body"), "codes")
+        .sortWithinPartitions("book", "row", "xml")
     )
 
+    def file(number: int, body: str, codes: set[int]) -> pa.RecordBatch:
+        # flags and statuses stand at the code of their letter, two texts more after them
+        letters = [chr(code) if code in codes else "" for code in range(max(codes, default=-1) + 1)]
+        info = _INFO.format(number=number, first=len(letters), second=len(letters) + 1)
+        strings = [*letters, "centre", "QA 0%d CT" % number]
+        content = pack_workbook({"LI": body, "Info": info}, strings, {"ref": "Info!$B$2"}, level=1)
+        name = f"/in/QC{number % 9 + 1:03d}_0624_{number:05d}CT-CT{number % 5}.xlsm"
+        content = content[: len(content) // 2] if number % 13 == 12 else content
+        return pa.RecordBatch.from_pydict({"source_path": [name], "content": [content]})
+
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A file at a time, so that a task holds one input batch and one file."""
+        number, bodies, codes = None, [], set()
         for found in batches:
-            for n in range(found.num_rows):  # a file at a time, so that a task holds one input batch and one file
-                number, body, codes = (column[n].as_py() for column in found.columns)
-                # flags and statuses stand at the code of their letter, two texts more after them
-                letters = [chr(code) if code in codes else "" for code in range(max(codes, default=-1) + 1)]
-                info = _INFO.format(number=number, first=len(letters), second=len(letters) + 1)
-                strings = [*letters, "centre", "QA 0%d CT" % number]
-                content = pack_workbook({"LI": body, "Info": info}, strings, {"ref": "Info!$B$2"}, level=1)
-                name = f"/in/QC{number % 9 + 1:03d}_0624_{number:05d}CT-CT{number % 5}.xlsm"
-                content = content[: len(content) // 2] if number % 13 == 12 else content
-                yield pa.RecordBatch.from_pydict({"source_path": [name], "content": [content]})
+            ends = pc.run_end_encode(found.column("book")).run_ends.to_pylist()
+            for begin, end in zip([0, *ends], ends):
+                own = found.slice(begin, end - begin)
+                if own["book"][0].as_py() != number:
+                    if bodies:
+                        yield file(number, "".join(bodies), codes)
+                    number, bodies, codes = own["book"][0].as_py(), [], set()
+                bodies.append(pc.binary_join(pa.ListArray.from_arrays([0, end - begin], own["xml"].cast(pa.string())), "")[0].as_py())
+                codes.update(pc.drop_null(pa.concat_arrays([own["d"], own["e"]])).unique().to_pylist())
+        if bodies:
+            yield file(number, "".join(bodies), codes)
 
     return packed.mapInArrow(build, "source_path string, content binary")
 

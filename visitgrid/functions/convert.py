@@ -164,11 +164,15 @@ def _temporal_text(raw: Column, ctype: Column | None, with_time: bool) -> Column
 
 def to_date(raw: Column, ctype: Column | None = None) -> Column:
     """Cell -> ISO date text; text that is no date is kept as it is."""
-    other = _temporal_text(raw, ctype, with_time=False)
     if ctype is None:
-        return other
-    day = F.when((ctype == "date") & raw.rlike(_WHOLE_DAY), F.substring(raw, 1, 10))  # as the scan spells a day
-    return F.when(day.try_cast("date").isNotNull(), day).otherwise(other)
+        return _temporal_text(raw, ctype, with_time=False)
+    # Days as the scan spells them, and texts in the usual spelling.  The way of all others is
+    # long; within a function of an array it is no part of the generated code, which the JVM
+    # compiles only up to a size.
+    usual = ((ctype == "date") & raw.rlike(_WHOLE_DAY)) | ((ctype == "text") & raw.rlike(_PLAIN_ISO))
+    day = F.when(usual, F.substring(raw, 1, 10).try_cast("date")).cast("string")
+    cell = F.array(F.struct(raw.alias("raw"), ctype.alias("ctype")))
+    return F.coalesce(day, F.get(F.transform(cell, lambda x: _temporal_text(x["raw"], x["ctype"], with_time=False)), 0))
 
 
 def to_datetime(raw: Column, ctype: Column | None = None) -> Column:

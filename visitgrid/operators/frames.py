@@ -23,3 +23,9 @@ def rule_frame(spark: SparkSession, rows: Sequence[dict], schema: str) -> DataFr
     )
     frame = spark.createDataFrame(table, schema=fields)
     return F.broadcast(frame) if table.nbytes <= MAX_RULE_BYTES else frame
+
+
+def measured(df: DataFrame) -> DataFrame:
+    """A written table, marked for broadcast if its rows are found to be small in all."""
+    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+    return F.broadcast(df) if size <= MAX_RULE_BYTES else df

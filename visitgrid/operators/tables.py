@@ -96,18 +96,19 @@ def _cell_records(cells: DataFrame, slots: Sequence[dict], width: int, roles: se
 _ADDRESS = "struct<col: int, first_row: int, last_row: int>"
 
 
-def _row_hits(rows: DataFrame, slots: Sequence[dict], width: int, roles: set[str]) -> DataFrame:
+def _row_hits(rows: DataFrame, slots: Sequence[dict], width: int, roles: set[str], blank_from: dict[int, int]) -> DataFrame:
     """Records of the rows of a scan by row: (workbook_id, table_id, row, s0 .. sN, _data,
     and _stop and _skip where they are asked for).
 
     A row meets each table of its sheet once and gives its record there and then, so what
-    is shuffled is a record and not its cells.
+    is shuffled is a record and not its cells.  ``blank_from`` has the first row of tables
+    that end at a blank cell: what stands below an empty row is none of theirs.
     """
     specs: dict[int, dict] = {}
     for s in slots:
         spec = specs.setdefault(s["table_id"], {
             "table_id": s["table_id"], "sheet": s["sheet"], "low": s["first_row"], "high": s["last_row"], "own": [False] * width,
-            "at": [None] * width, "stop": None, "skip": None})
+            "at": [None] * width, "stop": None, "skip": None, "blank_from": blank_from.get(s["table_id"])})
         spec["low"], spec["high"] = min(spec["low"], s["first_row"]), max(spec["high"], s["last_row"])
         address = {k: s[k] for k in ("col", "first_row", "last_row")}
         if s["role"] in ("stop", "skip"):
@@ -116,25 +117,33 @@ def _row_hits(rows: DataFrame, slots: Sequence[dict], width: int, roles: set[str
             spec["at"][s["slot"]], spec["own"][s["slot"]] = address, s["role"] in ("value", "fixed")
     rules = rule_frame(
         rows.sparkSession, list(specs.values()),
-        f"table_id int, sheet string, low int, high int, own array<boolean>, at array<{_ADDRESS}>, stop {_ADDRESS}, skip {_ADDRESS}")
+        f"table_id int, sheet string, low int, high int, own array<boolean>, at array<{_ADDRESS}>, stop {_ADDRESS}, skip {_ADDRESS}, blank_from int")
     met = rows.alias("c").join(
-        rules.alias("s"), (F.col("c.sheet") == F.col("s.sheet")) & F.col("c.row").between(F.col("s.low"), F.col("s.high")))
-
-    columns = F.col("cells.col")  # ascending, so that a column stands there once
-
-    def standing(at: Column) -> Column:
-        found = F.get("cells", F.array_position(columns, at["col"]).cast("int") - 1)
-        kept = F.col("row").between(at["first_row"], at["last_row"]) & ~is_blank(found["raw"])
-        return F.when(kept, F.struct(found["ctype"].alias("ctype"), found["raw"].alias("raw")))
-
-    picked = [standing(F.col("at")[i]).alias(f"s{i}") for i in range(width)]
-    texts = {f"_{role}": standing(F.col(role))["raw"] for role in ("stop", "skip") if role in roles}
-    texts = [F.when(text.isNotNull(), norm(text)).alias(name) for name, text in texts.items()]
-    hits = met.select("workbook_id", "table_id", "row", "own", *picked, *texts)
-    data = [F.col("own")[i] & F.col(f"s{i}").isNotNull() for i in range(width)]
-    names = [f"s{i}" for i in range(width)] + [f"_{role}" for role in ("stop", "skip") if role in roles]
-    return hits.where(F.coalesce(*[F.when(F.col(n).isNotNull(), True) for n in names])).select(
-        "workbook_id", "table_id", "row", functools.reduce(operator.or_, data).alias("_data"), *names)
+        rules.alias("s"), (F.col("c.sheet") == F.col("s.sheet")) & F.col("c.row").between(F.col("s.low"), F.col("s.high"))
+        & (F.col("s.blank_from").isNull() | F.coalesce(F.col("c.cells.since") <= F.col("s.blank_from"), F.lit(True))))
+
+    # One step after the other, so that each cell is looked up and told from a blank one once.
+    addresses = {f"s{i}": F.col("at")[i] for i in range(width)} | {f"_{role}": F.col(role) for role in ("stop", "skip") if role in roles}
+    near = {n: F.array_position("cells.cols", at["col"]) for n, at in addresses.items()}
+    if roles & {"fixed", "meta"}:  # others have the rows of their table, which the join has tested
+        near = {n: F.when(F.col("row").between(addresses[n]["first_row"], addresses[n]["last_row"]), at) for n, at in near.items()}
+    keys = ["workbook_id", "table_id", "row"] + (["own"] if "meta" in roles else [])
+    placed = met.select(*keys, "cells", *[at.cast("int").alias(n) for n, at in near.items()])  # columns ascend: one stands there once
+
+    def part(name: str, n: str) -> Column:
+        return F.get(f"cells.{name}", F.col(n) - 1)
+
+    found = placed.select(
+        *keys, *[part("raws", n).alias(n) for n in addresses], *[part("ctypes", f"s{i}").alias(f"_type{i}") for i in range(width)])
+    picked = [F.when(~is_blank(F.col(f"s{i}")), F.struct(F.col(f"_type{i}").alias("ctype"), F.col(f"s{i}").alias("raw"))) for i in range(width)]
+    names = list(addresses)
+    texts = [F.when(~is_blank(F.col(n)), norm(F.col(n))).alias(n) for n in names[width:]]
+    hits = found.select(*keys, *[cell.alias(f"s{i}") for i, cell in enumerate(picked)], *texts, F.monotonically_increasing_id().alias("_at"))
+    data = [F.col(f"s{i}").isNotNull() for i in range(width)]
+    data = [F.col("own")[i] & filled for i, filled in enumerate(data)] if "meta" in roles else data
+    # A condition that names ``_at`` stays above the steps; else they would be done for it once more.
+    kept = F.coalesce(*[F.when(F.col(n).isNotNull(), True) for n in names]) & (F.col("_at") >= 0)
+    return hits.where(kept).select("workbook_id", "table_id", "row", functools.reduce(operator.or_, data).alias("_data"), *names)
 
 
 def table_records(cells: DataFrame, tables: Sequence[dict], scalars: Sequence[dict] = ()) -> DataFrame:
@@ -146,7 +155,9 @@ def table_records(cells: DataFrame, tables: Sequence[dict], scalars: Sequence[di
     roles = {s["role"] for s in slots}
     carried = bool(roles & {"fixed", "meta"})
     if "cells" in cells.columns:
-        hits = _row_hits(cells, slots, width, roles).repartition("workbook_id")
+        far = {s["table_id"] for s in slots if s["role"] in ("fixed", "meta")}  # their cells may stand anywhere
+        blank_from = {t["table_id"]: t["first_row"] for t in tables if t["stop"] == "blank" and t["table_id"] not in far}
+        hits = _row_hits(cells, slots, width, roles, blank_from).repartition("workbook_id")
         records = hits.groupBy(*_KEYS).agg(*[F.max(n).alias(n) for n in hits.columns if n not in _KEYS])
     else:
         records = _cell_records(cells, slots, width, roles)

@@ -11,6 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+FILE_ROWS = 500_000
 _LOCAL: dict[str, str] = {}
 _SHIPPED: set[str] = set()
 
@@ -77,12 +78,13 @@ def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> D
     """Write once to the shared folder and read back, so that several sinks reuse
     the rows and a lost executor never restarts the scan of the workbooks.
 
-    With ``partition_by`` a reader that filters on that column opens its files only.
+    With ``partition_by`` a reader that filters on that column opens its files only; a file
+    has at most ``FILE_ROWS`` rows, as its rows are read by one task.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
     if partition_by:
-        df.hint("rebalance", partition_by).write.partitionBy(partition_by).parquet(path)
+        df.hint("rebalance", partition_by).write.option("maxRecordsPerFile", FILE_ROWS).partitionBy(partition_by).parquet(path)
     else:
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

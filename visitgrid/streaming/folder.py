@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.text import base_name
+from ..operators.frames import measured
 from ..operators.numbering import next_id_base
 from ..plans import batch
 from ..plans.mapping import MappingRules
@@ -74,7 +75,7 @@ class Intake:
         result = batch.extract(spark, files, self.rules)
         seen = materialize(batch.batch_visits(result, self.id_base(spark, number)), "arrived-visits")
         name = str(number)
-        ids = seen.select("workbook_id", F.col("QAID").alias("qaid"))
+        ids = measured(seen.select("workbook_id", F.col("QAID").alias("qaid")))  # else all rows were shuffled for them
         writers.write_tables({k: df.join(ids, "workbook_id") for k, df in result.tables.items()}, self.root, name)
         writers.write_parquet_table(batch.run_audit(result, seen, self.rules), self.root, "audit", name)
         writers.write_parquet_table(seen, self.root, "visits", name)  # last: what it lists is complete
