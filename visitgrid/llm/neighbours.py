@@ -237,7 +237,16 @@ def vote(similarity: np.ndarray, labels: np.ndarray, share: float) -> np.ndarray
     least = np.partition(similarity, -nearest, axis=1)[:, -nearest, None]
     weight = np.where(similarity >= least, np.maximum(similarity, 0), 0).astype(np.float64) ** POWER
     total = weight.sum(axis=1)
-    return np.clip(np.where(total > 0, (weight @ labels) / np.where(total > 0, total, 1), share), 0, 1)
+    ones = (weight * labels).sum(axis=1)  # by row, so that equal rows have equal sums
+    return np.clip(np.where(total > 0, ones / np.where(total > 0, total, 1), share), 0, 1)
+
+
+def _votes(rows: np.ndarray, model: Model) -> np.ndarray:
+    """Votes on a block of rows, filled up to the size of a whole one: the last digits of a
+    product depend on its number of rows."""
+    whole = np.zeros((BLOCK_DOCS, rows.shape[1]), rows.dtype)
+    whole[: len(rows)] = rows
+    return vote((_unit(whole @ model.space.axes) @ model.vectors.T)[: len(rows)], model.labels, model.share)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> tuple[DataFrame, str]:
@@ -256,10 +265,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> tuple[DataFrame,
         model = shared.value
         place = places_of(model.space.trigrams)
         for batch in steps(batches, at, STEP):
-            found = [
-                vote(_unit(rows @ model.space.axes) @ model.vectors.T, model.labels, model.share)
-                for _, rows in vectors_of(batch.column(at), place, model.space.weights)
-            ]
+            found = [_votes(rows, model) for _, rows in vectors_of(batch.column(at), place, model.space.weights)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(found), pa.float64())], names=[f.name for f in schema])
 
     return docs.mapInArrow(run, schema), name
