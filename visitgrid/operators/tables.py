@@ -104,6 +104,9 @@ def _row_hits(rows: DataFrame, slots: Sequence[dict], width: int, roles: set[str
     is shuffled is a record and not its cells.  ``blank_from`` has the first row of tables
     that end at a blank cell: what stands below an empty row is none of theirs.
     """
+    if dict(rows.dtypes)["cells"].startswith("array"):  # one array of whole cells; nothing is known of the rows above
+        parts = [F.col(f"cells.{part}").alias(f"{part}s") for part in ("col", "ctype", "raw")]
+        rows = rows.withColumn("cells", F.struct(*parts, F.lit(None).cast("int").alias("since")))
     specs: dict[int, dict] = {}
     for s in slots:
         spec = specs.setdefault(s["table_id"], {
